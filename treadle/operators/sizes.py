@@ -1,0 +1,22 @@
+"""Size checks that stand before every broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+#: Largest side that may be sent to every executor.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; no job is run, and an unknown size counts as huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= limit
+
+
+def hinted(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint if the size check allows it, else the plain frame (shuffled join)."""
+    return F.broadcast(df) if is_small(df, limit) else df
