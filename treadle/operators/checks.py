@@ -190,15 +190,28 @@ def _broken(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): complementary filters, so no row is lost or doubled."""
+def is_bad(rules: Sequence[Rule]) -> Column:
+    """True for a row that breaks an error rule, false for any other; never NULL."""
     bad = F.lit(False)
     for r in rules:
         if r.severity == ERROR:
             bad = bad | F.coalesce(F.expr(r.broken), F.lit(False))
+    return bad
+
+
+def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): complementary filters, so no row is lost or doubled."""
+    bad = is_bad(rules)
     return df.filter(~bad), df.filter(bad)
 
 
+def balance(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Input, accepted and rejected row counts from one scan."""
+    bad = is_bad(rules)
+    counts = df.agg(F.count("*").alias("input"), F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    return counts.unpivot([], ["input", "accepted", "rejected"], "part", "n_rows")
+
+
 def _records(hits: DataFrame, columns: Sequence[str], table: str, natural_key: Sequence[str], batch: str,
              task: str, at: dt.datetime) -> DataFrame:
     """Turn rows that carry a ``_hit`` struct into error records."""

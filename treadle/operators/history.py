@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from treadle.operators.keep import upsert
 
 VALID = ("ValidFromDate", "ValidToDate", "IsCurrent")
+#: Load-time interval, kept by dimensions that have these columns.
+EFFECTIVE = ("EffectiveStartDate", "EffectiveEndDate")
 
 
 def surrogate_key(natural: Sequence[Column], valid_from: Column) -> Column:
@@ -69,15 +71,17 @@ def scd1(current: DataFrame, staging: DataFrame, key: Sequence[str],
 
 
 def first_load(staging: DataFrame, key: Sequence[str], surrogate: str, as_of: dt.date,
-               business_date: str | None = None) -> DataFrame:
-    """All staging rows as their first version."""
-    start = F.col(business_date).cast("date") if business_date else F.lit(as_of)
+               opening: dt.date | None = None, effective: bool = False) -> DataFrame:
+    """All staging rows as their first version, valid from ``opening`` (or the run date)."""
+    start = F.lit(opening or as_of)
+    loaded = [F.lit(as_of).alias(EFFECTIVE[0]), F.lit(None).cast("date").alias(EFFECTIVE[1])] if effective else []
     return staging.select(
         surrogate_key([F.col(k) for k in key], start).alias(surrogate),
         *staging.columns,
         start.alias("ValidFromDate"),
         F.lit(None).cast("date").alias("ValidToDate"),
         F.lit(True).alias("IsCurrent"),
+        *loaded,
     )
 
 
@@ -91,7 +95,7 @@ def scd2(current: DataFrame, staging: DataFrame, key: Sequence[str], tracked: Se
     natural key does the rest.  An ``as_of`` before the open row's start changes nothing
     here: use :func:`absorb_late`.
     """
-    attributes = [c for c in current.columns if c not in (surrogate, *VALID, *key)]
+    attributes = [c for c in current.columns if c not in (surrogate, *VALID, *EFFECTIVE, *key)]
     closed = current.filter(~F.col("IsCurrent"))
     old = current.filter("IsCurrent").select(*[F.col(c).alias(f"o_{c}") for c in current.columns])
     new = staging.select(*[F.col(c).alias(f"n_{c}") for c in (*key, *attributes)])
@@ -107,11 +111,12 @@ def scd2(current: DataFrame, staging: DataFrame, key: Sequence[str], tracked: Se
 
     kept = {c: F.col(f"o_{c}") for c in current.columns}
     refreshed = {**kept, **{a: F.col(f"n_{a}") for a in attributes}}
-    ended = {**kept, "ValidToDate": day, "IsCurrent": F.lit(False)}
+    ended = {**kept, "ValidToDate": day, "IsCurrent": F.lit(False), EFFECTIVE[1]: day}
     fresh = {
         surrogate: surrogate_key([F.col(f"n_{k}") for k in key], day),
         **{c: F.col(f"n_{c}") for c in (*key, *attributes)},
         "ValidFromDate": day, "ValidToDate": F.lit(None), "IsCurrent": F.lit(True),
+        EFFECTIVE[0]: day, EFFECTIVE[1]: F.lit(None),
     }
     changed = differs([(F.col(f"n_{t}"), F.col(f"o_{t}")) for t in tracked])
     late = F.col("o_ValidFromDate") > day
@@ -137,11 +142,15 @@ def absorb_late(current: DataFrame, observed: DataFrame, key: Sequence[str], tra
     rebuilt.
     """
     attributes = [c for c in current.columns if c not in (surrogate, *VALID, *key)]
+    seen = [c for c in attributes if c in observed.columns]
     touched = current.join(observed.select(*key).distinct(), list(key), "left_semi")
     untouched = current.join(observed.select(*key).distinct(), list(key), "left_anti")
     starts = touched.select(*key, F.col("ValidFromDate").alias(day), *attributes)
-    states = upsert(starts, observed.select(*key, F.col(day).cast("date").alias(day), *attributes),
-                    [*key, day])
+    late = observed.select(*key, F.col(day).cast("date").alias(day), *seen)
+    for c in attributes:
+        if c not in seen:
+            late = late.withColumn(c, F.lit(None).cast(current.schema[c].dataType))
+    states = upsert(starts, late, [*key, day])
     rebuilt = versions(states, key, day, tracked)
     rebuilt = rebuilt.withColumn(surrogate, surrogate_key([F.col(k) for k in key], F.col("ValidFromDate")))
     return untouched.unionByName(rebuilt.select(*current.columns))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from treadle.operators.sizes import hinted, is_small
+from treadle.operators.sizes import is_small
 
 UNKNOWN = -1
 
@@ -31,7 +31,7 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, on: Mapping[str, str], at
     equality key.  A hot key therefore spreads over its slices, every fact meets only the
     versions of its own slice, and AQE can split a slice that is still too big.  Both sides
     clamp dates to [since, until], so rows outside that span still meet: it bounds the
-    layout, never the result.
+    layout, never the result.  Whether the versions are broadcast is Catalyst's choice.
     """
     first = F.col(valid_from).cast("date")
     last = F.col(valid_to).cast("date")
@@ -56,7 +56,7 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, on: Mapping[str, str], at
     match = match & (F.col("_to").isNull() | end)
     for i, fact_column in enumerate(on):
         match = match & (F.col(fact_column) == F.col(f"_k{i}"))
-    return left.join(hinted(right), match, "left").select(
+    return left.join(right, match, "left").select(
         *[F.col(f"`{c}`") for c in facts.columns],
         *[F.col(f"_t{i}").alias(name) for i, name in enumerate(take)],
     )
@@ -87,7 +87,8 @@ def band_lookup(df: DataFrame, bands: DataFrame, value: str, take: Mapping[str,
         .select(F.explode(F.sequence(F.col(low), F.coalesce(F.col(high), F.col("_top")))).alias("_n"),
                 *[F.col(c).alias(n) for n, c in take.items()])
     )
-    clamped = df.crossJoin(F.broadcast(top)).withColumn("_n", F.least(number, F.col("_top")))
+    clamped = df.crossJoin(F.broadcast(top)).withColumn(
+        "_n", F.when(number.isNotNull(), F.least(number, F.col("_top"))))
     return clamped.join(laid, "_n", "left").drop("_n", "_top")
 
 

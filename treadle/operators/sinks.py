@@ -53,8 +53,8 @@ def append_months(df: DataFrame, path: str, day: str, month: str = "month") -> N
 
 def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None,
                 month: str = "month") -> DataFrame:
-    # month values such as 1998-04 must stay text, so their type is stated
-    df = spark.read.parquet(path).withColumn(month, F.date_format(F.col(month).cast("date"), "yyyy-MM"))
+    """A month-partitioned table; a list of months prunes the folders that are read."""
+    df = spark.read.parquet(path)
     return df if months is None else df.filter(F.col(month).isin(*months))
 
 

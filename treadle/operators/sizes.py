@@ -1,11 +1,15 @@
-"""Size checks that stand before every broadcast."""
+"""The size check that stands before every broadcast hint.
+
+Equality joins get no hint: Catalyst and AQE broadcast a side by their own size threshold
+and shuffle it otherwise.  A hint is only given where a join has no equality to shuffle on.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-#: Largest side that may be sent to every executor.
-BROADCAST_BYTES = 32 * 1024 * 1024
+#: Largest estimated side that may be hinted.
+BROADCAST_BYTES = 4 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -15,8 +19,3 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= limit
-
-
-def hinted(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint if the size check allows it, else the plain frame (shuffled join)."""
-    return F.broadcast(df) if is_small(df, limit) else df

@@ -6,11 +6,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from treadle.functions.hierarchy import parent
 from treadle.functions.scalars import pick, short_name
 from treadle.functions.xml import shred, whole
 from treadle.operators import history
+from treadle.operators.keep import keep_first
 from treadle.plans.staging import TO_DIMENSION, customer_staging
 
 Tables = Mapping[str, DataFrame]
@@ -172,8 +174,6 @@ def _changed(t: Tables, name: str) -> Column:
 
 def _first_address(t: Tables) -> DataFrame:
     """One address per entity: the lowest type, then the lowest id."""
-    from treadle.operators.keep import keep_first
-
     link = keep_first(t["person.businessentityaddress"].select(ID, "addresstypeid", "addressid"),
                       [ID], ["addresstypeid", "addressid"])
     state = t["person.stateprovince"].select("stateprovinceid", F.col("name").alias("StateProvince"),
@@ -249,8 +249,6 @@ def with_managers(staff: DataFrame, key: str, manager: str, name: str) -> DataFr
 
 def stage_employee(t: Tables, as_of: dt.date) -> DataFrame:
     """Employees with the manager found one level up in the organization path."""
-    from treadle.functions.hierarchy import parent
-
     e = t["humanresources.employee"]
     path = F.col("organizationnode") if "organizationnode" in e.columns else F.lit(None).cast("string")
     current = F.col("currentflag") if "currentflag" in e.columns else F.lit(True)
@@ -277,8 +275,6 @@ def stage_employee(t: Tables, as_of: dt.date) -> DataFrame:
 
 def stage_vendor(t: Tables, as_of: dt.date) -> DataFrame:
     """Vendors; the source scores 1 (best) to 5, the dimension 5 (best) to 1."""
-    from treadle.operators.keep import keep_first
-
     status = (F.when(~F.col("activeflag"), "Inactive").when(F.col("preferredvendorstatus"), "Preferred")
               .otherwise("Active"))
     vendor = t["purchasing.vendor"].select(
@@ -336,13 +332,14 @@ def stage_promotion(t: Tables, as_of: dt.date) -> DataFrame:
 def stage_sales_territory(t: Tables, as_of: dt.date) -> DataFrame:
     country = t["person.countryregion"].select("countryregioncode", F.col("name").alias("Country"))
     target = (
-        t["sales.salesperson"].groupBy("territoryid").agg(F.sum("salesquota").alias("SalesTarget"))
+        t["sales.salesperson"].groupBy(F.col("territoryid").alias("TerritoryID"))
+        .agg(F.sum("salesquota").alias("SalesTarget"))
     )
     return (
         t["sales.salesterritory"].select(
-            "territoryid", F.col("territoryid").alias("TerritoryID"), F.col("name").alias("TerritoryName"),
+            F.col("territoryid").alias("TerritoryID"), F.col("name").alias("TerritoryName"),
             F.col("group").alias("SalesRegion"), "countryregioncode")
-        .join(country, "countryregioncode", "left").join(target, "territoryid", "left")
+        .join(country, "countryregioncode", "left").join(target, "TerritoryID", "left")
     )
 
 
@@ -373,8 +370,8 @@ STAGES = {
 
 # --- load ----------------------------------------------------------------------------------
 
-#: Load-time columns of the dimensions that keep both business and load time.
-EFFECTIVE = ("DimCustomer", "DimProduct")
+#: Dimensions that keep the load-time interval next to the business-time one.
+WITH_LOAD_TIME = ("DimCustomer", "DimProduct")
 
 
 def product_history(t: Tables) -> DataFrame:
@@ -383,8 +380,6 @@ def product_history(t: Tables) -> DataFrame:
     Both histories are cut at every start date of either; the windows hold one row per
     price or cost change of a product.
     """
-    from pyspark.sql import Window
-
     price = t["production.productlistpricehistory"].select(
         F.col("productid").alias("ProductID"), F.col("startdate").cast("date").alias("day"),
         F.col("listprice").alias("ListPrice"), F.lit(None).cast("decimal(19,4)").alias("Cost"))
@@ -404,25 +399,23 @@ def conform(staging: DataFrame, spec: DimensionSpec) -> DataFrame:
     return pick(staging, spec.columns)
 
 
-def load_dimension(spec: DimensionSpec, current: DataFrame | None, staging: DataFrame, as_of: dt.date) -> DataFrame:
-    """The dimension after a run, by its policy.  ``current`` is None on the first run."""
+def load_dimension(spec: DimensionSpec, current: DataFrame | None, staging: DataFrame, as_of: dt.date,
+                   opening: dt.date | None = None) -> DataFrame:
+    """The dimension after a run, by its policy.
+
+    ``current`` is None on the first run, whose versions are valid from ``opening``.
+    """
     staged = conform(staging, spec)
     key = [spec.natural]
     if spec.policy == SCD2:
         if current is None:
-            return history.first_load(staged, key, spec.surrogate, as_of)
+            return history.first_load(staged, key, spec.surrogate, as_of, opening, spec.name in WITH_LOAD_TIME)
         return history.scd2(current, staged, key, spec.tracked, spec.surrogate, as_of)
     keyed = staged.withColumn(spec.surrogate, F.col(spec.natural).cast("bigint")).select(
         spec.surrogate, *[c for c, _ in spec.columns])
     return keyed if current is None else history.scd1(current, keyed, key)
 
 
-def with_effective_dates(dim: DataFrame, as_of: dt.date) -> DataFrame:
-    """Load-time interval next to the business-time one."""
-    return dim.withColumn("EffectiveStartDate", F.greatest("ValidFromDate", F.lit(as_of))) \
-        .withColumn("EffectiveEndDate", F.col("ValidToDate"))
-
-
 def with_manager_keys(employees: DataFrame, managers: DataFrame) -> DataFrame:
     """Fill ReportingManagerKey from the current rows of the same dimension.
 

@@ -8,10 +8,10 @@ Keys in the result are natural keys until :func:`with_surrogates` replaces them.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treadle.functions.scalars import line_total, ratio
 from treadle.operators.lookup import UNKNOWN, asof_lookup, or_unknown
@@ -87,8 +87,6 @@ def runs_from_source(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 def quotas_from_source(t: Tables) -> DataFrame:
     """Quota intervals of each sales person."""
-    from pyspark.sql import Window
-
     # a person has a handful of quotas a year
     later = F.lead(F.col("quotadate").cast("date")).over(
         Window.partitionBy("businessentityid").orderBy("quotadate"))
@@ -97,6 +95,12 @@ def quotas_from_source(t: Tables) -> DataFrame:
         later.alias("ValidToDate"), F.col("salesquota").cast(MONEY).alias("quota"))
 
 
+def sellers_from_source(t: Tables) -> DataFrame:
+    return t["sales.salesperson"].select(
+        F.col("businessentityid").alias("employee_id"), _unknown().alias("store_id"),
+        F.col("territoryid").alias("territory_id"))
+
+
 def feedback_from_source(t: Tables) -> DataFrame:
     """Product reviews: the nearest the source has; it names no handler and no resolution."""
     return t["production.productreview"].select(
@@ -123,18 +127,18 @@ def invoices_from_source(t: Tables) -> DataFrame:
 # --- facts ---------------------------------------------------------------------------------
 
 
-def fact_sales(lines: DataFrame) -> DataFrame:
+def fact_sales(lines: DataFrame, carry: Mapping[str, str] | None = None) -> DataFrame:
     """One row per order line; the order id stays as a degenerate column.
 
     lines: order_id, order_date, customer_id, product_id, store_id, employee_id, revenue,
-    quantity, discount_amount
+    quantity, discount_amount.  ``carry`` keeps further line columns under new names.
     """
     return lines.select(
         F.col("order_date").alias("SalesDateKey"), F.col("customer_id").alias("CustomerKey"),
         F.col("product_id").alias("ProductKey"), F.col("store_id").alias("StoreKey"),
         F.col("employee_id").alias("EmployeeKey"), F.col("revenue").alias("SalesRevenue"),
         F.col("quantity").alias("QuantitySold"), F.col("discount_amount").alias("DiscountAmount"),
-        F.col("order_id").alias("SalesOrderID"))
+        F.col("order_id").alias("SalesOrderID"), *[F.col(c).alias(n) for c, n in (carry or {}).items()])
 
 
 def fact_purchases(lines: DataFrame) -> DataFrame:
@@ -164,14 +168,14 @@ def fact_inventory(stock: DataFrame, day: dt.date) -> DataFrame:
         F.col("reorder_level").alias("ReorderLevel"), F.col("safety_stock").alias("SafetyStock"))
 
 
-def fact_production(runs: DataFrame, steps: DataFrame) -> DataFrame:
+def fact_production(runs: DataFrame, steps: DataFrame, key: Sequence[str] = ("run_id",)) -> DataFrame:
     """One row per production run; hours are summed over its routing steps.
 
-    runs: run_id, product_id, start_date, ordered, scrapped, employee_id
-    steps: run_id, hours
+    runs: the key, product_id, start_date, ordered, scrapped, employee_id
+    steps: the key, hours
     """
-    hours = steps.groupBy("run_id").agg(F.sum("hours").alias("hours"))
-    return runs.join(hours, "run_id", "left").select(
+    hours = steps.groupBy(*key).agg(F.sum("hours").alias("hours"))
+    return runs.join(hours, list(key), "left").select(
         F.col("start_date").alias("ProductionDateKey"), F.col("product_id").alias("ProductKey"),
         F.col("employee_id").alias("EmployeeKey"), F.col("hours").cast(MONEY).alias("ProductionTimeHours"),
         (F.col("ordered") - F.col("scrapped")).alias("UnitsProduced"),
@@ -179,21 +183,23 @@ def fact_production(runs: DataFrame, steps: DataFrame) -> DataFrame:
         F.col("scrapped").alias("DefectCount"))
 
 
-def fact_employee_sales(lines: DataFrame, quotas: DataFrame, since: dt.date, until: dt.date) -> DataFrame:
+def fact_employee_sales(lines: DataFrame, quotas: DataFrame, sellers: DataFrame, since: dt.date,
+                        until: dt.date) -> DataFrame:
     """One row per employee and day, with the quota in force and the customers met.
 
-    lines: order_date, employee_id, store_id, territory_id, revenue, customer_id
+    Lines are reduced to that grain before any lookup.
+
+    lines: order_date, employee_id, revenue, customer_id
     quotas: employee_id, ValidFromDate, ValidToDate, quota
+    sellers: employee_id, store_id, territory_id
     """
     daily = (
         lines.filter("employee_id IS NOT NULL").groupBy("order_date", "employee_id")
-        .agg(F.min("store_id").alias("store_id"), F.min("territory_id").alias("territory_id"),
-             F.sum("revenue").cast(MONEY).alias("revenue"),
-             F.countDistinct("customer_id").alias("contacts"))
+        .agg(F.sum("revenue").cast(MONEY).alias("revenue"), F.countDistinct("customer_id").alias("contacts"))
     )
     targeted = asof_lookup(daily, quotas, {"employee_id": "employee_id"}, "order_date",
                            {"target": "quota"}, since=since, until=until)
-    return targeted.select(
+    return targeted.join(sellers, "employee_id", "left").select(
         F.col("order_date").alias("SalesDateKey"), F.col("employee_id").alias("EmployeeKey"),
         F.col("store_id").alias("StoreKey"), F.col("territory_id").alias("SalesTerritoryKey"),
         F.col("revenue").alias("SalesAmount"), F.col("target").cast(MONEY).alias("SalesTarget"),
@@ -225,8 +231,6 @@ def fact_promotion_response(lines: DataFrame) -> DataFrame:
 
     lines: order_date, product_id, store_id, offer_id, revenue, discount_amount
     """
-    from pyspark.sql import Window
-
     cell = ["order_date", "product_id", "store_id"]
     per_offer = lines.groupBy(*cell, "offer_id").agg(
         F.sum("revenue").alias("revenue"), F.sum("discount_amount").alias("discount"),

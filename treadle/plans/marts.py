@@ -17,13 +17,25 @@ from treadle.operators.measures import growth
 MONEY = "decimal(18,2)"
 
 
-def daily_sales(sales: DataFrame, categories: DataFrame) -> DataFrame:
+def with_category(sales: DataFrame, categories: DataFrame | None) -> DataFrame:
+    """Sales with their category; None when the sales already carry it.
+
+    Lookups in the marts are left joins: a sale without a match is summed under NULL, so the
+    totals of a mart are the totals of its facts.
+    """
+    return sales if categories is None else sales.join(categories, "ProductKey", "left")
+
+
+def daily_sales(sales: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """Store x category x day.
 
+    The distinct count works on (group, order): sales that arrive partitioned by order, with
+    their category on them, need no shuffle for that step.
+
     sales: fact_sales; categories: ProductKey, ProductCategoryKey
     """
     return (
-        sales.join(categories, "ProductKey")
+        with_category(sales, categories)
         .groupBy("SalesDateKey", "StoreKey", "ProductCategoryKey")
         .agg(F.sum("SalesRevenue").cast(MONEY).alias("TotalRevenue"),
              F.sum("QuantitySold").alias("TotalQuantity"),
@@ -32,18 +44,25 @@ def daily_sales(sales: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def weekly_sales(sales: DataFrame, categories: DataFrame, places: DataFrame) -> DataFrame:
+def weekly_sales(sales: DataFrame, places: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """Region x category x week; weeks start on Sunday.
 
+    Lines are first brought to customer x category x week, so a customer with a third of the
+    lines meets the customer lookup as one row per week and category.
+
     places: CustomerKey, RegionKey
     """
     by = ["WeekStartDateKey", "RegionKey", "ProductCategoryKey"]
-    return (
-        sales.join(categories, "ProductKey").join(places.select("CustomerKey", "RegionKey"), "CustomerKey")
-        .withColumn("WeekStartDateKey", week_start(F.col("SalesDateKey")))
-        .groupBy(*by)
+    weekly = (
+        with_category(sales, categories)
+        .groupBy("CustomerKey", "ProductCategoryKey", week_start(F.col("SalesDateKey")).alias("WeekStartDateKey"))
         .agg(F.sum("SalesRevenue").alias("s"), F.count("SalesRevenue").alias("n"),
-             F.min("SalesRevenue").alias("MinRevenue"), F.max("SalesRevenue").alias("MaxRevenue"))
+             F.min("SalesRevenue").alias("low"), F.max("SalesRevenue").alias("high"))
+    )
+    return (
+        weekly.join(places.select("CustomerKey", "RegionKey"), "CustomerKey", "left").groupBy(*by)
+        .agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.min("low").alias("MinRevenue"),
+             F.max("high").alias("MaxRevenue"))
         .select(*by, F.col("s").cast(MONEY).alias("SumRevenue"), ratio(F.col("s"), F.col("n")).alias("AvgRevenue"),
                 "MinRevenue", "MaxRevenue")
     )
@@ -63,7 +82,7 @@ def monthly_sales(sales: DataFrame, places: DataFrame) -> DataFrame:
         F.sum("revenue").alias("revenue"), F.count("*").alias("orders"))
     by = ["MonthStartDateKey", "SegmentKey", "RegionKey"]
     return (
-        customers.join(places.select("CustomerKey", "SegmentKey", "RegionKey"), "CustomerKey")
+        customers.join(places.select("CustomerKey", "SegmentKey", "RegionKey"), "CustomerKey", "left")
         .groupBy(*by)
         .agg(F.sum("revenue").alias("s"), F.sum("orders").alias("n"), F.count("*").alias("c"))
         .select("MonthStartDateKey", F.col("SegmentKey").alias("CustomerSegmentKey"), "RegionKey",
@@ -83,7 +102,7 @@ def daily_inventory(inventory: DataFrame, products: DataFrame, tiers: DataFrame)
     by = ["InventoryDateKey", "WarehouseKey", "ProductCategoryKey", "AgingTierKey"]
     value = F.col("QuantityOnHand") * F.col("UnitCost")
     return (
-        tiered.join(products, "ProductKey").groupBy(*by)
+        tiered.join(products, "ProductKey", "left").groupBy(*by)
         .agg(F.sum(value).alias("s"), F.count(value).alias("n"))
         .select(*by, ratio(F.col("s"), F.col("n")).alias("AvgInventoryValue"))
     )
@@ -123,7 +142,7 @@ def regional_sales(sales: DataFrame, places: DataFrame) -> DataFrame:
         F.sum("SalesRevenue").alias("revenue"))
     by = ["MonthStartDateKey", "RegionKey", "SalesTerritoryKey"]
     totals = (
-        monthly.join(places.select("CustomerKey", "RegionKey", "SalesTerritoryKey"), "CustomerKey")
+        monthly.join(places.select("CustomerKey", "RegionKey", "SalesTerritoryKey"), "CustomerKey", "left")
         .groupBy(*by).agg(F.sum("revenue").cast(MONEY).alias("TotalRevenue"))
     )
     return growth(totals, ["RegionKey", "SalesTerritoryKey"], "MonthStartDateKey", "TotalRevenue", "GrowthRate")

@@ -41,6 +41,10 @@ TO_DIMENSION = {
 ID = "businessentityid"
 
 
+class MissingTables(KeyError, ValueError):
+    """Tables a plan cannot do without."""
+
+
 def _source(t: Tables, name: str) -> DataFrame | None:
     df = t.get(name)
     return None if df is None else without(lower_names(df), "modifieddate")
@@ -59,7 +63,7 @@ def customer_staging(t: Tables, as_of: dt.date) -> DataFrame:
     """
     customers, persons = _source(t, "sales.customer"), _source(t, "person.person")
     if customers is None or persons is None:
-        raise ValueError("sales.customer and person.person are needed")
+        raise MissingTables("sales.customer and person.person")
 
     out = customers.select("customerid", "personid", "storeid").join(
         persons.select(F.col(ID).alias("personid"),

@@ -269,15 +269,12 @@ def q_error_records(spark, folder):
         .agg(F.count("*").alias("records"), F.count("FailedData").alias("payloads"))
     )
 
-    def tally(n, part, df):
-        return df.agg(F.count("*").alias("records")).select(
+    balance = [
+        checks.balance(frames[n], rules[n].rules).select(
             F.lit(n).alias("SourceTable"), F.lit("rows").alias("ErrorType"), F.lit("INFO").alias("ErrorSeverity"),
-            F.lit(part).alias("ErrorMessage"), "records", F.lit(0).cast("long").alias("payloads"))
-
-    balance = []
-    for n in keys:
-        accepted, rejected = checks.split(frames[n], rules[n].rules)
-        balance += [tally(n, "input", frames[n]), tally(n, "accepted", accepted), tally(n, "rejected", rejected)]
+            F.col("part").alias("ErrorMessage"), F.col("n_rows").alias("records"),
+            F.lit(0).cast("long").alias("payloads"))
+        for n in keys]
     return _union([counted, *balance])
 
 
@@ -350,14 +347,12 @@ def k3_fact_inventory(spark, folder):
 
 
 def k4_fact_production(spark, folder):
-    return facts.fact_production(*r.runs(spark, folder))
+    return facts.fact_production(*r.runs(spark, folder), key=("order_id", "product_id"))
 
 
 def k5_fact_employee_sales(spark, folder):
-    lines = r.lines(spark, folder)
-    quotas = r.quotas(lines)
-    placed = lines.join(r.territories(spark, folder), "employee_id")
-    return facts.fact_employee_sales(placed, quotas, SINCE, UNTIL)
+    return facts.fact_employee_sales(r.lines(spark, folder), r.quotas(spark, folder), r.sellers(spark, folder),
+                                     SINCE, UNTIL)
 
 
 def k6_fact_customer_feedback(spark, folder):
@@ -379,12 +374,17 @@ def k9_fact_returns(spark, folder):
 # --- marts ---------------------------------------------------------------------------------
 
 
+def _categorised(spark, folder) -> DataFrame:
+    """Sales that carry their product category."""
+    return facts.fact_sales(r.lines(spark, folder, category=True), {"category": "ProductCategoryKey"})
+
+
 def g1_daily_sales(spark, folder):
-    return marts.daily_sales(k1_fact_sales(spark, folder), r.categories(spark, folder))
+    return marts.daily_sales(_categorised(spark, folder))
 
 
 def g2_weekly_sales(spark, folder):
-    return marts.weekly_sales(k1_fact_sales(spark, folder), r.categories(spark, folder), r.places(spark, folder))
+    return marts.weekly_sales(_categorised(spark, folder), r.places(spark, folder))
 
 
 def g3_monthly_sales(spark, folder):
@@ -397,7 +397,7 @@ def g4_daily_inventory(spark, folder):
 
 def g5_monthly_product_performance(spark, folder):
     ratings = k6_fact_customer_feedback(spark, folder).select(F.col("CustomerKey").alias("ProductKey"), "FeedbackScore")
-    return marts.monthly_product_performance(k1_fact_sales(spark, folder), k9_fact_returns(spark, folder), ratings)
+    return marts.monthly_product_performance(k1_fact_sales(spark, folder), r.returned_units(spark, folder), ratings)
 
 
 def g6_regional_sales(spark, folder):

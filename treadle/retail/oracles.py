@@ -354,13 +354,13 @@ from run"""
 
 ORACLES["k5_fact_employee_sales"] = f"""
 with {_LINES},
-quota as (select store_id, year(order_date) + 1 as y, cast(sum(revenue) as decimal(18,2)) as t from lines group by 1, 2),
+quota as (select l_suppkey, year(l_shipdate) + 1 as y, cast(sum({_NET}) as decimal(18,2)) as t from lineitem group by 1, 2),
 daily as (
   select order_date, store_id, cast(sum(revenue) as decimal(18,2)) as r, count(distinct customer_id) as c
   from lines group by 1, 2)
 select order_date as "SalesDateKey", d.store_id as "EmployeeKey", d.store_id as "StoreKey",
        s_nationkey as "SalesTerritoryKey", r as "SalesAmount", t as "SalesTarget", c as "CustomerContactsCount"
-from daily d join supplier on s_suppkey = d.store_id left join quota q on q.store_id = d.store_id and q.y = year(order_date)"""
+from daily d join supplier on s_suppkey = d.store_id left join quota q on l_suppkey = d.store_id and q.y = year(order_date)"""
 
 ORACLES["k6_fact_customer_feedback"] = """
 with e as (select *, cast(least(5, floor(value / 50) + 1) as int) as score from events)

@@ -36,24 +36,30 @@ def net() -> Column:
     return (gross() * (F.lit(1).cast("decimal(1,0)") - rate()).cast(RATE)).cast("decimal(18,2)")
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their order's date and customer."""
-    line = load(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
-        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"),
-        F.col("l_suppkey").alias("employee_id"), F.col("l_quantity").cast("int").alias("quantity"),
-        net().alias("revenue"), (gross() * rate()).cast("decimal(18,2)").alias("discount_amount"),
-        (rate() * 100).cast("int").alias("offer_id"), F.col("l_returnflag").alias("return_flag"),
-        F.col("l_shipdate").cast("date").alias("ship_date"))
+def lines(spark: SparkSession, folder: str, category: bool = False) -> DataFrame:
+    """Order lines with their order's date and customer, and their part's category if asked.
+
+    The order join comes last: what follows finds the lines partitioned by order.
+    """
+    line = _line_columns(load(spark, folder, "lineitem"))
+    if category:
+        part = load(spark, folder, "part").select(F.col("p_partkey").alias("product_id"),
+                                                  F.col("p_type").alias("category"))
+        line = line.join(part, "product_id", "left")
     order = load(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"))
     return line.join(order, "order_id")
 
 
-def categories(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "part").select(
-        F.col("p_partkey").alias("ProductKey"), F.col("p_type").alias("ProductCategoryKey"))
+def _line_columns(line: DataFrame) -> DataFrame:
+    return line.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"),
+        F.col("l_suppkey").alias("employee_id"), F.col("l_quantity").cast("int").alias("quantity"),
+        net().alias("revenue"), (gross() * rate()).cast("decimal(18,2)").alias("discount_amount"),
+        (rate() * 100).cast("int").alias("offer_id"), F.col("l_returnflag").alias("return_flag"),
+        F.col("l_shipdate").cast("date").alias("ship_date"))
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,30 +103,30 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 def runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """A run makes the units of one part in one order; its lines are the routing steps."""
     line = load(spark, folder, "lineitem")
-    run = line.groupBy("l_orderkey", "l_partkey").agg(
+    key = [F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")]
+    made = line.groupBy(*key).agg(
         F.sum(F.col("l_quantity").cast("int")).alias("ordered"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int")).otherwise(0)).alias("scrapped"),
         F.min("l_shipdate").cast("date").alias("start_date"), F.min("l_suppkey").alias("employee_id"))
-    made = run.select(F.struct("l_orderkey", "l_partkey").alias("run_id"), F.col("l_partkey").alias("product_id"),
-                      "start_date", "ordered", "scrapped", "employee_id")
-    steps = line.select(F.struct("l_orderkey", "l_partkey").alias("run_id"),
-                        (F.col("l_quantity").cast("decimal(9,4)") * F.lit("0.25").cast("decimal(3,2)")).alias("hours"))
+    steps = line.select(*key, (F.col("l_quantity").cast("decimal(9,4)") * F.lit("0.25").cast("decimal(3,2)")).alias("hours"))
     return made, steps
 
 
-def quotas(sales_lines: DataFrame) -> DataFrame:
-    """A seller's quota of a year is the revenue of the year before, in force all year."""
-    year = F.trunc("order_date", "year")
+def quotas(spark: SparkSession, folder: str) -> DataFrame:
+    """A seller's quota of a year is the revenue shipped the year before, in force all year."""
+    year = F.trunc("ship_date", "year")
     return (
-        sales_lines.groupBy("employee_id", F.add_months(year, 12).alias("ValidFromDate"))
+        _line_columns(load(spark, folder, "lineitem"))
+        .groupBy("employee_id", F.add_months(year, 12).alias("ValidFromDate"))
         .agg(F.sum("revenue").cast("decimal(18,2)").alias("quota"))
         .withColumn("ValidToDate", F.add_months("ValidFromDate", 12))
     )
 
 
-def territories(spark: SparkSession, folder: str) -> DataFrame:
+def sellers(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("employee_id"), F.col("s_nationkey").alias("territory_id"))
+        F.col("s_suppkey").alias("employee_id"), F.col("s_suppkey").alias("store_id"),
+        F.col("s_nationkey").alias("territory_id"))
 
 
 def feedback(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,6 +155,13 @@ def invoices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def returned_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Returned quantities by part, store and day; needs no order."""
+    return _line_columns(load(spark, folder, "lineitem")).filter("return_flag = 'R'").select(
+        F.col("ship_date").alias("ReturnDateKey"), F.col("product_id").alias("ProductKey"),
+        F.col("store_id").alias("StoreKey"), F.col("quantity").alias("ReturnedQuantity"))
+
+
 def returns(sales_lines: DataFrame) -> DataFrame:
     return sales_lines.filter("return_flag = 'R'").select(
         (F.col("order_id") * 10 + F.col("line_no")).alias("return_id"), F.col("ship_date").alias("return_date"),
