@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -144,6 +143,14 @@ def count_orphans(table: str, df: DataFrame, fk: ForeignKey, parent: DataFrame)
                  F.col("n")))))
 
 
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union of many frames, paired up level by level so that the plan stays flat."""
+    level = list(parts)
+    while len(level) > 1:
+        level = [a.unionByName(b) for a, b in zip(level[::2], level[1::2])] + level[len(level) & ~1:]
+    return level[0]
+
+
 def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
     """One row per table and rule with its violation count (zero included)."""
     parts = []
@@ -161,7 +168,7 @@ def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -
     if not parts:
         spark = SparkSession.active()
         return spark.createDataFrame([], FINDING)
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def summarize(found: DataFrame) -> DataFrame:

@@ -118,8 +118,12 @@ def orphan_counts(child: DataFrame, columns: Sequence[str], parent: DataFrame,
 
 def childless(parent: DataFrame, columns: Sequence[str], child: DataFrame,
               child_columns: Sequence[str]) -> DataFrame:
-    """Parent rows that no child row points at."""
-    keys = child.select(*[F.col(p).alias(f"_c{i}") for i, p in enumerate(child_columns)])
+    """Parent rows that no child row points at.
+
+    Child keys are made distinct first: the side of an anti join that is looked up cannot be
+    split, so a parent with a third of all children must not reach it row by row.
+    """
+    keys = child.select(*[F.col(p).alias(f"_c{i}") for i, p in enumerate(child_columns)]).distinct()
     match = F.lit(True)
     for i, c in enumerate(columns):
         match = match & (F.col(c) == F.col(f"_c{i}"))

@@ -14,10 +14,11 @@ def pivot_sum(df: DataFrame, rows: Sequence[str], column: str, values: Sequence,
     """Sum ``measure`` into one column per listed value.
 
     The values are given, so there is no pass over the data to find them, and one
-    conditional aggregation replaces pivot's two.
+    conditional aggregation replaces pivot's two.  A sum too large for ``kind`` is an error,
+    not a NULL.
     """
     return df.groupBy(*rows).agg(*[
-        F.sum(F.when(F.col(column) == v, F.col(measure))).try_cast(kind).alias(str(v)) for v in values
+        F.sum(F.when(F.col(column) == v, F.col(measure))).cast(kind).alias(str(v)) for v in values
     ])
 
 

@@ -58,6 +58,11 @@ def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = N
     return df if months is None else df.filter(F.col(month).isin(*months))
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 class VersionedTable:
     """A table whose every refresh goes to a new folder and is switched to when complete.
 

@@ -10,13 +10,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadle.operators import checks, history, sinks
 from treadle.plans import dims, facts, marts, staging
 from treadle.plans.constraints import declared_rules
+from treadle.session import run_folder
 from treadle.sources.catalog import TableSpec
 from treadle.sources.extract import DIMENSION_SINCE, FACT_WINDOW, extract_all
 
@@ -35,6 +35,11 @@ def due_marts(day: dt.date) -> list[str]:
     return [m for m, when in CADENCE.items() if due[when]]
 
 
+def shift_month(month: str, by: int) -> str:
+    year, number = divmod(int(month[:4]) * 12 + int(month[5:]) - 1 + by, 12)
+    return f"{year:04d}-{number + 1:02d}"
+
+
 class CleanTables(Mapping):
     """Source tables without their rejected rows; a blocked or unknown table is missing.
 
@@ -96,10 +101,13 @@ def _resolves(df: DataFrame, predicate: str) -> bool:
 class DailyRun:
     def __init__(self, spark: SparkSession, specs: Mapping[str, TableSpec], read: Reader, root: str,
                  as_of: dt.date, *, batch: str, window: tuple[dt.datetime, dt.datetime] = FACT_WINDOW,
-                 since: dt.datetime = DIMENSION_SINCE, allow_failed: bool = False):
+                 since: dt.datetime = DIMENSION_SINCE, allow_failed: bool = False,
+                 returns: DataFrame | None = None, months: list[str] | None = None):
+        """``returns`` is a role frame of returned lines, which the source itself lacks;
+        ``months`` (``yyyy-MM``) limits the mart refresh to what those months touch."""
         self.spark, self.specs, self.read, self.root = spark, specs, read, root.rstrip("/")
         self.as_of, self.batch, self.window, self.since = as_of, batch, window, since
-        self.allow_failed = allow_failed
+        self.allow_failed, self.returns, self.months = allow_failed, returns, months
         self.at = dt.datetime.combine(as_of, dt.time())
         self.report = DayReport()
 
@@ -140,7 +148,7 @@ class DailyRun:
                     parts.append(checks.orphan_error_records(
                         df, name, fk, self.read(fk.parent), key, self.batch, "validate", self.at))
             if parts:
-                (sinks.with_month(reduce(DataFrame.unionByName, parts), "ErrorDate")
+                (sinks.with_month(checks.union_all(parts), "ErrorDate")
                  .withColumn("batch", F.lit(self.batch)).withColumn("source", F.lit(name))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("month", "batch", "source").parquet(self.path("error_records")))
@@ -242,17 +250,28 @@ class DailyRun:
                               "DimCustomer", "DimStore")
             self.load_fact("FactFinance", fact, "InvoiceDateKey", ["InvoiceID"])
 
+        def returned():
+            if self.returns is None:
+                raise KeyError("returned lines")
+            fact = self.keyed(facts.fact_returns(self.returns), "ReturnDateKey", "DimProduct", "DimCustomer", "DimStore")
+            self.load_fact("FactReturns", fact, "ReturnDateKey", ["ReturnID"])
+
         for name, work in {"FactSales": sales, "FactPurchases": purchases, "FactInventory": inventory,
                            "FactProduction": production, "FactEmployeeSales": employee_sales,
                            "FactCustomerFeedback": feedback, "FactPromotionResponse": promotions,
-                           "FactFinance": finance}.items():
+                           "FactFinance": finance, "FactReturns": returned}.items():
             self.step(name, work)
 
     def load_marts(self, t: Mapping[str, DataFrame], names: list[str]) -> None:
-        def stored(name: str) -> DataFrame:
+        def stored(name: str, months: list[str] | None = None) -> DataFrame:
             if name not in self.report.done:
                 raise KeyError(name)
-            return sinks.read_months(self.spark, self.path(name))
+            return sinks.read_months(self.spark, self.path(name), months)
+
+        def ratings() -> DataFrame:
+            reviews = facts.feedback_from_source(t).select("product_id", F.col("score").alias("FeedbackScore"))
+            keys = self.table("DimProduct").read().select(F.col("ProductID").alias("product_id"), "ProductKey")
+            return reviews.join(keys, "product_id")
 
         def places() -> DataFrame:
             state = t["person.stateprovince"].select(F.col("stateprovinceid").cast("string").alias("RegionKey"),
@@ -268,22 +287,48 @@ class DailyRun:
         def categories() -> DataFrame:
             return products().drop("UnitCost")
 
+        def inventory(read: list[str] | None) -> DataFrame:
+            day = stored("FactInventory").filter(F.col("InventoryDateKey") == F.lit(self.as_of))
+            return marts.daily_inventory(day, products(), self.table("DimAgingTier").read())
+
+        def regional(read: list[str] | None) -> DataFrame:
+            sales = stored("FactSales", self.months)
+            if self.months is None or "agg_regional_sales" not in mart_folders:
+                return marts.regional_sales(stored("FactSales"), places())
+            mart = sinks.read_months(self.spark, self.path("agg_regional_sales"))
+            fresh = marts.regional_refresh(mart, sales, places(), self.months)
+            # the mart is read and replaced, so the new rows are written elsewhere first
+            folder = run_folder(self.spark, "agg_regional_sales")
+            fresh.write.parquet(folder)
+            return self.spark.read.parquet(folder)
+
+        mart_folders = [n for n in names if sinks.folder_exists(self.spark, self.path(n))]
+        # plan over the months it has to read, date column, and the (months before, months
+        # after) that a touched month reaches; None where the plan sees to it itself
         plans = {
-            "agg_daily_sales": (lambda: marts.daily_sales(stored("FactSales"), categories()), "SalesDateKey"),
-            "agg_weekly_sales": (lambda: marts.weekly_sales(stored("FactSales"), places(), categories()),
-                                 "WeekStartDateKey"),
-            "agg_monthly_sales": (lambda: marts.monthly_sales(stored("FactSales"), places()), "MonthStartDateKey"),
-            "agg_daily_inventory": (lambda: marts.daily_inventory(
-                stored("FactInventory").filter(F.col("InventoryDateKey") == F.lit(self.as_of)), products(),
-                self.table("DimAgingTier").read()), "InventoryDateKey"),
-            "agg_regional_sales": (lambda: marts.regional_sales(stored("FactSales"), places()), "MonthStartDateKey"),
+            "agg_daily_sales": (lambda ms: marts.daily_sales(stored("FactSales", ms), categories()), "SalesDateKey", (0, 0)),
+            "agg_weekly_sales": (lambda ms: marts.weekly_sales(stored("FactSales", ms), places(), categories()),
+                                 "WeekStartDateKey", (1, 0)),
+            "agg_monthly_sales": (lambda ms: marts.monthly_sales(stored("FactSales", ms), places()),
+                                  "MonthStartDateKey", (0, 0)),
+            "agg_daily_inventory": (inventory, "InventoryDateKey", None),
+            "agg_monthly_product_performance": (lambda ms: marts.monthly_product_performance(
+                stored("FactSales", ms), stored("FactReturns", ms), ratings()), "MonthStartDateKey", (0, 0)),
+            "agg_regional_sales": (regional, "MonthStartDateKey", None),
         }
         for name in names:
-            if name not in plans:
-                self.report.skipped[name] = "needs FactReturns, which the source does not have"
-                continue
-            plan, date = plans[name]
-            self.step(name, lambda: sinks.write_months(facts.stored(plan()), self.path(name), date))
+            plan, date, reach = plans[name]
+
+            def refresh():
+                if self.months is None or reach is None:
+                    sinks.write_months(facts.stored(plan(None)), self.path(name), date)
+                    return
+                written = sorted({shift_month(m, n) for m in self.months for n in range(-reach[0], reach[1] + 1)})
+                read = sorted({shift_month(m, n) for m in written for n in (-1, 0, 1)})
+                fresh = plan(read).filter(F.date_format(date, "yyyy-MM").isin(*written))
+                sinks.write_months(facts.stored(fresh), self.path(name), date)
+
+            self.step(name, refresh)
 
     def run(self, mart_names: list[str] | None = None) -> DayReport:
         frames = self.extract()

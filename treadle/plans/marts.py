@@ -130,24 +130,43 @@ def monthly_product_performance(sales: DataFrame, returns: DataFrame, ratings: D
     )
 
 
-def regional_sales(sales: DataFrame, places: DataFrame) -> DataFrame:
-    """Region x territory x month with growth against the month before.
+def regional_totals(sales: DataFrame, places: DataFrame) -> DataFrame:
+    """Region x territory x month revenue.
 
-    Sums are taken per customer and month before the customer lookup; the growth window
-    holds one row per month of a territory.
+    Sums are taken per customer and month before the customer lookup.
 
     places: CustomerKey, RegionKey, SalesTerritoryKey
     """
     monthly = sales.groupBy("CustomerKey", month_start(F.col("SalesDateKey")).alias("MonthStartDateKey")).agg(
         F.sum("SalesRevenue").alias("revenue"))
     by = ["MonthStartDateKey", "RegionKey", "SalesTerritoryKey"]
-    totals = (
+    return (
         monthly.join(places.select("CustomerKey", "RegionKey", "SalesTerritoryKey"), "CustomerKey", "left")
         .groupBy(*by).agg(F.sum("revenue").cast(MONEY).alias("TotalRevenue"))
     )
+
+
+def with_growth(totals: DataFrame) -> DataFrame:
+    """Growth against the month with sales before; one row per month of a territory."""
     return growth(totals, ["RegionKey", "SalesTerritoryKey"], "MonthStartDateKey", "TotalRevenue", "GrowthRate")
 
 
+def regional_sales(sales: DataFrame, places: DataFrame) -> DataFrame:
+    """Region x territory x month with revenue and growth; see :func:`regional_totals`."""
+    return with_growth(regional_totals(sales, places))
+
+
+def regional_refresh(mart: DataFrame, sales: DataFrame, places: DataFrame, months: Sequence[str]) -> DataFrame:
+    """The whole mart after some months' sales changed.
+
+    Only those months' sales are read; growth is cut anew over the mart's own rows, since a
+    changed month moves the growth of whichever month comes next.
+    """
+    fresh = regional_totals(sales, places)
+    rest = mart.filter(~F.date_format("MonthStartDateKey", "yyyy-MM").isin(*months)).select(*fresh.columns)
+    return with_growth(fresh.unionByName(rest))
+
+
 def only_months(sales: DataFrame, day: str, months: Sequence[str]) -> DataFrame:
     """The rows of the given months (first days), as a range filter the scan can use."""
     test = F.lit(False)

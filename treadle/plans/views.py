@@ -158,11 +158,12 @@ def v_sales_person_sales_by_fiscal_years_data(t: Tables) -> DataFrame:
     )
 
 
-def v_sales_person_sales_by_fiscal_years(t: Tables, years=(2012, 2013, 2014)) -> DataFrame:
+def v_sales_person_sales_by_fiscal_years(t: Tables, years=(2012, 2013, 2014),
+                                         kind: str = "decimal(12,4)") -> DataFrame:
     """One column per listed fiscal year; a person without any of them stays with NULLs."""
     return pivot_sum(v_sales_person_sales_by_fiscal_years_data(t),
                      ["salespersonid", "fullname", "jobtitle", "salesterritory"],
-                     "fiscalyear", years, "salestotal")
+                     "fiscalyear", years, "salestotal", kind)
 
 
 def v_state_province_country_region(t: Tables) -> DataFrame:

@@ -139,6 +139,19 @@ def aging_tiers(spark) -> DataFrame:
     return dims.static_dimension(spark, "DimAgingTier")
 
 
+def j_price_in_force(spark, folder):
+    """Each line's price of the year, from intervals that include their last day."""
+    line = load(spark, folder, "lineitem")
+    year = F.trunc(F.col("l_shipdate").cast("date"), "year")
+    prices = (
+        line.groupBy(F.col("l_partkey").alias("ProductID"), year.alias("StartDate"))
+        .agg(F.max(r.gross()).alias("Price")).withColumn("EndDate", F.date_sub(F.add_months("StartDate", 12), 1))
+    )
+    sold = line.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"))
+    return lookup.asof_lookup(sold, prices, {"l_partkey": "ProductID"}, "ship_date", {"price": "Price", "since": "StartDate"},
+                              since=SINCE, until=UNTIL, valid_from="StartDate", valid_to="EndDate", closed=True)
+
+
 def j_band_tier(spark, folder):
     snapshot = facts.fact_inventory(r.stock(spark, folder), STOCK_DAY)
     tiered = lookup.band_lookup(snapshot, aging_tiers(spark), "StockAgingDays",
@@ -163,7 +176,7 @@ def a_pivot_fiscal(spark, folder):
     orders = load(spark, folder, "orders").select(
         "o_orderpriority", scalars.fiscal_year(F.col("o_orderdate")).alias("fy"),
         F.col("o_totalprice").cast(r.CASH).alias("total"))
-    return measures.pivot_sum(orders, ["o_orderpriority"], "fy", (1997, 1998, 1999), "total", "decimal(18,2)") \
+    return measures.pivot_sum(orders, ["o_orderpriority"], "fy", (1997, 1998, 1999), "total", "decimal(24,2)") \
         .withColumnsRenamed({str(y): f"fy{y}" for y in (1997, 1998, 1999)})
 
 
@@ -255,6 +268,14 @@ def q_summary(spark, folder):
                       F.concat_ws("; ", "warnings").alias("warnings"))
 
 
+def q_key_records(spark, folder):
+    """Error records of the rows behind duplicated line keys, per key."""
+    records = checks.key_error_records(load(spark, folder, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"],
+                                       "batch-1", "validate", dt.datetime(2001, 12, 31, 6, 0))
+    return records.groupBy("RecordNaturalKey", "ErrorType", "ErrorSeverity").agg(
+        F.count("FailedData").alias("records"))
+
+
 def q_error_records(spark, folder):
     """Quarantine of three tables through the error sink, with its balance."""
     frames, rules = _rules(spark, folder)
@@ -285,6 +306,27 @@ def d_customer_staging(spark, folder):
     return staging.customer_staging(SourceTables(spark, folder), AS_OF)
 
 
+def d_dim_customer(spark, folder):
+    """First load of the customer dimension; the surrogate key is left out."""
+    spec = dims.DIMENSIONS["DimCustomer"]
+    staged = dims.stage_customer(SourceTables(spark, folder), AS_OF)
+    return dims.load_dimension(spec, None, staged, AS_OF, SINCE).drop(spec.surrogate)
+
+
+def d_product_history(spark, folder):
+    """Versions of two attributes of a part that change on different days."""
+    line = load(spark, folder, "lineitem")
+    day = F.col("l_shipdate").cast("date").alias("startdate")
+
+    def observed(rows, name, value):
+        return rows.groupBy(F.col("l_partkey").alias("productid"), day).agg(F.max(value).cast("decimal(19,4)").alias(name))
+
+    t = {"production.productlistpricehistory": observed(line.filter("l_linestatus = 'O'"), "listprice", r.rate()),
+         "production.productcosthistory": observed(line.filter("l_linestatus = 'F'"), "standardcost",
+                                                   F.col("l_tax").cast(r.RATE))}
+    return dims.product_history(t)
+
+
 def d_change_set(spark, folder):
     """Customers' priority at the end of 1998 against the end of 1997."""
     orders = load(spark, folder, "orders").select(
@@ -441,7 +483,7 @@ def _plain_names(df: DataFrame) -> DataFrame:
 
 
 def v_fiscal_pivot(spark, folder):
-    out = views.v_sales_person_sales_by_fiscal_years(SourceTables(spark, folder), (1997, 1998, 1999))
+    out = views.v_sales_person_sales_by_fiscal_years(SourceTables(spark, folder), (1997, 1998, 1999), "decimal(24,4)")
     return out.withColumnsRenamed({str(y): f"fy{y}" for y in (1997, 1998, 1999)})
 
 
@@ -495,6 +537,7 @@ QUERIES: dict[str, Job] = {
     "j_orphans_anti": j_orphans_anti,
     "j_children_semi": j_children_semi,
     "j_asof_lookup": j_asof_lookup,
+    "j_price_in_force": j_price_in_force,
     "j_band_tier": j_band_tier,
     "j_self_manager": j_self_manager,
     "a_pivot_fiscal": a_pivot_fiscal,
@@ -506,8 +549,11 @@ QUERIES: dict[str, Job] = {
     "q_pk_duplicates": q_pk_duplicates,
     "q_fk_orphans": q_fk_orphans,
     "q_summary": q_summary,
+    "q_key_records": q_key_records,
     "q_error_records": q_error_records,
     "d_customer_staging": d_customer_staging,
+    "d_dim_customer": d_dim_customer,
+    "d_product_history": d_product_history,
     "d_change_set": d_change_set,
     "d_scd2_history": d_scd2_history,
     "d_scd2_merge": d_scd2_merge,

@@ -106,6 +106,12 @@ with {_STATES}, {_LINES}
 select order_id, line_no, customer_id, ship_date, p as priority, vf as valid_from
 from lines left join versions on o_custkey = customer_id and ship_date >= vf and (vt is null or ship_date < vt)"""
 
+ORACLES["j_price_in_force"] = """
+select l_orderkey, l_linenumber, l_partkey, cast(l_shipdate as date) as ship_date,
+       max(cast(l_extendedprice as decimal(14,2))) over (partition by l_partkey, year(l_shipdate)) as price,
+       cast(date_trunc('year', l_shipdate) as date) as since
+from lineitem"""
+
 ORACLES["j_band_tier"] = f"""
 with {_STOCK}, aged as (select q, date_diff('day', last_day, date '2001-11-30') as a from stock)
 select cast(case when a <= 30 then 1 when a <= 90 then 2 else 3 end as bigint) as "AgingTierKey",
@@ -124,7 +130,7 @@ from supplier e join lead_of using (s_nationkey) left join supplier b on b.s_sup
 
 _FY = "year(cast(o_orderdate as date) + interval 6 month)"
 ORACLES["a_pivot_fiscal"] = "select o_orderpriority, " + ", ".join(
-    f"cast(sum(case when {_FY} = {y} then cast(o_totalprice as decimal(14,2)) end) as decimal(18,2)) as fy{y}"
+    f"cast(sum(case when {_FY} = {y} then cast(o_totalprice as decimal(14,2)) end) as decimal(24,2)) as fy{y}"
     for y in (1997, 1998, 1999)) + " from orders group by 1"
 
 ORACLES["a_ratio_metrics"] = """
@@ -192,6 +198,10 @@ ORACLES["q_column_rules"] = _FOUND
 ORACLES["q_check_rules"] = _CHECKED
 ORACLES["q_pk_duplicates"] = """
 select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1"""
+ORACLES["q_key_records"] = """
+select l_orderkey || '|' || l_linenumber as "RecordNaturalKey", 'primary_key' as "ErrorType", 'ERROR' as "ErrorSeverity",
+       count(*) as records
+from lineitem group by l_orderkey, l_linenumber having count(*) > 1"""
 ORACLES["q_fk_orphans"] = """
 select user_id, count(*) as n_rows from events
 where not exists (select 1 from supplier where s_suppkey = user_id) group by 1"""
@@ -266,6 +276,33 @@ select cast(c_custkey as bigint) as customerid, 'Customer ' || substr(c_name, 10
        cast(coalesce(2001 - year(f), 0) as bigint) as yearssincefirstpurchase
 from customer join nation on c_nationkey = n_nationkey left join first_order on o_custkey = c_custkey"""
 
+ORACLES["d_dim_customer"] = f"""
+with s as ({ORACLES["d_customer_staging"]})
+select customerid as "CustomerID", customername as "CustomerName", emailaddress as "Email", phonenumber as "Phone",
+       city as "City", cast(stateprovinceid as varchar) as "StateProvince", countryregioncode as "Country",
+       postalcode as "PostalCode", customersegment as "CustomerSegment", customertype as "CustomerType",
+       accountstatus as "AccountStatus", cast(creditlimit as decimal(18,2)) as "CreditLimit",
+       cast(annualincome as decimal(18,2)) as "AnnualIncome", cast(yearssincefirstpurchase as int) as "YearsSinceFirstPurchase",
+       date '2001-12-31' as "SourceUpdateDate", date '1995-01-01' as "ValidFromDate", cast(null as date) as "ValidToDate",
+       true as "IsCurrent", date '2001-12-31' as "EffectiveStartDate", cast(null as date) as "EffectiveEndDate"
+from s"""
+
+ORACLES["d_product_history"] = """
+with o as (
+  select l_partkey as p, cast(l_shipdate as date) as d,
+         max(cast(l_discount as decimal(3,2))) filter (where l_linestatus = 'O') as a,
+         max(cast(l_tax as decimal(3,2))) filter (where l_linestatus = 'F') as b
+  from lineitem group by 1, 2),
+f as (
+  select p, d, last_value(a ignore nulls) over w as a, last_value(b ignore nulls) over w as b from o
+  window w as (partition by p order by d rows unbounded preceding)),
+m as (select *, row_number() over w as rn, lag(a) over w as a0, lag(b) over w as b0 from f window w as (partition by p order by d)),
+s as (select * from m where rn = 1 or a is distinct from a0 or b is distinct from b0)
+select p as "ProductID", d as "ValidFromDate", cast(a as decimal(19,4)) as "ListPrice", cast(b as decimal(19,4)) as "Cost",
+       lead(d) over (partition by p order by d) as "ValidToDate",
+       lead(d) over (partition by p order by d) is null as "IsCurrent"
+from s"""
+
 ORACLES["d_change_set"] = f"""
 with s as ({_snapshot('1999-01-01')}), c as ({_snapshot('1998-01-01')})
 select s.customerid, s.priority,
@@ -535,7 +572,7 @@ _FISCAL = f"""
 ORACLES["v_fiscal_data"] = f"""select salespersonid, fullname, jobtitle, salesterritory,
     cast(salestotal as decimal(29,4)) as salestotal, cast(fiscalyear as int) as fiscalyear from ({_FISCAL})"""
 ORACLES["v_fiscal_pivot"] = "select salespersonid, fullname, jobtitle, salesterritory, " + ", ".join(
-    f"cast(sum(salestotal) filter (where fiscalyear = {y}) as decimal(12,4)) as fy{y}" for y in (1997, 1998, 1999)
+    f"cast(sum(salestotal) filter (where fiscalyear = {y}) as decimal(24,4)) as fy{y}" for y in (1997, 1998, 1999)
 ) + f" from ({_FISCAL}) group by 1, 2, 3, 4"
 
 ORACLES["v_state_province_country_region"] = """
