@@ -46,6 +46,10 @@ class ForeignKey:
     parent_columns: tuple[str, ...]
     cascade: bool = False
 
+    @property
+    def rule(self) -> str:
+        return "fk_" + "_".join(self.columns)
+
 
 @dataclass(frozen=True)
 class TableRules:
@@ -136,10 +140,9 @@ def count_duplicates(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame
 
 
 def count_orphans(table: str, df: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    name = "fk_" + "_".join(fk.columns)
     bad = orphan_counts(df, fk.columns, parent, fk.parent_columns)
     return bad.agg(F.sum("rows").alias("n")).select(F.inline(F.array(
-        _finding(table, name, "foreign_key", ERROR, f"No row in {fk.parent} for {', '.join(fk.columns)}",
+        _finding(table, fk.rule, "foreign_key", ERROR, f"No row in {fk.parent} for {', '.join(fk.columns)}",
                  F.col("n")))))
 
 
@@ -258,7 +261,7 @@ def key_error_records(df: DataFrame, table: str, key: Sequence[str], batch: str,
 def orphan_error_records(df: DataFrame, table: str, fk: ForeignKey, parent: DataFrame,
                          natural_key: Sequence[str], batch: str, task: str, at: dt.datetime) -> DataFrame:
     bad = orphans(df, fk.columns, parent, fk.parent_columns)
-    hit = F.struct(F.lit("fk_" + "_".join(fk.columns)).alias("rule"), F.lit("foreign_key").alias("kind"),
+    hit = F.struct(F.lit(fk.rule).alias("rule"), F.lit("foreign_key").alias("kind"),
                    F.lit(ERROR).alias("severity"), F.lit(f"No row in {fk.parent}").alias("message"),
                    F.lit(", ".join(fk.columns)).alias("details"))
     return _records(bad.withColumn("_hit", hit), df.columns, table, natural_key, batch, task, at)

@@ -18,7 +18,7 @@ from treadle.plans import dims, facts, marts, staging
 from treadle.plans.constraints import declared_rules
 from treadle.session import run_folder
 from treadle.sources.catalog import TableSpec
-from treadle.sources.extract import DIMENSION_SINCE, FACT_WINDOW, extract_all
+from treadle.sources.extract import DIMENSION_SINCE, FACT_WINDOW, classify, extract_all
 
 Reader = Callable[[str], DataFrame]
 
@@ -55,7 +55,7 @@ class CleanTables(Mapping):
         if name in self._blocked:
             raise KeyError(f"{name} is blocked")
         df, rules = self._frames[name], self._rules.get(name)
-        return df if rules is None else checks.split(df, rules.rules)[0]
+        return checks.split(df, rules.rules)[0] if rules and rules.rules else df
 
     def __iter__(self) -> Iterator[str]:
         return iter(n for n in self._frames if n not in self._blocked)
@@ -123,22 +123,30 @@ class DailyRun:
         found = extract_all(self.specs, self.read, self.since, self.window)
         return {n: e.df for n, e in found.items()}
 
-    def validate(self, frames: Mapping[str, DataFrame], rules: Mapping[str, checks.TableRules]) -> frozenset[str]:
-        """Write findings and summary; returns the tables that block what depends on them."""
+    def validate(self, frames: Mapping[str, DataFrame],
+                 rules: Mapping[str, checks.TableRules]) -> dict[str, checks.TableRules]:
+        """Write findings and summary; returns, per table, the rules that were broken.
+
+        What follows looks at those only, so a clean table is not scanned for errors again.
+        """
         found = self.table("validation_findings")
         found.write(checks.findings(frames, rules))
         checks.summarize(found.read()).write.mode("overwrite").parquet(self.path("validation_summary"))
-        if self.allow_failed:
-            return frozenset()
-        # one name per table at most
-        broken = found.read().filter("kind = 'primary_key' AND violations > 0").select("table_name").distinct()
-        return frozenset(r.table_name for r in broken.collect())
-
-    def quarantine(self, frames: Mapping[str, DataFrame], rules: Mapping[str, checks.TableRules]) -> None:
+        # at most one row per rule
+        hit = {(r.table_name, r.rule) for r in found.read().filter("violations > 0").select("table_name", "rule").collect()}
+        return {
+            name: checks.TableRules(
+                tuple(x for x in r.rules if (name, x.name) in hit),
+                r.key if (name, "primary_key") in hit else (),
+                tuple(k for k in r.foreign_keys if (name, k.rule) in hit))
+            for name, r in rules.items() if any(t == name for t, _ in hit)}
+
+    def quarantine(self, frames: Mapping[str, DataFrame], rules: Mapping[str, checks.TableRules],
+                   broken: Mapping[str, checks.TableRules]) -> None:
         """Error records of every broken rule, replacing those of this batch and table."""
-        for name, df in frames.items():
-            parts, r = [], rules[name]
-            key = list(r.key) or df.columns[:1]
+        for name, r in broken.items():
+            parts, df = [], frames[name]
+            key = list(rules[name].key) or df.columns[:1]
             if r.rules:
                 parts.append(checks.error_records(df, name, r.rules, key, self.batch, "validate", self.at))
             if r.key:
@@ -333,13 +341,17 @@ class DailyRun:
     def run(self, mart_names: list[str] | None = None) -> DayReport:
         frames = self.extract()
         rules = table_rules(self.specs, frames, self.as_of)
-        blocked = self.validate(frames, rules)
-        self.quarantine(frames, rules)
+        broken = self.validate(frames, rules)
+        self.quarantine(frames, rules, broken)
+        blocked = frozenset() if self.allow_failed else frozenset(n for n, r in broken.items() if r.key)
         for name in sorted(blocked):
             self.report.skipped[name] = "duplicate primary keys"
         # the extract's window is for checking; loads read whole tables, since a windowed
         # product or offer table would lose rows that facts point at
-        full = CleanTables({n: self.read(n) for n in frames}, rules, blocked)
+        # (of a windowed table only part was checked, so all its rules apply to the whole)
+        partly = {n for n in frames if classify(self.specs[n].name, self.specs[n].column_names) == "fact"}
+        full = CleanTables({n: self.read(n) for n in frames},
+                           {n: rules[n] if n in partly else broken.get(n) for n in frames}, blocked)
         self.step("StagingCustomer", lambda: self.stage_customers(full))
         for name in dims.DIMENSIONS:
             self.step(name, lambda: self.load_dimension(name, full))

@@ -678,7 +678,7 @@ select {BASE} + s_suppkey as businessentityid, s_name as name,
        cast(cast(s_acctbal as decimal(12,2)) as decimal(19,4)) as annualsales,
        cast(null as decimal(19,4)) as annualrevenue, 'Bank ' || s_nationkey as bankname, 'BM' as businesstype,
        cast(1970 + s_nationkey as int) as yearopened, cast(null as varchar) as specialty, cast(null as int) as squarefeet,
-       case when s_nationkey > 12 then '4+' else 'AW' end as brands, cast(null as varchar) as internet,
+       case when s_nationkey > 12 then '4+' else 'One' end as brands, cast(null as varchar) as internet,
        cast(null as int) as numberemployees
 from supplier where s_acctbal >= 0"""
 

@@ -63,7 +63,7 @@ _STORE = (
     f"'<StoreSurvey xmlns=\"{NS}:store\"><AnnualSales>' || cast(cast(s_acctbal as decimal(12,2)) as string) ||"
     " '</AnnualSales><BankName>Bank ' || cast(s_nationkey as string) || '</BankName><BusinessType>BM</BusinessType>"
     "<YearOpened>' || cast(1970 + s_nationkey as string) || '</YearOpened><Brands>' ||"
-    " case when s_nationkey > 12 then '4+' else 'AW' end || '</Brands></StoreSurvey>'"
+    " case when s_nationkey > 12 then '4+' else 'One' end || '</Brands></StoreSurvey>'"
 )
 
 _CATALOG = (
