@@ -18,10 +18,13 @@ LABEL = "(01..|100..|101...|110.{8}|1110.{13})(.)"
 
 def bits(hex_text: Column) -> Column:
     """Hex text as a bit string without trailing zeros; byte by byte, so any length works."""
-    steps = F.sequence(F.lit(1), F.length(hex_text), F.lit(2))
-    octets = F.transform(steps, lambda i: F.lpad(F.conv(F.substr(hex_text, i, F.lit(2)), 16, 2), 8, "0"))
-    # an empty text has no byte; sequence(1, 0, 2) would be refused
-    return F.when(F.length(hex_text) > 0, F.rtrim(F.concat_ws("", octets), F.lit("0")))
+    octets = F.transform(_pieces(hex_text, ".."), lambda o: F.lpad(F.conv(o, 16, 2), 8, "0"))
+    return F.rtrim(F.concat_ws("", octets), F.lit("0"))
+
+
+def _pieces(value: Column, pattern: str) -> Column:
+    """All matches in order; the text is evaluated once, however many there are."""
+    return F.regexp_extract_all(value, F.lit(pattern), F.lit(0))
 
 
 def _number(code: Column) -> Column:
@@ -42,12 +45,11 @@ def _number(code: Column) -> Column:
 
 def decode(hex_text: Column) -> Column:
     """Hex text to path; NULL and empty text give the root."""
-    codes = F.regexp_extract_all(bits(hex_text), F.lit(LABEL), F.lit(0))
-    steps = F.transform(codes, lambda c: F.concat(
+    steps = F.transform(_pieces(bits(hex_text), LABEL), lambda c: F.concat(
         _number(F.substr(c, F.lit(1), F.length(c) - 1)).cast("string"),
         F.when(c.endswith("0"), F.lit(".")).otherwise(F.lit("/")),
     ))
-    return F.concat(F.lit("/"), F.coalesce(F.concat_ws("", steps), F.lit("")))
+    return F.concat(F.lit("/"), F.concat_ws("", steps))
 
 
 def encode(labels: Column) -> Column:
@@ -69,9 +71,9 @@ def encode(labels: Column) -> Column:
         )
 
     stream = F.concat_ws("", F.transform(labels, lambda n: code(n.cast("long"))))
-    whole = F.rpad(stream, (F.ceil(F.length(stream) / 8) * 8).cast("int"), F.lit("0"))
-    octets = F.sequence(F.lit(1), F.length(whole), F.lit(8))
-    hexes = F.transform(octets, lambda i: F.lpad(F.conv(F.substr(whole, i, F.lit(8)), 2, 16), 2, "0"))
+    # seven zeros fill the last byte; what they leave over makes no full byte
+    octets = _pieces(F.concat(stream, F.lit("0" * 7)), ".{8}")
+    hexes = F.transform(octets, lambda o: F.lpad(F.conv(o, 2, 16), 2, "0"))
     return F.when(F.size(labels) > 0, F.concat_ws("", hexes))
 
 
@@ -87,10 +89,10 @@ def parent(path: Column) -> Column:
 
 def ancestors(path: Column) -> Column:
     """Paths of every strict ancestor below the root."""
-    parts = labels(path)
-    return F.when(F.size(parts) > 1, F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1),
-        lambda n: F.concat(F.lit("/"), F.concat_ws("/", F.slice(parts, F.lit(1), n)), F.lit("/")),
+    levels = F.regexp_count(path, F.lit("/")) - 1
+    return F.when(levels > 1, F.transform(
+        F.sequence(F.lit(2), levels),
+        lambda n: F.concat(F.call_function("substring_index", path, F.lit("/"), n), F.lit("/")),
     )).otherwise(F.array().cast("array<string>"))
 
 
