@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from treadle.functions.hierarchy import parent
-from treadle.functions.scalars import pick, short_name
+from treadle.functions.scalars import pick, ratio, short_name
 from treadle.functions.xml import shred, whole
 from treadle.operators import history
 from treadle.operators.keep import keep_first
@@ -53,7 +53,7 @@ DIMENSIONS = {d.name: d for d in (
           "Size string; Weight decimal(10,3); SourceUpdateDate date",
           "ListPrice, Cost, Category, ProductStatus"),
     _spec("DimStore", "StoreKey", SCD2,
-          "StoreID bigint; StoreName string; StoreNumber int; Address string; City string; "
+          "StoreID bigint; StoreName string; StoreNumber bigint; Address string; City string; "
           "StateProvince string; Country string; PostalCode string; Region string; Territory string; "
           "StoreType string; StoreStatus string; ManagerName string; OpeningDate date; SquareFootage int; "
           "SourceUpdateDate date",
@@ -229,7 +229,7 @@ def stage_store(t: Tables, as_of: dt.date) -> DataFrame:
     seller = t["sales.salesperson"].select(F.col(ID).alias("salespersonid"), "territoryid")
     survey = shred(F.col("demographics"), "YearOpened string, SquareFeet string")
     store = t["sales.store"].select(
-        F.col(ID).alias("StoreID"), F.col("name").alias("StoreName"), F.col(ID).cast("int").alias("StoreNumber"),
+        F.col(ID).alias("StoreID"), F.col("name").alias("StoreName"), F.col(ID).alias("StoreNumber"),
         "salespersonid", F.lit("Retail").alias("StoreType"), F.lit("Open").alias("StoreStatus"),
         survey.alias("d"), _changed(t, "sales.store"))
     store = store.select("*", F.make_date(whole(F.col("d.YearOpened")), F.lit(1), F.lit(1)).alias("OpeningDate"),
@@ -273,6 +273,18 @@ def stage_employee(t: Tables, as_of: dt.date) -> DataFrame:
     )
 
 
+def vendor_scores(t: Tables) -> DataFrame:
+    """Per vendor: percent of shipped lines that met their due date, and of received units kept."""
+    header = t["purchasing.purchaseorderheader"].select(
+        "purchaseorderid", F.col("vendorid").alias("VendorID"), F.col("shipdate").alias("_shipped"))
+    lines = t["purchasing.purchaseorderdetail"].select("purchaseorderid", "duedate", "receivedqty", "rejectedqty")
+    counts = lines.join(header, "purchaseorderid").groupBy("VendorID").agg(
+        F.count_if(F.col("_shipped") <= F.col("duedate")).alias("met"), F.count("_shipped").alias("shipped"),
+        F.sum(F.col("receivedqty") - F.col("rejectedqty")).alias("kept"), F.sum("receivedqty").alias("received"))
+    return counts.select("VendorID", ratio(F.col("met"), F.col("shipped"), 100.0).alias("OnTimeDeliveryRate"),
+                         ratio(F.col("kept"), F.col("received"), 100.0).alias("QualityScore"))
+
+
 def stage_vendor(t: Tables, as_of: dt.date) -> DataFrame:
     """Vendors; the source scores 1 (best) to 5, the dimension 5 (best) to 1."""
     status = (F.when(~F.col("activeflag"), "Inactive").when(F.col("preferredvendorstatus"), "Preferred")
@@ -294,18 +306,8 @@ def stage_vendor(t: Tables, as_of: dt.date) -> DataFrame:
         person.join(email.select(F.col(ID).alias("personid"), F.col("emailaddress").alias("Email")), "personid", "left")
         .join(phone.select(F.col(ID).alias("personid"), F.col("phonenumber").alias("Phone")), "personid", "left")
     )
-    quality = (
-        t["purchasing.purchaseorderdetail"].join(
-            t["purchasing.purchaseorderheader"].select("purchaseorderid", F.col("vendorid").alias("VendorID"),
-                                                       F.col("shipdate").alias("_shipped")), "purchaseorderid")
-        .groupBy("VendorID").agg(
-            (F.lit(100) * F.avg(F.when(F.col("_shipped").isNotNull(), (F.col("_shipped") <= F.col("duedate")).cast("int"))))
-            .alias("OnTimeDeliveryRate"),
-            (F.lit(100) * (F.sum("receivedqty") - F.sum("rejectedqty")) / F.nullif(F.sum("receivedqty"), F.lit(0)))
-            .alias("QualityScore"))
-    )
     return (
-        vendor.join(reach, "VendorID", "left").join(quality, "VendorID", "left")
+        vendor.join(reach, "VendorID", "left").join(vendor_scores(t), "VendorID", "left")
         .join(_first_address(t).withColumnRenamed(ID, "VendorID"), "VendorID", "left")
     )
 

@@ -206,13 +206,15 @@ MANUAL = ("Location array<struct<_LocationID:string, _SetupHours:string, _Machin
 def v_product_model_instructions(t: Tables) -> DataFrame:
     """Locations of a manual, then the steps of each location."""
     doc = F.col("instructions")
-    located = (
-        t["production.productmodel"].filter(doc.isNotNull())
-        .select("productmodelid", "name", "rowguid", "modifieddate",
-                F.get(F.xpath(doc, F.lit("/*/text()")), F.lit(0)).alias("instructions"),
-                F.explode(shred(doc, MANUAL)["Location"]).alias("l"))
-    )
-    steps = located.select("*", F.explode("l.step").alias("s"))
+    parsed = t["production.productmodel"].filter(doc.isNotNull()).select(
+        "productmodelid", "name", "rowguid", "modifieddate", doc, shred(doc, MANUAL).alias("m"))
+    located = parsed.select(
+        "productmodelid", "name", "rowguid", "modifieddate",
+        F.get(F.xpath(doc, F.lit("/*/text()")), F.lit(0)).alias("instructions"),
+        # the steps of all locations, each with its location, so that there is one explode
+        F.flatten(F.transform("m.Location", lambda l: F.transform(
+            l["step"], lambda s: F.struct(l.alias("l"), s.alias("s"))))).alias("steps"))
+    steps = located.select("*", F.inline("steps")).drop("steps")
 
     def hours(name):
         return F.col(f"l._{name}").try_cast("decimal(9,4)").alias(name.lower())

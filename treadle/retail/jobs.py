@@ -313,6 +313,31 @@ def d_dim_customer(spark, folder):
     return dims.load_dimension(spec, None, staged, AS_OF, SINCE).drop(spec.surrogate)
 
 
+def _dimension(name: str, *drop: str) -> Job:
+    """First load of a dimension; hashed surrogate keys are left out."""
+    def run(spark, folder):
+        spec = dims.DIMENSIONS[name]
+        staged = dims.STAGES[name](SourceTables(spark, folder), AS_OF)
+        out = dims.load_dimension(spec, None, staged, AS_OF, SINCE)
+        return out.drop(*drop, *([spec.surrogate] if spec.policy == dims.SCD2 else []))
+    return run
+
+
+def d_vendor_scores(spark, folder):
+    """On-time and quality shares of each vendor, unrounded."""
+    return dims.vendor_scores(SourceTables(spark, folder))
+
+
+def d_manager_keys(spark, folder):
+    """Employees with the employee their manager key points at."""
+    spec = dims.DIMENSIONS["DimEmployee"]
+    staged = dims.stage_employee(SourceTables(spark, folder), AS_OF)
+    dim = dims.load_dimension(spec, None, staged, AS_OF, SINCE)
+    keyed = dims.with_manager_keys(dim, staged.select("EmployeeID", "ManagerID"))
+    boss = dim.select(F.col("EmployeeKey").alias("ReportingManagerKey"), F.col("EmployeeID").alias("ManagerID"))
+    return keyed.join(boss, "ReportingManagerKey", "left").select("EmployeeID", "EmployeeName", "ManagerID")
+
+
 def d_product_history(spark, folder):
     """Versions of two attributes of a part that change on different days."""
     line = load(spark, folder, "lineitem")
@@ -553,6 +578,17 @@ QUERIES: dict[str, Job] = {
     "q_error_records": q_error_records,
     "d_customer_staging": d_customer_staging,
     "d_dim_customer": d_dim_customer,
+    "d_dim_product": _dimension("DimProduct"),
+    "d_dim_store": _dimension("DimStore"),
+    "d_dim_employee": _dimension("DimEmployee"),
+    "d_manager_keys": d_manager_keys,
+    "d_dim_vendor": _dimension("DimVendor", "OnTimeDeliveryRate", "QualityScore"),
+    "d_vendor_scores": d_vendor_scores,
+    "d_dim_warehouse": _dimension("DimWarehouse"),
+    "d_dim_promotion": _dimension("DimPromotion"),
+    "d_dim_sales_territory": _dimension("DimSalesTerritory"),
+    "d_dim_region": _dimension("DimRegion"),
+    "d_dim_product_category": _dimension("DimProductCategory"),
     "d_product_history": d_product_history,
     "d_change_set": d_change_set,
     "d_scd2_history": d_scd2_history,

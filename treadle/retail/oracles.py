@@ -287,6 +287,95 @@ select customerid as "CustomerID", customername as "CustomerName", emailaddress
        true as "IsCurrent", date '2001-12-31' as "EffectiveStartDate", cast(null as date) as "EffectiveEndDate"
 from s"""
 
+_FIRST = """date '1995-01-01' as "ValidFromDate", cast(null as date) as "ValidToDate", true as "IsCurrent\""""
+_LOADED = """date '2001-12-31' as "EffectiveStartDate", cast(null as date) as "EffectiveEndDate\""""
+
+ORACLES["d_dim_product"] = f"""
+select p_partkey as "ProductID", p_name as "ProductName", p_brand || '-' || p_partkey as "SKU",
+       'Category ' || p_size % 5 as "Category", 'Sub ' || p_size as "SubCategory", 'Model ' || p_brand as "Brand",
+       cast(p_retailprice as decimal(18,2)) as "ListPrice", cast(p_size as decimal(18,2)) as "Cost",
+       case when p_size > 40 then 'Discontinued' else 'Active' end as "ProductStatus", substr(p_name, 1, 3) as "Color",
+       cast(p_size as varchar) as "Size", cast(p_size as decimal(10,3)) as "Weight",
+       cast(null as date) as "SourceUpdateDate", {_FIRST}, {_LOADED}
+from part"""
+
+ORACLES["d_dim_store"] = f"""
+select {BASE} + s_suppkey as "StoreID", s_name as "StoreName", {BASE} + s_suppkey as "StoreNumber",
+       'Dock ' || s_suppkey as "Address", 'Port ' || s_nationkey as "City", n_name as "StateProvince", r_name as "Country",
+       'Q' || s_suppkey as "PostalCode", case when s_acctbal >= 0 then 'G' || n_regionkey end as "Region",
+       case when s_acctbal >= 0 then n_name end as "Territory", 'Retail' as "StoreType", 'Open' as "StoreStatus",
+       substr(s_name, 1, 8) || ' ' || substr(s_name, 10, 9) as "ManagerName",
+       case when s_acctbal >= 0 then make_date(1970 + s_nationkey, 1, 1) end as "OpeningDate",
+       cast(null as int) as "SquareFootage", cast(null as date) as "SourceUpdateDate", {_FIRST}
+from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey"""
+
+ORACLES["d_dim_employee"] = f"""
+select {BASE} + s_suppkey as "EmployeeID", substr(s_name, 1, 8) || ' ' || substr(s_name, 10, 9) as "EmployeeName",
+       'Rep ' || s_nationkey as "JobTitle", 'Dept ' || d.r_name as "Department", cast(null as bigint) as "ReportingManagerKey",
+       date '1990-01-01' as "HireDate", case when s_acctbal >= 0 then 'Active' else 'Terminated' end as "EmployeeStatus",
+       case when s_acctbal >= 0 then 'G' || n_regionkey end as "Region", case when s_acctbal >= 0 then n_name end as "Territory",
+       cast(s_acctbal as decimal(18,2)) as "SalesQuota", cast(null as date) as "SourceUpdateDate", {_FIRST}
+from supplier join nation on n_nationkey = s_nationkey join region d on d.r_regionkey = s_nationkey % 5"""
+
+ORACLES["d_manager_keys"] = f"""
+select {BASE} + s_suppkey as "EmployeeID", substr(s_name, 1, 8) || ' ' || substr(s_name, 10, 9) as "EmployeeName",
+       case when s_suppkey >= 10 then {BASE} + s_suppkey % 10 end as "ManagerID"
+from supplier"""
+
+ORACLES["d_dim_vendor"] = f"""
+select {BASE} + s_suppkey as "VendorID", s_name as "VendorName",
+       substr(c_name, 1, 8) || ' ' || substr(c_name, 10, 9) as "ContactPerson",
+       lower(c_mktsegment) || c_custkey || '@example.com' as "Email", case when c_acctbal >= 0 then '1-' || c_custkey end as "Phone",
+       'Dock ' || s_suppkey as "Address", 'Port ' || s_nationkey as "City", r_name as "Country",
+       cast(5 - s_nationkey % 5 as decimal(3,2)) as "VendorRating", cast(null as varchar) as "PaymentTerms",
+       case when s_acctbal <= 0 then 'Inactive' when s_acctbal > 5000 then 'Preferred' else 'Active' end as "VendorStatus",
+       cast(null as date) as "SourceUpdateDate", {_FIRST}
+from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey
+left join customer on c_custkey = s_suppkey"""
+
+ORACLES["d_vendor_scores"] = f"""
+with l as (
+  select {BASE} + o_custkey % 10 as v, o_orderdate + interval 30 day <= l_shipdate as met,
+         cast(l_quantity as decimal(8,2)) as got, case when l_returnflag = 'R' then 1 else 0 end as bad
+  from lineitem join orders on o_orderkey = l_orderkey)
+select v as "VendorID", cast(count(*) filter (where met) as double) / count(*) * 100 as "OnTimeDeliveryRate",
+       cast(sum(got - bad) as double) / cast(sum(got) as double) * 100 as "QualityScore"
+from l group by 1"""
+
+ORACLES["d_dim_warehouse"] = f"""
+select cast(n_nationkey as bigint) as "WarehouseID", 'Hall ' || n_name as "WarehouseName", 'Hall ' || n_name as "Location",
+       case when n_regionkey > 0 then 'Production' else 'Storage' end as "WarehouseType", cast(null as bigint) as "ManagerKey",
+       {_FIRST}
+from nation"""
+
+ORACLES["d_dim_promotion"] = """
+with o as (select distinct cast(l_discount as decimal(3,2)) as d, cast(cast(l_discount as decimal(3,2)) * 100 as bigint) as i from lineitem)
+select i as "PromotionKey", i as "PromotionID", 'Offer ' || i as "PromotionName",
+       'Reseller / Offer ' || i as "PromotionDescription", 'Discount' as "PromotionType",
+       cast(i as decimal(5,2)) as "DiscountPercentage", cast(null as decimal(18,2)) as "DiscountAmount",
+       date '1995-01-01' as "StartDate", case when d < 0.05 then date '1999-12-31' else date '2005-12-31' end as "EndDate",
+       d >= 0.05 as "IsActive", case when d < 0.05 then 'Ended' else 'Running' end as "PromotionStatus",
+       cast(null as int) as "CampaignID", cast(null as bigint) as "TargetProductKey",
+       cast(null as varchar) as "TargetCustomerSegment"
+from o"""
+
+ORACLES["d_dim_sales_territory"] = """
+with q as (select s_nationkey, sum(cast(s_acctbal as decimal(18,2))) as t from supplier where s_acctbal >= 0 group by 1)
+select cast(n_nationkey as bigint) as "TerritoryKey", cast(n_nationkey as bigint) as "TerritoryID", n_name as "TerritoryName",
+       'G' || n_regionkey as "SalesRegion", r_name as "Country", cast(null as varchar) as "Manager",
+       cast(t as decimal(18,2)) as "SalesTarget"
+from nation join region on r_regionkey = n_regionkey left join q on s_nationkey = n_nationkey"""
+
+ORACLES["d_dim_region"] = """
+select cast(n_nationkey as bigint) as "RegionKey", cast(n_nationkey as bigint) as "RegionID", n_name as "RegionName",
+       r_name as "Country", 'G' || n_regionkey as "Continent", cast(null as varchar) as "TimeZone"
+from nation join region on r_regionkey = n_regionkey"""
+
+ORACLES["d_dim_product_category"] = """
+select distinct cast(p_size % 5 as bigint) as "ProductCategoryKey", cast(p_size % 5 as bigint) as "ProductCategoryID",
+       'Category ' || p_size % 5 as "CategoryName", cast(null as varchar) as "CategoryDescription"
+from part"""
+
 ORACLES["d_product_history"] = """
 with o as (
   select l_partkey as p, cast(l_shipdate as date) as d,

@@ -163,7 +163,8 @@ DERIVED = {
                cast(0 as decimal(19,4)) as saleslastyear
         from {{supplier}}""",
     "sales.salesterritory": """
-        select n_nationkey as territoryid, n_name as name, 'G' || cast(n_regionkey as string) as "group"
+        select n_nationkey as territoryid, n_name as name, 'G' || cast(n_regionkey as string) as "group",
+               'C' || cast(n_regionkey as string) as countryregioncode
         from {nation}""",
     "sales.salesorderheader": f"""
         select o_orderkey as salesorderid, o_orderdate as orderdate, o_custkey as customerid,
@@ -171,7 +172,10 @@ DERIVED = {
                cast(o_totalprice as decimal(19,4)) as subtotal
         from {{orders}}""",
     "humanresources.employee": f"""
-        select {BASE} + s_suppkey as businessentityid, 'Rep ' || cast(s_nationkey as string) as jobtitle
+        select {BASE} + s_suppkey as businessentityid, 'Rep ' || cast(s_nationkey as string) as jobtitle,
+               case when s_suppkey < 10 then '/' else '/' || cast(s_suppkey % 10 as string) || '/' end
+                 || cast(s_suppkey as string) || '/' as organizationnode,
+               date '1990-01-01' as hiredate, s_acctbal >= 0 as currentflag
         from {{supplier}}""",
     "humanresources.department": """
         select r_regionkey as departmentid, 'Dept ' || r_name as name, 'Group ' || r_name as groupname from {region}""",
@@ -189,7 +193,40 @@ DERIVED = {
                timestamp '2001-01-01 00:00:00' as modifieddate
         from {{customer}}""",
     "production.product": """
-        select p_partkey as productid, p_name as name, p_partkey as productmodelid from {part}""",
+        select p_partkey as productid, p_name as name, p_brand || '-' || cast(p_partkey as string) as productnumber,
+               substr(p_name, 1, 3) as color, cast(p_size as string) as size, cast(p_size as decimal(8,2)) as weight,
+               cast(p_size as decimal(19,4)) as standardcost, cast(p_retailprice as decimal(19,4)) as listprice,
+               p_size as productsubcategoryid, p_partkey as productmodelid,
+               timestamp '1996-01-01 00:00:00' as sellstartdate,
+               case when p_size > 40 then timestamp '1999-01-01 00:00:00' else null end as sellenddate,
+               cast(null as timestamp) as discontinueddate
+        from {part}""",
+    "production.productsubcategory": """
+        select distinct p_size as productsubcategoryid, p_size % 5 as productcategoryid,
+               'Sub ' || cast(p_size as string) as name
+        from {part}""",
+    "production.productcategory": """
+        select distinct p_size % 5 as productcategoryid, 'Category ' || cast(p_size % 5 as string) as name from {part}""",
+    "production.location": """
+        select n_nationkey as locationid, 'Hall ' || n_name as name, cast(n_regionkey as decimal(8,2)) as availability
+        from {nation}""",
+    "sales.specialoffer": """
+        select distinct cast(cast(l_discount as decimal(3,2)) * 100 as int) as specialofferid,
+               'Offer ' || cast(cast(cast(l_discount as decimal(3,2)) * 100 as int) as string) as description,
+               cast(cast(l_discount as decimal(3,2)) as decimal(19,4)) as discountpct, 'Discount' as type,
+               'Reseller' as category, timestamp '1995-01-01 00:00:00' as startdate,
+               case when l_discount < 0.05 then timestamp '1999-12-31 00:00:00' else timestamp '2005-12-31 00:00:00' end as enddate
+        from {lineitem}""",
+    "purchasing.purchaseorderheader": f"""
+        select o_orderkey as purchaseorderid, {BASE} + o_custkey % 10 as vendorid, o_orderdate as orderdate,
+               o_orderdate + interval 30 day as shipdate
+        from {{orders}}""",
+    "purchasing.purchaseorderdetail": """
+        select l_orderkey as purchaseorderid, l_shipdate as duedate, l_partkey as productid,
+               cast(l_quantity as int) as orderqty, cast(l_extendedprice as decimal(19,4)) as unitprice,
+               cast(l_quantity as decimal(8,2)) as receivedqty,
+               cast(case when l_returnflag = 'R' then 1 else 0 end as decimal(8,2)) as rejectedqty
+        from {lineitem}""",
     "production.productmodel": f"""
         select p_partkey as productmodelid, 'Model ' || p_brand as name,
                case when p_type = 'ECONOMY' then null else {_CATALOG} end as catalogdescription,
@@ -203,7 +240,9 @@ DERIVED = {
         union all
         select p_partkey, p_partkey, 'fr' from {part} where p_size > 25""",
     "purchasing.vendor": f"""
-        select {BASE} + s_suppkey as businessentityid, s_name as name from {{supplier}}""",
+        select {BASE} + s_suppkey as businessentityid, s_name as name, s_nationkey % 5 + 1 as creditrating,
+               s_acctbal > 5000 as preferredvendorstatus, s_acctbal > 0 as activeflag
+        from {{supplier}}""",
 }
 
 
