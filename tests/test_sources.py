@@ -144,6 +144,30 @@ def test_records_that_span_lines(spark, tmp_path):
                    (2, "Bob", None, dt.datetime(2013, 11, 13))]
 
 
+def test_records_across_file_blocks(spark, tmp_path):
+    """Files read in many small blocks give the same records."""
+    spec = TableSpec("production", "productreview", (C("id", "integer"), C("comments", "text"), C("mark", "character varying")))
+    want = []
+    for f in range(2):
+        text = ""
+        for i in range(40):
+            body = "\n".join(f"line {k} of {i}" for k in range(i % 7))
+            text += f"{f * 100 + i}\t{body}\tend\n"
+            want.append((f * 100 + i, body or None, "end"))
+        (tmp_path / f"r{f}.csv").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    opening = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = delimited.load_records(spark, str(tmp_path), spec)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", opening)
+
+
 def test_load_source_picks_the_right_loader(spark, tmp_path):
     specs = {"person.address": TableSpec("person", "address", (C("addressid", "integer"), C("city", "character varying"))),
              "person.thing": SPEC}

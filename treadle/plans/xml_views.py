@@ -212,8 +212,9 @@ def v_product_model_instructions(t: Tables) -> DataFrame:
         "productmodelid", "name", "rowguid", "modifieddate",
         F.get(F.xpath(doc, F.lit("/*/text()")), F.lit(0)).alias("instructions"),
         # the steps of all locations, each with its location, so that there is one explode
-        F.flatten(F.transform("m.Location", lambda l: F.transform(
-            l["step"], lambda s: F.struct(l.alias("l"), s.alias("s"))))).alias("steps"))
+        F.flatten(F.transform(
+            F.filter("m.Location", lambda l: l["step"].isNotNull()),
+            lambda l: F.transform(l["step"], lambda s: F.struct(l.alias("l"), s.alias("s"))))).alias("steps"))
     steps = located.select("*", F.inline("steps")).drop("steps")
 
     def hours(name):

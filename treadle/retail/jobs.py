@@ -88,6 +88,19 @@ def s_delimited_load(spark, folder):
     return hierarchy.with_paths(loaded, "doc", "node").withColumn("placed", F.col("placed").cast("string"))
 
 
+def s_record_load(spark, folder):
+    """Documents written as records whose text spans lines, then put together again."""
+    path = run_folder(spark, "records")
+    plain = F.translate("text", "\t\r", "  ")
+    load(spark, folder, "documents").select(F.concat_ws("\t", "doc_id", "lang", plain, F.lit("end")).alias("value")) \
+        .write.text(path)
+    c = catalog.ColumnSpec
+    spec = catalog.TableSpec("retail", "document", (
+        c("doc_id", "bigint", False), c("lang", "character varying"), c("text", "text"), c("mark", "character varying")))
+    loaded = delimited.load_records(spark, path, spec)
+    return loaded.select("doc_id", "lang", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"), "mark")
+
+
 # --- projections and joins -----------------------------------------------------------------
 
 
@@ -558,6 +571,7 @@ QUERIES: dict[str, Job] = {
     "s_fact_extract": s_fact_extract,
     "s_classify": s_classify,
     "s_delimited_load": s_delimited_load,
+    "s_record_load": s_record_load,
     "p_order_totals": p_order_totals,
     "j_orphans_anti": j_orphans_anti,
     "j_children_semi": j_children_semi,

@@ -85,6 +85,10 @@ select o_orderkey as orderid, o_orderstatus as status, o_orderstatus = 'O' as op
        '/' || (o_custkey % 1104) || '/' || (o_orderkey % 80) || '/' as node
 from orders"""
 
+ORACLES["s_record_load"] = """
+with d as (select doc_id, lang, translate(text, chr(9) || chr(13), '  ') as t from documents)
+select doc_id, lang, length(t) as n_chars, md5(t) as digest, 'end' as mark from d"""
+
 # --- projections and joins -----------------------------------------------------------------
 
 ORACLES["p_order_totals"] = f"""

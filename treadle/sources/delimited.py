@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from treadle.functions import scalars
 from treadle.functions.hierarchy import decode
@@ -142,17 +142,36 @@ def load_delimited(spark: SparkSession, path: str, spec: TableSpec, *, encoding:
     return _shape(raw, spec, loaded_at)
 
 
-def load_records(spark: SparkSession, path: str, spec: TableSpec, *, start: str = r"\d+\t",
-                 loaded_at: dt.datetime | None = None) -> DataFrame:
-    """Tab-separated records whose last text field spans lines; each begins with ``start``.
+def join_lines(spark: SparkSession, path: str, start: str) -> DataFrame:
+    """Text records that span lines, as (file, number, record); each begins with ``start``.
 
-    Record borders cannot be told from one line alone, so the file is the unit of work:
-    spread a large export over many files.
+    A line's record is the count of beginnings up to it: a running count within its file
+    block, plus the counts of the blocks before.  So blocks are read in parallel, windows
+    hold one block, or one row per block, and a record is put together by its own group.
     """
-    whole = spark.read.option("wholetext", "true").text(path)
-    record = F.explode(F.split("value", rf"\n(?={start})"))
+    lines = spark.read.text(path).select(
+        "value", F.col("value").rlike(f"^{start}").cast("int").alias("begins"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        # only the order within a block is used, and one task reads a block
+        F.monotonically_increasing_id().alias("seq"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("begins").alias("begun")).select(
+        "file", "block", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before"))
+    running = F.sum("begins").over(Window.partitionBy("file", "block").orderBy("seq"))
+    numbered = lines.withColumn("running", running).join(blocks, ["file", "block"])
+    ordered = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
+    return (
+        numbered.groupBy("file", (F.col("before") + F.col("running")).alias("number"))
+        .agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("record"))
+        .filter("number > 0")
+    )
+
+
+def load_records(spark: SparkSession, path: str, spec: TableSpec, *, start: str = r"\d+\t",
+                 loaded_at: dt.datetime | None = None) -> DataFrame:
+    """Tab-separated records with a text field that spans lines."""
     fields = F.split(F.regexp_replace("record", r"\n+$", ""), "\t")
-    rows = whole.select(record.alias("record")).withColumn("f", fields)
+    rows = join_lines(spark, path, start).select(fields.alias("f"))
     raw = rows.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(c.name)
                         for i, c in enumerate(spec.columns)])
     return _shape(raw, spec, loaded_at)
