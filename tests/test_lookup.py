@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from treadle.operators import keep, lookup
@@ -111,3 +112,27 @@ def test_hot_key_spreads_over_slices(spark, versions):
     assert got.filter("v IS NULL").count() == 0
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "_fslice" in plan and "Cartesian" not in plan
+
+
+DAYS = st.integers(0, 2600).map(lambda n: D(2009, 6, 1) + dt.timedelta(days=n))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 2), DAYS), max_size=12, unique=True), st.booleans(),
+       st.lists(st.tuples(st.integers(1, 3), DAYS), max_size=20), st.sampled_from(["year", "quarter", "month"]))
+def test_asof_against_brute_force(spark, starts, last_is_open, facts, unit):
+    """Cut points per key give versions; every fact must find exactly the one that covers it."""
+    versions = []
+    for k in {k for k, _ in starts}:
+        cuts = sorted(d for key, d in starts if key == k)
+        for i, d in enumerate(cuts):
+            end = cuts[i + 1] if i + 1 < len(cuts) else (None if last_is_open else d + dt.timedelta(days=40))
+            versions.append((k, f"{k}@{d}", d, end))
+    v = spark.createDataFrame(versions, "nk int, v string, ValidFromDate date, ValidToDate date")
+    f = spark.createDataFrame(facts, "k int, d date")
+    got = lookup.asof_lookup(f, v, {"k": "nk"}, "d", {"v": "v"}, slice_unit=unit, **SPAN)
+
+    def cover(k, d):
+        return next((x for key, x, a, b in versions if key == k and a <= d and (b is None or d < b)), None)
+
+    assert sorted((r.k, r.d, str(r.v)) for r in got.collect()) == sorted((k, d, str(cover(k, d))) for k, d in facts)

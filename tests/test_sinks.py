@@ -58,6 +58,55 @@ def test_versions_switch_when_complete(spark, tmp_path, frame, rows):
     assert rows(table.read()) == [(1,), (2,)]
 
 
+def test_history_table_keeps_closed_rows_of_every_run(spark, tmp_path, frame, rows):
+    from treadle.operators import history
+
+    table = sinks.HistoryTable(spark, str(tmp_path / "dim"))
+    def staged(*r):
+        return frame(list(r), "id int, v string")
+
+    days = [(D(2020, 1, 1), [(1, "a"), (2, "x")]), (D(2020, 1, 2), [(1, "b"), (2, "x")]), (D(2020, 1, 3), [(1, "c"), (2, "x")]),
+            (D(2020, 1, 3), [(1, "c"), (2, "y")]), (D(2020, 1, 3), [(1, "c"), (2, "y")])]
+    for day, data in days:
+        step = (history.first_load(staged(*data), ["id"], "sk", day) if not table.exists()
+                else history.scd2(table.read_open(), staged(*data), ["id"], ["v"], "sk", day))
+        table.write_step(step, keys=["id"])
+    want = [(1, "a", D(2020, 1, 1), D(2020, 1, 2), False), (1, "b", D(2020, 1, 2), D(2020, 1, 3), False),
+            (1, "c", D(2020, 1, 3), None, True), (2, "x", D(2020, 1, 1), D(2020, 1, 3), False), (2, "y", D(2020, 1, 3), None, True)]
+    columns = ["id", "v", "ValidFromDate", "ValidToDate", "IsCurrent"]
+    assert rows(table.read(), *columns) == want
+    assert table.read().columns == ["sk", *columns]
+    # a run that did not commit adds nothing
+    dead = tmp_path / "dim" / "v00000099-dead" / "IsCurrent=false"
+    dead.mkdir(parents=True)
+    assert rows(table.read(), *columns) == want
+    # a full rewrite replaces what earlier runs closed
+    late = frame([(1, "a2", D(2020, 1, 1))], "id int, v string, day date")
+    table.write_full(history.absorb_late(table.read(), late, ["id"], ["v"], "sk", "day"))
+    assert rows(table.read(), *columns) == [(1, "a2", D(2020, 1, 1), D(2020, 1, 2), False), *want[1:]]
+    table.write_step(history.scd2(table.read_open(), staged((1, "c"), (2, "z")), ["id"], ["v"], "sk", D(2020, 1, 4)))
+    assert len(rows(table.read())) == 6
+
+
+def test_empty_history_table_is_not_loaded(spark, tmp_path, frame):
+    from treadle.operators import history
+
+    table = sinks.HistoryTable(spark, str(tmp_path / "dim"))
+    table.write_step(history.first_load(frame([], "id int, v string"), ["id"], "sk", D(2020, 1, 1)))
+    assert not table.exists()
+
+
+def test_history_table_with_all_rows_closed(spark, tmp_path, frame, rows):
+    from treadle.operators import history
+
+    table = sinks.HistoryTable(spark, str(tmp_path / "dim"))
+    table.write_step(history.first_load(frame([(1, "a")], "id int, v string"), ["id"], "sk", D(2020, 1, 1)))
+    none = frame([], "id int, v string")
+    table.write_step(history.scd2(table.read_open(), none, ["id"], ["v"], "sk", D(2020, 1, 2), close_missing=True))
+    assert table.read_open().count() == 0
+    assert rows(table.read(), "id", "ValidToDate", "IsCurrent") == [(1, D(2020, 1, 2), False)]
+
+
 def test_sorted_write(spark, tmp_path, frame):
     path = str(tmp_path / "s")
     sinks.write_sorted(frame([(3,), (1,), (2,)], "k int"), path, ["k"])

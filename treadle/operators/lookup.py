@@ -11,6 +11,9 @@ from treadle.operators.sizes import is_small
 
 UNKNOWN = -1
 
+#: Calendar slices of the point-in-time lookup and the step from one to the next.
+SLICES = {"year": "interval 1 year", "quarter": "interval 3 months", "month": "interval 1 month"}
+
 
 def _slice(day: Column, since: dt.date, until: dt.date, unit: str) -> Column:
     inside = F.least(F.greatest(day, F.lit(since)), F.lit(until))
@@ -40,7 +43,7 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, on: Mapping[str, str], at
     last = F.coalesce(last, F.lit(until))
     lo = _slice(first, since, until, unit=slice_unit)
     hi = F.greatest(_slice(last, since, until, unit=slice_unit), lo)
-    step = F.expr(f"interval 1 {slice_unit}")
+    step = F.expr(SLICES[slice_unit])
 
     right = versions.select(
         *[F.col(v).alias(f"_k{i}") for i, v in enumerate(on.values())],

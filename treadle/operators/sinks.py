@@ -100,10 +100,14 @@ class VersionedTable:
             raise FileNotFoundError(f"no complete version below {self.root}")
         return self.spark.createDataFrame([], schema)
 
-    def write(self, df: DataFrame, keys: Sequence[str] = (), partition: Sequence[str] = ()) -> str:
-        number = int(self.versions()[-1].split("-")[0][1:]) + 1 if self.exists() else 1
-        name = f"v{number:08d}-{uuid.uuid4().hex[:8]}"
-        ready = df.hint("rebalance", *[F.col(c) for c in (partition or keys)]) if (partition or keys) else df
+    def _next(self, kind: str = "") -> str:
+        done = self.versions()
+        number = int(done[-1].split("-")[0][1:]) + 1 if done else 1
+        return f"v{number:08d}-{kind}{uuid.uuid4().hex[:8]}"
+
+    def write(self, df: DataFrame, keys: Sequence[str] = (), partition: Sequence[str] = (), kind: str = "") -> str:
+        name = self._next(kind)
+        ready = _sized(df, partition or keys)
         if keys:
             ready = ready.sortWithinPartitions(*partition, *keys)
         writer = ready.write.mode("errorifexists")
@@ -111,3 +115,59 @@ class VersionedTable:
             writer = writer.partitionBy(*partition)
         writer.parquet(f"{self.root}/{name}")
         return name
+
+
+class HistoryTable(VersionedTable):
+    """A versioned dimension whose runs write open rows and newly closed rows only.
+
+    Each version has one folder of open rows and one of the rows that run closed; both count
+    from the same commit marker.  The open rows of the newest version are current, and closed
+    rows are those of all versions since the last full one.  So a day costs what is open and
+    what changed, however long the history is.
+    """
+
+    FULL = "full-"
+
+    def versions(self) -> list[str]:
+        """Complete versions that hold rows; an empty dimension counts as not loaded yet."""
+        return [v for v in super().versions()
+                if any(folder_exists(self.spark, f"{self.root}/{v}/IsCurrent={f}") for f in ("true", "false"))]
+
+    def _columns(self) -> list[str]:
+        """Stored columns, with the flag at its place."""
+        names = self.spark.read.parquet(f"{self.root}/{self.versions()[-1]}").columns
+        rest = [c for c in names if c != "IsCurrent"]
+        at = rest.index("ValidToDate") + 1
+        return [*rest[:at], "IsCurrent", *rest[at:]]
+
+    def _part(self, version: str, flag: bool) -> DataFrame | None:
+        path = f"{self.root}/{version}/IsCurrent={str(flag).lower()}"
+        if not folder_exists(self.spark, path):
+            return None
+        return self.spark.read.parquet(path).withColumn("IsCurrent", F.lit(flag)).select(*self._columns())
+
+    def read_open(self) -> DataFrame:
+        newest = self.versions()[-1]
+        found = self._part(newest, True)
+        if found is None:  # every row was closed
+            found = self._part(newest, False).filter("IsCurrent")
+        return found
+
+    def read(self, schema=None) -> DataFrame:
+        done = self.versions()
+        if not done:
+            return super().read(schema)
+        full = [i for i, v in enumerate(done) if self.FULL in v]
+        out = self.read_open()
+        for version in done[full[-1] if full else 0:]:
+            part = self._part(version, False)
+            out = out if part is None else out.unionByName(part)
+        return out
+
+    def write_step(self, merged: DataFrame, keys: Sequence[str] = ()) -> str:
+        """Open rows and the rows this run closed, as a merge of :meth:`read_open` gives them."""
+        return self.write(merged, keys, partition=["IsCurrent"])
+
+    def write_full(self, dimension: DataFrame, keys: Sequence[str] = ()) -> str:
+        """The whole dimension; closed rows of earlier versions no longer count."""
+        return self.write(dimension, keys, partition=["IsCurrent"], kind=self.FULL)

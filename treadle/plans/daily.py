@@ -112,7 +112,9 @@ class DailyRun:
         self.report = DayReport()
 
     def table(self, name: str) -> sinks.VersionedTable:
-        return sinks.VersionedTable(self.spark, f"{self.root}/{name}")
+        versioned = name in dims.DIMENSIONS and dims.DIMENSIONS[name].policy == dims.SCD2
+        kind = sinks.HistoryTable if versioned else sinks.VersionedTable
+        return kind(self.spark, self.path(name))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -176,9 +178,13 @@ class DailyRun:
             if not table.exists():
                 table.write(dims.static_dimension(self.spark, name))
             return
-        staged = dims.STAGES[name](full, self.as_of)
-        current = table.read() if table.exists() else None
-        table.write(dims.load_dimension(spec, current, staged, self.as_of, self.window[0].date()))
+        staged, opening = dims.STAGES[name](full, self.as_of), self.window[0].date()
+        if spec.policy == dims.SCD2:
+            current = table.read_open() if table.exists() else None
+            table.write_step(dims.load_dimension(spec, current, staged, self.as_of, opening))
+        else:
+            current = table.read() if table.exists() else None
+            table.write(dims.load_dimension(spec, current, staged, self.as_of, opening))
 
     def load_calendar(self) -> None:
         bounds = self.spark.range(1).select(F.lit(self.window[0].date()).alias("low"),
@@ -193,7 +199,7 @@ class DailyRun:
         if not dim.exists():
             changes = staged.withColumn("change_type", F.lit("new"))
         else:
-            current = dim.read().filter("IsCurrent").withColumnRenamed("CustomerID", "customerid")
+            current = dim.read_open().withColumnRenamed("CustomerID", "customerid")
             changes = history.change_set(staged, current, ["customerid"],
                                          {c: staging.TO_DIMENSION[c] for c in staging.TRACKED})
         changes.write.mode("overwrite").parquet(self.path("CustomerChanges"))

@@ -157,7 +157,8 @@ def join_lines(spark: SparkSession, path: str, start: str) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy("file", "block").agg(F.sum("begins").alias("begun")).select(
         "file", "block", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before"))
-    running = F.sum("begins").over(Window.partitionBy("file", "block").orderBy("seq"))
+    so_far = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    running = F.sum("begins").over(so_far)
     numbered = lines.withColumn("running", running).join(blocks, ["file", "block"])
     ordered = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
     return (
