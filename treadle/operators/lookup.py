@@ -84,15 +84,12 @@ def band_lookup(df: DataFrame, bands: DataFrame, value: str, take: Mapping[str,
             *[F.col(c).alias(n) for n, c in take.items()]))
         match = (number >= F.col("_low")) & (F.col("_high").isNull() | (number <= F.col("_high")))
         return df.join(right, match, "left").drop("_low", "_high")
-    top = bands.agg(F.max(F.greatest(F.col(low), F.coalesce(F.col(high) + 1, F.col(low)))).alias("_top"))
-    laid = (
-        bands.crossJoin(F.broadcast(top))  # one row: the largest bound
-        .select(F.explode(F.sequence(F.col(low), F.coalesce(F.col(high), F.col("_top")))).alias("_n"),
-                *[F.col(c).alias(n) for n, c in take.items()])
-    )
-    clamped = df.crossJoin(F.broadcast(top)).withColumn(
-        "_n", F.when(number.isNotNull(), F.least(number, F.col("_top"))))
-    return clamped.join(laid, "_n", "left").drop("_n", "_top")
+    top = bands.agg(F.max(F.greatest(F.col(low), F.coalesce(F.col(high) + 1, F.col(low))))).scalar()
+    laid = bands.withColumn("_top", top).select(
+        F.explode(F.sequence(F.col(low), F.coalesce(F.col(high), F.col("_top")))).alias("_n"),
+        *[F.col(c).alias(n) for n, c in take.items()])
+    clamped = df.withColumn("_n", F.when(number.isNotNull(), F.least(number, top)))
+    return clamped.join(laid, "_n", "left").drop("_n")
 
 
 def _not_null(columns: Sequence[str]) -> Column:

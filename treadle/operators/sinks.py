@@ -48,7 +48,8 @@ def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), m
 
 
 def append_months(df: DataFrame, path: str, day: str, month: str = "month") -> None:
-    _sized(with_month(df, day, month), [month]).write.mode("append").partitionBy(month).parquet(path)
+    """Add rows; an append holds few months, so tasks write straight into them, unshuffled."""
+    with_month(df, day, month).write.mode("append").partitionBy(month).parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None,

@@ -39,21 +39,24 @@ def net() -> Column:
 def lines(spark: SparkSession, folder: str, category: bool = False) -> DataFrame:
     """Order lines with their order's date and customer, and their part's category if asked.
 
-    The order join comes last: what follows finds the lines partitioned by order.
+    The order join comes last: what follows finds the lines partitioned by order.  Amounts are
+    computed after it, where the work is spread by shuffle partition and not by file split.
     """
-    line = _line_columns(load(spark, folder, "lineitem"))
+    line = load(spark, folder, "lineitem")
+    extra = []
     if category:
-        part = load(spark, folder, "part").select(F.col("p_partkey").alias("product_id"),
-                                                  F.col("p_type").alias("category"))
-        line = line.join(part, "product_id", "left")
+        part = load(spark, folder, "part").select("p_partkey", F.col("p_type").alias("category"))
+        line = line.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        extra = ["category"]
     order = load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"))
-    return line.join(order, "order_id")
+        "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("order_date"))
+    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _line_columns(joined, "customer_id", "order_date", *extra)
 
 
-def _line_columns(line: DataFrame) -> DataFrame:
+def _line_columns(line: DataFrame, *extra: str) -> DataFrame:
     return line.select(
+        *extra,
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"),
         F.col("l_suppkey").alias("employee_id"), F.col("l_quantity").cast("int").alias("quantity"),
