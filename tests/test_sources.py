@@ -41,6 +41,13 @@ def test_catalog_from_information_schema(information_schema):
     assert [c.spark_type for c in got["sales.orders"].columns] == ["int", "decimal(8,2)", "decimal(19,4)"]
 
 
+def test_catalog_through_a_reader(information_schema):
+    names = ("tables", "columns", "table_constraints", "key_column_usage")
+    views = {f"information_schema.{n}": df for n, df in zip(names, information_schema)}
+    assert list(readers.source_catalog(views.__getitem__)) == ["person.contact", "sales.orders"]
+    assert list(readers.source_catalog(views.__getitem__, ["sales"])) == ["sales.orders"]
+
+
 def test_metadata_frames(information_schema, rows):
     tables, columns, constraints, usage = information_schema
     assert [tuple(r) for r in catalog.base_tables(tables).collect()] == [("person", "contact"), ("sales", "orders")]

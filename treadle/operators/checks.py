@@ -15,7 +15,7 @@ ERROR, WARNING = "ERROR", "WARNING"
 FINDING = ("table_name string, rule string, kind string, severity string, message string, "
            "violations long")
 
-#: Columns of the error-record table.
+# Columns of the error-record table.
 ERROR_RECORD = [
     ("ErrorID", "bigint"), ("ErrorDate", "timestamp"), ("SourceTable", "string"),
     ("RecordNaturalKey", "string"), ("ErrorType", "string"), ("ErrorSeverity", "string"),
@@ -25,6 +25,7 @@ ERROR_RECORD = [
     ("ResolutionComment", "string"),
 ]
 
+# Words that name a column which must not be negative.
 NEGATIVE_WORDS = ("amount", "price", "total")
 
 

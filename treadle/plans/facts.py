@@ -313,7 +313,7 @@ def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since
     return out.select(*fact.columns)
 
 
-#: Stored types of ratio columns.  A value too large for its type is stored as NULL.
+# Stored types of ratio and count columns.  A value too large for its type is stored as NULL.
 STORED_TYPES = {
     "ScrapRate": "decimal(5,2)", "ProductionTimeHours": "decimal(10,2)",
     "CustomerUptakeRate": "decimal(5,2)", "PromotionROI": "decimal(10,2)",

@@ -12,7 +12,7 @@ from treadle.operators.keep import keep_first
 
 Tables = Mapping[str, DataFrame]
 
-#: Columns of the staging table.
+# Columns of the staging table.
 CUSTOMER = [
     ("customerid", "bigint"), ("customername", "string"), ("emailaddress", "string"),
     ("phonenumber", "string"), ("city", "string"), ("stateprovinceid", "bigint"),
@@ -24,12 +24,12 @@ CUSTOMER = [
 #: Years since the first purchase from which a customer is premium.
 PREMIUM_YEARS = 5
 
-#: The two tracked sets in use: the warehouse rule and the wider one of the daily run.
+# The two tracked sets in use: the warehouse rule and the wider one of the daily run.
 TRACKED = ["customername", "emailaddress", "city", "countryregioncode", "customersegment", "accountstatus"]
 TRACKED_WIDE = ["customername", "emailaddress", "phonenumber", "city", "postalcode", "customersegment",
                 "customertype", "accountstatus"]
 
-#: Staging column -> column of the customer dimension.
+# Staging column -> column of the customer dimension.
 TO_DIMENSION = {
     "customerid": "CustomerID", "customername": "CustomerName", "emailaddress": "Email",
     "phonenumber": "Phone", "city": "City", "stateprovinceid": "StateProvince",

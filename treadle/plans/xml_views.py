@@ -11,6 +11,7 @@ from treadle.functions.xml import day, first_text, limited, shred, truth, whole
 
 Tables = Mapping[str, DataFrame]
 
+# Fixed values in all schemas of this module: element and attribute names of the documents.
 CONTACT = (
     "telephoneNumber array<struct<number:string, SpecialInstructions:string>>, "
     "homePostalAddress array<struct<Street:string, City:string, StateProvince:string, "

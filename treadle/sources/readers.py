@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treadle.sources.catalog import TableSpec
+from treadle.sources.catalog import SCHEMAS, TableSpec, read_catalog
 from treadle.sources.delimited import LATIN1, load_delimited
 
 Reader = Callable[[str], DataFrame]
@@ -31,6 +31,15 @@ def delimited_reader(spark: SparkSession, files: Mapping[str, str],
     return read
 
 
+def source_catalog(read: Reader, schemas: Sequence[str] = SCHEMAS) -> dict[str, TableSpec]:
+    """Table specs from the information_schema views that ``read`` can open.
+
+    With a JDBC reader they come from the live source; with a file reader, from an export.
+    """
+    views = ("tables", "columns", "table_constraints", "key_column_usage")
+    return read_catalog(*[read(f"information_schema.{v}") for v in views], schemas)
+
+
 def jdbc_options(url: str, table: str, properties: Mapping[str, str] | None = None, *,
                  column: str | None = None, low: int | str | None = None,
                  high: int | str | None = None, parts: int | None = None,
