@@ -88,6 +88,26 @@ def test_history_table_keeps_closed_rows_of_every_run(spark, tmp_path, frame, ro
     assert len(rows(table.read())) == 6
 
 
+def test_prune_keeps_what_readers_need(spark, tmp_path, frame, rows):
+    from treadle.operators import history
+
+    plain = sinks.VersionedTable(spark, str(tmp_path / "t"))
+    for i in range(4):
+        plain.write(frame([(i,)], "id int"))
+    assert len(plain.prune(keep=2)) == 2 and len(plain.versions()) == 2 and rows(plain.read()) == [(3,)]
+
+    dim = sinks.HistoryTable(spark, str(tmp_path / "dim"))
+    for day, value in enumerate("abcd", 1):
+        staged = frame([(1, value)], "id int, v string")
+        dim.write_step(history.first_load(staged, ["id"], "sk", D(2020, 1, day)) if not dim.exists()
+                       else history.scd2(dim.read_open(), staged, ["id"], ["v"], "sk", D(2020, 1, day)))
+    before = rows(dim.read())
+    dim.prune(keep=1)
+    assert rows(dim.read()) == before and len(before) == 4
+    dim.write_full(dim.read())
+    assert dim.prune(keep=1) and rows(dim.read()) == before and len(dim.versions()) == 1
+
+
 def test_empty_history_table_is_not_loaded(spark, tmp_path, frame):
     from treadle.operators import history
 

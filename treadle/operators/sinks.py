@@ -101,6 +101,17 @@ class VersionedTable:
             raise FileNotFoundError(f"no complete version below {self.root}")
         return self.spark.createDataFrame([], schema)
 
+    def _drop(self, *parts: str) -> None:
+        fs, _ = self._fs()
+        fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts))), True)
+
+    def prune(self, keep: int = 2) -> list[str]:
+        """Delete versions older than the newest ``keep``; readers of those must be done."""
+        old = self.versions()[:-keep]
+        for version in old:
+            self._drop(version)
+        return old
+
     def _next(self, kind: str = "") -> str:
         done = self.versions()
         number = int(done[-1].split("-")[0][1:]) + 1 if done else 1
@@ -165,6 +176,18 @@ class HistoryTable(VersionedTable):
             out = out if part is None else out.unionByName(part)
         return out
 
+    def prune(self, keep: int = 2) -> list[str]:
+        """Delete what no reader needs: versions before the last full one, and the open rows
+        of all but the newest ``keep`` versions.  ``write_full(read())`` compacts first."""
+        done = self.versions()
+        full = [i for i, v in enumerate(done) if self.FULL in v]
+        start = full[-1] if full else 0
+        for version in done[:start]:
+            self._drop(version)
+        for version in done[start:-keep]:
+            self._drop(version, "IsCurrent=true")
+        return done[:start]
+
     def write_step(self, merged: DataFrame, keys: Sequence[str] = ()) -> str:
         """Open rows and the rows this run closed, as a merge of :meth:`read_open` gives them."""
         return self.write(merged, keys, partition=["IsCurrent"])
