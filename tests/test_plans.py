@@ -356,6 +356,24 @@ def test_daily_run_is_repeatable(spark, source, rows, tmp_path):
     first.pop("CustomerChanges")
     assert second == first
 
+    # values that do not fit are NULL in the mart and on record
+    lost = spark.read.parquet(str(tmp_path / "error_records")).filter("ErrorType = 'overflow'")
+    assert lost.count() == 0
+    probe = daily.DailyRun(spark, specs, source.__getitem__, str(tmp_path), AS_OF, batch="probe")
+    growing = spark.createDataFrame([(D(2014, 1, 1), 1, 5.0), (D(2014, 2, 1), 1, 123456.0)],
+                                    "MonthStartDateKey date, RegionKey int, GrowthRate double")
+    probe.store("probe", growing, "MonthStartDateKey", ["MonthStartDateKey"])
+    assert rows(spark.read.parquet(str(tmp_path / "probe")), "GrowthRate") == [(m("5.00"),), (None,)]
+    assert rows(spark.read.parquet(str(tmp_path / "error_records")).filter("ErrorType = 'overflow'"),
+                "SourceTable", "RecordNaturalKey", "ErrorSeverity") == [("probe", "2014-02-01", "WARNING")]
+
+    # the next day's snapshot joins the month, it does not replace it
+    later = daily.DailyRun(spark, specs, source.__getitem__, str(tmp_path), D(2014, 6, 2), batch="next")
+    later.load_facts({n: source[n] for n in ("production.productinventory", "production.product", "purchasing.productvendor")})
+    assert "FactInventory" in later.report.done and "FactSales" in later.report.skipped
+    days = spark.read.parquet(str(tmp_path / "FactInventory"))
+    assert {r[0] for r in days.select("InventoryDateKey").collect()} == {AS_OF, D(2014, 6, 2)}
+
     # refreshing one month over stored facts gives the marts the full refresh gave
     again = daily.DailyRun(spark, specs, source.__getitem__, str(tmp_path), AS_OF, batch="m", months=["2012-07"])
     again.report.done += ["FactSales", "FactReturns"]

@@ -21,6 +21,13 @@ def test_write_months_replaces_only_its_months(spark, tmp_path, frame, rows):
     assert rows(sinks.read_months(spark, path, ["2014-01"]), "v") == [(1,)]
 
 
+def test_write_days_keeps_other_days_of_the_month(spark, tmp_path, frame, rows):
+    path = str(tmp_path / "d")
+    for day, v in ((1, 10), (2, 20), (2, 21)):
+        sinks.write_days(frame([(D(2014, 6, day), v)], "d date, v int"), path, "d", ["v"])
+    assert rows(sinks.read_months(spark, path, ["2014-06"]), "d", "v") == [(D(2014, 6, 1), 10), (D(2014, 6, 2), 21)]
+
+
 def test_month_filter_prunes_folders(spark, tmp_path, frame):
     path = str(tmp_path / "m")
     sinks.write_months(frame([(D(2014, m, 5), m) for m in range(1, 7)], "d date, v int"), path, "d")

@@ -47,6 +47,15 @@ def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), m
      .partitionBy(month).parquet(path))
 
 
+def write_days(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), month: str = "month") -> None:
+    """Like :func:`write_months` for daily snapshots: only the days present are replaced."""
+    ready = _sized(with_month(df, day, month).withColumn("day", F.date_format(F.col(day), "dd")), [month, "day"])
+    if keys:
+        ready = ready.sortWithinPartitions(month, "day", *keys)
+    (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(month, "day").parquet(path))
+
+
 def append_months(df: DataFrame, path: str, day: str, month: str = "month") -> None:
     """Add rows; an append holds few months, so tasks write straight into them, unshuffled."""
     with_month(df, day, month).write.mode("append").partitionBy(month).parquet(path)

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from treadle.operators import checks, history, sinks
 from treadle.plans import dims, facts, marts, staging
@@ -158,10 +158,13 @@ class DailyRun:
                     parts.append(checks.orphan_error_records(
                         df, name, fk, self.read(fk.parent), key, self.batch, "validate", self.at))
             if parts:
-                (sinks.with_month(checks.union_all(parts), "ErrorDate")
-                 .withColumn("batch", F.lit(self.batch)).withColumn("source", F.lit(name))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("month", "batch", "source").parquet(self.path("error_records")))
+                self.record(name, checks.union_all(parts))
+
+    def record(self, source: str, records: DataFrame) -> None:
+        (sinks.with_month(records, "ErrorDate")
+         .withColumn("batch", F.lit(self.batch)).withColumn("source", F.lit(source))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("month", "batch", "source").parquet(self.path("error_records")))
 
     def step(self, name: str, work: Callable[[], None]) -> None:
         """Run a step; one whose tables are missing or blocked is reported, not fatal."""
@@ -216,11 +219,28 @@ class DailyRun:
         links = {k: v for k, v in self.links(*[n for n in names if self.table(n).exists()]).items()}
         return facts.with_surrogates(fact, date, links, self.window[0].date(), self.as_of)
 
-    def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str]) -> None:
-        """Write the months of the window; the date filter reaches the scans."""
+    def store(self, name: str, df: DataFrame, date: str, keys: list[str], write: Callable = sinks.write_months) -> None:
+        """Write a fact or mart in its declared types.
+
+        Values that do not fit are counted while writing; only if there are any is the plan
+        run again for their warning records.
+        """
+        rules = facts.overflow_rules(df)
+        if not rules:
+            write(df, self.path(name), date, keys)
+            return
+        seen = Observation()
+        watched = df.observe(seen, F.count_if(facts.overflows(df)).alias("lost"))
+        write(facts.stored(watched), self.path(name), date, keys)
+        if seen.get["lost"]:
+            self.record(name, checks.error_records(df, name, rules, keys, self.batch, "store", self.at))
+
+    def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str],
+                  write: Callable = sinks.write_months) -> None:
+        """Write the months (or days) of the window; the date filter reaches the scans."""
         low, high = (F.lit(d.date()) for d in self.window)
         in_window = fact.filter(F.col(date).between(low, F.greatest(high, F.lit(self.as_of))))
-        sinks.write_months(facts.stored(in_window), self.path(name), date, keys)
+        self.store(name, in_window, date, keys, write)
 
     def load_facts(self, t: Mapping[str, DataFrame]) -> None:
         low, high = self.window[0].date(), self.as_of
@@ -238,7 +258,7 @@ class DailyRun:
         def inventory():
             fact = facts.fact_inventory(facts.stock_from_source(t), self.as_of)
             fact = self.keyed(fact, "InventoryDateKey", "DimProduct", "DimWarehouse")
-            self.load_fact("FactInventory", fact, "InventoryDateKey", ["ProductKey", "WarehouseKey"])
+            self.load_fact("FactInventory", fact, "InventoryDateKey", ["ProductKey", "WarehouseKey"], sinks.write_days)
 
         def production():
             fact = self.keyed(facts.fact_production(*facts.runs_from_source(t)), "ProductionDateKey", "DimProduct")
@@ -335,12 +355,13 @@ class DailyRun:
 
             def refresh():
                 if self.months is None or reach is None:
-                    sinks.write_months(facts.stored(plan(None)), self.path(name), date)
+                    write = sinks.write_days if name == "agg_daily_inventory" else sinks.write_months
+                    self.store(name, plan(None), date, [date], write)
                     return
                 written = sorted({shift_month(m, n) for m in self.months for n in range(-reach[0], reach[1] + 1)})
                 read = sorted({shift_month(m, n) for m in written for n in (-1, 0, 1)})
                 fresh = plan(read).filter(F.date_format(date, "yyyy-MM").isin(*written))
-                sinks.write_months(facts.stored(fresh), self.path(name), date)
+                self.store(name, fresh, date, [date])
 
             self.step(name, refresh)
 

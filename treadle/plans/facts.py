@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treadle.functions.scalars import line_total, ratio
+from treadle.operators.checks import WARNING, Rule
 from treadle.operators.lookup import UNKNOWN, asof_lookup, or_unknown
 
 Tables = Mapping[str, DataFrame]
@@ -332,10 +333,16 @@ def stored(df: DataFrame) -> DataFrame:
         (F.col(c).try_cast(STORED_TYPES[c]) if c in STORED_TYPES else F.col(c)).alias(c) for c in df.columns])
 
 
+def overflow_rules(df: DataFrame) -> list[Rule]:
+    """Warnings for values that :func:`stored` cannot keep."""
+    return [Rule(f"overflow_{c}", "overflow", f"`{c}` IS NOT NULL AND try_cast(`{c}` AS {STORED_TYPES[c]}) IS NULL",
+                 f"Does not fit {STORED_TYPES[c]}: {c}", WARNING)
+            for c in df.columns if c in STORED_TYPES]
+
+
 def overflows(df: DataFrame) -> Column:
-    """True for rows that lose a value in :func:`stored`; they get a warning record."""
+    """True for rows that lose a value in :func:`stored`."""
     test = F.lit(False)
-    for c in df.columns:
-        if c in STORED_TYPES:
-            test = test | (F.col(c).isNotNull() & F.col(c).try_cast(STORED_TYPES[c]).isNull())
+    for rule in overflow_rules(df):
+        test = test | F.expr(rule.broken)
     return test
