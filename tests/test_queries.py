@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.compare import compare, duck
+from treadle.retail import jobs
 
 FOLDER = os.environ.get("TREADLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,7 +18,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(jobs.QUERIES))
 def test_query(spark, con, name):
     assert name in entry.oracle_sql()
     assert compare(spark, con, name, FOLDER, entry.oracle_sql()[name]).startswith("ok")
