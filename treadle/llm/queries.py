@@ -6,15 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import sentencepiece_codec, token_counts
+from treadle.llm import packing, sentencepiece_codec, token_counts
 
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def packed(spark: SparkSession, docs: DataFrame, window: int = 2048) -> DataFrame:
+    """Pieces of the documents with checksums of their ids and their places in the sequences."""
+    pieces = packing.stored_pieces(spark, docs, public_tokenizers.path(WORDS), end_id=1, window=window)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digests, window).select(
+        F.col("id").alias("doc_id"), "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens",
+        "sequence_id", "offset")
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in windows of 2048 tokens."""
+    return packed(spark, _table(spark, folder, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and hashes."""
     return sentencepiece_codec.round_trip(
@@ -27,7 +41,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_packing, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {}
