@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import packing, sentencepiece_codec, token_counts
+from treadle.llm import licenses, packing, sentencepiece_codec, token_counts
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -29,6 +29,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(spark, _table(spark, folder, "documents"))
 
 
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(_table(spark, folder, "documents")).drop("spans").withColumnRenamed("id", "doc_id")
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and hashes."""
     return sentencepiece_codec.round_trip(
@@ -41,7 +46,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_packing, op6_licenses, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
