@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import licenses, packing, sentencepiece_codec, token_counts
+from treadle.llm import licenses, packing, quality, sentencepiece_codec, token_counts
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -15,6 +15,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    judged = quality.assess(spark, _table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def packed(spark: SparkSession, docs: DataFrame, window: int = 2048) -> DataFrame:
     """Pieces of the documents with checksums of their ids and their places in the sequences."""
     pieces = packing.stored_pieces(spark, docs, public_tokenizers.path(WORDS), end_id=1, window=window)
@@ -46,7 +53,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op6_licenses, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op6_licenses, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
