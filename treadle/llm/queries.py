@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import licenses, packing, quality, sentencepiece_codec, token_counts
+from treadle.llm import licenses, packing, quality, sentencepiece_codec, token_counts, toxicity
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -41,6 +41,22 @@ def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents")).drop("spans").withColumnRenamed("id", "doc_id")
 
 
+def held_out() -> Column:
+    """Rows whose labels are not learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def toxic_lexicon(spark: SparkSession, docs: DataFrame, folder: str) -> toxicity.Lexicon:
+    return toxicity.learn(spark, docs, _table(spark, folder, "labels").where(~held_out()))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.weigh(docs, toxic_lexicon(spark, docs, folder)).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and hashes."""
     return sentencepiece_codec.round_trip(
@@ -53,7 +69,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op6_licenses, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op6_licenses, op7_toxicity, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
