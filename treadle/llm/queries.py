@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import licenses, packing, quality, sentencepiece_codec, token_counts, toxicity
+from treadle.llm import licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -57,6 +57,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.scan(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and hashes."""
     return sentencepiece_codec.round_trip(
@@ -69,7 +74,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op6_licenses, op7_toxicity, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op6_licenses, op7_toxicity, op8_pii, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
