@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc
+from treadle.llm import embeddings, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among all vectors."""
+    return embeddings.near_duplicates(spark, _table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to archives and read back from them."""
     archives = warc.archive(spark, _table(spark, folder, "pages"))
@@ -81,7 +86,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_quality, op4_packing, op6_licenses, op7_toxicity, op8_pii, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embeddings, op2_warc, op3_quality, op4_packing, op6_licenses, op7_toxicity, op8_pii, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
-ORACLES: dict[str, str] = {"op2_warc": warc.oracle(), "op6_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op1_embeddings": embeddings.oracle(), "op2_warc": warc.oracle(), "op6_licenses": licenses.oracle()}
