@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +31,20 @@ def build_session(app: str = "treadle", master: str | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return _with_code(builder.getOrCreate())
+
+
+def _with_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package, wherever the driver was started.
+
+    On a cluster the package is installed on the executors, or sent along by ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parent.parent)
+    own = spark.sparkContext.environment
+    paths = own.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        own["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+    return spark
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -37,7 +52,7 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    return spark
+    return _with_code(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
