@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import embeddings, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc
+from treadle.llm import embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -48,6 +48,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(spark, _table(spark, folder, "documents"))
 
 
+def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents with a similarity of 0.9 in three-word shingles."""
+    return jaccard.similar_documents(spark, _table(spark, folder, "documents"), size=3, part=90).withColumnRenamed("id", "doc_id")
+
+
 def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(_table(spark, folder, "documents")).drop("spans").withColumnRenamed("id", "doc_id")
@@ -86,7 +91,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_embeddings, op2_warc, op3_quality, op4_packing, op6_licenses, op7_toxicity, op8_pii, op9_sentencepiece, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embeddings, op2_warc, op3_quality, op4_packing, op5_jaccard, op6_licenses, op7_toxicity, op8_pii, op9_sentencepiece, op10_token_counts)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
-ORACLES: dict[str, str] = {"op1_embeddings": embeddings.oracle(), "op2_warc": warc.oracle(), "op6_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op1_embeddings": embeddings.oracle(), "op2_warc": warc.oracle(), "op5_jaccard": jaccard.oracle(3, 90, 100), "op6_licenses": licenses.oracle()}
