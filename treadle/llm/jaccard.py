@@ -345,12 +345,9 @@ def verified(docs: DataFrame, index: DataFrame, families: DataFrame, size: int,
         lambda table: linked_sets(table, size, part, whole), "a long, b long")
 
 
-def similar_documents(spark: SparkSession, docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100,
-                      chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: ``id``, ``n_shingles``, ``component_id`` (least id reachable by links).
-
-    Documents link if ``whole * common >= part * union`` for their shingles of ``size`` words.
-    """
+def grouped(spark: SparkSession, docs: DataFrame, size: int, part: int, whole: int, chunk: int = CHUNK,
+            id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: ``id``, ``text_key``, ``n`` and ``group`` (a set of its component; null without shingles)."""
     folder = run_folder(spark, "index")
     indexed(docs, size, part, whole, max(1, docs.count()), id_column, text_column).write.parquet(folder)
     index = spark.read.parquet(folder)
@@ -360,12 +357,39 @@ def similar_documents(spark: SparkSession, docs: DataFrame, size: int = 5, part:
     links = components(spark, candidates(spark, index))
     families = links.unionByName(links.select(F.col("root").alias("node"), "root").distinct())
     found = components(spark, verified(docs, index, families, size, part, whole, chunk, id_column, text_column))
-    placed = index.select("id", "n", "node").join(found, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    return index.select("id", "text_key", "n", "node").join(found, "node", "left").select(
+        "id", "text_key", "n", F.coalesce("root", "node").alias("group"))
+
+
+def similar_documents(spark: SparkSession, docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100,
+                      chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: ``id``, ``n_shingles``, ``component_id`` (least id reachable by links).
+
+    Documents link if ``whole * common >= part * union`` for their shingles of ``size`` words.
+    """
+    placed = grouped(spark, docs, size, part, whole, chunk, id_column, text_column)
     least = placed.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
     return placed.join(least, "group", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100,
+                chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of the least id, and all rows without shingles.
+
+    Rows are found again by id and text; of rows that repeat both, one stays.
+    """
+    placed = grouped(spark, docs, size, part, whole, chunk, id_column, text_column).where("group is not null")
+    best = placed.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("best"))
+    going = placed.join(best, "group").where(
+        ~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("text_key") == F.col("best.text_key")))).select(
+        F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    again = placed.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    key = F.xxhash64(text_column)
+    kept = docs.join(going, docs[id_column].eqNullSafe(going["gone_id"]) & (key == going["gone_key"]), "left_anti")
+    return kept if again.isEmpty() else kept.dropDuplicates([id_column, text_column])
+
+
 def oracle(size: int, part: int, whole: int) -> str:
     """The same rows in DuckDB SQL: shared shingles counted over all pairs that have any."""
     upper = "".join(map(chr, range(65, 91)))

@@ -37,18 +37,23 @@ FEATURES: dict[str, tuple[str, list[float]]] = {
 }
 
 
-def text_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def text_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    whole: bool = False) -> DataFrame:
     """Counts of each text; all of them come from the row itself, so nothing is shuffled.
 
+    With ``whole`` the row itself stays, as ``document``.
+
     Words in repeated three-word windows: windows are hashed, hashes sorted with their places, and
     places whose hash stands next to an equal one give the covered words by the gaps between them.
     Windows are compared by 64-bit hashes within one text.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    kept = ["id", "document"] if whole else ["id"]
+    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+                       F.struct("*").alias("document"))
     pattern = WORD_BREAK.replace("\\", "\\\\")
-    split = rows.select("id", "text", F.expr(f"array_remove(split(text, '{pattern}+'), '')").alias("w"),
+    split = rows.select(*kept, "text", F.expr(f"array_remove(split(text, '{pattern}+'), '')").alias("w"),
                         F.expr(f"filter(split(text, '\\n'), l -> l rlike '[^{pattern[1:]}')").alias("lines"))
-    windows = split.select("id", "text", "w", "lines", F.size("w").alias("n"), F.expr("""
+    windows = split.select(*kept, "text", "w", "lines", F.size("w").alias("n"), F.expr("""
         if(size(w) < 3, array(), transform(sequence(0, size(w) - 3),
            i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2))))""").alias("grams"))
     placed = "transform(grams, (h, i) -> struct(h as h, i as i))"
@@ -57,7 +62,7 @@ def text_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str
         named_struct('last', -3, 'n', 0), (a, i) -> named_struct('last', i, 'n', a.n + least(3, i - a.last)),
         a -> a.n)), 1)"""
     return windows.select(
-        "id", F.col("n").cast("long").alias("n_words"),
+        *kept, F.col("n").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.expr("cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '')) as long)").alias("n_symbols"),
         F.expr("cast(size(lines) - size(array_distinct(lines)) as long)").alias("n_dup_lines"),
@@ -185,9 +190,9 @@ def judge(statistics: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def assess(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
-           text_column: str = "text") -> DataFrame:
+           text_column: str = "text", whole: bool = False) -> DataFrame:
     """Statistics and verdict of every document; the statistics are stored, as they are read twice."""
     folder = run_folder(spark, "quality")
-    text_statistics(docs, id_column, text_column).write.parquet(folder)
+    text_statistics(docs, id_column, text_column, whole).write.parquet(folder)
     statistics = spark.read.parquet(folder)
     return judge(statistics, learn(statistics, labels))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treadle.llm import embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc
+from treadle.session import run_folder
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -34,6 +35,13 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def stored_stage(spark: SparkSession, docs: DataFrame, name: str) -> str:
+    """The folder a stage's rows were written to."""
+    folder = run_folder(spark, name.replace(" ", "-"))
+    docs.write.parquet(folder)
+    return folder
+
+
 def packed(spark: SparkSession, docs: DataFrame, window: int = 2048) -> DataFrame:
     """Pieces of the documents with checksums of their ids and their places in the sequences."""
     pieces = packing.stored_pieces(spark, docs, public_tokenizers.path(WORDS), end_id=1, window=window)

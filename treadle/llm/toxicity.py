@@ -21,7 +21,8 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treadle.llm.batches import id_and_text, map_texts
@@ -189,3 +190,11 @@ def weigh(docs: DataFrame, lexicon: Lexicon, id_column: str = "doc_id", text_col
         return run
     rows = id_and_text(docs, id_column, text_column)
     return map_texts(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, weight double, words long, score double")
+
+
+def scored(text: Column, lexicon: Lexicon) -> Column:
+    """The score of a text column."""
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lexicon.score).astype("float64")
+    return run(F.coalesce(text, F.lit("")))
