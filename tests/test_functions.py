@@ -94,8 +94,23 @@ def test_tree_counts_descendants(frame, rows):
         ("/1/", 1, "/", 2), ("/1/2/", 2, "/1/", 1), ("/1/2/3/", 3, "/1/2/", 0), ("/4/", 1, "/", 0)]
 
 
+def test_tree_counts_all_rows_below_the_root(frame, rows):
+    df = frame([("/",), ("/1/",), ("/1/2/",)], "path string")
+    assert rows(hierarchy.tree(df, "path"), "path", "depth", "parent_path", "descendants") == [
+        ("/", 0, None, 2), ("/1/", 1, "/", 1), ("/1/2/", 2, "/1/", 0)]
+
+
+def test_texts_are_parsed_whole(frame):
+    got = frame([("07:00:00.7500000",), ("07:00:00.0000000",), ("23:59:59",), ("07:00:00x",), ("25:00:00",)], "x string")
+    assert [r[0] for r in got.select(scalars.clock(F.col("x"))).collect()] == ["07:00:00.75", "07:00:00", "23:59:59", None, None]
+    days = frame([("2000-06-01garbage",), ("2000-06-01+02:00",)], "x string")
+    assert [r[0] for r in days.select(xml.day(F.col("x"))).collect()] == [None, dt.date(2000, 6, 1)]
+    flags = frame([("Y",), ("0",), ("maybe",)], "x string")
+    assert [r[0] for r in flags.select(scalars.flag(F.col("x"))).collect()] == [True, False, None]
+
+
 def test_first_text(frame):
-    cases = {"plain": "plain", "Insert <m>sheet</m> into <t a='1'>x</t>.": "Insert ", "<b>x</b> after": " after",
+    cases = {"<b>x<b>y</b>z</b>real": "real", "<a><b><a>1</a></b>2</a> end": " end", "plain": "plain", "Insert <m>sheet</m> into <t a='1'>x</t>.": "Insert ", "<b>x</b> after": " after",
              "<b>x</b>": None, "a<br/>b": "a"}
     df = frame([(k,) for k in cases], "x string")
     assert {r.x: r.t for r in df.select("x", xml.first_text(F.col("x")).alias("t")).collect()} == cases

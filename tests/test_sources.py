@@ -108,7 +108,10 @@ SPEC = TableSpec("person", "thing", (
 FILE = (
     "1\tAB \t0\tÅland\t.00\t07:00:00.0000000\t1999-12-31\t{298C2880-AB1C-4982-A5AD-A36EB4BA0D34}\t2014-02-08 10:17:21.587000000\n"
     "2\t   \t1\t\t12.5\t\t\t\t2008-04-30 00:00:00\n"
-    "3\tC\t\t\"a\tb\"\tbad\t23:00:00\t\t\t\n")
+    "3\tC\t\t\"a\tb\"\t\t23:00:00\t\t\t\n")
+#: Lines that can't be loaded, and why.
+FAULTY = [("4\tC\t\tx\tbad\t23:00:00\t\t\t\n", ["cost"]), ("5\tC\tmaybe\tx\t3.14159\t25:00:00\t\t\t\n", ["flag", "cost", "opens"]),
+          ("6\tC\t\tx\t1\t\t\t\t\tmore\n", ["number of fields"]), ("7\tC\n", ["number of fields"])]
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "iso-8859-1"])
@@ -124,6 +127,26 @@ def test_delimited_file(spark, tmp_path, encoding):
         (3, "C", None, "a\tb", None, "23:00:00", None, None, None)]
 
 
+def test_lines_that_do_not_fit_are_rejects(spark, tmp_path):
+    path = tmp_path / "thing.csv"
+    path.write_text(FILE + "".join(line for line, _ in FAULTY))
+    rows, rejects = delimited.load_with_rejects(spark, str(path), SPEC, loaded_at=LOAD)
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
+    assert sorted(list(r.reasons) for r in rejects.collect()) == sorted(why for _, why in FAULTY)
+    for line, _ in FAULTY:
+        path.write_text(FILE + line)
+        with pytest.raises(Exception, match="can't load"):
+            delimited.load_delimited(spark, str(path), SPEC).collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    spec = TableSpec("person", "note", (C("id", "integer"), C("note", "text")))
+    path = tmp_path / "note.csv"
+    path.write_text('1\t"two\nlines"\n2\tone\n')
+    got = delimited.load_delimited(spark, str(path), spec, line_breaks=True).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "two\nlines"), (2, "one")]
+
+
 def test_defaults_fill_nulls_only(spark, frame):
     df = frame([(1, None, None, None, None), (2, "g", True, 7, dt.datetime(2001, 1, 1))],
                "businessentityid int, rowguid string, namestyle boolean, emailpromotion int, modifieddate timestamp_ntz")

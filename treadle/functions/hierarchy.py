@@ -88,12 +88,13 @@ def parent(path: Column) -> Column:
 
 
 def ancestors(path: Column) -> Column:
-    """Paths of every strict ancestor below the root."""
+    """Paths of every strict ancestor, the root first."""
     levels = F.regexp_count(path, F.lit("/")) - 1
-    return F.when(levels > 1, F.transform(
+    between = F.when(levels > 1, F.transform(
         F.sequence(F.lit(2), levels),
         lambda n: F.concat(F.call_function("substring_index", path, F.lit("/"), n), F.lit("/")),
     )).otherwise(F.array().cast("array<string>"))
+    return F.when(levels > 0, F.concat(F.array(F.lit("/")), between)).otherwise(F.array().cast("array<string>"))
 
 
 def with_paths(df: DataFrame, code: str, path: str) -> DataFrame:

@@ -96,8 +96,9 @@ def money(value: Column) -> Column:
 
 
 def flag(value: Column) -> Column:
-    """Text flags.  Files hold 0 and 1, which a typed CSV read would turn into NULL."""
-    return F.lower(F.trim(value)).isin("1", "t", "true", "y", "yes")
+    """Text flags.  Files hold 0 and 1, which a typed CSV read would turn into NULL; so does unknown text here."""
+    plain = F.lower(F.trim(value))
+    return F.when(plain.isin("1", "t", "true", "y", "yes"), True).when(plain.isin("0", "f", "false", "n", "no"), False)
 
 
 def clean_uuid(value: Column) -> Column:
@@ -105,5 +106,6 @@ def clean_uuid(value: Column) -> Column:
 
 
 def clock(value: Column) -> Column:
-    """``07:00:00.0000000`` as ``07:00:00``."""
-    return F.substring(value, 1, 8)
+    """``07:00:00.7500000`` as ``07:00:00.75`` and without a fraction of zero; NULL for other text."""
+    known = r"^((?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d)(?:(\.\d*?[1-9])0*|\.0*)?$"
+    return F.when(value.rlike(known), F.regexp_replace(value, known, "$1$2"))

@@ -15,10 +15,12 @@ def shred(document: Column, schema: str) -> Column:
 def first_text(inner: Column) -> Column:
     """The first text node among an element's direct children.
 
-    An element read as a string keeps the mark-up of its children; those are cut out and
-    the first remaining piece of text is the answer.  NULL when there is none.
+    An element read as a string keeps the mark-up of its children; those are cut out from the
+    innermost outwards, and the first remaining piece of text is the answer.  NULL when there is none.
     """
-    marked = F.regexp_replace(inner, r"(?s)<([\w:.\-]+)(?:\s[^>]*)?(?:/>|>.*?</\1>)", "\u0001")
+    element = r"<([\w:.\-]+)(?:\s[^>]*)?(?:/>|>[^<]*</\1>)"
+    marked = F.aggregate(F.sequence(F.lit(0), F.regexp_count(inner, F.lit("</"))), inner,
+                         lambda text, _: F.regexp_replace(text, element, "\u0001"))
     pieces = F.filter(F.split(marked, "\u0001"), lambda p: p != "")
     return F.get(pieces, F.lit(0))
 
@@ -28,8 +30,9 @@ def limited(value: Column, width: int) -> Column:
 
 
 def day(value: Column) -> Column:
-    """A date that may carry a zone suffix, such as ``2000-06-01Z``."""
-    return F.substring(F.trim(value), 1, 10).try_cast("date")
+    """A date that may carry a zone suffix, such as ``2000-06-01Z``; NULL for any other text."""
+    found = F.regexp_extract(F.trim(value), r"^(\d{4}-\d{2}-\d{2})(?:Z|[+-]\d{2}:\d{2})?$", 1)
+    return F.nullif(found, F.lit("")).try_cast("date")
 
 
 def whole(value: Column) -> Column:

@@ -126,25 +126,67 @@ def _shape(raw: DataFrame, spec: TableSpec, loaded_at: dt.datetime | None) -> Da
     return with_defaults(df, spec.full_name, loaded_at) if loaded_at else df
 
 
-def load_delimited(spark: SparkSession, path: str, spec: TableSpec, *, encoding: str = "UTF-8",
-                   loaded_at: dt.datetime | None = None) -> DataFrame:
-    """A tab-separated file without header; an empty field is NULL.
+#: Column that holds a line whose number of fields is not the declared one.
+ODD_LINE = "_odd_line"
 
-    Fields are read as text and cast in one projection, so files split by block and stay in
-    one pass.
-    """
-    schema = T.StructType([T.StructField(c.name, T.StringType()) for c in spec.columns])
-    raw = (
+
+def _read_fields(spark: SparkSession, path: str, spec: TableSpec, encoding: str, line_breaks: bool) -> DataFrame:
+    """Every line's fields as text, and the line itself where it has too many or too few."""
+    schema = T.StructType([T.StructField(c.name, T.StringType()) for c in spec.columns]
+                          + [T.StructField(ODD_LINE, T.StringType())])
+    return (
         spark.read.schema(schema).option("sep", "\t").option("header", "false")
         .option("encoding", encoding).option("quote", '"').option("escape", '"')
-        .option("enforceSchema", "true").csv(path)
+        .option("enforceSchema", "true").option("multiLine", str(line_breaks).lower())
+        .option("columnNameOfCorruptRecord", ODD_LINE).csv(path)
     )
-    return _shape(raw, spec, loaded_at)
+
+
+def reasons(spec: TableSpec) -> Column:
+    """Why a line of :func:`_read_fields` can't be loaded; an empty array if it can."""
+    wrong = [F.when(F.col(ODD_LINE).isNotNull(), F.lit("number of fields"))]
+    for c in spec.columns:
+        raw = F.col(f"`{c.name}`")
+        unread = raw.isNotNull() & typed(raw, c).isNull()
+        if c.spark_type.startswith("decimal"):  # a cast would round what the type has no place for
+            exact = F.trim(raw).try_cast("decimal(38,18)")
+            unread = unread | (exact != F.trim(raw).try_cast(c.spark_type).cast("decimal(38,18)"))
+        wrong.append(F.when(F.col(ODD_LINE).isNull() & unread, F.lit(c.name)))
+    return F.array_compact(F.array(*wrong))
+
+
+def load_with_rejects(spark: SparkSession, path: str, spec: TableSpec, *, encoding: str = "UTF-8",
+                      loaded_at: dt.datetime | None = None, line_breaks: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(finished rows, rejects) of a tab-separated file without header; an empty field is NULL.
+
+    A reject has its fields as text, ``line`` (where their number is odd) and ``reasons``: the columns whose
+    text does not fit the declared type.  No text becomes NULL or a default, and each line is in one
+    of the two.  Fields are cast in one projection, so files split by block; ``line_breaks`` lets quoted
+    fields hold line breaks, as such a file has to be read by one task.
+    """
+    raw = _read_fields(spark, path, spec, encoding, line_breaks).withColumn("_reasons", reasons(spec))
+    good = raw.filter(F.size("_reasons") == 0).drop("_reasons", ODD_LINE)
+    fields = F.struct(*[F.col(f"`{c.name}`") for c in spec.columns]).alias("fields")
+    return _shape(good, spec, loaded_at), raw.filter(F.size("_reasons") > 0).select(
+        fields, F.col(ODD_LINE).alias("line"), F.col("_reasons").alias("reasons"))
+
+
+def load_delimited(spark: SparkSession, path: str, spec: TableSpec, *, encoding: str = "UTF-8",
+                   loaded_at: dt.datetime | None = None, line_breaks: bool = False) -> DataFrame:
+    """As :func:`load_with_rejects`, but a line that can't be loaded stops the job, as a database's copy does."""
+    raw = _read_fields(spark, path, spec, encoding, line_breaks)
+    why = F.concat(F.lit(f"{spec.full_name}: can't load "), F.to_json(reasons(spec)), F.lit(" of "),
+                   F.coalesce(F.col(ODD_LINE), F.to_json(F.struct(*[F.col(f"`{c.name}`") for c in spec.columns]))))
+    # the check sits in the filter, so no projection can prune it away
+    checked = raw.filter(F.when(F.size(reasons(spec)) == 0, True).otherwise(F.raise_error(why).cast("boolean")))
+    return _shape(checked.drop(ODD_LINE), spec, loaded_at)
 
 
 def join_lines(spark: SparkSession, path: str, start: str) -> DataFrame:
     """Text records that span lines, as (file, number, record); each begins with ``start``.
 
+    Lines before a file's first record are its record 0.
+
     A line's record is the count of beginnings up to it: a running count within its file
     block, plus the counts of the blocks before.  So blocks are read in parallel, windows
     hold one block, or one row per block, and a record is put together by its own group.
@@ -164,15 +206,20 @@ def join_lines(spark: SparkSession, path: str, start: str) -> DataFrame:
     return (
         numbered.groupBy("file", (F.col("before") + F.col("running")).alias("number"))
         .agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("record"))
-        .filter("number > 0")
     )
 
 
 def load_records(spark: SparkSession, path: str, spec: TableSpec, *, start: str = r"\d+\t",
                  loaded_at: dt.datetime | None = None) -> DataFrame:
-    """Tab-separated records with a text field that spans lines."""
+    """Tab-separated records with a text field that spans lines.
+
+    Lines before the first record and records with more fields than declared stop the job.
+    """
     fields = F.split(F.regexp_replace("record", r"\n+$", ""), "\t")
-    rows = join_lines(spark, path, start).select(fields.alias("f"))
+    joined = join_lines(spark, path, start).filter((F.col("number") > 0) | F.col("record").rlike(r"\S"))
+    rows = joined.select(fields.alias("f"), "number").filter(
+        F.when((F.col("number") > 0) & (F.size("f") <= len(spec.columns)), True).otherwise(
+            F.raise_error(F.concat(F.lit(f"{spec.full_name}: no record, or too many fields: "), F.to_json("f"))).cast("boolean")))
     raw = rows.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(c.name)
                         for i, c in enumerate(spec.columns)])
     return _shape(raw, spec, loaded_at)
