@@ -51,9 +51,7 @@ def test_asof_same_column_names_and_two_keys(frame, rows):
     assert rows(got, "b", "out") == [("x", 7), ("y", None)]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_band_lookup(frame, rows, monkeypatch, small):
-    monkeypatch.setattr(lookup, "is_small", lambda df: small)
+def test_band_lookup(frame, rows):
     bands = frame([("fresh", 0, 30), ("aged", 31, 90), ("old", 91, None)], "name string, lo int, hi int")
     df = frame([(-1,), (0,), (30,), (31,), (90,), (91,), (5000,), (None,)], "n int")
     got = lookup.band_lookup(df, bands, "n", {"tier": "name"}, low="lo", high="hi")
@@ -61,8 +59,17 @@ def test_band_lookup(frame, rows, monkeypatch, small):
         (-1, None), (0, "fresh"), (30, "fresh"), (31, "aged"), (5000, "old"), (90, "aged"), (91, "old"), (None, None)]
 
 
-def test_band_lookup_beyond_size_without_open_band(frame, rows, monkeypatch):
-    monkeypatch.setattr(lookup, "is_small", lambda df: False)
+def test_band_lookup_of_fractions_and_negatives(frame, rows):
+    bands = frame([("deep", -1e12, -8.5), ("low", -8.0, 30.0), ("mid", 31.0, 64.0), ("top", 1e9, None)],
+                  "name string, lo double, hi double")
+    df = frame([(-9e11,), (-8.25,), (-8.0,), (-0.5,), (30.5,), (30.0,), (63.9,), (64.0,), (1e300,)], "n double")
+    got = lookup.band_lookup(df, bands, "n", {"tier": "name"}, low="lo", high="hi")
+    assert {r.n: r.tier for r in got.collect()} == {
+        -9e11: "deep", -8.25: None, -8.0: "low", -0.5: "low", 30.5: None, 30.0: "low", 63.9: "mid", 64.0: "mid", 1e300: "top"}
+    assert got.count() == 9
+
+
+def test_band_lookup_without_open_band(frame, rows):
     bands = frame([("a", 0, 10), ("b", 11, 20)], "name string, lo int, hi int")
     got = lookup.band_lookup(frame([(20,), (21,), (99,)], "n int"), bands, "n", {"t": "name"}, low="lo", high="hi")
     assert rows(got, "n", "t") == [(20, "b"), (21, None), (99, None)]

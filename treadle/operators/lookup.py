@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from treadle.operators.sizes import is_small
-
 UNKNOWN = -1
 
 #: Calendar slices of the point-in-time lookup and the step from one to the next.
@@ -70,26 +68,33 @@ def or_unknown(key: Column) -> Column:
     return F.coalesce(key, F.lit(UNKNOWN).cast("long"))
 
 
+def _magnitude(number: Column) -> Column:
+    """A whole number that never falls as ``number`` rises: its binary order of magnitude."""
+    size = F.floor(F.log2(F.abs(number.cast("double")) + 1)).cast("int")
+    return F.when(number < 0, -1 - size).otherwise(size)
+
+
+#: The magnitude of the largest double: where an open band's layout ends.
+_LARGEST = 1024
+
+
 def band_lookup(df: DataFrame, bands: DataFrame, value: str, take: Mapping[str, str], *,
                 low: str, high: str) -> DataFrame:
-    """Left join a whole number to the band ``low <= value <= high``; NULL high is open.
+    """Left join a number to the band ``low <= value <= high``; NULL high is open.
 
-    A small band table is broadcast.  Beyond the size check the bands are laid out one row
-    per number up to the start of the open band and joined by equality.
+    Each band is laid out once per order of magnitude it touches, and the magnitude joins by
+    equality with the range as a residual.  So fractions have a band like whole numbers, a band's
+    width costs at most its magnitudes, and Catalyst broadcasts or shuffles by measured size.
     """
     number = F.col(value)
-    if is_small(bands):
-        right = F.broadcast(bands.select(
-            F.col(low).alias("_low"), F.col(high).alias("_high"),
-            *[F.col(c).alias(n) for n, c in take.items()]))
-        match = (number >= F.col("_low")) & (F.col("_high").isNull() | (number <= F.col("_high")))
-        return df.join(right, match, "left").drop("_low", "_high")
-    top = bands.agg(F.max(F.greatest(F.col(low), F.coalesce(F.col(high) + 1, F.col(low))))).scalar()
-    laid = bands.withColumn("_top", top).select(
-        F.explode(F.sequence(F.col(low), F.coalesce(F.col(high), F.col("_top")))).alias("_n"),
+    end = F.coalesce(_magnitude(F.col(high)), F.lit(_LARGEST))
+    right = bands.select(
+        F.col(low).alias("_low"), F.col(high).alias("_high"),
+        F.explode(F.sequence(_magnitude(F.col(low)), end)).alias("_band"),
         *[F.col(c).alias(n) for n, c in take.items()])
-    clamped = df.withColumn("_n", F.when(number.isNotNull(), F.least(number, top)))
-    return clamped.join(laid, "_n", "left").drop("_n")
+    match = (F.col("_own") == F.col("_band")) & (number >= F.col("_low")) & (
+        F.col("_high").isNull() | (number <= F.col("_high")))
+    return df.withColumn("_own", _magnitude(number)).join(right, match, "left").drop("_own", "_band", "_low", "_high")
 
 
 def _not_null(columns: Sequence[str]) -> Column:
