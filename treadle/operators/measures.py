@@ -23,6 +23,10 @@ def pivot_sum(df: DataFrame, rows: Sequence[str], column: str, values: Sequence,
 
 
 def growth(df: DataFrame, series: Sequence[str], period: str, measure: str, name: str) -> DataFrame:
-    """Percent change against the previous period of each series (one row per period)."""
-    before = F.lag(measure).over(Window.partitionBy(*series).orderBy(period))
+    """Percent change against the month before of each series (one row per month, by its first day).
+
+    A month that follows a gap has no growth.
+    """
+    order = Window.partitionBy(*series).orderBy(period)
+    before = F.when(F.add_months(F.lag(period).over(order), 1) == F.col(period), F.lag(measure).over(order))
     return df.withColumn(name, ratio(F.col(measure) - before, before, 100.0))

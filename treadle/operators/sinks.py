@@ -34,17 +34,30 @@ def out_of_range(day: Column, low, high) -> Column:
     return test
 
 
-def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), month: str = "month") -> None:
+def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), month: str = "month",
+                 replaced: Sequence[str] = ()) -> None:
     """Replace the months present in ``df`` and leave every other month alone.
 
     The same call serves the first load, a daily append and a re-run: running it again
-    with the same rows gives the same table.
+    with the same rows gives the same table.  ``replaced`` names the months (``yyyy-MM``) that are
+    being replaced: one that comes out empty loses its old rows.
     """
+    spark = df.sparkSession
     ready = _sized(with_month(df, day, month), [month])
     if keys:
         ready = ready.sortWithinPartitions(month, *keys)
     (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month).parquet(path))
+    if replaced:
+        # a row per month, and only those that were to be replaced
+        left = {r[0] for r in with_month(df, day, month).filter(F.col(month).isin(*replaced)).select(month).distinct().collect()}
+        for gone in sorted(set(replaced) - left):
+            drop_folder(spark, f"{path}/{month}={gone}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_days(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), month: str = "month") -> None:

@@ -29,11 +29,18 @@ def _unknown() -> Column:
 # --- role frames from the source tables ----------------------------------------------------
 
 
+#: The source's type of the offer that is no promotion.
+NO_DISCOUNT = "No Discount"
+
+
 def sales_lines_from_source(t: Tables) -> DataFrame:
-    """Order lines with their header's date and parties."""
-    detail = t["sales.salesorderdetail"].select(
+    """Order lines with their header's date and parties; offer 0 stands for no promotion."""
+    offers = t["sales.specialoffer"].select(
+        "specialofferid", ((F.col("type") == NO_DISCOUNT) | (F.col("discountpct") == 0)).alias("none"))
+    detail = t["sales.salesorderdetail"].join(offers, "specialofferid", "left").select(
         F.col("salesorderid").alias("order_id"), F.col("salesorderdetailid").alias("line_no"),
-        F.col("productid").alias("product_id"), F.col("specialofferid").alias("offer_id"),
+        F.col("productid").alias("product_id"),
+        F.when(F.coalesce("none", F.lit(False)), F.lit(0)).otherwise(F.col("specialofferid")).alias("offer_id"),
         F.col("orderqty").cast("int").alias("quantity"),
         (F.col("unitprice") * F.col("orderqty")).cast(MONEY).alias("list_amount"),
         line_total(F.col("unitprice"), F.col("unitpricediscount"), F.col("orderqty")).cast(MONEY).alias("revenue"),
@@ -314,16 +321,15 @@ def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since
     return out.select(*fact.columns)
 
 
-# Stored types of ratio and count columns.  A value too large for its type is stored as NULL.
+#: Stored types of ratio and count columns: wider than the source's, so that sums of any size fit.
+RATE = "decimal(38,6)"
 STORED_TYPES = {
-    "ScrapRate": "decimal(5,2)", "ProductionTimeHours": "decimal(10,2)",
-    "CustomerUptakeRate": "decimal(5,2)", "PromotionROI": "decimal(10,2)",
-    "CreditUsage": "decimal(5,2)", "InterestCharges": "decimal(10,2)",
-    "RestockingFee": "decimal(10,2)", "QuantityOnHand": "int",
-    "DiscountUsageCount": "int", "CustomerContactsCount": "int", "TransactionCount": "int",
-    "TotalQuantity": "int", "DistinctCustomerCount": "int", "UnitsSold": "int",
-    "AvgRevenue": MONEY, "AvgOrderValue": MONEY, "AvgInventoryValue": MONEY,
-    "ReturnRate": "decimal(5,2)", "AvgRating": "decimal(5,2)", "GrowthRate": "decimal(5,2)",
+    "ScrapRate": RATE, "ProductionTimeHours": RATE, "CustomerUptakeRate": RATE, "PromotionROI": RATE,
+    "CreditUsage": RATE, "InterestCharges": RATE, "RestockingFee": RATE, "QuantityOnHand": "bigint",
+    "DiscountUsageCount": "bigint", "CustomerContactsCount": "bigint", "TransactionCount": "bigint",
+    "TotalQuantity": "bigint", "DistinctCustomerCount": "bigint", "UnitsSold": "bigint",
+    "UnitsReturned": "bigint", "AvgRevenue": RATE, "AvgOrderValue": RATE, "AvgInventoryValue": RATE,
+    "ReturnRate": RATE, "AvgRating": RATE, "GrowthRate": RATE,
 }
 
 

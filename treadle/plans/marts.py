@@ -111,21 +111,27 @@ def daily_inventory(inventory: DataFrame, products: DataFrame, tiers: DataFrame)
 def monthly_product_performance(sales: DataFrame, returns: DataFrame, ratings: DataFrame) -> DataFrame:
     """Product x store x month.
 
-    Each input is brought to its own grain first, so nothing fans out in the joins.
+    Sales and returns are summed together, so returns of a month without a sale stay (their rate
+    is NULL), and a missing store is one group.  Ratings are brought to their own grain first.
 
     returns: fact_returns; ratings: ProductKey, FeedbackScore
     """
     by = ["MonthStartDateKey", "ProductKey", "StoreKey"]
-    sold = sales.groupBy(month_start(F.col("SalesDateKey")).alias("MonthStartDateKey"), "ProductKey", "StoreKey").agg(
-        F.sum("SalesRevenue").cast(MONEY).alias("TotalRevenue"), F.sum("QuantitySold").alias("UnitsSold"))
-    back = returns.groupBy(month_start(F.col("ReturnDateKey")).alias("MonthStartDateKey"), "ProductKey", "StoreKey").agg(
-        F.sum("ReturnedQuantity").alias("returned"))
+    none = F.lit(0).cast("long")
+    sold = sales.select(month_start(F.col("SalesDateKey")).alias(by[0]), *by[1:], "SalesRevenue",
+                        F.col("QuantitySold").cast("long").alias("units"), none.alias("back"))
+    back = returns.select(month_start(F.col("ReturnDateKey")).alias(by[0]), *by[1:],
+                          F.lit(0).cast(sales.schema["SalesRevenue"].dataType).alias("SalesRevenue"), none.alias("units"),
+                          F.col("ReturnedQuantity").cast("long").alias("back"))
     rated = ratings.groupBy("ProductKey").agg(
         F.sum("FeedbackScore").alias("points"), F.count("FeedbackScore").alias("votes"))
     return (
-        sold.join(back, by, "left").join(rated, "ProductKey", "left")
-        .select(*by, "TotalRevenue", "UnitsSold",
-                ratio(F.coalesce("returned", F.lit(0)), F.col("UnitsSold"), 100.0).alias("ReturnRate"),
+        sold.unionByName(back).groupBy(*by)
+        .agg(F.sum("SalesRevenue").cast(MONEY).alias("TotalRevenue"), F.sum("units").alias("UnitsSold"),
+             F.sum("back").alias("UnitsReturned"))
+        .join(rated, "ProductKey", "left")
+        .select(*by, "TotalRevenue", "UnitsSold", "UnitsReturned",
+                ratio(F.col("UnitsReturned"), F.col("UnitsSold"), 100.0).alias("ReturnRate"),
                 ratio(F.col("points"), F.col("votes")).alias("AvgRating"))
     )
 
@@ -147,7 +153,7 @@ def regional_totals(sales: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def with_growth(totals: DataFrame) -> DataFrame:
-    """Growth against the month with sales before; one row per month of a territory."""
+    """Growth against the month before; NULL if that month has no sales."""
     return growth(totals, ["RegionKey", "SalesTerritoryKey"], "MonthStartDateKey", "TotalRevenue", "GrowthRate")
 
 
