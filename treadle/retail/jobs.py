@@ -21,7 +21,6 @@ Job = Callable[[SparkSession, str], DataFrame]
 
 #: Extract window of the registered jobs.
 WINDOW = (dt.datetime(1996, 1, 1), dt.datetime(1998, 12, 31))
-CORE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 def _union(parts) -> DataFrame:
@@ -49,7 +48,7 @@ def s_fact_extract(spark, folder):
 
 def s_classify(spark, folder):
     """Type, column count and extracted rows of every table."""
-    frames = {f"retail.{n}": load(spark, folder, n) for n in CORE}
+    frames = {f"retail.{n}": load(spark, folder, n) for n in r.TABLES}
     specs = catalog.describe(frames)
     layout = spark.createDataFrame(
         [("retail", s.name, list(s.column_names)) for s in specs.values()],
@@ -88,6 +87,33 @@ def s_delimited_load(spark, folder):
     return hierarchy.with_paths(loaded, "doc", "node").withColumn("placed", F.col("placed").cast("string"))
 
 
+def s_load_rejects(spark, folder):
+    """Orders written with bad numbers, flags, fractions and extra or missing fields, by what became of them."""
+    path = run_folder(spark, "faulty")
+    key = F.col("o_orderkey")
+    dump = load(spark, folder, "orders").select(
+        F.concat(
+            key.cast("string"), F.lit("\t"),
+            F.when(key % 5 == 1, F.lit("12x")).otherwise(F.col("o_custkey").cast("string")), F.lit("\t"),
+            F.when(key % 7 == 2, F.lit("maybe")).otherwise(F.lit("1")), F.lit("\t"),
+            F.when(key % 11 == 3, F.lit("3.14159")).otherwise(F.lit(".25")),
+            F.when(key % 13 == 4, F.lit("\tmore\tfields")).otherwise(F.lit("")),
+            ).alias("value"), key.alias("key"))
+    missing = F.regexp_replace("value", "\t[^\t]*$", "")
+    dump.select(F.when(F.col("key") % 17 == 5, missing).otherwise(F.col("value")).alias("value")).write.text(path)
+    c = catalog.ColumnSpec
+    spec = catalog.TableSpec("retail", "faulty", (
+        c("orderid", "bigint", False), c("customer", "integer"), c("flag", "boolean"), c("share", "numeric", True, None, 8, 2)))
+    rows, rejects = delimited.load_with_rejects(spark, path, spec)
+    cents = (F.col("share") * 100).cast("long")
+    return rows.agg(F.lit("").alias("reasons"), F.count("*").alias("n_rows"), F.sum("orderid").alias("order_sum"),
+                    F.sum(cents).alias("cents")).unionByName(
+        rejects.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(
+            F.count("*").alias("n_rows"),
+            F.sum(F.coalesce(F.split(F.col("line"), "\t")[0], F.col("fields.orderid")).cast("long")).alias("order_sum"),
+            F.lit(None).cast("long").alias("cents")))
+
+
 def s_record_load(spark, folder):
     """Documents written as records whose text spans lines, then put together again."""
     path = run_folder(spark, "records")
@@ -174,6 +200,16 @@ def j_band_tier(spark, folder):
         F.count("*").alias("stock_rows"), F.sum("QuantityOnHand").alias("units"))
 
 
+def j_band_fraction(spark, folder):
+    """Prices in bands with gaps between them: a price between two bands has none."""
+    price = load(spark, folder, "part").select("p_partkey", F.col("p_retailprice").cast(r.CASH).alias("price"))
+    low = (F.floor(F.col("price") / 100) * 100).cast(r.CASH)
+    bands = price.groupBy(low.alias("low")).agg(F.count("*").alias("parts")).withColumn(
+        "high", (F.col("low") + F.lit("74.5").cast(r.CASH)).cast(r.CASH))
+    found = lookup.band_lookup(price, bands, "price", {"band": "low"}, low="low", high="high")
+    return found.groupBy("band").agg(F.count("*").alias("parts"), F.sum("price").cast("decimal(18,2)").alias("worth"))
+
+
 def j_self_manager(spark, folder):
     """Sellers and their managers: the first seller of a nation leads it."""
     staff = load(spark, folder, "supplier").select(
@@ -268,7 +304,7 @@ def q_pk_duplicates(spark, folder):
 
 
 def q_fk_orphans(spark, folder):
-    """Users of events that are no customer, with their rows."""
+    """Users of events that are no supplier, with their rows."""
     bad = lookup.orphan_counts(load(spark, folder, "events"), ["user_id"],
                                load(spark, folder, "supplier"), ["s_suppkey"])
     return bad.withColumnRenamed("rows", "n_rows")
@@ -485,7 +521,7 @@ def g6_regional_sales(spark, folder):
 
 
 def g_partition_refresh(spark, folder):
-    """A written mart whose one month is recomputed; the other months stay as they were."""
+    """A written mart of which two months are recomputed, one of them without rows; the others stay."""
     path = run_folder(spark, "agg_regional")
     lines, places = r.lines(spark, folder), r.places(spark, folder)
     by = ["MonthStartDateKey", "RegionKey"]
@@ -498,7 +534,7 @@ def g_partition_refresh(spark, folder):
 
     sinks.write_months(mart(lines.filter("return_flag <> 'R'")), path, "MonthStartDateKey", by)
     late = marts.only_months(lines, "order_date", ["1997-06-01"])
-    sinks.write_months(mart(late), path, "MonthStartDateKey", by)
+    sinks.write_months(mart(late), path, "MonthStartDateKey", by, replaced=["1997-06", "1997-07"])
     return sinks.read_months(spark, path).select(*by, "TotalRevenue", "month")
 
 
@@ -535,6 +571,7 @@ def v_hierarchy(spark, folder):
         return F.floor(F.col("c_custkey") / F.lit(1104 ** power)) % 1104
 
     nodes = _union([
+        spark.range(1).select(F.lit("company").alias("name"), F.array().cast("array<bigint>").alias("n")),
         load(spark, folder, "region").select(F.col("r_name").alias("name"), F.array(F.col("r_regionkey").cast("long")).alias("n")),
         nation.select(F.col("n_name").alias("name"), F.array(F.col("n_regionkey").cast("long"), F.col("n_nationkey").cast("long")).alias("n")),
         customer.select(F.concat(F.lit("C"), F.col("c_custkey")).alias("name"), F.array(
@@ -549,7 +586,8 @@ def v_shorthand(spark, folder):
     """The id column of every table under its shorthand, summed up."""
     keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
             "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-            "documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "labels": "doc_id"}
+            "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
+            "labels": "doc_id", "conversations": "conv_id"}
     return _union(
         shorthand.with_id(load(spark, folder, n), k).agg(
             F.lit(n).alias("table_name"), F.count("*").alias("n_rows"),
@@ -571,6 +609,7 @@ QUERIES: dict[str, Job] = {
     "s_fact_extract": s_fact_extract,
     "s_classify": s_classify,
     "s_delimited_load": s_delimited_load,
+    "s_load_rejects": s_load_rejects,
     "s_record_load": s_record_load,
     "p_order_totals": p_order_totals,
     "j_orphans_anti": j_orphans_anti,
@@ -578,6 +617,7 @@ QUERIES: dict[str, Job] = {
     "j_asof_lookup": j_asof_lookup,
     "j_price_in_force": j_price_in_force,
     "j_band_tier": j_band_tier,
+    "j_band_fraction": j_band_fraction,
     "j_self_manager": j_self_manager,
     "a_pivot_fiscal": a_pivot_fiscal,
     "a_ratio_metrics": a_ratio_metrics,

@@ -40,8 +40,9 @@ def _snapshot(day: str) -> str:
 
 
 def _growth(inner: str) -> str:
-    return f"""select *, cast("TotalRevenue" - lag("TotalRevenue") over w as double)
-        / nullif(cast(lag("TotalRevenue") over w as double), 0) * 100 as "GrowthRate" from ({inner})
+    return f"""select *, case when lag("MonthStartDateKey") over w + interval 1 month = "MonthStartDateKey"
+        then cast("TotalRevenue" - lag("TotalRevenue") over w as double)
+        / nullif(cast(lag("TotalRevenue") over w as double), 0) * 100 end as "GrowthRate" from ({inner})
         window w as (partition by "RegionKey", "SalesTerritoryKey" order by "MonthStartDateKey")"""
 
 
@@ -60,7 +61,8 @@ where o_orderdate >= timestamp '1996-01-01' and o_orderdate <= timestamp '1998-1
 ORACLES["s_classify"] = """
 with c as (
   select distinct table_name, lower(column_name) as column_name from information_schema.columns
-  where table_name in ('region','nation','customer','supplier','part','orders','lineitem','events')),
+  where table_name in ('region','nation','customer','supplier','part','orders','lineitem','events',
+    'documents','embeddings','pages','benchmark','labels','conversations')),
 t as (
   select table_name, count(*) as column_count, bool_or(contains(column_name, 'date')) as dated,
          bool_or(regexp_matches(column_name, 'amount|qty|price|total')) as measured
@@ -144,6 +146,21 @@ select l_partkey, cast(date_trunc('month', l_shipdate) as date) as month,
          / nullif(cast(sum(cast(l_quantity as bigint)) as double), 0) as return_rate
 from lineitem group by 1, 2"""
 
+ORACLES["s_load_rejects"] = """
+with f as (select o_orderkey as k, case when (o_orderkey % 13 = 4) <> (o_orderkey % 17 = 5) then 'number of fields'
+      when o_orderkey % 13 = 4 then 'number of fields' else '' end as odd,
+    array_to_string(list_filter([case when o_orderkey % 5 = 1 then 'customer' end, case when o_orderkey % 7 = 2 then 'flag' end,
+      case when o_orderkey % 11 = 3 then 'share' end], lambda x: x is not null), ',') as bad from orders)
+select case when odd <> '' then odd else bad end as reasons, count(*) as n_rows, cast(sum(k) as bigint) as order_sum,
+  case when reasons = '' then cast(count(*) * 25 as bigint) end as cents
+from f group by 1"""
+
+ORACLES["j_band_fraction"] = """
+with p as (select cast(p_retailprice as decimal(14,2)) as price from part),
+b as (select distinct cast(floor(price / 100) * 100 as decimal(14,2)) as low from p)
+select low as band, count(*) as parts, cast(sum(price) as decimal(18,2)) as worth
+from p left join b on price between low and low + 74.5 group by 1"""
+
 ORACLES["w_growth"] = _growth("""
 select cast(date_trunc('month', o_orderdate) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
        c_nationkey as "SalesTerritoryKey",
@@ -579,10 +596,11 @@ back as (
 rated as (
   select user_id, cast(sum(cast(least(5, floor(value / 50) + 1) as int)) as double) / count(*) as g
   from events group by 1)
-select m as "MonthStartDateKey", product_id as "ProductKey", store_id as "StoreKey", r as "TotalRevenue",
-       u as "UnitsSold", cast(coalesce(b, 0) as double) / nullif(cast(u as double), 0) * 100 as "ReturnRate",
-       g as "AvgRating"
-from sold left join back using (m, product_id, store_id) left join rated on user_id = product_id"""
+select m as "MonthStartDateKey", product_id as "ProductKey", store_id as "StoreKey",
+       cast(coalesce(r, 0) as decimal(18,2)) as "TotalRevenue", coalesce(u, 0) as "UnitsSold",
+       cast(coalesce(b, 0) as bigint) as "UnitsReturned",
+       cast(coalesce(b, 0) as double) / nullif(cast(u as double), 0) * 100 as "ReturnRate", g as "AvgRating"
+from sold full join back using (m, product_id, store_id) left join rated on user_id = product_id"""
 
 ORACLES["g6_regional_sales"] = f"with {_LINES}, {_PLACES} " + _growth("""
 select cast(date_trunc('month', order_date) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
@@ -594,7 +612,8 @@ with {_LINES}, {_PLACES}
 select cast(date_trunc('month', order_date) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
        cast(sum(revenue) as decimal(18,2)) as "TotalRevenue", strftime(order_date, '%Y-%m') as month
 from lines join places on c_custkey = customer_id
-where return_flag <> 'R' or date_trunc('month', order_date) = date '1997-06-01'
+where date_trunc('month', order_date) <> date '1997-07-01'
+  and (return_flag <> 'R' or date_trunc('month', order_date) = date '1997-06-01')
 group by 1, 2, 4"""
 
 # --- views ---------------------------------------------------------------------------------
@@ -782,6 +801,9 @@ with c as (
   from customer join nation on c_nationkey = n_nationkey),
 n as (select n_nationkey, n_regionkey, n_name, count(c_custkey) as k
       from nation left join customer on c_nationkey = n_nationkey group by 1, 2, 3)
+select 'company' as name, '/' as path, null as parent_path, 0 as depth,
+       (select count(*) from region) + (select count(*) from n) + (select count(*) from c) as descendants
+union all
 select r_name as name, '/' || r_regionkey || '/' as path, '/' as parent_path, 1 as depth,
        cast(count(n_nationkey) + coalesce(sum(k), 0) as bigint) as descendants
 from region left join n on n_regionkey = r_regionkey group by r_name, r_regionkey
@@ -794,4 +816,5 @@ ORACLES["v_shorthand"] = " union all ".join(
     f"select '{t}' as table_name, count(*) as n_rows, cast(sum({k}) as bigint) as id_sum, count(*) as same from {t}"
     for t, k in {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
                  "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-                 "documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "labels": "doc_id"}.items())
+                 "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
+                 "labels": "doc_id", "conversations": "conv_id"}.items())
