@@ -13,6 +13,7 @@ rows are packed as often as they occur; an empty table gives no pieces; null ids
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -20,9 +21,11 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
@@ -31,49 +34,114 @@ from treadle.session import run_folder
 
 #: Words a worker remembers before it starts anew.
 CACHE_ENTRIES = 500_000
-TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+#: Forms encoded in one call; texts whose words are numbered together.
+CALL, SLICE = 1000, 2500
+#: Latin letters whose lower case is one letter, and the marks that may follow a word.
+LETTERS_AND_MARKS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[!-/:-@\[-`{-~]*$"
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: visible bytes stand for themselves, the others for letters from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen and b != 32]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k + (b > 32)) for k, b in enumerate(hidden)}
+
+
+def listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordEncoder:
     """Ids of whole texts from a tokenizer that never looks across blanks or line feeds.
 
-    Words are encoded once and remembered; texts that hold a special token's string are encoded whole.
+    Words are encoded once and remembered.  A word of letters is one unit of the tokenizer whatever
+    marks follow it, so many such words go through its merges in one call, without its normaliser.
+    Texts that hold a special token's string are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        parts |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(parts))
+        suffix = parts["model"]["end_of_word_suffix"]
+        vocabulary = self.merges.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {"": b""}
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode the chunks; what follows a word's last letter is encoded apart, as the tokenizer does."""
-        parts: dict[str, str] = {}
-        for c in chunks:
-            head = c.rstrip(TAIL)
-            if head and head != c and head[-1].lower().isalpha():
-                parts[c] = head
-        need = {p for c in chunks for p in ((parts[c], c[len(parts[c]):]) if c in parts else (c,))} - self.known.keys()
-        low = {p: p.lower() if p.isascii() else p for p in need}
-        forms = list(set(low.values()) - self.known.keys())
-        for form, got in zip(forms, self.tokenizer.encode_batch_fast(forms, add_special_tokens=False)):
-            self.known[form] = np.array(got.ids, dtype="<u4").tobytes()
-        for p, form in low.items():
-            self.known[p] = self.known[form]
-        for c, head in parts.items():
-            self.known[c] = self.known[head] + self.known[c[len(head):]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
+    def _encode_forms(self, forms: list[str]) -> None:
+        """Lower-case words of letters: joined by blanks, and the ids cut behind each word's end."""
+        calls = [forms[k:k + CALL] for k in range(0, len(forms), CALL)]
+        joined = [" ".join(c).encode().decode("latin-1").translate(self.letters) for c in calls]
+        for words, got in zip(calls, self.merges.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(got.ids, dtype="<u4")
+            raw, at = ids.tobytes(), 0
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) != len(words):
+                raise ValueError("the tokenizer does not end each word once")
+            for word, stop in zip(words, stops):
+                self.known[word] = raw[at:stop]
+                at = stop
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not known yet; a word's marks are encoded apart, as the tokenizer does."""
+        known = self.known
+        array = pa.array(words, pa.string())
+        plain = pc.match_substring_regex(array, LETTERS_AND_MARKS)
+        lettered = array.filter(plain)
+        given, forms = listed(lettered), listed(pc.utf8_lower(pc.ascii_rtrim(lettered, MARKS)))
+        self._encode_forms(list(set(forms).difference(known)))
+        differ = [(c, f) for c, f in zip(given, forms) if c != f]
+        whole = {c[len(f):] for c, f in differ}.difference(known)
+        whole.update(listed(array.filter(pc.invert(plain))))
+        rest = list(whole)
+        for c, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            known[c] = np.array(got.ids, dtype="<u4").tobytes()
+        for c, f in differ:
+            known[c] = known[f] + known[c[len(f):]]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts behind one another, and where each text's begin and the last one's end.
+
+        Arrow splits the texts and numbers the distinct words; only those are looked up one by one.
+        """
         if len(self.known) > CACHE_ENTRIES:
             self.known = {"": b""}
-        new = {w for words in split if words for w in words} - self.known.keys()
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        names = listed(words.dictionary)
+        found = list(map(self.known.get, names))
+        new = [w for w, ids in zip(names, found) if ids is None]
         if new:
             self._learn(new)
-        known = self.known
-        return [b"".join([known[w] for w in words]) if words is not None else np.array(
-            self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            for t, words in zip(texts, split)]
+            found = list(map(self.known.__getitem__, names))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        stock, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        order = words.indices.to_numpy()
+        size = sizes[order]
+        place = np.append(0, np.cumsum(size))
+        ids = stock[np.repeat(begin[order] - place[:-1], size) + np.arange(place[-1])]
+        offsets = lists.offsets.to_numpy()
+        return ids, place[offsets - offsets[0]]
+
+    def encode_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; a null text is empty."""
+        texts = pc.fill_null(texts, "")
+        odd = np.zeros(len(texts), bool)
+        for s in self.special:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        ids, place = self.encode(pc.if_else(pa.array(odd), "", texts))
+        for k, by_hand in enumerate(odd):
+            if by_hand:
+                got = self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False)
+                yield np.array(got.ids, dtype="<u4")
+            else:
+                yield ids[place[k]:place[k + 1]]
 
 
 @cache
@@ -93,16 +161,13 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col
     end, step = np.array([end_id], dtype="<u4").tobytes(), window * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
         own, part, seen, schema = encoder(tokenizer), TaskContext.get().partitionId(), defaultdict(int), to_arrow_schema(out)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
                 found = []
-                for i, ids in zip(batch.column(0).to_pylist(),
-                                  own.encode([t or "" for t in batch.column(1).to_pylist()])):
-                    ids += end
+                for i, ids in zip(batch.column(0).to_pylist(), own.encode_texts(batch.column(1))):
+                    ids = ids.tobytes() + end
                     for start in range(0, len(ids), step):
                         piece = ids[start:start + step]
                         n = len(piece) // 4
