@@ -115,6 +115,25 @@ def test_prune_keeps_what_readers_need(spark, tmp_path, frame, rows):
     assert dim.prune(keep=1) and rows(dim.read()) == before and len(dim.versions()) == 1
 
 
+def test_a_read_costs_the_same_calls_at_any_number_of_versions(spark, tmp_path, frame, monkeypatch):
+    from treadle.operators import history
+
+    dim = sinks.HistoryTable(spark, str(tmp_path / "dim"))
+    calls = []
+    for day in range(1, 7):
+        staged = frame([(1, str(day))], "id int, v string")
+        dim.write_step(history.first_load(staged, ["id"], "sk", D(2020, 1, day)) if not dim.exists()
+                       else history.scd2(dim.read_open(), staged, ["id"], ["v"], "sk", D(2020, 1, day)))
+        if day in (2, 6):
+            with monkeypatch.context() as m:
+                seen = []
+                m.setattr(sinks, "folder_exists", lambda *a: seen.append("exists"))
+                m.setattr(sinks.VersionedTable, "_path", lambda self, *p, own=sinks.VersionedTable._path: seen.append(p) or own(self, *p))
+                assert dim.read().count() == day
+                calls.append(len(seen))
+    assert calls[0] == calls[1] == 2
+
+
 def test_empty_history_table_is_not_loaded(spark, tmp_path, frame):
     from treadle.operators import history
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -89,10 +90,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 class VersionedTable:
     """A table whose every refresh goes to a new folder and is switched to when complete.
 
-    A version counts only once Spark's commit marker is there, so a reader never sees a
-    half-written table and a job may read the version it is about to replace.
+    A manifest lists the complete versions and their parts.  It is written under another name and
+    renamed once the data is there, so a reader never sees a half-written table, a job may read the
+    version it is about to replace, and a read costs two calls to the file system however many
+    versions there are.  A table has one writer at a time.
     """
 
+    #: Parts of a version.
+    WHOLE = "whole"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -102,14 +108,47 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+
+    def _manifests(self, fs) -> list[str]:
+        """Names of the manifests, oldest first; a commit keeps two."""
+        try:
+            found = [s.getPath().getName() for s in fs.listStatus(self._path("_manifest"))]
+        except Py4JJavaError as error:
+            if "FileNotFoundException" not in str(error.java_exception.getClass().getName()):
+                raise
+            return []
+        return sorted(n for n in found if n.endswith(".json") and n[0].isdigit())
+
+    def _state(self) -> list[dict]:
+        """The complete versions, oldest first, as name and parts."""
+        fs, _ = self._fs()
+        names = self._manifests(fs)
+        if not names:
+            return []
+        stream = fs.open(self._path("_manifest", names[-1]))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, state: list[dict]) -> None:
+        fs, _ = self._fs()
+        names = self._manifests(fs)
+        number = int(names[-1].split(".")[0]) + 1 if names else 1
+        draft = self._path("_manifest", f".draft-{uuid.uuid4().hex}")
+        stream = fs.create(draft)
+        stream.write(bytearray(json.dumps(state).encode()))
+        stream.close()
+        if not fs.rename(draft, self._path("_manifest", f"{number:010d}.json")):
+            raise OSError(f"another writer has changed {self.root}")
+        for old in names[:-1]:
+            fs.delete(self._path("_manifest", old), False)
+
     def versions(self) -> list[str]:
         """Names of the complete versions, oldest first."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-        return sorted(n for n in names if fs.exists(marker(f"{self.root}/{n}/_SUCCESS")))
+        return [v["name"] for v in self._state()]
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -125,22 +164,25 @@ class VersionedTable:
 
     def _drop(self, *parts: str) -> None:
         fs, _ = self._fs()
-        fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts))), True)
+        fs.delete(self._path(*parts), True)
 
     def prune(self, keep: int = 2) -> list[str]:
         """Delete versions older than the newest ``keep``; readers of those must be done."""
-        old = self.versions()[:-keep]
+        state = self._state()
+        old = [v["name"] for v in state[:-keep]]
+        if old:
+            self._commit(state[-keep:])
         for version in old:
             self._drop(version)
         return old
 
-    def _next(self, kind: str = "") -> str:
-        done = self.versions()
-        number = int(done[-1].split("-")[0][1:]) + 1 if done else 1
-        return f"v{number:08d}-{kind}{uuid.uuid4().hex[:8]}"
+    def _parts(self, name: str) -> list[str]:
+        return [self.WHOLE]
 
     def write(self, df: DataFrame, keys: Sequence[str] = (), partition: Sequence[str] = (), kind: str = "") -> str:
-        name = self._next(kind)
+        state = self._state()
+        number = int(state[-1]["name"].split("-")[0][1:]) + 1 if state else 1
+        name = f"v{number:08d}-{kind}{uuid.uuid4().hex[:8]}"
         ready = _sized(df, partition or keys)
         if keys:
             ready = ready.sortWithinPartitions(*partition, *keys)
@@ -148,67 +190,80 @@ class VersionedTable:
         if partition:
             writer = writer.partitionBy(*partition)
         writer.parquet(f"{self.root}/{name}")
+        self._commit([*state, {"name": name, "parts": self._parts(name)}])
         return name
 
 
 class HistoryTable(VersionedTable):
     """A versioned dimension whose runs write open rows and newly closed rows only.
 
-    Each version has one folder of open rows and one of the rows that run closed; both count
-    from the same commit marker.  The open rows of the newest version are current, and closed
-    rows are those of all versions since the last full one.  So a day costs what is open and
-    what changed, however long the history is.
+    Each version has one folder of open rows and one of the rows that run closed.  The open rows of
+    the newest version are current, and closed rows are those of all versions since the last full
+    one, read at once.  So a day costs what is open and what changed, however long the history is.
     """
 
     FULL = "full-"
+    OPEN, CLOSED = "IsCurrent=true", "IsCurrent=false"
+
+    def _parts(self, name: str) -> list[str]:
+        return [p for p in (self.OPEN, self.CLOSED) if folder_exists(self.spark, f"{self.root}/{name}/{p}")]
+
+    def _held(self) -> list[dict]:
+        """Versions that hold rows; an empty dimension counts as not loaded yet."""
+        return [v for v in self._state() if v["parts"]]
 
     def versions(self) -> list[str]:
-        """Complete versions that hold rows; an empty dimension counts as not loaded yet."""
-        return [v for v in super().versions()
-                if any(folder_exists(self.spark, f"{self.root}/{v}/IsCurrent={f}") for f in ("true", "false"))]
-
-    def _columns(self) -> list[str]:
-        """Stored columns, with the flag at its place."""
-        names = self.spark.read.parquet(f"{self.root}/{self.versions()[-1]}").columns
-        rest = [c for c in names if c != "IsCurrent"]
-        at = rest.index("ValidToDate") + 1
-        return [*rest[:at], "IsCurrent", *rest[at:]]
-
-    def _part(self, version: str, flag: bool) -> DataFrame | None:
-        path = f"{self.root}/{version}/IsCurrent={str(flag).lower()}"
-        if not folder_exists(self.spark, path):
-            return None
-        return self.spark.read.parquet(path).withColumn("IsCurrent", F.lit(flag)).select(*self._columns())
+        return [v["name"] for v in self._held()]
+
+    def _rows(self, versions: Sequence[str], part: str) -> DataFrame:
+        """The rows of one part of some versions, with the flag at its place."""
+        df = self.spark.read.parquet(*[f"{self.root}/{v}/{part}" for v in versions])
+        at = df.columns.index("ValidToDate") + 1
+        return df.withColumn("IsCurrent", F.lit(part == self.OPEN)).select(
+            *df.columns[:at], "IsCurrent", *df.columns[at:])
+
+    def _open(self, held: Sequence[dict]) -> DataFrame:
+        newest = held[-1]
+        if self.OPEN in newest["parts"]:
+            return self._rows([newest["name"]], self.OPEN)
+        return self._rows([newest["name"]], self.CLOSED).filter("IsCurrent")  # every row was closed
 
     def read_open(self) -> DataFrame:
-        newest = self.versions()[-1]
-        found = self._part(newest, True)
-        if found is None:  # every row was closed
-            found = self._part(newest, False).filter("IsCurrent")
-        return found
+        return self._open(self._held())
+
+    def since_full(self) -> int:
+        """Versions since the last full one, that included."""
+        return len(self._held()[self._start(self._held()):])
+
+    def _start(self, held: Sequence[dict]) -> int:
+        full = [i for i, v in enumerate(held) if self.FULL in v["name"]]
+        return full[-1] if full else 0
 
     def read(self, schema=None) -> DataFrame:
-        done = self.versions()
-        if not done:
+        held = self._held()
+        if not held:
             return super().read(schema)
-        full = [i for i, v in enumerate(done) if self.FULL in v]
-        out = self.read_open()
-        for version in done[full[-1] if full else 0:]:
-            part = self._part(version, False)
-            out = out if part is None else out.unionByName(part)
-        return out
+        closed = [v["name"] for v in held[self._start(held):] if self.CLOSED in v["parts"]]
+        out = self._open(held)
+        return out.unionByName(self._rows(closed, self.CLOSED)) if closed else out
 
     def prune(self, keep: int = 2) -> list[str]:
         """Delete what no reader needs: versions before the last full one, and the open rows
         of all but the newest ``keep`` versions.  ``write_full(read())`` compacts first."""
-        done = self.versions()
-        full = [i for i, v in enumerate(done) if self.FULL in v]
-        start = full[-1] if full else 0
-        for version in done[:start]:
-            self._drop(version)
-        for version in done[start:-keep]:
-            self._drop(version, "IsCurrent=true")
-        return done[:start]
+        held = self._held()
+        start = self._start(held)
+        kept = [dict(v) for v in held[start:]]
+        gone = []
+        for v in kept[:-keep]:
+            if self.OPEN in v["parts"]:
+                gone.append((v["name"], self.OPEN))
+                v["parts"] = [p for p in v["parts"] if p != self.OPEN]
+        old = [v["name"] for v in held[:start]]
+        if old or gone:
+            self._commit(kept)
+        for parts in [(v,) for v in old] + gone:
+            self._drop(*parts)
+        return old
 
     def write_step(self, merged: DataFrame, keys: Sequence[str] = ()) -> str:
         """Open rows and the rows this run closed, as a merge of :meth:`read_open` gives them."""
