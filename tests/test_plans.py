@@ -364,6 +364,16 @@ def test_daily_run_is_repeatable(spark, source, rows, tmp_path):
     assert len(first["FactSales"]) == 5 and len(first["agg_daily_sales"]) == 5
     assert {r[-1] for r in first["CustomerChanges"]} == {"new"}
     assert len(first["error_records"]) > 0  # the phone type 3 has no parent
+    probe = daily.DailyRun(spark, specs, source.__getitem__, str(tmp_path), AS_OF, batch="r")
+    staff = {r.EmployeeID: r for r in probe.table("DimEmployee").read_open().collect()}
+    assert staff[11].ReportingManagerKey == staff[10].EmployeeKey and staff[10].ReportingManagerKey is None
+    # keys of reference members are the members' keys, so a mart joins its dimensions
+    for table, column in (("FactFinance", "FinanceCategoryKey"), ("FactReturns", "ReturnReasonKey"),
+                          ("agg_daily_sales", "ProductCategoryKey"), ("agg_weekly_sales", "RegionKey"),
+                          ("agg_monthly_sales", "CustomerSegmentKey"), ("agg_regional_sales", "RegionKey")):
+        assert dict(spark.read.parquet(str(tmp_path / table)).dtypes)[column] == "bigint", table
+    assert {r.FinanceCategoryKey for r in spark.read.parquet(str(tmp_path / "FactFinance")).collect()} == {1}
+    assert {r.ReturnReasonKey for r in spark.read.parquet(str(tmp_path / "FactReturns")).collect()} == {1}
     run(AS_OF)
     second = state()
     assert {r[-1] for r in second.pop("CustomerChanges")} == {"unchanged"}

@@ -155,9 +155,13 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return level[0]
 
 
-def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
-    """One row per table and rule with its violation count (zero included)."""
-    parts = []
+def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules],
+             parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per table and rule with its violation count (zero included).
+
+    ``parents`` are the whole tables that foreign keys point at, where ``tables`` are windows of them.
+    """
+    parts, parents = [], tables if parents is None else parents
     for name, df in tables.items():
         wanted = rules.get(name)
         if wanted is None:
@@ -167,8 +171,8 @@ def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -
         if wanted.key:
             parts.append(count_duplicates(name, df, wanted.key))
         for fk in wanted.foreign_keys:
-            if fk.parent in tables:
-                parts.append(count_orphans(name, df, fk, tables[fk.parent]))
+            if fk.parent in parents:
+                parts.append(count_orphans(name, df, fk, parents[fk.parent]))
     if not parts:
         spark = SparkSession.active()
         return spark.createDataFrame([], FINDING)

@@ -10,10 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from treadle.operators import checks, history, sinks
+from treadle.operators.lookup import or_unknown
 from treadle.plans import dims, facts, marts, staging
 from treadle.plans.constraints import declared_rules
 from treadle.session import run_folder
@@ -22,6 +26,13 @@ from treadle.sources.extract import DIMENSION_SINCE, FACT_WINDOW, classify, extr
 
 Reader = Callable[[str], DataFrame]
 
+#: Versions of a dimension after which its history is written anew as one.
+COMPACT_AFTER = 30
+
+#: Role frame of returned lines; the source has none, so a run without one has none to load.
+RETURNED = ("return_id bigint, return_date date, product_id int, customer_id int, store_id int, reason string, "
+            "quantity int, refund decimal(18,2)")
+
 # When each mart is refreshed.
 CADENCE = {
     "agg_daily_sales": "daily", "agg_weekly_sales": "sunday", "agg_monthly_sales": "first",
@@ -40,6 +51,28 @@ def shift_month(month: str, by: int) -> str:
     return f"{year:04d}-{number + 1:02d}"
 
 
+class MissingTable(KeyError):
+    """A table that a step needs is not there; any other KeyError is a fault of the code."""
+
+
+class Whole(Mapping):
+    """Tables read on demand."""
+
+    def __init__(self, names, read: Reader):
+        self._names, self._read = tuple(names), read
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise MissingTable(name)
+        return self._read(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class CleanTables(Mapping):
     """Source tables without their rejected rows; a blocked or unknown table is missing.
 
@@ -53,7 +86,9 @@ class CleanTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._blocked:
-            raise KeyError(f"{name} is blocked")
+            raise MissingTable(f"{name} is blocked")
+        if name not in self._frames:
+            raise MissingTable(name)
         df, rules = self._frames[name], self._rules.get(name)
         return checks.split(df, rules.rules)[0] if rules and rules.rules else df
 
@@ -66,15 +101,22 @@ class CleanTables(Mapping):
 
 @dataclass
 class DayReport:
-    """What a run did, by step; ``skipped`` says why a step did not run."""
+    """What a run did, by step; ``skipped`` says why a step did not run, ``unchecked`` why a rule was
+    not checked, and ``not_extracted`` names the tables the window or the policy leaves out."""
 
     done: list[str] = field(default_factory=list)
     skipped: dict[str, str] = field(default_factory=dict)
+    unchecked: dict[str, str] = field(default_factory=dict)
+    not_extracted: list[str] = field(default_factory=list)
 
 
-def table_rules(specs: Mapping[str, TableSpec], frames: Mapping[str, DataFrame],
-                as_of: dt.date) -> dict[str, checks.TableRules]:
-    """Rules from the catalog's declarations together with the written ones."""
+def table_rules(specs: Mapping[str, TableSpec], frames: Mapping[str, DataFrame], as_of: dt.date,
+                left_out: dict[str, str] | None = None) -> dict[str, checks.TableRules]:
+    """Rules from the catalog's declarations together with the written ones.
+
+    ``left_out`` gets the written rules and foreign keys that the tables at hand can't be checked for.
+    """
+    left_out = {} if left_out is None else left_out
     written = declared_rules(as_of)
     out = {}
     for name, df in frames.items():
@@ -84,7 +126,10 @@ def table_rules(specs: Mapping[str, TableSpec], frames: Mapping[str, DataFrame],
         extra = written.get(name, checks.TableRules())
         have = {c.lower() for c in df.columns}
         usable = [r for r in extra.rules if _resolves(df, r.broken)]
-        links = tuple(k for k in extra.foreign_keys if set(k.columns) <= have)
+        links = tuple(k for k in extra.foreign_keys if set(k.columns) <= have and k.parent in specs)
+        left_out |= {f"{name}: {r.name}": f"does not resolve: {r.broken}" for r in extra.rules if r not in usable}
+        left_out |= {f"{name}: {k.rule}": f"needs {', '.join(k.columns)} and {k.parent}"
+                     for k in extra.foreign_keys if k not in links}
         out[name] = checks.TableRules(tuple(rules) + tuple(usable), spec.key or extra.key, links)
     return out
 
@@ -93,11 +138,21 @@ def _resolves(df: DataFrame, predicate: str) -> bool:
     """Whether a predicate's columns exist in the frame (analysis only, no job)."""
     try:
         df.filter(predicate).schema
-    except Exception:  # noqa: BLE001
+    except AnalysisException:
         return False
     return True
 
 
+def _counted(seen: Observation, name: str) -> int:
+    """A count taken during a write; a plan known to be empty is optimized away with its counter."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as none:
+        if "assertion failed" not in str(none):
+            raise
+        return 0
+
+
 class DailyRun:
     def __init__(self, spark: SparkSession, specs: Mapping[str, TableSpec], read: Reader, root: str,
                  as_of: dt.date, *, batch: str, window: tuple[dt.datetime, dt.datetime] = FACT_WINDOW,
@@ -132,7 +187,7 @@ class DailyRun:
         What follows looks at those only, so a clean table is not scanned for errors again.
         """
         found = self.table("validation_findings")
-        found.write(checks.findings(frames, rules))
+        found.write(checks.findings(frames, rules, Whole(self.specs, self.read)))
         checks.summarize(found.read()).write.mode("overwrite").parquet(self.path("validation_summary"))
         # at most one row per rule
         hit = {(r.table_name, r.rule) for r in found.read().filter("violations > 0").select("table_name", "rule").collect()}
@@ -170,7 +225,7 @@ class DailyRun:
         """Run a step; one whose tables are missing or blocked is reported, not fatal."""
         try:
             work()
-        except KeyError as missing:
+        except (MissingTable, staging.MissingTables) as missing:
             self.report.skipped[name] = f"needs {missing.args[0]}"
         else:
             self.report.done.append(name)
@@ -184,10 +239,21 @@ class DailyRun:
         staged, opening = dims.STAGES[name](full, self.as_of), self.window[0].date()
         if spec.policy == dims.SCD2:
             current = table.read_open() if table.exists() else None
-            table.write_step(dims.load_dimension(spec, current, staged, self.as_of, opening))
+            merged = dims.load_dimension(spec, current, staged, self.as_of, opening)
+            if name == "DimEmployee":
+                merged = dims.with_manager_keys(merged, staged.select("EmployeeID", "ManagerID"))
+            table.write_step(merged)
+            if table.since_full() > COMPACT_AFTER:
+                table.write_full(table.read())
+                table.prune()
+            twice = table.read_open().groupBy(spec.surrogate).agg(F.count("*").alias("n")).filter(
+                f"n > 1 OR {spec.surrogate} = -1")
+            if not twice.isEmpty():
+                raise ValueError(f"{name}: two rows have one surrogate key")
         else:
             current = table.read() if table.exists() else None
             table.write(dims.load_dimension(spec, current, staged, self.as_of, opening))
+            table.prune()
 
     def load_calendar(self) -> None:
         bounds = self.spark.range(1).select(F.lit(self.window[0].date()).alias("low"),
@@ -219,6 +285,16 @@ class DailyRun:
         links = {k: v for k, v in self.links(*[n for n in names if self.table(n).exists()]).items()}
         return facts.with_surrogates(fact, date, links, self.window[0].date(), self.as_of)
 
+    def member(self, df: DataFrame, column: str, dimension: str, name: str) -> DataFrame:
+        """Replace a member's name by its key in a reference dimension; an unknown name is member -1."""
+        table = self.table(dimension)
+        if not table.exists():
+            raise MissingTable(dimension)
+        members = table.read().groupBy(F.col(name).alias("_name")).agg(
+            F.min(dims.DIMENSIONS[dimension].surrogate).alias("_member"))
+        return df.join(members, F.col(column) == F.col("_name"), "left").select(*[
+            or_unknown(F.col("_member")).alias(c) if c == column else F.col(c) for c in df.columns])
+
     def store(self, name: str, df: DataFrame, date: str, keys: list[str], write: Callable = sinks.write_months) -> None:
         """Write a fact or mart in its declared types.
 
@@ -232,7 +308,7 @@ class DailyRun:
         seen = Observation()
         watched = df.observe(seen, F.count_if(facts.overflows(df)).alias("lost"))
         write(facts.stored(watched), self.path(name), date, keys)
-        if seen.get["lost"]:
+        if _counted(seen, "lost"):
             self.record(name, checks.error_records(df, name, rules, keys, self.batch, "store", self.at))
 
     def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str],
@@ -242,7 +318,8 @@ class DailyRun:
         in_window = fact.filter(F.col(date).between(low, F.greatest(high, F.lit(self.as_of))))
         self.store(name, in_window, date, keys, write)
 
-    def load_facts(self, t: Mapping[str, DataFrame]) -> None:
+    def load_facts(self, tables: Mapping[str, DataFrame]) -> None:
+        t = tables if isinstance(tables, CleanTables) else CleanTables(tables, {}, frozenset())
         low, high = self.window[0].date(), self.as_of
 
         def sales():
@@ -272,6 +349,7 @@ class DailyRun:
 
         def feedback():
             fact = facts.fact_customer_feedback(facts.feedback_from_source(t))
+            fact = self.member(fact, "FeedbackCategoryKey", "DimFeedbackCategory", "CategoryName")
             self.load_fact("FactCustomerFeedback", fact, "FeedbackDateKey", ["FeedbackID"])
 
         def promotions():
@@ -282,12 +360,14 @@ class DailyRun:
         def finance():
             fact = self.keyed(facts.fact_finance(facts.invoices_from_source(t)), "InvoiceDateKey",
                               "DimCustomer", "DimStore")
+            fact = self.member(fact, "FinanceCategoryKey", "DimFinanceCategory", "CategoryName")
             self.load_fact("FactFinance", fact, "InvoiceDateKey", ["InvoiceID"])
 
         def returned():
             if self.returns is None:
-                raise KeyError("returned lines")
+                self.returns = self.spark.createDataFrame([], RETURNED)
             fact = self.keyed(facts.fact_returns(self.returns), "ReturnDateKey", "DimProduct", "DimCustomer", "DimStore")
+            fact = self.member(fact, "ReturnReasonKey", "DimReturnReason", "ReturnReasonName")
             self.load_fact("FactReturns", fact, "ReturnDateKey", ["ReturnID"])
 
         for name, work in {"FactSales": sales, "FactPurchases": purchases, "FactInventory": inventory,
@@ -299,7 +379,7 @@ class DailyRun:
     def load_marts(self, t: Mapping[str, DataFrame], names: list[str]) -> None:
         def stored(name: str, months: list[str] | None = None) -> DataFrame:
             if name not in self.report.done:
-                raise KeyError(name)
+                raise MissingTable(name)
             return sinks.read_months(self.spark, self.path(name), months)
 
         def ratings() -> DataFrame:
@@ -308,15 +388,18 @@ class DailyRun:
             return reviews.join(keys, "product_id")
 
         def places() -> DataFrame:
-            state = t["person.stateprovince"].select(F.col("stateprovinceid").cast("string").alias("RegionKey"),
-                                                     F.col("territoryid").alias("SalesTerritoryKey"))
-            return self.table("DimCustomer").read().select(
+            state = t["person.stateprovince"].select(
+                F.col("stateprovinceid").cast("long").alias("RegionKey"),
+                F.col("territoryid").cast("long").alias("SalesTerritoryKey"))
+            own = self.table("DimCustomer").read().select(
                 "CustomerKey", F.col("CustomerSegment").alias("SegmentKey"),
-                F.col("StateProvince").alias("RegionKey")).join(state, "RegionKey", "left")
+                or_unknown(F.col("StateProvince").try_cast("long")).alias("RegionKey")).join(state, "RegionKey", "left")
+            return self.member(own, "SegmentKey", "DimCustomerSegment", "SegmentName")
 
         def products() -> DataFrame:
-            return self.table("DimProduct").read().select(
+            own = self.table("DimProduct").read().select(
                 "ProductKey", F.col("Category").alias("ProductCategoryKey"), F.col("Cost").alias("UnitCost"))
+            return self.member(own, "ProductCategoryKey", "DimProductCategory", "CategoryName")
 
         def categories() -> DataFrame:
             return products().drop("UnitCost")
@@ -361,13 +444,14 @@ class DailyRun:
                 written = sorted({shift_month(m, n) for m in self.months for n in range(-reach[0], reach[1] + 1)})
                 read = sorted({shift_month(m, n) for m in written for n in (-1, 0, 1)})
                 fresh = plan(read).filter(F.date_format(date, "yyyy-MM").isin(*written))
-                self.store(name, fresh, date, [date])
+                self.store(name, fresh, date, [date], partial(sinks.write_months, replaced=written))
 
             self.step(name, refresh)
 
     def run(self, mart_names: list[str] | None = None) -> DayReport:
         frames = self.extract()
-        rules = table_rules(self.specs, frames, self.as_of)
+        self.report.not_extracted = sorted(set(self.specs) - set(frames))
+        rules = table_rules(self.specs, frames, self.as_of, self.report.unchecked)
         broken = self.validate(frames, rules)
         self.quarantine(frames, rules, broken)
         blocked = frozenset() if self.allow_failed else frozenset(n for n, r in broken.items() if r.key)

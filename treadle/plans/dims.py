@@ -256,7 +256,8 @@ def stage_employee(t: Tables, as_of: dt.date) -> DataFrame:
     staff = e.select(F.col(ID).alias("EmployeeID"), F.col("jobtitle").alias("JobTitle"), path.alias("_path"),
                      hired.alias("HireDate"), F.when(current, "Active").otherwise("Terminated").alias("EmployeeStatus"),
                      _changed(t, "humanresources.employee"))
-    boss = staff.select(F.col("_path").alias("_boss_path"), F.col("EmployeeID").alias("ManagerID"))
+    # one manager per node: the one with the least id
+    boss = staff.groupBy(F.col("_path").alias("_boss_path")).agg(F.min("EmployeeID").alias("ManagerID"))
     department = t["humanresources.department"].select("departmentid", F.col("name").alias("Department"))
     posts = (
         t["humanresources.employeedepartmenthistory"].filter("enddate IS NULL")

@@ -310,6 +310,31 @@ def q_fk_orphans(spark, folder):
     return bad.withColumnRenamed("rows", "n_rows")
 
 
+def q_fk_window(spark, folder):
+    """Lines of a year whose orders are of the year before: no orphans against whole parents."""
+    year = (dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31))
+    frames = {"orders": extract.within(load(spark, folder, "orders"), "o_orderdate", *year),
+              "lineitem": extract.within(load(spark, folder, "lineitem"), "l_shipdate", *year)}
+    link = checks.ForeignKey(("l_orderkey",), "orders", ("o_orderkey",))
+    rules = {"lineitem": checks.TableRules((), (), (link,))}
+    whole = {n: load(spark, folder, n) for n in frames}
+    return _union(checks.findings(frames, rules, parents).select(F.lit(name).alias("parents"), "table_name", "violations")
+                  for name, parents in (("whole", whole), ("window", frames)))
+
+
+def q_retry(spark, folder):
+    """Error records of large line discounts after a retry in which those of returned lines passed."""
+    lines = load(spark, folder, "lineitem")
+    rule = checks.Rule("large_discount", "check", "l_discount > 0.08", "Discount above 8 %", checks.ERROR)
+    key = ["l_orderkey", "l_linenumber"]
+    records = checks.error_records(lines, "lineitem", [rule], key, "batch-1", "validate", dt.datetime(2001, 12, 31, 6, 0))
+    natural = records.select("SourceTable", "RecordNaturalKey")
+    passed = checks.error_records(lines.filter("l_returnflag = 'R'"), "lineitem", [rule], key, "batch-1", "validate",
+                                  dt.datetime(2001, 12, 31, 6, 0)).select(*natural.columns)
+    again = checks.record_retry(records, passed, dt.datetime(2002, 1, 1, 6, 0), "passed on retry")
+    return again.groupBy("IsResolved", "RetryCount", "ResolutionComment").agg(F.count("*").alias("records"))
+
+
 def q_summary(spark, folder):
     frames, rules = _rules(spark, folder)
     out = checks.summarize(checks.findings(frames, rules))
@@ -627,6 +652,8 @@ QUERIES: dict[str, Job] = {
     "q_check_rules": q_check_rules,
     "q_pk_duplicates": q_pk_duplicates,
     "q_fk_orphans": q_fk_orphans,
+    "q_fk_window": q_fk_window,
+    "q_retry": q_retry,
     "q_summary": q_summary,
     "q_key_records": q_key_records,
     "q_error_records": q_error_records,

@@ -161,6 +161,20 @@ b as (select distinct cast(floor(price / 100) * 100 as decimal(14,2)) as low fro
 select low as band, count(*) as parts, cast(sum(price) as decimal(18,2)) as worth
 from p left join b on price between low and low + 74.5 group by 1"""
 
+ORACLES["q_fk_window"] = """
+with l as (select l_orderkey from lineitem where l_shipdate between timestamp '1997-01-01' and timestamp '1997-12-31')
+select 'whole' as parents, 'lineitem' as table_name, count(*) as violations from l
+where l_orderkey not in (select o_orderkey from orders)
+union all
+select 'window', 'lineitem', count(*) from l where l_orderkey not in (
+  select o_orderkey from orders where o_orderdate between timestamp '1997-01-01' and timestamp '1997-12-31')"""
+
+ORACLES["q_retry"] = """
+with r as (select bool_or(l_returnflag = 'R') over (partition by l_orderkey, l_linenumber) as passed
+           from lineitem where l_discount > 0.08)
+select passed as "IsResolved", 1 as "RetryCount", case when passed then 'passed on retry' end as "ResolutionComment",
+  count(*) as records from r group by 1, 3"""
+
 ORACLES["w_growth"] = _growth("""
 select cast(date_trunc('month', o_orderdate) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
        c_nationkey as "SalesTerritoryKey",
