@@ -49,9 +49,10 @@ def _unit(column: pa.Array, dimensions: int) -> np.ndarray:
 
 def prepared(vectors: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
     """``row``, ``id``, ``label``, ``vector`` and ``content`` (hash of its numbers; null: links with nothing)."""
+    kind = vectors.schema[vector_column].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # floats stay as wide as they are until compared
     rows = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
-                          F.col(label_column).cast("string").alias("label"),
-                          F.col(vector_column).cast("array<double>").alias("vector"))
+                          F.col(label_column).cast("string").alias("label"), F.col(vector_column).cast(kind).alias("vector"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +66,7 @@ def prepared(vectors: DataFrame, id_column: str, vector_column: str, label_colum
                 found.append(hashlib.md5(x.tobytes()).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
                                              names=[*batch.schema.names, "content"])
-    return rows.mapInArrow(run, "row long, id long, label string, vector array<double>, content binary")
+    return rows.mapInArrow(run, f"row long, id long, label string, vector {kind}, content binary")
 
 
 def keys(distinct: DataFrame, passes: int) -> DataFrame:
@@ -83,8 +84,9 @@ def keys(distinct: DataFrame, passes: int) -> DataFrame:
                         [pa.array(np.full(len(key), p, np.int32)), own.column("label"), pa.array(np.full(len(key), d, np.int32)),
                          pa.array(key.astype(np.int64)), own.column("node"), own.column("vector")],
                         names=["pass", "label", "size", "key", "node", "vector"])
+    kind = distinct.schema["vector"].dataType.simpleString()
     return distinct.select("node", "label", "vector").mapInArrow(
-        run, "pass int, label string, size int, key long, node long, vector array<double>")
+        run, f"pass int, label string, size int, key long, node long, vector {kind}")
 
 
 def ranked(spark: SparkSession, keyed: DataFrame) -> DataFrame:
@@ -169,7 +171,8 @@ def count_links(spark: SparkSession, members: DataFrame, threshold: float, chunk
                                                    F.lit(True).alias("answers"), "node", "weight", "vector")
     large = wide.where(F.col("n") > chunk)
     pivots = large.where(F.col("node") == F.col("root")).select("root", F.col("vector").alias("pivot"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
+                                   F.lit(0.0), lambda s, v: s + v)
     cosine = dot("vector", "pivot") / F.sqrt(dot("vector", "vector") * dot("pivot", "pivot"))
     half = math.cos(math.acos(threshold) / 2) + 1e-9
     placed = large.join(pivots, "root").withColumn("core", cosine >= half).drop("pivot")
