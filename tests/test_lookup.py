@@ -51,6 +51,14 @@ def test_asof_same_column_names_and_two_keys(frame, rows):
     assert rows(got, "b", "out") == [("x", 7), ("y", None)]
 
 
+def test_facts_without_a_key_stay(frame, rows):
+    versions = frame([(1, dt.date(2020, 1, 1), None, 7), (None, dt.date(2020, 1, 1), None, 8)],
+                     "k int, ValidFromDate date, ValidToDate date, out int")
+    facts = frame([(1, dt.date(2020, 2, 1)), (None, dt.date(2020, 2, 1)), (None, None), (1, None)] * 3, "a int, d date")
+    got = lookup.asof_lookup(facts, versions, {"a": "k"}, "d", {"out": "out"}, **SPAN)
+    assert sorted((r.a or 0, r.out or 0) for r in got.collect()) == [(0, 0)] * 6 + [(1, 0)] * 3 + [(1, 7)] * 3
+
+
 def test_band_lookup(frame, rows):
     bands = frame([("fresh", 0, 30), ("aged", 31, 90), ("old", 91, None)], "name string, lo int, hi int")
     df = frame([(-1,), (0,), (30,), (31,), (90,), (91,), (5000,), (None,)], "n int")

@@ -13,6 +13,10 @@ UNKNOWN = -1
 SLICES = {"year": "interval 1 year", "quarter": "interval 3 months", "month": "interval 1 month"}
 
 
+#: Tasks that facts without a key are spread over, per slice.
+_SPREAD = 1024
+
+
 def _slice(day: Column, since: dt.date, until: dt.date, unit: str) -> Column:
     inside = F.least(F.greatest(day, F.lit(since)), F.lit(until))
     return F.trunc(inside, unit)
@@ -43,16 +47,26 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, on: Mapping[str, str], at
     hi = F.greatest(_slice(last, since, until, unit=slice_unit), lo)
     step = F.expr(SLICES[slice_unit])
 
+    def missing(names) -> Column:
+        test = F.lit(False)
+        for n in names:
+            test = test | F.col(n).isNull()
+        return test
+
     right = versions.select(
         *[F.col(v).alias(f"_k{i}") for i, v in enumerate(on.values())],
+        F.when(missing(on.values()), 1).otherwise(0).alias("_known"),
         *[F.col(v).alias(f"_t{i}") for i, v in enumerate(take.values())],
         F.col(valid_from).cast("date").alias("_from"),
         F.col(valid_to).cast("date").alias("_to"),
         F.explode(F.sequence(lo, hi, step)).alias("_slice"),
     )
     when = F.col(at).cast("date")
-    left = facts.withColumn("_fslice", _slice(when, since, until, unit=slice_unit))
-    match = (F.col("_fslice") == F.col("_slice")) & (when >= F.col("_from"))
+    # a fact without a key finds no version; spread by its content, such facts don't meet in one task
+    alone = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(_SPREAD)).cast("int") + 2
+    left = facts.withColumn("_fslice", _slice(when, since, until, unit=slice_unit)).withColumn(
+        "_fknown", F.when(missing(on), alone).otherwise(0))
+    match = (F.col("_fslice") == F.col("_slice")) & (F.col("_fknown") == F.col("_known")) & (when >= F.col("_from"))
     end = when <= F.col("_to") if closed else when < F.col("_to")
     match = match & (F.col("_to").isNull() | end)
     for i, fact_column in enumerate(on):

@@ -479,6 +479,23 @@ def k1_fact_sales(spark, folder):
     return facts.fact_sales(r.lines(spark, folder))
 
 
+def k1_fact_sales_keyed(spark, folder):
+    """Sales with the surrogate key of the customer version of their day, by that version.
+
+    The key is checked by its way back: it has to lead to one version, of the sale's own customer.
+    """
+    versions = _priority_versions(spark, folder)
+    versions = versions.withColumn("CustomerSK", history.surrogate_key([F.col("o_custkey")], F.col("ValidFromDate")))
+    sales = k1_fact_sales(spark, folder).withColumn("customer", F.col("CustomerKey"))
+    links = {"CustomerKey": facts.Link(versions, "o_custkey", "CustomerSK")}
+    keyed = facts.with_surrogates(sales, "SalesDateKey", links, SINCE, UNTIL)
+    sums = keyed.groupBy("CustomerKey", "customer").agg(F.count("*").alias("sales"), F.sum("SalesRevenue").cast(
+        "decimal(18,2)").alias("revenue"))
+    back = versions.select(F.col("CustomerSK").alias("CustomerKey"), "o_custkey", F.col("ValidFromDate").alias("valid_from"))
+    return sums.join(back, "CustomerKey", "left").select(
+        "customer", F.col("o_custkey").alias("found"), "valid_from", "sales", "revenue")
+
+
 def k2_fact_purchases(spark, folder):
     return facts.fact_purchases(r.purchase_lines(spark, folder))
 
@@ -677,6 +694,7 @@ QUERIES: dict[str, Job] = {
     "d_scd1_upsert": d_scd1_upsert,
     "d_date": d_date,
     "k1_fact_sales": k1_fact_sales,
+    "k1_fact_sales_keyed": k1_fact_sales_keyed,
     "k2_fact_purchases": k2_fact_purchases,
     "k3_fact_inventory": k3_fact_inventory,
     "k4_fact_production": k4_fact_production,

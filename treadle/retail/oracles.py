@@ -175,6 +175,13 @@ with r as (select bool_or(l_returnflag = 'R') over (partition by l_orderkey, l_l
 select passed as "IsResolved", 1 as "RetryCount", case when passed then 'passed on retry' end as "ResolutionComment",
   count(*) as records from r group by 1, 3"""
 
+ORACLES["k1_fact_sales_keyed"] = f"""
+with {_STATES}, {_LINES}
+select customer_id as customer, o_custkey as found, vf as valid_from, count(*) as sales,
+  cast(sum(revenue) as decimal(18,2)) as revenue
+from lines left join versions on o_custkey = customer_id and order_date >= vf and (vt is null or order_date < vt)
+group by 1, 2, 3"""
+
 ORACLES["w_growth"] = _growth("""
 select cast(date_trunc('month', o_orderdate) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
        c_nationkey as "SalesTerritoryKey",
