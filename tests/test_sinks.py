@@ -115,6 +115,15 @@ def test_prune_keeps_what_readers_need(spark, tmp_path, frame, rows):
     assert dim.prune(keep=1) and rows(dim.read()) == before and len(dim.versions()) == 1
 
 
+def test_a_month_that_comes_out_empty_is_cleared(spark, tmp_path, frame, rows):
+    path, schema = str(tmp_path / "m"), "k int, day date"
+    sinks.write_months(frame([(1, D(2020, 1, 5)), (2, D(2020, 2, 5)), (3, D(2020, 3, 5))], schema), path, "day")
+    sinks.write_months(frame([(4, D(2020, 1, 6))], schema), path, "day", replaced=["2020-01", "2020-02"])
+    assert rows(sinks.read_months(spark, path), "k") == [(3,), (4,)]
+    sinks.write_months(frame([], schema), path, "day", replaced=["2020-03"])
+    assert rows(sinks.read_months(spark, path), "k") == [(4,)]
+
+
 def test_a_read_costs_the_same_calls_at_any_number_of_versions(spark, tmp_path, frame, monkeypatch):
     from treadle.operators import history
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def _sized(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -43,17 +43,27 @@ def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), m
     with the same rows gives the same table.  ``replaced`` names the months (``yyyy-MM``) that are
     being replaced: one that comes out empty loses its old rows.
     """
-    spark = df.sparkSession
-    ready = _sized(with_month(df, day, month), [month])
+    dated, seen = with_month(df, day, month), Observation()
+    if replaced:  # the months among them that have rows are noted while writing
+        dated = dated.observe(seen, F.collect_set(F.when(F.col(month).isin(*replaced), F.col(month))).alias("left"))
+    ready = _sized(dated, [month])
     if keys:
         ready = ready.sortWithinPartitions(month, *keys)
     (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month).parquet(path))
     if replaced:
-        # a row per month, and only those that were to be replaced
-        left = {r[0] for r in with_month(df, day, month).filter(F.col(month).isin(*replaced)).select(month).distinct().collect()}
-        for gone in sorted(set(replaced) - left):
-            drop_folder(spark, f"{path}/{month}={gone}")
+        for gone in sorted(set(replaced) - set(observed(seen, "left", ()))):
+            drop_folder(df.sparkSession, f"{path}/{month}={gone}")
+
+
+def observed(seen: Observation, name: str, without_rows):
+    """What was noted during a write; a plan known to be empty is optimized away with its observer."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as none:
+        if "assertion failed" not in str(none):
+            raise
+        return without_rows
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -143,16 +142,6 @@ def _resolves(df: DataFrame, predicate: str) -> bool:
     return True
 
 
-def _counted(seen: Observation, name: str) -> int:
-    """A count taken during a write; a plan known to be empty is optimized away with its counter."""
-    try:
-        return seen.get[name]
-    except Py4JJavaError as none:
-        if "assertion failed" not in str(none):
-            raise
-        return 0
-
-
 class DailyRun:
     def __init__(self, spark: SparkSession, specs: Mapping[str, TableSpec], read: Reader, root: str,
                  as_of: dt.date, *, batch: str, window: tuple[dt.datetime, dt.datetime] = FACT_WINDOW,
@@ -308,7 +297,7 @@ class DailyRun:
         seen = Observation()
         watched = df.observe(seen, F.count_if(facts.overflows(df)).alias("lost"))
         write(facts.stored(watched), self.path(name), date, keys)
-        if _counted(seen, "lost"):
+        if sinks.observed(seen, "lost", 0):
             self.record(name, checks.error_records(df, name, rules, keys, self.batch, "store", self.at))
 
     def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str],

@@ -20,6 +20,15 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: In local mode only.  There, tables are small files of one row group, so a scan is one task, and a
+#: join broadcast into it would keep the whole stage on one core.  A cluster keeps Spark's own limit:
+#: there a broadcast spares the large side its shuffle.
+LOCAL_CONF = {"spark.sql.autoBroadcastJoinThreshold": "256k"}
+
+
+def _runtime_conf(spark: SparkSession) -> dict[str, str]:
+    return {**RUNTIME_CONF, **(LOCAL_CONF if spark.sparkContext.master.startswith("local[") else {})}
+
 
 def build_session(app: str = "treadle", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -31,7 +40,11 @@ def build_session(app: str = "treadle", master: str | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return _with_code(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    for key, value in _runtime_conf(spark).items():
+        if key not in conf:
+            spark.conf.set(key, value)
+    return _with_code(spark)
 
 
 def _with_code(spark: SparkSession) -> SparkSession:
@@ -49,7 +62,7 @@ def _with_code(spark: SparkSession) -> SparkSession:
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
-    for key, value in RUNTIME_CONF.items():
+    for key, value in _runtime_conf(spark).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return _with_code(spark)
