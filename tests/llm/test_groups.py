@@ -157,8 +157,10 @@ def brute(texts, size, part, whole):
     return [len(s) for s in sets], roots_of(len(sets), links)
 
 
-@pytest.mark.parametrize("size,part,chunk,seed", [(3, 90, 512, 3), (5, 80, 512, 4), (3, 80, 2, 5), (1, 50, 3, 6), (2, 70, 512, 7)])
-def test_similar_documents(spark, documents, size, part, chunk, seed):
+@pytest.mark.parametrize("size,part,chunk,seed,few", [
+    (3, 90, 512, 3, 9), (5, 80, 512, 4, 0), (3, 80, 2, 5, 10**6), (1, 50, 3, 6, 0), (2, 70, 512, 7, 10**6)])
+def test_similar_documents(spark, documents, monkeypatch, size, part, chunk, seed, few):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", few)
     texts = [*mutated(seed), None, "", " \t", "ONE", "one", "é É"]
     docs = documents(texts, [10 + k for k in range(len(texts))]).repartition(3)
     got = {r.id: r for r in jaccard.similar_documents(spark, docs, size, part, chunk=chunk).collect()}
@@ -185,8 +187,9 @@ def test_entries_meet_for_every_similar_pair():
                 for window in {k >> 56 & 255 for k in ka.tolist()} & {k >> 56 & 255 for k in kb.tolist()}:
                     worth = []
                     for k, t, other in ((ka, ta, kb), (kb, tb, ka)):
-                        tags = {int(x) for y, x in zip(k, t) if int(y) >> 56 & 255 == window and y in set(other.tolist())}
-                        worth.append(sum(x & 3 for x in tags) >= max((x >> 21 for x in tags), default=1 << 30))
+                        tags = {(int(x), int(y) if x & 3 == 1 else 0) for y, x in zip(k, t)
+                                if int(y) >> 56 & 255 == window and y in set(other.tolist())}
+                        worth.append(sum(x & 3 for x, _ in tags) >= max((x >> 21 for x, _ in tags), default=1 << 30))
                     met |= all(worth)
                 assert met, (part, len(a), len(b))
 

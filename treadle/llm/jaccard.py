@@ -42,6 +42,8 @@ from treadle.session import run_folder
 
 #: Documents in a chunk of a family; growth of the windows.
 CHUNK, GROWTH = 512, 1.25
+#: Rows of a few numbers that may be broadcast (some 20 MB).
+BROADCAST_ROWS = 200_000
 #: Chance that two shingles that stand alone in a segment are equal, for the cost model.
 CHANCE = 1e-4
 #: Sets a task remembers to index equal ones once.
@@ -140,7 +142,10 @@ def windows_of(n: int, part: int, whole: int, documents: int) -> Iterator[Layout
 
 
 def entries(found: np.ndarray, windows: Iterator[Layout]) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries of a set, with a tag each: what it counts on << 21 | segment << 2 | allowance."""
+    """Index entries of a set, with a tag each: what it counts on << 21 | segment << 2 | allowance.
+
+    A segment of allowance 1 has one entry and needs no number, so most tags of a set are the same.
+    """
     n, keys, tags = len(found), [], []
     value = mixed(found ^ MIX)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
@@ -161,7 +166,8 @@ def entries(found: np.ndarray, windows: Iterator[Layout]) -> tuple[np.ndarray, n
         if counted_on < 1:  # found through the common entry of such sets
             key, own, counted_on = np.append(key, np.uint64(0)), np.append(own, 0), 1
         keys.append((key >> np.uint64(8)) | (np.uint64(w.number) << np.uint64(56)))
-        tags.append(counted_on << 21 | own << 2 | w.allowances[own])
+        allowance = w.allowances[own]
+        tags.append(counted_on << 21 | np.where(allowance == 2, own, 0) << 2 | allowance)
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     return np.concatenate(keys).view(np.int64), np.concatenate(tags).astype(np.int32)
@@ -265,8 +271,10 @@ def candidates(spark: SparkSession, index: DataFrame) -> DataFrame:
         marked.where("seam").join(seams.select("key"), "key").drop("seam")).distinct()
     window = F.shiftrightunsigned("key", 56)
     for _ in range(2):  # sets that drop out may leave others alone
-        worth = found.groupBy("node", window.alias("window"), F.col("tag")).agg(F.lit(1).alias("one")).groupBy(
-            "node", "window", F.shiftright("tag", 21).alias("counts_on")).agg(F.sum(F.col("tag").bitwiseAND(F.lit(3))).alias("worth"))
+        # a segment counts once: one of allowance 2 by its number, the others by their only entry
+        allowance = F.col("tag").bitwiseAND(F.lit(3))
+        worth = found.select("node", window.alias("window"), "tag", F.when(allowance == 1, F.col("key")).alias("own")).distinct().groupBy(
+            "node", "window", F.shiftright("tag", 21).alias("counts_on")).agg(F.sum(allowance).alias("worth"))
         kept = worth.where("worth >= counts_on").select("node", F.col("window").alias("w"))
         found = found.withColumn("w", window).join(kept, ["node", "w"], "left_semi").drop("w")
         several = found.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
@@ -324,6 +332,17 @@ def linked_sets(table: pa.Table, size: int, part: int, whole: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
+def few(rows: DataFrame) -> DataFrame:
+    """``rows`` of ids and numbers for a join with all texts: counted, and broadcast if there are few.
+
+    Then the texts stay where they are; beyond the bound both sides are shuffled, with the same result.
+    """
+    folder = run_folder(rows.sparkSession, "wanted")
+    rows.write.parquet(folder)
+    stored = rows.sparkSession.read.parquet(folder)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def verified(docs: DataFrame, index: DataFrame, families: DataFrame, size: int, part: int, whole: int, chunk: int,
              id_column: str, text_column: str) -> DataFrame:
     """Exact links a, b between the sets of each family; one text of each set is read again."""
@@ -335,6 +354,7 @@ def verified(docs: DataFrame, index: DataFrame, families: DataFrame, size: int,
     wanted = members.join(sizes, "root").withColumn("chunks", chunks).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     texts = docs.select(F.col(id_column).alias("own_id"), F.xxhash64(text_column).alias("text_key"), F.col(text_column).alias("text"))
+    wanted = few(wanted)
     read = texts.join(wanted, (texts["text_key"] == wanted["text_key"]) & texts["own_id"].eqNullSafe(wanted["id"])).select(
         "root", "node", "text", "own", "chunks")
     other = F.explode(F.expr("sequence(0, chunks - 1)"))
@@ -384,6 +404,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, part: int =
     going = placed.join(best, "group").where(
         ~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("text_key") == F.col("best.text_key")))).select(
         F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    going = few(going)
     again = placed.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
     key = F.xxhash64(text_column)
     kept = docs.join(going, docs[id_column].eqNullSafe(going["gone_id"]) & (key == going["gone_key"]), "left_anti")
