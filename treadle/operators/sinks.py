@@ -85,6 +85,13 @@ def append_months(df: DataFrame, path: str, day: str, month: str = "month") -> N
     with_month(df, day, month).write.mode("append").partitionBy(month).parquet(path)
 
 
+def replace_records(records: DataFrame, path: str, batch: str, source: str, day: str = "ErrorDate") -> None:
+    """Write a batch's error records of one table in place of those it wrote before."""
+    (with_month(records, day).withColumn("batch", F.lit(batch)).withColumn("source", F.lit(source))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month", "batch", "source").parquet(path))
+
+
 def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None,
                 month: str = "month") -> DataFrame:
     """A month-partitioned table; a list of months prunes the folders that are read."""

@@ -205,10 +205,7 @@ class DailyRun:
                 self.record(name, checks.union_all(parts))
 
     def record(self, source: str, records: DataFrame) -> None:
-        (sinks.with_month(records, "ErrorDate")
-         .withColumn("batch", F.lit(self.batch)).withColumn("source", F.lit(source))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("month", "batch", "source").parquet(self.path("error_records")))
+        sinks.replace_records(records, self.path("error_records"), self.batch, source)
 
     def step(self, name: str, work: Callable[[], None]) -> None:
         """Run a step; one whose tables are missing or blocked is reported, not fatal."""

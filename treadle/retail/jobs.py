@@ -351,14 +351,20 @@ def q_key_records(spark, folder):
 
 
 def q_error_records(spark, folder):
-    """Quarantine of three tables through the error sink, with its balance."""
+    """Quarantine of all tables with rules, for rules of every kind, through the run's writer, with its balance.
+
+    One table is written twice, as by a second run: its records are replaced, not doubled.
+    """
     frames, rules = _rules(spark, folder)
-    at = dt.datetime(2001, 12, 31, 6, 0)
-    keys = {"customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
+    run = ("batch-1", "validate", dt.datetime(2001, 12, 31, 6, 0))
+    keys = {n: list(rules[n].key) for n in frames}
     path = run_folder(spark, "error_records")
-    records = _union(checks.error_records(frames[n], n, rules[n].rules, k, "batch-1", "validate", at)
-                     for n, k in keys.items())
-    sinks.append_months(records, path, "ErrorDate")
+    for n in [*keys, "orders"]:
+        parts = [checks.error_records(frames[n], n, rules[n].rules, keys[n], *run),
+                 checks.key_error_records(frames[n], n, keys[n], *run)]
+        parts += [checks.orphan_error_records(frames[n], n, fk, frames[fk.parent], keys[n], *run)
+                  for fk in rules[n].foreign_keys]
+        sinks.replace_records(checks.union_all(parts), path, run[0], n)
     counted = (
         sinks.read_months(spark, path).groupBy("SourceTable", "ErrorType", "ErrorSeverity", "ErrorMessage")
         .agg(F.count("*").alias("records"), F.count("FailedData").alias("payloads"))

@@ -272,7 +272,11 @@ lists as (
   from found group by 1)
 select table_name, case when errors = '' then 'PASS' else 'FAIL' end as status, errors, warnings from lists"""
 
-_SUNK = ("customer", "orders", "lineitem")
+_SUNK = ("customer", "supplier", "part", "orders", "lineitem")
+_SUNK_KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+              "lineitem": "l_orderkey, l_linenumber"}
+_SUNK_LINKS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+               ("orders", "o_custkey", "customer", "c_custkey")]
 _KINDS = {"Nulls": "required", "Longer": "length", "Negative": "negative", "Future": "future"}
 
 
@@ -287,7 +291,14 @@ def _record_counts() -> str:
         f"select '{t}' as \"SourceTable\", '{k}' as \"ErrorType\", '{s}' as \"ErrorSeverity\", {_text(m)} as \"ErrorMessage\", "
         f"count(*) filter (where {p}) as records, count(*) filter (where {p}) as payloads from {t}"
         for t, k, s, m, p in parts)
-    return f"select * from ({rows}) where records > 0"
+    for t, k in _SUNK_KEYS.items():
+        rows += (f" union all select '{t}', 'primary_key', 'ERROR', 'Duplicate primary keys', coalesce(sum(n), 0), coalesce(sum(n), 0) "
+                 f"from (select count(*) as n from {t} group by {k} having count(*) > 1)")
+    for t, c, parent, k in _SUNK_LINKS:
+        rows += (f" union all select '{t}', 'foreign_key', 'ERROR', 'No row in {parent}', count(*), count(*) "
+                 f"from {t} where {c} is not null and {c} not in (select {k} from {parent} where {k} is not null)")
+    return f"""select "SourceTable", "ErrorType", "ErrorSeverity", "ErrorMessage", cast(sum(records) as bigint) as records,
+      cast(sum(payloads) as bigint) as payloads from ({rows}) where records > 0 group by all"""
 
 
 def _balance() -> str:
