@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows go to Python in batches bounded by bytes, as ten thousand long texts fill a worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 #: In local mode only.  There, tables are small files of one row group, so a scan is one task, and a
