@@ -33,5 +33,6 @@ def map_texts(rows: DataFrame, make: Callable[[], Callable[[list], Iterable[tupl
             columns = list(zip(*out)) if out else [[]] * len(arrow)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, out_type)

@@ -41,7 +41,7 @@ from treadle.llm.components import components
 from treadle.session import run_folder
 
 #: Documents in a chunk of a family; growth of the windows.
-CHUNK, GROWTH = 512, 1.25
+CHUNK, GROWTH = 256, 1.25
 #: Rows of a few numbers that may be broadcast (some 20 MB).
 BROADCAST_ROWS = 200_000
 #: Chance that two shingles that stand alone in a segment are equal, for the cost model.
@@ -327,6 +327,7 @@ def linked_sets(table: pa.Table, size: int, part: int, whole: int) -> pa.Table:
         i, j = find(int(i)), find(int(j))
         if i != j:
             root[max(i, j)] = min(i, j)
+    pa.default_memory_pool().release_unused()
     names = [n for n, *_ in everything]
     pairs = [(names[k], names[find(k)]) for k in range(len(names)) if find(k) != k]
     return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})

@@ -32,10 +32,10 @@ from tokenizers import Tokenizer
 from treadle.llm.batches import id_and_text
 from treadle.session import run_folder
 
-#: Words a worker remembers before it starts anew.
-CACHE_ENTRIES = 500_000
-#: Forms encoded in one call; texts whose words are numbered together.
-CALL, SLICE = 1000, 2500
+#: Words a worker remembers before it starts anew; with the slices, what bounds its memory.
+CACHE_ENTRIES = 150_000
+#: Forms encoded in one call; bytes of texts whose words are numbered together.
+CALL, SLICE_BYTES = 1000, 1 << 21
 #: Latin letters whose lower case is one letter, and the marks that may follow a word.
 LETTERS_AND_MARKS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[!-/:-@\[-`{-~]*$"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
@@ -48,6 +48,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + k + (b > 32)) for k, b in enumerate(hidden)}
 
 
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts (column 1) have at most ``most`` bytes, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def listed(strings: pa.Array) -> list[str]:
     return strings.to_numpy(zero_copy_only=False).tolist()
 
@@ -129,6 +140,11 @@ class WordEncoder:
         offsets = lists.offsets.to_numpy()
         return ids, place[offsets - offsets[0]]
 
+    def forget(self) -> None:
+        """Give memory back: the worker may go on with other work."""
+        self.known = {"": b""}
+        pa.default_memory_pool().release_unused()
+
     def encode_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text; a null text is empty."""
         texts = pc.fill_null(texts, "")
@@ -163,8 +179,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, seen, schema = encoder(tokenizer), TaskContext.get().partitionId(), defaultdict(int), to_arrow_schema(out)
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+            for batch in slices(whole, SLICE_BYTES):
                 found = []
                 for i, ids in zip(batch.column(0).to_pylist(), own.encode_texts(batch.column(1))):
                     ids = ids.tobytes() + end
@@ -175,6 +190,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col
                         seen[n] += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+        own.forget()
 
     return rows.mapInArrow(run, out)
 
