@@ -74,6 +74,26 @@ def test_vectors(spark, chunk):
     assert by[None].n_links == near[-1].sum() and not by[None].kept
 
 
+def test_isolated_pairs_of_a_long_order_are_found(spark):
+    own = np.random.default_rng(11)
+    x, y = own.standard_normal((2, 1500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(axis=1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    pairs = np.concatenate([x, 0.932 * x + math.sqrt(1 - 0.932 ** 2) * y])
+    table = spark.createDataFrame([(k, v, 0) for k, v in enumerate(pairs.tolist())], "vec_id long, embedding array<double>, label int")
+    got = embeddings.near_duplicates(spark, table, window=2)  # as long for its window as 96,000 vectors for one of 64
+    assert got.where("n_links = 0").count() <= 2 and got.count() == 3000
+
+
+def test_passes_grow_with_the_order():
+    for bits in (0, 5, 11, 17):
+        found = (1 - math.acos(0.93) / math.pi) ** bits
+        n = embeddings.passes_for(bits, 0.93, 1e-4)
+        assert (1 - found) ** n <= 1e-4 and (n == 1 or (1 - found) ** (n - 1) > 1e-4)
+    assert embeddings.passes_for(20, 1.0, 1e-4) == 1
+
+
 def test_no_vectors(spark):
     assert embeddings.near_duplicates(spark, spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

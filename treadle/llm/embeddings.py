@@ -5,6 +5,9 @@ a label by that key.  Vectors close in angle share long beginnings, so each is c
 of neighbours only.  The order is laid out over blocks by global rank, with the window's overlap, so
 one hot key or label never fills one task.  Verified pairs of all passes are united to components.
 
+The longer the order, the more leading bits a pair has to share to stand in one window, so each label
+has as many passes as keep the chance to miss an isolated pair at the threshold under ``MISS``.
+
 Windows are bounded, and a dense cluster has more links than windows hold.  So links are counted in a
 second step, exactly within each component: its members are compared in chunks.  Members within half
 the threshold's angle of the component's pivot are linked to each other without being compared, which
@@ -29,10 +32,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from treadle.llm.components import components
+from treadle.llm.jaccard import few
 from treadle.session import run_folder
 
-#: Passes, bits per key, neighbours compared, rows of a block, members of a chunk.
+#: Least passes, bits per key, neighbours compared, rows of a block, members of a chunk.
 PASSES, BITS, WINDOW, BLOCK, CHUNK = 12, 48, 64, 4096, 2048
+#: Chance that no pass finds a pair at the threshold that only it links, for evenly spread keys.
+MISS = 1e-4
 SEED = 20_26
 
 
@@ -69,8 +75,27 @@ def prepared(vectors: DataFrame, id_column: str, vector_column: str, label_colum
     return rows.mapInArrow(run, f"row long, id long, label string, vector {kind}, content binary")
 
 
-def keys(distinct: DataFrame, passes: int) -> DataFrame:
-    """``distinct`` (node, label, vector) once per pass, with the pass's ``key``."""
+def passes_for(bits: int, threshold: float, miss: float) -> int:
+    """Passes after which a pair at the threshold has missed ``bits`` equal leading bits in all with chance ``miss``."""
+    found = (1 - math.acos(threshold) / math.pi) ** bits
+    return 1 if found >= 1 else math.ceil(math.log(miss) / math.log1p(-found))
+
+
+def with_passes(distinct: DataFrame, threshold: float, passes: int, window: int, miss: float) -> DataFrame:
+    """``distinct`` with the ``passes`` of its label and length: ``passes``, and more where the order is long.
+
+    A window holds the vectors that share log2(n / window) leading bits.
+    """
+    needed = F.array(*[F.lit(passes_for(bits, threshold, miss)) for bits in range(BITS + 1)])
+    bits = F.least(F.greatest(F.ceil(F.log2(F.col("n") / window)), F.lit(0)), F.lit(BITS)).cast("int")
+    large = distinct.groupBy("label", F.size("vector").alias("size")).agg(F.count("*").alias("n")).select(
+        "label", "size", F.get(needed, bits).alias("more")).where(F.col("more") > passes)
+    return distinct.withColumn("size", F.size("vector")).join(few(large), ["label", "size"], "left").select(
+        "node", "label", "vector", F.coalesce("more", F.lit(passes)).alias("passes"))
+
+
+def keys(distinct: DataFrame) -> DataFrame:
+    """``distinct`` (node, label, vector, passes) once per pass, with the pass's ``key``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.asarray(pa.compute.list_value_length(batch.column("vector")))
@@ -78,14 +103,17 @@ def keys(distinct: DataFrame, passes: int) -> DataFrame:
                 own = batch.filter(pa.array(sizes == d))
                 x = _unit(own.column("vector"), int(d))
                 powers = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-                for p in range(passes):
+                passes = own.column("passes").to_numpy()
+                for p in range(passes.max()):
+                    if (ends := passes <= p).any():
+                        own, x, passes = own.filter(pa.array(~ends)), x[~ends], passes[~ends]
                     key = ((x @ projections(int(d), p)) > 0) @ powers
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(key), p, np.int32)), own.column("label"), pa.array(np.full(len(key), d, np.int32)),
                          pa.array(key.astype(np.int64)), own.column("node"), own.column("vector")],
                         names=["pass", "label", "size", "key", "node", "vector"])
     kind = distinct.schema["vector"].dataType.simpleString()
-    return distinct.select("node", "label", "vector").mapInArrow(
+    return distinct.select("node", "label", "vector", "passes").mapInArrow(
         run, f"pass int, label string, size int, key long, node long, vector {kind}")
 
 
@@ -217,8 +245,11 @@ def count_links(spark: SparkSession, members: DataFrame, threshold: float, chunk
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.93, passes: int = PASSES,
                     window: int = WINDOW, block: int = BLOCK, chunk: int = CHUNK, id_column: str = "vec_id",
-                    vector_column: str = "embedding", label_column: str = "label") -> DataFrame:
-    """One row per input row: ``id``, ``n_links``, ``component_id`` (least id), ``kept``."""
+                    vector_column: str = "embedding", label_column: str = "label", miss: float = MISS) -> DataFrame:
+    """One row per input row: ``id``, ``n_links``, ``component_id`` (least id), ``kept``.
+
+    ``passes`` is the least number; labels of many vectors have as many as ``miss`` needs.
+    """
     folder = run_folder(spark, "vectors")
     prepared(vectors, id_column, vector_column, label_column).write.parquet(folder)
     rows = spark.read.parquet(folder)
@@ -229,7 +260,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     distinct_folder = run_folder(spark, "distinct")
     distinct.write.parquet(distinct_folder)
     distinct = spark.read.parquet(distinct_folder)
-    links = window_links(ranked(spark, keys(distinct, passes)), threshold, window, block)
+    links = window_links(ranked(spark, keys(with_passes(distinct, threshold, passes, window, miss))), threshold, window, block)
     found = components(spark, links)
     roots = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     counted = count_links(spark, distinct.join(roots, "node"), threshold, chunk)
