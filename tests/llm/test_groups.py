@@ -214,6 +214,42 @@ def test_entries_meet_for_every_similar_pair():
                 assert met, (part, len(a), len(b))
 
 
+def kept_by_entries(a, b, part, documents):
+    """Whether two sets share entries of one window worth what each of them counts on."""
+    (ka, ta), (kb, tb) = (jaccard.entries(s, jaccard.windows_of(len(s), part, 100, documents)) for s in (a, b))
+    shared = set(ka.tolist()) & set(kb.tolist())
+    for window in {k >> 56 & 255 for k in shared}:
+        worth = []
+        for keys, tags in ((ka, ta), (kb, tb)):
+            own = {(int(t), k if t & 3 == 1 else 0) for k, t in zip(keys.tolist(), tags) if k in shared and k >> 56 & 255 == window}
+            worth.append(sum(t & 3 for t, _ in own) >= max(t >> 21 for t, _ in own))
+        if all(worth):
+            return True
+    return False
+
+
+def test_one_shingle_meets_two_in_a_segment_of_allowance_two():
+    wide = [w for w in jaccard.windows_of(12, 80, 100, 10 ** 6) if w.allowances.tolist() == [2, 2, 1, 1] and w.slack == 2]
+    assert wide
+    edges = [0, *wide[0].borders.tolist(), 1 << 64]
+    place = lambda segment, k: edges[segment] + (k + 1) * ((edges[segment + 1] - edges[segment]) // 64)
+    small = [place(0, 0)] + [place(1, k) for k in range(7)] + [place(2, k) for k in range(2)] + [place(3, k) for k in range(2)]
+    large = small + [place(0, 9), place(2, 9), place(3, 9)]
+    small, large = (np.sort(np.array(s, dtype=np.uint64)) for s in (small, large))
+    assert (len(small), len(large)) == (12, 15) and kept_by_entries(small, large, 80, 10 ** 6)
+
+
+def test_a_subset_at_the_threshold_is_kept_at_any_table_size():
+    own = np.random.default_rng(12)
+    for _ in range(4000):
+        part, documents = int(own.choice([60, 80, 90])), int(own.choice([10 ** 3, 10 ** 6, 10 ** 9, 10 ** 12]))
+        n = int(own.integers(3, 60))
+        large = np.unique(own.integers(0, 1 << 64, n * 100 // part, dtype=np.uint64))
+        small = np.sort(own.choice(large, n, replace=False))
+        if len(small) < len(large):
+            assert kept_by_entries(small, large, part, documents), (part, documents, len(small), len(large))
+
+
 def test_one_of_each(spark, documents, rows):
     texts = ["a b c d e f g", "a b c d e f g", "other words", None, "", "A B C D E F G", "other words"]
     docs = documents(texts, [3, 3, 5, 6, None, 2, 7])

@@ -142,9 +142,11 @@ def windows_of(n: int, part: int, whole: int, documents: int) -> Iterator[Layout
 
 
 def entries(found: np.ndarray, windows: Iterator[Layout]) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries of a set, with a tag each: what it counts on << 21 | segment << 2 | allowance.
+    """Index entries of a set, with a tag each: what it counts on << 21 | segment << 2 | worth.
 
     A segment of allowance 1 has one entry and needs no number, so most tags of a set are the same.
+    The only shingle of a segment of allowance 2 is not counted on, but a set with one more counts on
+    meeting it.  So it is an entry worth nothing, or enough if the set counts on no segment at all.
     """
     n, keys, tags = len(found), [], []
     value = mixed(found ^ MIX)
@@ -154,20 +156,21 @@ def entries(found: np.ndarray, windows: Iterator[Layout]) -> tuple[np.ndarray, n
         sizes = edges[1:] - edges[:-1]
         strong = sizes >= w.allowances
         counted_on = w.slack + 1 - int(w.allowances[~strong].sum())
-        segment = np.flatnonzero(strong)
+        segment = np.flatnonzero(sizes > 0)
         subset = sums[edges[1:]][segment] - sums[edges[:-1]][segment]
-        two = w.allowances[segment] == 2
+        two = strong[segment] & (w.allowances[segment] == 2)
         key, own = [subset], [segment]
         for s, total in zip(segment[two].tolist(), subset[two]):
             key.append(total - value[edges[s]:edges[s + 1]])
             own.append(np.full(sizes[s], s))
         own = np.concatenate(own)
         key = mixed(np.concatenate(key) + own.astype(np.uint64) * MIX)
+        worth = np.where(strong[own], w.allowances[own], 0 if counted_on >= 1 else 2)
         if counted_on < 1:  # found through the common entry of such sets
             key, own, counted_on = np.append(key, np.uint64(0)), np.append(own, 0), 1
+            worth = np.append(worth, w.allowances[0])
         keys.append((key >> np.uint64(8)) | (np.uint64(w.number) << np.uint64(56)))
-        allowance = w.allowances[own]
-        tags.append(counted_on << 21 | np.where(allowance == 2, own, 0) << 2 | allowance)
+        tags.append(counted_on << 21 | np.where(worth == 2, own, 0) << 2 | worth)
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     return np.concatenate(keys).view(np.int64), np.concatenate(tags).astype(np.int32)
