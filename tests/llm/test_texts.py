@@ -107,6 +107,16 @@ def test_a_notice_with_changed_words(documents):
     assert r.spans[0].first == 2 and licenses.scan(documents([])).count() == 0
 
 
+def test_the_best_template_of_a_span_is_its_notice(documents):
+    by, by_sa = (next(t for label, t in licenses.NOTICES if label == own) for own in ("cc-by", "cc-by-sa"))
+    given = [by, by_sa, f"{by}. {by_sa}", "some words " + by.replace("a Creative", "the new Creative"), "the mit license the mit license",
+             "the mit license " * 3000, by_sa + " and under the MIT license", "licensed under the mit license or " + by]
+    got = {r.id: r for r in licenses.scan(documents(given)).collect()}
+    assert [got[k].labels for k in range(len(given))] == [
+        "cc-by", "cc-by-sa", "cc-by,cc-by-sa", "cc-by", "", "", "cc-by-sa,mit", "cc-by,mit"]
+    assert [(s.first, s.label) for s in got[2].spans] == [(0, "cc-by"), (13, "cc-by-sa")] and got[4].score < 0.6
+
+
 PATTERNS = dict(email=r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", ip=r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 card=r"[0-9]([\x20-]?[0-9])+", phone=r"\+[0-9][\x20().0-9-]+[0-9]")
 

@@ -2,9 +2,11 @@
 
 Every run of ``K`` words of a text is hashed and joined to the places of the same run in the
 templates.  A match votes for the diagonal ``place in the text - place in the template``.  Votes are
-summed per diagonal, diagonals next to each other are merged (words put in or left out shift a
-notice to a neighbouring diagonal), and a merged group is a notice if it covers enough of its
-template.  A phrase is a template that has to be covered whole on one diagonal.
+chained in the order of both places, on one diagonal or from one to a neighbouring one (words put in
+or left out shift a notice there), so a place of the template counts once.  Then the span is verified:
+its chain has to cover enough of the template's runs and of the span's own words, and where spans
+overlap, the template with most words in common and fewest missing or put in is the notice.  A phrase
+is a template that has to be covered whole on one diagonal; it stands beside any notice.
 
 Defined results: a null text counts as empty; a text without words has no notices and score 0; each
 input row gives one row, also for repeated and null ids; an empty table gives no rows.
@@ -13,15 +15,16 @@ input row gives one row, also for repeated and null ids; an empty table gives no
 from __future__ import annotations
 
 import re
+from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words in a run.
 K = 3
 #: Words a notice may gain or lose between two runs that match.
 DRIFT = 3
-#: Share of a template's runs that a notice covers.
+#: Share of a template's runs, and of its own words, that a notice covers.
 LEAST_COVER = 0.6
 
 # Phrases whose words have to stand consecutively, and wordings of public licenses.
@@ -57,16 +60,17 @@ def listed(phrases, notices) -> list[tuple[bool, str, str]]:
 
 
 def template_runs(spark: SparkSession, phrases, notices) -> DataFrame:
-    """A row per run of a template: run hash, template, its place, number of runs, label and kind."""
+    """A row per run of a template: run hash, template, its place, number of runs, most places of one run, label and kind."""
     rows = []
     for number, (exact, label, text) in enumerate(listed(phrases, notices), 1):
         words = words_of(text)
         if len(words) < K:
             raise ValueError(f"a template needs {K} words: {text!r}")
         runs = len(words) - K + 1
-        rows += [(number, at, runs, label, exact, *words[at:at + K]) for at in range(runs)]
+        repeats = max(Counter(tuple(words[at:at + K]) for at in range(runs)).values())
+        rows += [(number, at, runs, repeats, label, exact, *words[at:at + K]) for at in range(runs)]
     names = [f"w{k}" for k in range(K)]
-    schema = "template int, at int, runs int, label string, exact boolean, " + ", ".join(f"{n} string" for n in names)
+    schema = "template int, at int, runs int, repeats int, label string, exact boolean, " + ", ".join(f"{n} string" for n in names)
     return spark.createDataFrame(rows, schema).withColumn("run", F.xxhash64(*names)).drop(*names)
 
 
@@ -89,26 +93,72 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, id_column: str = "do
     runs = counted.select("row", "id", "n_words", F.posexplode(F.array_append(hashes, F.lit(0).cast("long"))).alias("pos", "hash"))
     own = F.col("pos") == F.greatest(F.col("n_words") - (K - 1), F.lit(0))
     votes = runs.join(templates, (F.col("hash") == F.col("run")) & ~own, "left").where(own | F.col("template").isNotNull())
-    diagonals = votes.groupBy("row", "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    matched = votes.groupBy("row", "template").agg(
         F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("label").alias("label"),
-        F.first("exact").alias("exact"), F.first("runs").alias("runs"), F.count("template").alias("votes"),
-        F.min("pos").alias("first"), F.max("pos").alias("last"))
-    near = Window.partitionBy("row", "template").orderBy("diagonal")
-    fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > DRIFT, F.lit(True)) | F.col("exact")
-    groups = diagonals.withColumn("group", F.sum(fresh.cast("int")).over(near)).groupBy("row", "template", "group").agg(
-        F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("label").alias("label"),
-        F.first("exact").alias("exact"), F.min("first").alias("first"), F.max("last").alias("last"),
-        (F.least(F.sum("votes"), F.first("runs")) / F.first("runs")).alias("cover"))
-    base = F.col("exact") & (F.col("cover") == 1)
-    notice = F.col("exact") & base | ~F.col("exact") & (F.col("cover") >= LEAST_COVER)
-    label = lambda found: F.array_join(F.array_sort(F.collect_set(F.when(found, F.col("label")))), ",")
-    return groups.groupBy("row").agg(
-        F.first("id").alias("id"), F.max("n_words").alias("n_words"),
-        F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("first").cast("long"))).alias("first_word"),
-        F.max(F.when(base, F.col("first").cast("long"))).alias("last_word"), label(base).alias("base_labels"),
-        label(notice).alias("labels"), F.coalesce(F.max(F.when(notice | ~F.col("exact"), F.col("cover"))), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(notice, F.struct(
-            "first", (F.col("last") - F.col("first") + K).alias("n"), "label", "cover")))).alias("spans")).drop("row")
+        F.first("exact").alias("exact"), F.first("runs").alias("runs"), F.first("repeats").alias("repeats"),
+        F.array_sort(F.collect_list(F.when(F.col("template").isNotNull(), F.struct("pos", "at")))).alias("places"))
+    groups = matched.withColumn("chains", chains()).withColumn(
+        "base", F.transform(F.filter("chains", lambda c: F.col("exact") & (c["n"] == F.col("runs"))), lambda c: c["first"])).withColumn(
+        "cover", F.coalesce(F.array_max(F.transform("chains", lambda c: c["n"])), F.lit(0)) / F.col("runs")).withColumn(
+        "notices", F.transform(F.filter("chains", lambda c: ~F.col("exact") & verified(c)), rated))
+    label = F.when(F.size("base") > 0, F.col("label"))
+    phrase = lambda at: F.struct(at.alias("first"), (F.col("runs") + (K - 1)).alias("n"), "label", F.lit(1.0).alias("cover"))
+    rows = groups.groupBy("row").agg(
+        F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.sum(F.size("base")).alias("n_base"),
+        F.min(F.array_min("base")).cast("long").alias("first_word"), F.max(F.array_max("base")).cast("long").alias("last_word"),
+        F.collect_set(label).alias("base_labels"),
+        F.coalesce(F.max(F.when(~F.col("exact") | (F.size("base") > 0), F.col("cover"))), F.lit(0.0)).alias("score"),
+        F.flatten(F.collect_list(F.transform("base", phrase))).alias("phrases"),
+        F.flatten(F.collect_list("notices")).alias("notices"))
+    spans = F.transform(best(F.col("notices")), lambda c: F.struct(*[c[f].alias(f) for f in ("first", "n", "label", "cover")]))
+    names = lambda found: F.array_join(F.array_sort(found), ",")
+    return rows.withColumn("spans", F.array_sort(F.concat("phrases", spans))).select(
+        "id", "n_words", "n_base", "first_word", "last_word", names(F.col("base_labels")).alias("base_labels"),
+        names(F.array_distinct(F.transform("spans", lambda c: c["label"]))).alias("labels"), "score", "spans")
+
+
+def chains() -> Column:
+    """For each of ``places`` the longest chain that ends there: places, words in common, first and last word's run."""
+    drift = F.when(F.col("exact"), 0).otherwise(DRIFT)
+    chain = "array<struct<n: int, same: int, first: int, pos: int, at: int>>"
+
+    def follow(done: Column, place: Column) -> Column:
+        # a place of the text has as many matches at most as its run has places in the template
+        near = F.slice(done, -F.least(F.size(done), (F.col("runs") + DRIFT) * F.col("repeats")), (F.col("runs") + DRIFT) * F.col("repeats"))
+        near = F.when(F.size(done) > 0, near).otherwise(done)
+        before = F.filter(near, lambda c: (c["pos"] < place["pos"]) & (c["at"] < place["at"])
+                          & (F.abs(place["pos"] - place["at"] - c["pos"] + c["at"]) <= drift))
+        longer = F.array_max(F.transform(before, lambda c: F.struct(
+            (c["n"] + 1).alias("n"), (c["same"] + F.least(F.lit(K), place["pos"] - c["pos"], place["at"] - c["at"])).alias("same"),
+            c["first"].alias("first"))))
+        alone = F.struct(F.lit(1).alias("n"), F.lit(K).alias("same"), place["pos"].alias("first"))
+        found = F.coalesce(longer, alone)
+        return F.concat(done, F.array(F.struct(*[found[f].alias(f) for f in ("n", "same", "first")],
+                                               place["pos"].alias("pos"), place["at"].alias("at"))).cast(chain))
+    return F.aggregate("places", F.array().cast(chain), follow)
+
+
+def _span(c: Column) -> Column:
+    return c["pos"] - c["first"] + K
+
+
+def verified(c: Column) -> Column:
+    """Whether a chain covers enough of its template and of its own span."""
+    return (c["n"] / F.col("runs") >= LEAST_COVER) & (c["same"] >= LEAST_COVER * _span(c))
+
+
+def rated(c: Column) -> Column:
+    """A chain as a span; ``worth`` is its words in common less those missing and those put in."""
+    return F.struct((-(3 * c["same"] - (F.col("runs") + (K - 1)) - _span(c))).alias("worth"), c["first"].alias("first"),
+                    _span(c).alias("n"), F.col("label").alias("label"), (c["n"] / F.col("runs")).alias("cover"))
+
+
+def best(notices: Column) -> Column:
+    """The spans of most worth that overlap with none of more."""
+    kind = "array<struct<worth: int, first: int, n: int, label: string, cover: double>>"
+    apart = lambda a, b: (a["first"] + a["n"] <= b["first"]) | (b["first"] + b["n"] <= a["first"])
+    return F.aggregate(F.array_sort(notices), F.array().cast(kind), lambda kept, c: F.when(
+        F.forall(kept, lambda k: apart(k, c)), F.concat(kept, F.array(c).cast(kind))).otherwise(kept))
 
 
 def oracle() -> str:
