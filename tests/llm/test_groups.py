@@ -257,3 +257,10 @@ def test_one_of_each(spark, documents, rows):
     assert rows(jaccard.one_of_each(spark, docs), "doc_id") == [(2,), (5,), (6,), (None,)]
     assert rows(jaccard.one_of_each(spark, documents(["x y", "x y"], [1, 1])), "doc_id") == [(1,)]
     assert jaccard.similar_documents(spark, documents([])).count() == 0
+
+
+def test_rows_without_shingles_stay_beside_repeated_rows(spark, documents, rows):
+    texts, ids = [None, None, "", "", " \t", " \t", "\x1f"], [None, None, None, None, 4, 4, 5]
+    assert jaccard.one_of_each(spark, documents(texts, ids)).count() == 7
+    got = jaccard.one_of_each(spark, documents(texts + ["x y", "x y"], ids + [1, 1]))
+    assert rows(got, "doc_id") == [(1,), (4,), (4,), (5,), (None,), (None,), (None,), (None,)]

@@ -401,7 +401,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, part: int =
                 chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each component, that of the least id, and all rows without shingles.
 
-    Rows are found again by id and text; of rows that repeat both, one stays.
+    Rows are found again by id and text; of rows with shingles that repeat both, one stays.
     """
     placed = grouped(spark, docs, size, part, whole, chunk, id_column, text_column).where("group is not null")
     best = placed.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("best"))
@@ -412,7 +412,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, part: int =
     again = placed.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
     key = F.xxhash64(text_column)
     kept = docs.join(going, docs[id_column].eqNullSafe(going["gone_id"]) & (key == going["gone_key"]), "left_anti")
-    return kept if again.isEmpty() else kept.dropDuplicates([id_column, text_column])
+    if again.isEmpty():
+        return kept
+    alone = ~F.coalesce(F.col(text_column).rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))  # no words, so no shingles
+    own = kept.withColumn("__own_row", F.when(alone, F.monotonically_increasing_id()))
+    return own.dropDuplicates([id_column, text_column, "__own_row"]).drop("__own_row")
 
 
 def oracle(size: int, part: int, whole: int) -> str:
