@@ -157,6 +157,14 @@ def test_added_spans_and_redaction(documents, rows):
     assert pii.scan(documents([])).count() == 0
 
 
+def test_account_numbers_are_found_whole_and_after_others():
+    number = "GB82 WEST 1234 5698 7654 32"
+    for before in (" of the account of our house, as agreed: ", " (not AB12 3456 7890 1234 567) ", " AB12 ", ": "):
+        text = f"IBAN{before}{number}, thanks"
+        assert pii.redact_text(text) == f"IBAN{before}<ACCOUNT>, thanks", before
+    assert pii.redact_text("IBAN" + " " * 50 + number) == "IBAN" + " " * 50 + number
+
+
 def test_long_texts_take_linear_time():
     for text in ("@" * 200_000, "1" * 200_000, "+1 " * 100_000, "a." * 100_000 + "@", "1-" * 100_000, "http://" * 50_000):
         pii.find(text)

@@ -40,6 +40,8 @@ VALUE_CUES = {"password=": 4, "passwd=": 4, "secret=": 8, "api_key=": 8, "apikey
 #: Beginnings of access keys with the number of capital letters and digits that follow.
 KEY_CUES = {"AKIA": 16, "ASIA": 16}
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+#: Characters behind its cue in which an account number begins, and the most it may have with blanks.
+NEAR, LONGEST = 50, 64
 
 Span = tuple[str, int, int]
 
@@ -184,16 +186,18 @@ def phone_within(text: str, start: int, end: int) -> int | None:
 
 
 def iban(text: str, at: int) -> tuple[int, int] | None:
-    """An account number within a few characters of its cue whose check digits are right."""
-    m = IBAN.search(text, at, min(len(text), at + 50))
-    if not m:
-        return None
-    groups = m.group().split(" ")
-    for k in range(len(groups), 0, -1):
-        own = " ".join(groups[:k])
-        plain = own.replace(" ", "")
-        if len(plain) >= 15 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
-            return m.start(), m.start() + len(own)
+    """The first account number that begins within ``NEAR`` characters of its cue and whose check digits are right."""
+    last = min(len(text), at + NEAR + LONGEST)
+    first = m = IBAN.search(text, at, last)
+    while m and m.start() < at + NEAR:
+        # after a failed match, numbers begin a group, which the failed one may have run into
+        groups = m.group().split(" ") if m is first or text[m.start() - 1] not in _ALNUM else []
+        for k in range(len(groups), 0, -1):
+            own = " ".join(groups[:k])
+            plain = own.replace(" ", "")
+            if len(plain) >= 15 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                return m.start(), m.start() + len(own)
+        m = IBAN.search(text, m.start() + 1, last)
     return None
 
 
