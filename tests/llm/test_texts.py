@@ -170,6 +170,16 @@ def test_long_texts_take_linear_time():
         pii.find(text)
 
 
+def test_repeated_labels_are_one_label(spark, documents, monkeypatch):
+    drawn = []
+    sample = toxicity._sample
+    monkeypatch.setattr(toxicity, "_sample", lambda *args: drawn.append(sample(*args)) or drawn[0])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(7, 0), (7, 1)] * 500, "doc_id long, toxic int")
+    toxicity.learn(spark, documents([f"word{k}" for k in range(40)]), labels)
+    got = drawn[0].collect()
+    assert len(got) == len({r.id for r in got}) == 40 and [r.toxic for r in got if r.id == 7] == [1]
+
+
 def test_toxicity_is_learned(spark, documents):
     own = random.Random(5)
     word = lambda: "".join(own.choice("etaoinshrdlu") for _ in range(own.randint(3, 7)))

@@ -137,9 +137,12 @@ def _sample(labels: DataFrame, toxic_rows: int, other_rows: int) -> DataFrame:
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (),
           toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS, id_column: str = "doc_id",
           text_column: str = "text", label_column: str = "toxic") -> Lexicon:
-    """Learn from a bounded sample of the rows of ``labels`` (0 or 1) that have a document."""
+    """Learn from a bounded sample of the ids of ``labels`` (0 or 1) that have a document.
+
+    An id that is labelled both ways is toxic.
+    """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("toxic")).where(
-        "id is not null and toxic in (0, 1)")
+        "id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
     sample = _sample(known, toxic_rows, other_rows)
     folder = run_folder(spark, "toxicity")
     # the sample's ids are bounded by the two parameters, so they may go to every task
