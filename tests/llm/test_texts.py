@@ -180,6 +180,14 @@ def test_repeated_labels_are_one_label(spark, documents, monkeypatch):
     assert len(got) == len({r.id for r in got}) == 40 and [r.toxic for r in got if r.id == 7] == [1]
 
 
+def test_rare_strong_terms_come_before_frequent_words(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_TERMS", 20)
+    common = " ".join(a + b for a in ("able", "bone", "cart", "dusk") for b in ("", "ly", "ness", "wards", "ish"))
+    texts = [f"{common} {'grobnik' if k % 2 and k % 3 else ''}" for k in range(240)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(240)], "doc_id long, toxic int")
+    assert " grobnik " in toxicity.learn(spark, documents(texts), labels).weights
+
+
 def test_toxicity_is_learned(spark, documents):
     own = random.Random(5)
     word = lambda: "".join(own.choice("etaoinshrdlu") for _ in range(own.randint(3, 7)))

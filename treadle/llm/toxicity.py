@@ -155,26 +155,22 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, exceptions: t
     if not all(totals.values()) or len(sizes) < 4:
         return Lexicon({}, exceptions)
 
-    def counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+    def counted(rows: DataFrame) -> DataFrame:
         def make():
             def run(records):
                 seen: Counter = Counter()
                 for (text,) in records:
-                    terms = terms_of(fold(text or ""))
-                    seen.update(terms if wanted is None else terms & wanted)
+                    seen.update(terms_of(fold(text or "")))
                 return seen.items()
             return run
         return map_texts(rows.select("text"), make, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
-    toxic = counted(stored.where("part <> 0 and toxic = 1"), None).where(F.col("n") >= SUPPORT)
-    in_toxic = {r["term"]: r["n"] for r in toxic.orderBy(F.desc("n"), "term").limit(MOST_TERMS).collect()}
-    in_other = {r["term"]: r["n"] for r in
-                counted(stored.where("part <> 0 and toxic = 0"), frozenset(in_toxic)).collect()}
-    weights = {}
-    for t, n in in_toxic.items():
-        w = math.log((n + 0.5) / (totals[1] + 1)) - math.log((in_other.get(t, 0) + 0.5) / (totals[0] + 1))
-        if w >= LEAST_WEIGHT:
-            weights[t] = w
+    toxic = counted(stored.where("part <> 0 and toxic = 1")).where(F.col("n") >= SUPPORT)
+    other = counted(stored.where("part <> 0 and toxic = 0")).withColumnRenamed("n", "others")
+    weight = F.log((F.col("n") + 0.5) / (totals[1] + 1)) - F.log((F.coalesce("others", F.lit(0)) + 0.5) / (totals[0] + 1))
+    weighed = toxic.join(other, "term", "left").select("term", "n", weight.alias("weight")).where(F.col("weight") >= LEAST_WEIGHT)
+    heaviest = weighed.orderBy(F.desc("weight"), F.desc("n"), "term").limit(MOST_TERMS)
+    weights = {r["term"]: r["weight"] for r in heaviest.collect()}
     lexicon = Lexicon(weights, exceptions)
     rows = weigh(stored.where("part = 0").select("toxic", "text"), lexicon, "toxic", "text").collect()
     x = np.array([features(r["weight"], r["words"]) for r in rows])
