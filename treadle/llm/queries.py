@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc, whitening
+from treadle.llm import conversations, embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc, whitening
 from treadle.session import run_folder
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -104,9 +104,17 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(spark, _table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    given = _table(spark, folder, "conversations")
+    messages = conversations.damage(given)
+    return conversations.summaries(messages, conversations.edits(spark, messages), given.select(
+        F.col("conv_id").alias("conv")).distinct()).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embeddings, op2_warc, op3_quality, op4_packing, op5_jaccard, op6_licenses, op7_toxicity, op8_pii,
-    op9_sentencepiece, op10_token_counts, op12_whitening)}
+    op9_sentencepiece, op10_token_counts, op12_whitening, op13_conversations)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {"op1_embeddings": embeddings.oracle(), "op2_warc": warc.oracle(), "op5_jaccard": jaccard.oracle(3, 90, 100), "op6_licenses": licenses.oracle()}
