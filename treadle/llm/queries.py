@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treadle.llm import conversations, embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, token_counts, toxicity, warc, whitening
+from treadle.llm import conversations, embeddings, jaccard, licenses, packing, pii, quality, sentencepiece_codec, subwords, token_counts, toxicity, warc, whitening
 from treadle.session import run_folder
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -99,6 +99,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(PIECES), limit=4096).withColumnRenamed("id", "doc_id")
 
 
+def op11_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = _table(spark, folder, "documents")
+    classifier = subwords.learn(spark, docs, _table(spark, folder, "labels").where(~held_out()))
+    return subwords.score(docs, classifier).withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """The eight largest components of every vector, whitened."""
     return whitening.whiten(spark, _table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -114,7 +122,7 @@ def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embeddings, op2_warc, op3_quality, op4_packing, op5_jaccard, op6_licenses, op7_toxicity, op8_pii,
-    op9_sentencepiece, op10_token_counts, op12_whitening, op13_conversations)}
+    op9_sentencepiece, op10_token_counts, op11_classifier, op12_whitening, op13_conversations)}
 
 #: DuckDB SQL of those that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {"op1_embeddings": embeddings.oracle(), "op2_warc": warc.oracle(), "op5_jaccard": jaccard.oracle(3, 90, 100), "op6_licenses": licenses.oracle()}
