@@ -1,7 +1,8 @@
 """Text classification by supervised subword embeddings.
 
 A text's features are its words, the character n-grams of each word between two marks, and its pairs of
-neighbouring words, all hashed into one table of learned vectors.  The average of a text's vectors goes
+neighbouring words (pairs a text has already had count as one of their own), all hashed into one table of
+learned vectors.  The average of a text's vectors goes
 through a softmax over the two labels; vectors and softmax are trained together by stochastic gradient
 descent in numpy, a text at a time, with a falling rate.
 
@@ -37,6 +38,8 @@ from treadle.session import run_folder
 LOW_ROWS, HIGH_ROWS, SAMPLE_BYTES = 2000, 3000, 96 << 20
 #: Rows of the vector table, their length, and the lengths of character n-grams.
 BUCKETS, WIDTH, GRAMS = 1 << 17, 16, (3, 4, 5)
+#: The bucket of all pairs of words that a text has already had.
+REPEATED = 1
 EPOCHS, RATE = 8, 0.5
 #: Words a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 300_000, 64
@@ -52,9 +55,12 @@ def word_features(word: str) -> np.ndarray:
 
 
 def pair_features(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbouring words, from the words' hashes."""
+    """Buckets of neighbouring words, from the words' hashes; a pair that stands earlier in the text is ``REPEATED``."""
     mixed = (hashes[:-1] * np.uint32(0x9E3779B1) ^ hashes[1:]) * np.uint32(0x85EBCA6B)
-    return (mixed ^ (mixed >> np.uint32(15))) & np.uint32(BUCKETS - 1)
+    out = np.full(len(mixed), REPEATED, dtype=np.uint32)
+    first = np.unique(mixed, return_index=True)[1]
+    out[first] = (mixed[first] ^ (mixed[first] >> np.uint32(15))) & np.uint32(BUCKETS - 1)
+    return out
 
 
 class Words:
