@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -9,20 +10,28 @@ import numpy as np
 from treadle.llm import queries, subwords
 
 
+def bucket(h):
+    h = (h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32
+    return (h ^ h >> 12) % subwords.BUCKETS
+
+
+def word_hash(word):
+    h = sum(ord(c) * int(subwords.WORD_FACTORS[k % 64]) for k, c in enumerate(word)) % 2 ** 64
+    return h ^ h >> 29
+
+
 def average(text, margins):
     """The mean part of the margin over every word, character n-gram and pair, one by one."""
-    words, parts = text.split(), []
+    words, parts, seen = re.findall(r"[^\x20\x09-\x0D]+", text), [], set()
     for w in words:
-        parts.append(margins[zlib.crc32(w.encode()) % subwords.BUCKETS])
-        marked = f"<{w}>"
-        parts += [margins[zlib.crc32(marked[k:k + n].encode(), n) % subwords.BUCKETS]
+        parts.append(margins[bucket(word_hash(w) >> 32)])
+        marked = f" {w} "
+        parts += [margins[bucket((n + sum(ord(c) * int(f) for c, f in zip(marked[k:k + n], subwords.GRAM_FACTORS[n]))) % 2 ** 32)]
                   for n in subwords.GRAMS for k in range(len(marked) - n + 1)]
-    for k, (a, b) in enumerate(zip(words, words[1:])):
-        if (a, b) in zip(words[:k], words[1:k + 1]):
-            parts.append(margins[subwords.REPEATED])
-            continue
-        x = ((zlib.crc32(a.encode()) * 0x9E3779B1 % 2 ** 32 ^ zlib.crc32(b.encode())) * 0x85EBCA6B) % 2 ** 32
-        parts.append(margins[(x ^ x >> 15) % subwords.BUCKETS])
+    for a, b in zip(words, words[1:]):
+        x = ((word_hash(a) * 0x9E3779B97F4A7C15 % 2 ** 64 ^ word_hash(b)) * 0xC2B2AE3D27D4EB4F) % 2 ** 64
+        parts.append(margins[subwords.REPEATED if (a, b) in seen else bucket(x >> 32)])
+        seen.add((a, b))
     return sum(map(float, parts)) / len(parts) if parts else 0.0
 
 
@@ -34,16 +43,24 @@ def test_a_score_is_the_average_of_all_features(spark, documents):
     texts += [None, "", " \n", "x", "y" * 5000, "ab cd " * 300]
     classifier = subwords.Classifier(margins, 0.25)
     got = {r.id: r.score for r in subwords.score(documents(texts), classifier).collect()}
-    words = subwords.Words()
     for k, t in enumerate(texts):
         want = average(t or "", margins)
         assert abs(got[k] - 1 / (1 + math.exp(-0.25 - want))) < 1e-9, t
-        buckets, shares = subwords.text_features(t, words)
-        assert abs(float(shares @ margins[buckets]) - want) < 1e-4 and abs(shares.sum() - bool((t or "").split())) < 1e-5
+        buckets, shares = subwords.text_features(t)
+        assert abs(float(shares @ margins[buckets]) - want) < 1e-4 and abs(shares.sum() - bool((t or "").strip())) < 1e-4
     columns = documents(texts).select(subwords.scored("text", classifier).alias("s")).collect()
     assert [r.s for r in columns] == [got[k] for k in range(len(texts))]
 
 
+def test_segments_change_nothing(monkeypatch):
+    own = random.Random(3)
+    text = " ".join(own.choice(["a", "bcd", "ef\n", "x" * 70]) for _ in range(400))
+    margins = np.random.default_rng(1).normal(size=subwords.BUCKETS).astype(np.float32)
+    whole = subwords.margin(text, margins)
+    monkeypatch.setattr(subwords, "SEGMENT", 50)
+    assert abs(subwords.margin(text, margins) - whole) < 1e-9 and len(list(subwords._segments(text))) > 60
+
+
 def labelled(n=500):
     """Bad texts hold words with marks behind them, or one phrase again and again."""
     own = random.Random(6)

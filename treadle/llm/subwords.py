@@ -1,14 +1,14 @@
 """Text classification by supervised subword embeddings.
 
-A text's features are its words, the character n-grams of each word between two marks, and its pairs of
+A text's features are its words, the character n-grams of each word and the breaks beside it, and its pairs of
 neighbouring words (pairs a text has already had count as one of their own), all hashed into one table of
 learned vectors.  The average of a text's vectors goes
 through a softmax over the two labels; vectors and softmax are trained together by stochastic gradient
 descent in numpy, a text at a time, with a falling rate.
 
 The softmax is linear in the average, so for scoring each vector is reduced to its part of the margin
-between the labels, a number per bucket.  A word's part is the sum over its n-grams and is kept per
-worker, so a text costs a lookup per word; texts are scored whole, where they lie, without a shuffle.
+between the labels, a number per bucket.  Features are hashed by numpy over all characters of a text at
+once, so no table of words is kept; texts are scored whole, where they lie, without a shuffle.
 
 The classifier is fitted on a bounded sample of labelled texts: ``LOW_ROWS`` and ``HIGH_ROWS`` (expected)
 of the two labels, and of these as many, by hash, as have ``SAMPLE_BYTES`` of features.  The margin is
@@ -23,7 +23,8 @@ labels); an empty table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import math
-import zlib
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,67 +41,92 @@ LOW_ROWS, HIGH_ROWS, SAMPLE_BYTES = 2000, 3000, 96 << 20
 BUCKETS, WIDTH, GRAMS = 1 << 17, 16, (3, 4, 5)
 #: The bucket of all pairs of words that a text has already had.
 REPEATED = 1
-EPOCHS, RATE = 8, 0.5
-#: Words a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
-
-
-def word_features(word: str) -> np.ndarray:
-    """Buckets of a word and of its character n-grams."""
-    marked = f"<{word}>"
-    own = [zlib.crc32(word.encode("utf-8", "surrogatepass"))]
-    for n in GRAMS:
-        own += [zlib.crc32(marked[k:k + n].encode("utf-8", "surrogatepass"), n) for k in range(len(marked) - n + 1)]
-    return np.array(own, dtype=np.uint32) & np.uint32(BUCKETS - 1)
-
-
-def pair_features(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbouring words, from the words' hashes; a pair that stands earlier in the text is ``REPEATED``."""
-    mixed = (hashes[:-1] * np.uint32(0x9E3779B1) ^ hashes[1:]) * np.uint32(0x85EBCA6B)
-    out = np.full(len(mixed), REPEATED, dtype=np.uint32)
-    first = np.unique(mixed, return_index=True)[1]
-    out[first] = (mixed[first] ^ (mixed[first] >> np.uint32(15))) & np.uint32(BUCKETS - 1)
-    return out
-
-
-class Words:
-    """What is known of words: hash, number of features and, with margins, the sum of their parts."""
-
-    def __init__(self, margins: np.ndarray | None = None):
-        self.margins, self.known = margins, {}
-
-    def of(self, word: str) -> tuple:
-        found = self.known.get(word)
+BREAK = re.compile(r"[\x20\x09-\x0D]")
+EPOCHS, RATE = 5, 0.5
+#: Characters whose features are found together; texts are cut between words.
+SEGMENT = 1 << 20
+_own = np.random.default_rng(11)
+#: Odd multipliers: of the characters of an n-gram, and of a word by their place in it.
+GRAM_FACTORS = {n: _own.integers(1 << 31, size=n, dtype=np.uint32) * np.uint32(2) + np.uint32(1) for n in GRAMS}
+WORD_FACTORS = _own.integers(1 << 63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Buckets of 32-bit hashes."""
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    return (h ^ (h >> np.uint32(12))) & np.uint32(BUCKETS - 1)
+
+
+def _segments(text: str) -> Iterator[str]:
+    start = 0
+    while len(text) - start > SEGMENT:
+        found = BREAK.search(text, start + SEGMENT)
         if found is None:
-            features = word_features(word)
-            part = float(self.margins[features].sum(dtype=np.float64)) if self.margins is not None else features
-            found = (zlib.crc32(word.encode("utf-8", "surrogatepass")), len(features), part)
-            if len(word) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-
-def text_features(text: str | None, words: Words) -> tuple[np.ndarray, np.ndarray]:
+            break
+        yield text[start:found.start()]
+        start = found.start()
+    yield text[start:]
+
+
+def _of_segment(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams, and hashes of the words in order."""
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    space = (points == 32) | ((points >= 9) & (points <= 13))
+    points = np.where(space, np.uint32(32), points)
+    buckets = []
+    for n in GRAMS:
+        size = len(points) - n + 1
+        if size <= 0:
+            continue
+        inside = ~space[1:size + 1]  # an n-gram may begin and end with a break, and has none within
+        for k in range(2, n - 1):
+            inside &= ~space[k:k + size]
+        at = np.flatnonzero(inside)
+        h = np.full(len(at), n, dtype=np.uint32)
+        for k, factor in enumerate(GRAM_FACTORS[n]):
+            h += points[at + k] * factor
+        buckets.append(mixed(h))
+    at = np.flatnonzero(~space)
+    if not len(at):
+        return np.concatenate(buckets) if buckets else np.zeros(0, np.uint32), np.zeros(0, np.uint64)
+    first = np.flatnonzero(space[at - 1])  # of each word, among the characters
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    words = np.add.reduceat(points[at].astype(np.uint64) * WORD_FACTORS[place & 63], first)
+    return np.concatenate(buckets), words ^ (words >> np.uint64(29))
+
+
+def features(text: str | None) -> Iterator[np.ndarray]:
+    """Buckets of all features of a text, with repeats: n-grams by segment, then words and pairs."""
+    words = []
+    for segment in _segments(text or ""):
+        grams, own = _of_segment(segment)
+        words.append(own)
+        yield grams
+    words = np.concatenate(words)
+    yield mixed((words >> np.uint64(32)).astype(np.uint32))
+    pairs = (words[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ words[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    out = np.full(len(pairs), REPEATED, dtype=np.uint32)
+    first = np.unique(pairs, return_index=True)[1]
+    out[first] = mixed((pairs[first] >> np.uint64(32)).astype(np.uint32))
+    yield out
+
+
+def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of its features."""
-    found = [words.of(w) for w in (text or "").split()]
-    if not found:
-        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
-    hashes = np.array([f[0] for f in found], dtype=np.uint32)
-    every = np.concatenate([*(f[2] for f in found), pair_features(hashes)])
-    buckets, counts = np.unique(every, return_counts=True)
-    return buckets.astype(np.int32), (counts / len(every)).astype(np.float32)
+    counts = np.zeros(BUCKETS)
+    for part in features(text):
+        counts += np.bincount(part, minlength=BUCKETS)
+    buckets = np.flatnonzero(counts)
+    return buckets.astype(np.int32), (counts[buckets] / max(counts.sum(), 1)).astype(np.float32)
 
 
-def margin(text: str | None, words: Words) -> float:
+def margin(text: str | None, margins: np.ndarray) -> float:
     """The average part of the margin over all features of a text."""
-    found = [words.of(w) for w in (text or "").split()]
-    if not found:
-        return 0.0
-    pairs = pair_features(np.array([f[0] for f in found], dtype=np.uint32))
-    total = math.fsum(f[2] for f in found) + float(words.margins[pairs].sum(dtype=np.float64))
-    return total / (sum(f[1] for f in found) + len(pairs))
+    total, n = 0.0, 0
+    for part in features(text):
+        total += float(margins[part].sum(dtype=np.float64))
+        n += len(part)
+    return total / n if n else 0.0
 
 
 def train(samples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE,
@@ -135,8 +161,8 @@ class Classifier:
     margins: np.ndarray
     start: float
 
-    def score(self, text: str | None, words: Words) -> float:
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.start + margin(text, words)))))
+    def score(self, text: str | None) -> float:
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.start + margin(text, self.margins)))))
 
 
 def _odds(low: int, high: int) -> float:
@@ -161,11 +187,9 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: st
         F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def make():
-        words = Words()
-
         def run(records):
             for label, place, text in records:
-                buckets, shares = text_features(text, words)
+                buckets, shares = text_features(text)
                 yield label, place, buckets.tobytes(), shares.tobytes()
         return run
 
@@ -185,8 +209,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: st
 def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id`` and ``score`` (of label 1) of each row."""
     def make():
-        words = Words(classifier.margins)
-        return lambda records: ((i, classifier.score(text, words)) for i, text in records)
+        return lambda records: ((i, classifier.score(text)) for i, text in records)
     rows = id_and_text(docs, id_column, text_column)
     return map_texts(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
@@ -195,6 +218,5 @@ def scored(text: Column, classifier: Classifier) -> Column:
     """The score of a text column."""
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        words = Words(classifier.margins)
-        return texts.map(lambda t: classifier.score(t, words)).astype("float64")
+        return texts.map(classifier.score).astype("float64")
     return run(F.coalesce(text, F.lit("")))
