@@ -120,3 +120,64 @@ def test_versions_against_brute_force(spark, observed):
         want += [(k, day, cuts[i + 1][0] if i + 1 < len(cuts) else None, v, i + 1 == len(cuts))
                  for i, (day, v) in enumerate(cuts)]
     assert got == sorted(want, key=lambda r: (r[0], r[1]))
+
+
+def naive_splice(versions, late, tracked_all=True):
+    """Versions as (start, end, v) after late (day, v), one by one."""
+    out = sorted(versions)
+    for day, v in sorted(late):
+        starts = [o[0] for o in out]
+        if day in starts:
+            k = starts.index(day)
+            out[k] = (day, out[k][1], v)
+            continue
+        held = next((o for o in out if o[0] < day and (o[1] is None or day < o[1])), None)
+        later = min((s for s in starts if s > day), default=None)
+        if held:
+            if held[2] == v:
+                continue
+            out.remove(held)
+            out += [(held[0], day, held[2]), (day, held[1], v)]
+        else:
+            out.append((day, later, v))
+        out.sort()
+    return out
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.integers(1, 20), st.sampled_from("abc")), min_size=1, max_size=5), min_size=1, max_size=8),
+       st.lists(st.lists(st.tuples(st.integers(1, 22), st.sampled_from("abc")), max_size=3), min_size=8, max_size=8), st.booleans())
+def test_splice_equals_one_cut_after_the_other(spark, versions, late, ended):
+    rows, want, seen = [], {}, []
+    for k, starts in enumerate(versions):
+        own = sorted(dict(starts).items())
+        own = [(D(2020, 1, s), D(2020, 1, own[i + 1][0]) if i + 1 < len(own) else (D(2020, 1, 21) if ended else None), v)
+               for i, (s, v) in enumerate(own)]
+        rows += [(100 * k + i, k, v, "n", s, e, e is None) for i, (s, e, v) in enumerate(own)]
+        new = [(D(2020, 1, s), v) for s, v in dict(late[k]).items()]
+        seen += [(k, d, v) for d, v in new]
+        want[k] = naive_splice(own, new)
+    df = spark.createDataFrame(rows, "sk bigint, id int, v string, note string, ValidFromDate date, ValidToDate date, IsCurrent boolean")
+    got = history.splice(df, spark.createDataFrame(seen, "id int, day date, v string"), KEY, TRACKED, "sk", "day", D(2020, 2, 1))
+    assert got.columns == df.columns
+    by, old = {}, {(r[1], r[4]): r[0] for r in rows}
+    for r in got.collect():
+        by.setdefault(r.id, []).append((r.ValidFromDate, r.ValidToDate, r.v))
+        assert r.IsCurrent == (r.ValidToDate is None) and r.note == "n"
+        assert old.get((r.id, r.ValidFromDate), r.sk) == r.sk
+    assert {k: sorted(v, key=lambda x: x[0]) for k, v in by.items()} == want
+
+
+def test_splice_carries_what_was_not_observed(spark, rows):
+    df = spark.createDataFrame([(1, 5, "a", "old", D(2020, 1, 5), D(2020, 1, 9), False, D(2020, 1, 5), D(2020, 1, 9)),
+                                (2, 5, "b", None, D(2020, 1, 9), None, True, D(2020, 1, 9), None)],
+                               "sk bigint, id int, v string, note string, ValidFromDate date, ValidToDate date, IsCurrent boolean, "
+                               "EffectiveStartDate date, EffectiveEndDate date")
+    late = spark.createDataFrame([(5, D(2020, 1, 2), "z"), (5, D(2020, 1, 7), "c"), (5, D(2020, 1, 12), None)], "id int, day date, v string")
+    got = history.splice(df, late, KEY, TRACKED, "sk", "day", D(2020, 2, 1), history.key_later)
+    assert rows(got, "ValidFromDate", "ValidToDate", "v", "note", "sk", "IsCurrent", "EffectiveEndDate") == [
+        (D(2020, 1, 2), D(2020, 1, 5), "z", "old", None, False, D(2020, 2, 1)),
+        (D(2020, 1, 5), D(2020, 1, 7), "a", "old", 1, False, D(2020, 1, 9)),
+        (D(2020, 1, 7), D(2020, 1, 9), "c", "old", None, False, D(2020, 2, 1)),
+        (D(2020, 1, 9), D(2020, 1, 12), "b", None, 2, False, D(2020, 2, 1)),
+        (D(2020, 1, 12), None, None, None, None, True, None)]

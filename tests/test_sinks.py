@@ -35,11 +35,63 @@ def test_month_filter_prunes_folders(spark, tmp_path, frame):
     assert "(month" in plan.split("PartitionFilters: ")[1].split("]")[0] and "= 2014-03" in plan
 
 
-def test_append_months(spark, tmp_path, frame):
-    path = str(tmp_path / "m")
-    for _ in range(2):
-        sinks.append_months(frame([(D(2014, 1, 5), 1)], "d date, v int"), path, "d")
-    assert sinks.read_months(spark, path).count() == 2
+def test_a_batch_is_added_once(spark, tmp_path, frame, rows):
+    table = sinks.BatchTable(spark, str(tmp_path / "b"))
+    assert table.read("d date, v int").count() == 0 and not table.exists()
+    one = frame([(D(2014, 1, 5), 1), (D(2014, 2, 5), 2), (None, 3)], "d date, v int")
+    assert table.append(one, "b1", "d") and not table.append(one, "b1", "d")
+    assert table.append(frame([(D(2014, 2, 6), 4)], "d date, v int"), "b2", "d") and table.batches() == ["b1", "b2"]
+    assert rows(table.read(), "v") == [(1,), (2,), (3,), (4,)]
+    assert rows(table.read(months=["2014-02"]), "v") == [(2,), (4,)] and table.read(months=["2013-01"]).count() == 0
+    # what a failed job left does not count
+    dead = tmp_path / "b" / "v00000009-dead"
+    one.write.parquet(str(dead))
+    assert rows(table.read(), "v") == [(1,), (2,), (3,), (4,)] and table.prune() == []
+
+
+def test_a_batch_whose_task_failed_halfway_adds_its_rows_once(spark, tmp_path, frame, rows):
+    table = sinks.BatchTable(spark, str(tmp_path / "b"))
+    table.append(frame([(1,)], "v int"), "b1")
+    broken = frame([(k,) for k in range(100)], "v int").repartition(4).selectExpr("assert_true(v < 99) as t", "v").drop("t").filter("v >= 0")
+    failing = broken.selectExpr("if(v = 99, raise_error('lost'), v) as v")
+    try:
+        table.append(failing, "b2")
+    except Exception as lost:  # noqa: BLE001
+        assert "lost" in str(lost)
+    assert table.batches() == ["b1"] and rows(table.read()) == [(1,)]
+    assert table.append(frame([(2,)], "v int"), "b2") and rows(table.read()) == [(1,), (2,)]
+    table.append(frame([(3,)], "v int"), "b3")
+    table.compact()
+    assert len(table.notes()) == 1 and table.batches() == ["b1", "b2", "b3"] and rows(table.read()) == [(1,), (2,), (3,)]
+    assert not table.append(frame([(2,)], "v int"), "b2")
+
+
+def test_a_splice_rewrites_its_buckets_only(spark, tmp_path, frame, rows):
+    from treadle.operators import history
+
+    table = sinks.HistoryTable(spark, str(tmp_path / "dim"), key=["id"], buckets=8)
+    for day in (1, 5, 9):
+        staged = frame([(i, f"v{day}") for i in range(30)], "id int, v string")
+        step = (history.first_load(staged, ["id"], "sk", D(2020, 1, day)) if not table.exists()
+                else history.scd2(table.read_open(), staged, ["id"], ["v"], "sk", D(2020, 1, day)))
+        table.write_step(step)
+    before, files = rows(table.read()), {str(p) for p in (tmp_path / "dim").rglob("*.parquet")}
+    late = frame([(7, D(2020, 1, 3), "x")], "id int, day date, v string")
+    bucket = late.select(table.bucket()).first()[0]
+    closed = table.read_closed([bucket])
+    own = closed.unionByName(table.read_open()).filter("id = 7")
+    spliced = history.splice(own, late, ["id"], ["v"], "sk", "day", D(2020, 1, 10))
+    table.write_step(table.read_open().filter("id <> 7").unionByName(closed.filter("id <> 7")).unionByName(spliced), whole=[bucket])
+    after = rows(table.read())
+    assert [r for r in after if r[1] != 7] == [r for r in before if r[1] != 7]
+    assert [tuple(r[2:5]) for r in sorted((r for r in after if r[1] == 7), key=lambda r: r[3])] == [
+        ("v1", D(2020, 1, 1), D(2020, 1, 3)), ("x", D(2020, 1, 3), D(2020, 1, 5)), ("v5", D(2020, 1, 5), D(2020, 1, 9)), ("v9", D(2020, 1, 9), None)]
+    now = {str(p) for p in (tmp_path / "dim").rglob("*.parquet")}
+    assert files <= now  # nothing of before was touched
+    new = [p for p in now - files if "IsCurrent=false" in p]
+    assert new and all(f"KeyBucket={bucket}" in p for p in new)
+    table.write_full(table.read())
+    assert rows(table.read()) == after
 
 
 def test_out_of_range(frame, rows):

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treadle.operators.keep import upsert
+from treadle.operators.lookup import asof_lookup
 
 VALID = ("ValidFromDate", "ValidToDate", "IsCurrent")
 #: Load-time interval, kept by dimensions that have these columns.
 EFFECTIVE = ("EffectiveStartDate", "EffectiveEndDate")
+KeyOf = Callable[[Sequence[Column], Column], Column]
 
 
 def surrogate_key(natural: Sequence[Column], valid_from: Column) -> Column:
@@ -19,6 +21,11 @@ def surrogate_key(natural: Sequence[Column], valid_from: Column) -> Column:
     return F.xxhash64(*natural, valid_from.cast("date"))
 
 
+def key_later(natural: Sequence[Column], valid_from: Column) -> Column:
+    """No key yet: it is handed out when the version is stored (see ``operators.keys``)."""
+    return F.lit(None).cast("bigint")
+
+
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """NULL-safe: NULL against NULL is no change, NULL against a value is one."""
     test = F.lit(False)
@@ -71,12 +78,12 @@ def scd1(current: DataFrame, staging: DataFrame, key: Sequence[str],
 
 
 def first_load(staging: DataFrame, key: Sequence[str], surrogate: str, as_of: dt.date,
-               opening: dt.date | None = None, effective: bool = False) -> DataFrame:
+               opening: dt.date | None = None, effective: bool = False, key_of: KeyOf = surrogate_key) -> DataFrame:
     """All staging rows as their first version, valid from ``opening`` (or the run date)."""
     start = F.lit(opening or as_of)
     loaded = [F.lit(as_of).alias(EFFECTIVE[0]), F.lit(None).cast("date").alias(EFFECTIVE[1])] if effective else []
     return staging.select(
-        surrogate_key([F.col(k) for k in key], start).alias(surrogate),
+        key_of([F.col(k) for k in key], start).alias(surrogate),
         *staging.columns,
         start.alias("ValidFromDate"),
         F.lit(None).cast("date").alias("ValidToDate"),
@@ -86,14 +93,14 @@ def first_load(staging: DataFrame, key: Sequence[str], surrogate: str, as_of: dt
 
 
 def scd2(current: DataFrame, staging: DataFrame, key: Sequence[str], tracked: Sequence[str],
-         surrogate: str, as_of: dt.date, *, close_missing: bool = False) -> DataFrame:
+         surrogate: str, as_of: dt.date, *, close_missing: bool = False, key_of: KeyOf = surrogate_key) -> DataFrame:
     """The dimension after one day's staging.
 
     Changed keys get their open row closed and a new one; a key changed again on the same
     day keeps one row, so a re-run is a no-op.  Untracked columns of an unchanged key are
     refreshed in place.  Closed rows pass through untouched; one full outer join on the
     natural key does the rest.  An ``as_of`` before the open row's start changes nothing
-    here: use :func:`absorb_late`.
+    here: such rows go to :func:`splice`, together with the closed versions.
     """
     attributes = [c for c in current.columns if c not in (surrogate, *VALID, *EFFECTIVE, *key)]
     closed = current.filter(~F.col("IsCurrent"))
@@ -113,7 +120,7 @@ def scd2(current: DataFrame, staging: DataFrame, key: Sequence[str], tracked: Se
     refreshed = {**kept, **{a: F.col(f"n_{a}") for a in attributes}}
     ended = {**kept, "ValidToDate": day, "IsCurrent": F.lit(False), EFFECTIVE[1]: day}
     fresh = {
-        surrogate: surrogate_key([F.col(f"n_{k}") for k in key], day),
+        surrogate: key_of([F.col(f"n_{k}") for k in key], day),
         **{c: F.col(f"n_{c}") for c in (*key, *attributes)},
         "ValidFromDate": day, "ValidToDate": F.lit(None), "IsCurrent": F.lit(True),
         EFFECTIVE[0]: day, EFFECTIVE[1]: F.lit(None),
@@ -154,3 +161,70 @@ def absorb_late(current: DataFrame, observed: DataFrame, key: Sequence[str], tra
     rebuilt = versions(states, key, day, tracked)
     rebuilt = rebuilt.withColumn(surrogate, surrogate_key([F.col(k) for k in key], F.col("ValidFromDate")))
     return untouched.unionByName(rebuilt.select(*current.columns))
+
+
+def unlike(versions: DataFrame, late: DataFrame, key: Sequence[str], tracked: Sequence[str], day: str,
+           since: dt.date, until: dt.date) -> DataFrame:
+    """Observations that differ from the version in force on their day, or find none."""
+    seen = [c for c in tracked if c in late.columns]
+    marked = versions.withColumn("_there", F.lit(True))
+    found = asof_lookup(late, marked, {k: k for k in key}, day, {"_there": "_there", **{f"_v_{c}": c for c in seen}},
+                        since=since, until=until)
+    changed = differs([(F.col(c).cast(versions.schema[c].dataType), F.col(f"_v_{c}")) for c in seen])
+    return found.filter(F.col("_there").isNull() | changed).select(*late.columns)
+
+
+_END = dt.date(9999, 12, 31)
+
+
+def splice(rows: DataFrame, late: DataFrame, key: Sequence[str], tracked: Sequence[str], surrogate: str, day: str,
+           loaded: dt.date, key_of: KeyOf = surrogate_key) -> DataFrame:
+    """All versions of some keys after observations of any day, also between two closed versions.
+
+    ``late`` has the key, ``day`` and some or all attributes; those it lacks are the ones in force on that
+    day (of the first version, if the day lies before it).  An observation that differs from the version
+    in force in a tracked attribute cuts it in two; one on a version's own start day replaces its
+    attributes; any other changes nothing.  Versions that were there keep their start and their key.
+
+    The window holds one row per version of a key, at most one per calendar day.
+    """
+    attributes = [c for c in rows.columns if c not in (surrogate, *VALID, *EFFECTIVE, *key)]
+    seen = [c for c in attributes if c in late.columns]
+    rest = [c for c in attributes if c not in seen]
+    loads = [c for c in EFFECTIVE if c in rows.columns]
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    end = F.lit(_END)
+
+    def group(names: Sequence[str]) -> Column:
+        return F.struct(F.lit(1).alias("_"), *[F.col(c).cast(types[c]).alias(c) for c in names])
+
+    held = rows.select(*key, F.col("ValidFromDate").alias("_day"), F.col(surrogate).alias("_key"), F.lit(True).alias("_held"),
+                       F.coalesce("ValidToDate", end).alias("_to"), group(seen).alias("_old"), group(rest).alias("_rest"),
+                       *loads)
+    one = late.groupBy(*key, F.col(day).cast("date").alias("_day")).agg(F.max(group(seen)).alias("_new"))
+    both = held.join(one, [*key, "_day"], "full_outer")
+    before = Window.partitionBy(*key).orderBy("_day")
+    past = before.rowsBetween(Window.unboundedPreceding, 0)
+    after = before.rowsBetween(0, Window.unboundedFollowing)
+    told = both.withColumn("_seen", F.coalesce("_new", "_old")).withColumn(
+        "_rest", F.coalesce("_rest", F.last("_rest", True).over(past), F.first("_rest", True).over(after)))
+    tests = [(F.col(f"_seen.{c}"), F.lag(f"_seen.{c}").over(before)) if c in seen else
+             (F.col(f"_rest.{c}"), F.lag(f"_rest.{c}").over(before)) for c in tracked if c in attributes]
+    told = told.withColumn("_first", F.row_number().over(before) == 1).withColumn("_changed", differs(tests))
+    # where the version in force had ended before the day, an observation starts a new one
+    told = told.withColumn("_gap", F.last(F.when(F.col("_held"), F.col("_to")), True).over(past) <= F.col("_day"))
+    cut = told.filter(F.coalesce("_held", F.lit(False)) | F.col("_first") | F.col("_changed") | F.coalesce("_gap", F.lit(False)))
+    limit = F.last(F.when(F.col("_held"), F.col("_to")), True).over(past)
+    limit = F.when(limit > F.col("_day"), limit).otherwise(end)
+    to = F.least(F.coalesce(F.lead("_day").over(before), end), limit)
+    cut = cut.withColumn("_to", to)
+    values = {
+        surrogate: F.coalesce(F.col("_key"), key_of([F.col(k) for k in key], F.col("_day"))),
+        **{k: F.col(k) for k in key}, **{c: F.col(f"_seen.{c}") for c in seen}, **{c: F.col(f"_rest.{c}") for c in rest},
+        "ValidFromDate": F.col("_day"), "ValidToDate": F.nullif(F.col("_to"), end), "IsCurrent": F.col("_to") == end,
+    }
+    if loads:
+        values[EFFECTIVE[0]] = F.when(F.col("_held"), F.col(EFFECTIVE[0])).otherwise(F.lit(loaded))
+        closed_now = (F.col("_to") < end) & F.col(EFFECTIVE[1]).isNull()
+        values[EFFECTIVE[1]] = F.when(closed_now, F.lit(loaded)).otherwise(F.col(EFFECTIVE[1]))
+    return cut.select(*[values[c].cast(types[c]).alias(c) for c in rows.columns])

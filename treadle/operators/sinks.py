@@ -43,10 +43,15 @@ def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), m
     with the same rows gives the same table.  ``replaced`` names the months (``yyyy-MM``) that are
     being replaced: one that comes out empty loses its old rows.
     """
-    dated, seen = with_month(df, day, month), Observation()
+    write_filed(with_month(df, day, month), path, month, keys, replaced)
+
+
+def write_filed(df: DataFrame, path: str, month: str, keys: Sequence[str] = (), replaced: Sequence[str] = ()) -> None:
+    """:func:`write_months` for rows that carry their month already."""
+    seen = Observation()
     if replaced:  # the months among them that have rows are noted while writing
-        dated = dated.observe(seen, F.collect_set(F.when(F.col(month).isin(*replaced), F.col(month))).alias("left"))
-    ready = _sized(dated, [month])
+        df = df.observe(seen, F.collect_set(F.when(F.col(month).isin(*replaced), F.col(month))).alias("left"))
+    ready = _sized(df, [month])
     if keys:
         ready = ready.sortWithinPartitions(month, *keys)
     (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -56,6 +61,16 @@ def write_months(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), m
             drop_folder(df.sparkSession, f"{path}/{month}={gone}")
 
 
+def stored_months(spark: SparkSession, path: str, month: str = "month") -> list[str]:
+    """The months a table has folders for: one call to the file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    return sorted(n.removeprefix(f"{month}=") for n in names if n.startswith(f"{month}=") and "__" not in n)
+
+
 def observed(seen: Observation, name: str, without_rows):
     """What was noted during a write; a plan known to be empty is optimized away with its observer."""
     try:
@@ -80,15 +95,11 @@ def write_days(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), mon
      .partitionBy(month, "day").parquet(path))
 
 
-def append_months(df: DataFrame, path: str, day: str, month: str = "month") -> None:
-    """Add rows; an append holds few months, so tasks write straight into them, unshuffled."""
-    with_month(df, day, month).write.mode("append").partitionBy(month).parquet(path)
-
-
-def replace_records(records: DataFrame, path: str, batch: str, source: str, day: str = "ErrorDate") -> None:
-    """Write a batch's error records of one table in place of those it wrote before."""
-    (with_month(records, day).withColumn("batch", F.lit(batch)).withColumn("source", F.lit(source))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def replace_records(records: DataFrame, path: str, batch: str, source: str | None = None, day: str = "ErrorDate") -> None:
+    """Write a batch's error records of one table, or of the tables they name, in place of those it wrote before."""
+    named = F.col("SourceTable") if source is None else F.lit(source)
+    filed = with_month(records, day).withColumn("batch", F.lit(batch)).withColumn("source", named)
+    (_sized(filed, ["month", "batch", "source"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch", "source").parquet(path))
 
 
@@ -193,10 +204,17 @@ class VersionedTable:
             self._drop(version)
         return old
 
-    def _parts(self, name: str) -> list[str]:
-        return [self.WHOLE]
+    def _listed(self, *parts: str) -> list[str]:
+        """Names of the folders in one of the table's folders."""
+        fs, _ = self._fs()
+        folder = self._path(*parts)
+        return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()) if fs.exists(folder) else []
+
+    def _entry(self, name: str) -> dict:
+        """What the manifest says of a version that has been written."""
+        return {"name": name, "parts": [self.WHOLE]}
 
-    def write(self, df: DataFrame, keys: Sequence[str] = (), partition: Sequence[str] = (), kind: str = "") -> str:
+    def write(self, df: DataFrame, keys: Sequence[str] = (), partition: Sequence[str] = (), kind: str = "", **note) -> str:
         state = self._state()
         number = int(state[-1]["name"].split("-")[0][1:]) + 1 if state else 1
         name = f"v{number:08d}-{kind}{uuid.uuid4().hex[:8]}"
@@ -207,23 +225,103 @@ class VersionedTable:
         if partition:
             writer = writer.partitionBy(*partition)
         writer.parquet(f"{self.root}/{name}")
-        self._commit([*state, {"name": name, "parts": self._parts(name)}])
+        self._commit([*state, self._entry(name) | note])
         return name
 
 
+class BatchTable(VersionedTable):
+    """Rows that are only ever added to, a batch at a time.
+
+    A batch is written to a folder of its own and counts once the manifest lists it: a batch that is
+    repeated adds nothing, and rows of a task or a job that failed halfway are never read.  With ``day``
+    a batch is filed by month, and readers that want some months open their folders only.
+    """
+
+    FILED = "filed_month"
+
+    def batches(self) -> list[str]:
+        return [b for v in self._state() for b in v["batches"]]
+
+    def notes(self) -> list[dict]:
+        return self._state()
+
+    def exists(self) -> bool:
+        return bool(self._state())
+
+    def _entry(self, name: str) -> dict:
+        return {"name": name, "parts": [p for p in self._listed(name) if p.startswith(f"{self.FILED}=")] or [self.WHOLE]}
+
+    def append(self, df: DataFrame, batch: str, day: str | None = None, **note) -> bool:
+        """Add a batch; False if the table has it already."""
+        if batch in self.batches():
+            return False
+        filed = df if day is None else with_month(df, day, self.FILED)
+        self.write(filed, partition=[] if day is None else [self.FILED], batches=[batch], **note)
+        return True
+
+    def _folders(self, state: Sequence[dict], months: Sequence[str] | None) -> list[str]:
+        wanted = None if months is None else {f"{self.FILED}={m}" for m in months}
+        return [f"{self.root}/{v['name']}" + ("" if p == self.WHOLE else f"/{p}") for v in state for p in v["parts"]
+                if wanted is None or p == self.WHOLE or p in wanted]
+
+    def read(self, schema=None, months: Sequence[str] | None = None) -> DataFrame:
+        state = self._state()
+        if not state and schema is None:
+            raise FileNotFoundError(f"no batch below {self.root}")
+        if not state:
+            return self.spark.createDataFrame([], schema)
+        folders = self._folders(state, months)
+        if not folders:
+            return self.spark.read.parquet(*self._folders(state, None)).limit(0)
+        return self.spark.read.parquet(*folders)
+
+    def compact(self, keys: Sequence[str] = ()) -> None:
+        """All batches in one folder; the old ones go with the next :meth:`prune`."""
+        state = self._state()
+        if len(state) > 1:
+            batches = [b for v in state for b in v["batches"]]
+            filed = any(p != self.WHOLE for v in state for p in v["parts"])
+            if filed:
+                raise ValueError("a table filed by month stays as it is")
+            ready = _sized(self.read(), keys)
+            name = f"v{int(state[-1]['name'].split('-')[0][1:]) + 1:08d}-{uuid.uuid4().hex[:8]}"
+            ready.write.mode("errorifexists").parquet(f"{self.root}/{name}")
+            self._commit([{**state[-1], **self._entry(name), "batches": batches}])
+            for v in state:
+                self._drop(v["name"])
+
+    def prune(self, keep: int = 2) -> list[str]:
+        return []  # every batch counts
+
+
 class HistoryTable(VersionedTable):
     """A versioned dimension whose runs write open rows and newly closed rows only.
 
     Each version has one folder of open rows and one of the rows that run closed.  The open rows of
     the newest version are current, and closed rows are those of all versions since the last full
     one, read at once.  So a day costs what is open and what changed, however long the history is.
+
+    With ``key`` closed rows are laid out by buckets of it.  A version may then hold some buckets whole,
+    which take the place of those buckets' rows in all versions before it: so a change of the past
+    rewrites the buckets it falls in and leaves the files of all others alone.
     """
 
     FULL = "full-"
     OPEN, CLOSED = "IsCurrent=true", "IsCurrent=false"
+    BUCKET = "KeyBucket"
+
+    def __init__(self, spark: SparkSession, root: str, key: Sequence[str] = (), buckets: int = 16):
+        super().__init__(spark, root)
+        self.key, self.buckets = tuple(key), buckets
 
-    def _parts(self, name: str) -> list[str]:
-        return [p for p in (self.OPEN, self.CLOSED) if folder_exists(self.spark, f"{self.root}/{name}/{p}")]
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.key]), F.lit(self.buckets)).cast("int")
+
+    def _entry(self, name: str) -> dict:
+        found = {"name": name, "parts": [p for p in self._listed(name) if p in (self.OPEN, self.CLOSED)]}
+        if self.key:
+            found["buckets"] = [int(p.split("=")[1]) for p in self._listed(name, self.CLOSED)]
+        return found
 
     def _held(self) -> list[dict]:
         """Versions that hold rows; an empty dimension counts as not loaded yet."""
@@ -233,8 +331,8 @@ class HistoryTable(VersionedTable):
         return [v["name"] for v in self._held()]
 
     def _rows(self, versions: Sequence[str], part: str) -> DataFrame:
-        """The rows of one part of some versions, with the flag at its place."""
-        df = self.spark.read.parquet(*[f"{self.root}/{v}/{part}" for v in versions])
+        """The rows of one part of some versions (folders without folders in them, or one of any kind)."""
+        df = self.spark.read.parquet(*[f"{self.root}/{v}/{part}" for v in versions]).drop(self.BUCKET)
         at = df.columns.index("ValidToDate") + 1
         return df.withColumn("IsCurrent", F.lit(part == self.OPEN)).select(
             *df.columns[:at], "IsCurrent", *df.columns[at:])
@@ -260,9 +358,27 @@ class HistoryTable(VersionedTable):
         held = self._held()
         if not held:
             return super().read(schema)
-        closed = [v["name"] for v in held[self._start(held):] if self.CLOSED in v["parts"]]
-        out = self._open(held)
-        return out.unionByName(self._rows(closed, self.CLOSED)) if closed else out
+        out, closed = self._open(held), self._closed(held)
+        return out if closed is None else out.unionByName(closed)
+
+    def read_closed(self, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """Closed rows, of some buckets if asked; None if there are none."""
+        return self._closed(self._held(), buckets)
+
+    def _closed(self, held: Sequence[dict], buckets: Sequence[int] | None = None) -> DataFrame | None:
+        counted, taken = [], set()
+        for v in reversed(held[self._start(held):]):  # a bucket held whole hides earlier rows of it
+            if self.CLOSED in v["parts"] and "buckets" in v:
+                counted += [f"{v['name']}/{self.CLOSED}/{self.BUCKET}={b}" for b in v["buckets"]
+                            if b not in taken and (buckets is None or b in buckets)]
+            elif self.CLOSED in v["parts"]:
+                counted.append(f"{v['name']}/{self.CLOSED}")
+            taken |= set(v.get("whole", ()))
+        if not counted:
+            return None
+        df = self.spark.read.parquet(*[f"{self.root}/{c}" for c in counted])
+        at = df.columns.index("ValidToDate") + 1
+        return df.withColumn("IsCurrent", F.lit(False)).select(*df.columns[:at], "IsCurrent", *df.columns[at:])
 
     def prune(self, keep: int = 2) -> list[str]:
         """Delete what no reader needs: versions before the last full one, and the open rows
@@ -282,10 +398,16 @@ class HistoryTable(VersionedTable):
             self._drop(*parts)
         return old
 
-    def write_step(self, merged: DataFrame, keys: Sequence[str] = ()) -> str:
-        """Open rows and the rows this run closed, as a merge of :meth:`read_open` gives them."""
-        return self.write(merged, keys, partition=["IsCurrent"])
+    def _laid_out(self, rows: DataFrame, keys: Sequence[str], kind: str = "", **note) -> str:
+        if not self.key:
+            return self.write(rows, keys, partition=["IsCurrent"], kind=kind, **note)
+        return self.write(rows.withColumn(self.BUCKET, self.bucket()), keys, partition=["IsCurrent", self.BUCKET], kind=kind, **note)
+
+    def write_step(self, merged: DataFrame, keys: Sequence[str] = (), whole: Sequence[int] = ()) -> str:
+        """Open rows and the rows this run closed, as a merge of :meth:`read_open` gives them, and all
+        closed rows of the buckets that are held ``whole``."""
+        return self._laid_out(merged, keys, **({"whole": sorted(whole)} if whole else {}))
 
     def write_full(self, dimension: DataFrame, keys: Sequence[str] = ()) -> str:
         """The whole dimension; closed rows of earlier versions no longer count."""
-        return self.write(dimension, keys, partition=["IsCurrent"], kind=self.FULL)
+        return self._laid_out(dimension, keys, kind=self.FULL)

@@ -1,4 +1,7 @@
-"""The daily run: extract, check, set bad rows aside, stage, load dimensions, facts, marts.
+"""The daily run: land, check, set bad rows aside, stage, load dimensions, facts, marts.
+
+Source tables are read once, by increments, into landed copies; everything else reads those.  Facts and
+marts are rebuilt for the months that the landed rows touched since they were last loaded.
 
 Each step reads tables and writes tables, so a step that loses its executors is recomputed
 from stored input and a whole run may be started again: dimensions get a new version folder,
@@ -16,12 +19,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from treadle.operators import checks, history, sinks
+from treadle.operators.keys import with_keys
 from treadle.operators.lookup import or_unknown
 from treadle.plans import dims, facts, marts, staging
 from treadle.plans.constraints import declared_rules
 from treadle.session import run_folder
 from treadle.sources.catalog import TableSpec
 from treadle.sources.extract import DIMENSION_SINCE, FACT_WINDOW, classify, extract_all
+from treadle.sources.landing import UNDATED, WHOLE, Landing, filings
 
 Reader = Callable[[str], DataFrame]
 
@@ -39,6 +44,35 @@ CADENCE = {
 }
 
 
+_SALES = ("sales.salesorderheader", "sales.salesorderdetail")
+#: Landed tables whose months are the months of a fact, and the date column those have to be filed by.
+FACT_SOURCES = {
+    "FactSales": _SALES, "FactPromotionResponse": _SALES, "FactEmployeeSales": _SALES, "FactFinance": _SALES[:1],
+    "FactPurchases": ("purchasing.purchaseorderheader", "purchasing.purchaseorderdetail"),
+    "FactProduction": ("production.workorder", "production.workorderrouting"),
+}
+FILED_BY = {"sales.salesorderheader": "orderdate", "purchasing.purchaseorderheader": "orderdate",
+            "production.workorder": "startdate"}
+#: Dimensions whose surrogate keys a fact has.
+FACT_DIMENSIONS = {
+    "FactSales": ("DimCustomer", "DimProduct", "DimStore", "DimEmployee"), "FactPurchases": ("DimProduct", "DimVendor"),
+    "FactInventory": ("DimProduct", "DimWarehouse"), "FactProduction": ("DimProduct",), "FactEmployeeSales": ("DimEmployee",),
+    "FactPromotionResponse": ("DimProduct", "DimStore"), "FactFinance": ("DimCustomer", "DimStore"),
+    "FactReturns": ("DimProduct", "DimCustomer", "DimStore"),
+}
+PRICES = ("production.productlistpricehistory", "production.productcosthistory")
+#: Tables of which a changed row reaches all later months of a fact.
+REACHES_ON = {"FactEmployeeSales": "sales.salespersonquotahistory"}
+#: The months of a mart are those of its facts' tables; a change in one of the others reaches all months.
+MART_SOURCES = {
+    "agg_daily_sales": (_SALES, ()), "agg_weekly_sales": (_SALES, ()), "agg_monthly_sales": (_SALES, ()),
+    "agg_monthly_product_performance": (_SALES, ("production.productreview",)), "agg_regional_sales": (_SALES, ()),
+}
+#: Marts whose refresh reads the touched months only, and takes earlier ones from its own rows.
+OWN_PAST = ("agg_regional_sales",)
+PROGRESS = "target string, name string, seq long"
+
+
 def due_marts(day: dt.date) -> list[str]:
     """The marts to refresh on a day."""
     due = {"daily": True, "sunday": day.isoweekday() == 7, "first": day.day == 1}
@@ -91,6 +125,10 @@ class CleanTables(Mapping):
         df, rules = self._frames[name], self._rules.get(name)
         return checks.split(df, rules.rules)[0] if rules and rules.rules else df
 
+    def limited(self, frames: Mapping[str, DataFrame]) -> CleanTables:
+        """The same tables with some of them read otherwise."""
+        return CleanTables({**self._frames, **{n: df for n, df in frames.items() if n in self._frames}}, self._rules, self._blocked)
+
     def __iter__(self) -> Iterator[str]:
         return iter(n for n in self._frames if n not in self._blocked)
 
@@ -146,29 +184,88 @@ class DailyRun:
     def __init__(self, spark: SparkSession, specs: Mapping[str, TableSpec], read: Reader, root: str,
                  as_of: dt.date, *, batch: str, window: tuple[dt.datetime, dt.datetime] = FACT_WINDOW,
                  since: dt.datetime = DIMENSION_SINCE, allow_failed: bool = False,
-                 returns: DataFrame | None = None, months: list[str] | None = None):
+                 returns: DataFrame | None = None, months: list[str] | None = None, land: bool = True):
         """``returns`` is a role frame of returned lines, which the source itself lacks;
-        ``months`` (``yyyy-MM``) limits the mart refresh to what those months touch."""
+        ``months`` (``yyyy-MM``) limits the mart refresh to what those months touch; without ``land``
+        the source is read anew by each step and everything in the window is rebuilt."""
         self.spark, self.specs, self.read, self.root = spark, specs, read, root.rstrip("/")
         self.as_of, self.batch, self.window, self.since = as_of, batch, window, since
         self.allow_failed, self.returns, self.months = allow_failed, returns, months
         self.at = dt.datetime.combine(as_of, dt.time())
         self.report = DayReport()
+        self.land, self.landed = land, None
+        self.progress: dict[str, dict[str, int]] = {}
 
     def table(self, name: str) -> sinks.VersionedTable:
         versioned = name in dims.DIMENSIONS and dims.DIMENSIONS[name].policy == dims.SCD2
-        kind = sinks.HistoryTable if versioned else sinks.VersionedTable
-        return kind(self.spark, self.path(name))
+        if not versioned:
+            return sinks.VersionedTable(self.spark, self.path(name))
+        return sinks.HistoryTable(self.spark, self.path(name), key=[dims.DIMENSIONS[name].natural])
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     # steps
 
+    def bring_in(self) -> None:
+        """Land the source; from here on tables are the landed ones."""
+        self.landed = Landing(self.spark, self.path("_landing"), filings(self.specs))
+        self.landed.land(self.read, self.batch)
+        known = sinks.VersionedTable(self.spark, self.path("_progress"))
+        for r in known.read().collect() if known.exists() else []:  # a row per target and source table
+            self.progress.setdefault(r.target, {})[r.name] = r.seq
+
+    def source(self, name: str) -> DataFrame:
+        return self.landed.read(name) if self.landed and name in self.landed.plans else self.read(name)
+
+    def arrived(self, name: str) -> DataFrame:
+        """What is to be checked of a table: its new rows, or all of it while it holds a key twice."""
+        if self.landed is None:
+            return self.read(name)
+        return self.landed.read(name) if self.landed.last(name).twice else self.landed.increment(name)
+
     def extract(self) -> dict[str, DataFrame]:
-        found = extract_all(self.specs, self.read, self.since, self.window)
+        found = extract_all(self.specs, self.arrived, self.since, self.window)
         return {n: e.df for n, e in found.items()}
 
+    def stale(self, target: str, names: tuple[str, ...], whole: tuple[str, ...] = ()) -> list[str] | None:
+        """Months to rebuild of a fact or mart, as its tables have changed since; None for all of them."""
+        if self.landed is None or target not in self.progress or not sinks.folder_exists(self.spark, self.path(target)):
+            return None
+        done, months = self.progress[target], set()
+        for name in (*names, *whole):
+            if name not in self.landed.plans:
+                continue
+            found = self.landed.touched(name, done.get(name, 0))
+            plan = self.landed.plans[name]
+            filed = plan.parent is not None or (plan.date or "").lower() == FILED_BY.get(name)
+            if found is None or found and (name in whole or not filed):
+                return None
+            months |= set(found)
+        for low, high in (n.split("~")[1:] for n in done if n.startswith("~")):  # see reopen()
+            held = sinks.stored_months(self.spark, self.landed.path(names[0]), "filed_month")
+            months |= {m for m in held if low <= m <= high}
+        later = REACHES_ON.get(target)
+        if later in self.landed.plans:
+            found = self.landed.touched(later, done.get(later, 0))
+            if found is None or UNDATED in found or WHOLE in found:
+                return None
+            if found:
+                months |= {m for m in sinks.stored_months(self.spark, self.landed.path(names[0]), "filed_month") if m >= found[0]}
+        return sorted(months - {UNDATED})
+
+    def advance(self, target: str, names: tuple[str, ...]) -> None:
+        """A target has taken in all that was landed of its tables."""
+        if self.landed is not None:
+            self.progress[target] = {n: self.landed.last(n).seq for n in names if n in self.landed.plans}
+
+    def save_progress(self) -> None:
+        if self.landed is not None:
+            rows = [(t, n, s) for t, by in self.progress.items() for n, s in (by or {"": 0}).items()]
+            table = sinks.VersionedTable(self.spark, self.path("_progress"))
+            table.write(self.spark.createDataFrame(rows, PROGRESS).coalesce(1))
+            table.prune()
+
     def validate(self, frames: Mapping[str, DataFrame],
                  rules: Mapping[str, checks.TableRules]) -> dict[str, checks.TableRules]:
         """Write findings and summary; returns, per table, the rules that were broken.
@@ -176,7 +273,7 @@ class DailyRun:
         What follows looks at those only, so a clean table is not scanned for errors again.
         """
         found = self.table("validation_findings")
-        found.write(checks.findings(frames, rules, Whole(self.specs, self.read)))
+        found.write(checks.findings(frames, rules, Whole(self.specs, self.source)))
         checks.summarize(found.read()).write.mode("overwrite").parquet(self.path("validation_summary"))
         # at most one row per rule
         hit = {(r.table_name, r.rule) for r in found.read().filter("violations > 0").select("table_name", "rule").collect()}
@@ -200,7 +297,7 @@ class DailyRun:
             for fk in r.foreign_keys:
                 if fk.parent in self.specs:
                     parts.append(checks.orphan_error_records(
-                        df, name, fk, self.read(fk.parent), key, self.batch, "validate", self.at))
+                        df, name, fk, self.source(fk.parent), key, self.batch, "validate", self.at))
             if parts:
                 self.record(name, checks.union_all(parts))
 
@@ -224,23 +321,79 @@ class DailyRun:
             return
         staged, opening = dims.STAGES[name](full, self.as_of), self.window[0].date()
         if spec.policy == dims.SCD2:
-            current = table.read_open() if table.exists() else None
-            merged = dims.load_dimension(spec, current, staged, self.as_of, opening)
-            if name == "DimEmployee":
-                merged = dims.with_manager_keys(merged, staged.select("EmployeeID", "ManagerID"))
-            table.write_step(merged)
-            if table.since_full() > COMPACT_AFTER:
-                table.write_full(table.read())
-                table.prune()
-            twice = table.read_open().groupBy(spec.surrogate).agg(F.count("*").alias("n")).filter(
-                f"n > 1 OR {spec.surrogate} = -1")
-            if not twice.isEmpty():
-                raise ValueError(f"{name}: two rows have one surrogate key")
+            self.load_versions(spec, table, staged, full, opening)
         else:
             current = table.read() if table.exists() else None
             table.write(dims.load_dimension(spec, current, staged, self.as_of, opening))
             table.prune()
 
+    def load_versions(self, spec: dims.DimensionSpec, table: sinks.HistoryTable, staged: DataFrame,
+                      full: Mapping[str, DataFrame], opening: dt.date) -> None:
+        """A versioned dimension after the day: open rows merged, states of the past cut into its history."""
+        key = [spec.natural]
+        staged = dims.conform(staged, spec) if spec.name != "DimEmployee" else staged
+        current = table.read_open() if table.exists() else None
+        late = []
+        if spec.name == "DimProduct" and all(n in full for n in PRICES):
+            # a first load opens with the prices of its opening day; those since then are cut in
+            staged, states = dims.priced(staged, dims.price_states(full), opening if current is None else self.as_of, self.as_of)
+            late.append((states, "day"))
+        if current is not None:  # keys whose open version starts after this day: the day lies in their past
+            ahead = current.filter(F.col("ValidFromDate") > F.lit(self.as_of)).select(*key)
+            if not ahead.isEmpty():
+                rows = dims.conform(staged, spec).join(ahead, key, "left_semi").withColumn("_day", F.lit(self.as_of))
+                late.append((rows, "_day"))
+        merged = dims.load_dimension(spec, current, staged, self.as_of, opening, history.key_later)
+        whole: set[int] = set()
+        for rows, day in late:
+            merged, whole = self.cut_in(spec, table, merged, rows, day, whole)
+        # keys are handed out once for the stored rows
+        folder = run_folder(self.spark, spec.name)
+        merged.write.parquet(folder)
+        stored = self.spark.read.parquet(folder)
+        keyed = with_keys(self.spark, self.path(f"_keys/{spec.name}"), stored, [*key, "ValidFromDate"], spec.surrogate)
+        if spec.name == "DimEmployee":
+            keyed = dims.with_manager_keys(keyed, staged.select("EmployeeID", "ManagerID"))
+        table.write_step(keyed, whole=sorted(whole) if table.exists() else ())
+        if table.since_full() > COMPACT_AFTER:
+            table.write_full(table.read())
+            table.prune()
+
+    def cut_in(self, spec: dims.DimensionSpec, table: sinks.HistoryTable, merged: DataFrame, late: DataFrame, day: str,
+               whole: set[int]) -> tuple[DataFrame, set[int]]:
+        """``merged`` with observations of the past, and the buckets of closed rows it now holds whole."""
+        key = [spec.natural]
+        others = [b for b in range(table.buckets) if b not in whole]
+        closed = table.read_closed(others) if table.exists() else None
+        versions = merged if closed is None else merged.unionByName(closed)
+        low, high = self.window[0].date(), max(self.window[1].date(), self.as_of)
+        folder = run_folder(self.spark, "late")
+        history.unlike(versions, late, key, spec.tracked, day, low, high).withColumn("_bucket", table.bucket()).write.parquet(folder)
+        new = self.spark.read.parquet(folder)
+        buckets = {r[0] for r in new.select("_bucket").distinct().collect()}  # at most the table's number of them
+        if not buckets:
+            return merged, whole
+        closed = table.read_closed(sorted(buckets - whole)) if table.exists() else None
+        rows = merged if closed is None else merged.unionByName(closed)
+        keys = new.select(*key).distinct()
+        spliced = history.splice(rows.join(keys, key, "left_semi"), new.drop("_bucket"), key, spec.tracked, spec.surrogate,
+                                 day, self.as_of, history.key_later)
+        reach = new.join(versions.select(*key, "ValidFromDate"), key).filter(F.col("ValidFromDate") > F.col(day)).agg(
+            F.max("ValidFromDate")).first()[0]
+        self.reopen(spec.name, new.agg(F.min(day)).first()[0], reach or high)
+        return rows.join(keys, key, "left_anti").unionByName(spliced), whole | buckets
+
+    def reopen(self, dimension: str, low: dt.date, high: dt.date) -> None:
+        """Facts and marts that were loaded with the old versions of these days are to be rebuilt.
+
+        Put on record before the dimension is written, so a run that stops in between is made up for.
+        """
+        targets = [f for f, names in FACT_DIMENSIONS.items() if dimension in names] + list(MART_SOURCES)
+        for target in targets:
+            if target in self.progress:
+                self.progress[target][f"~{low:%Y-%m}~{high:%Y-%m}"] = 1
+        self.save_progress()
+
     def load_calendar(self) -> None:
         bounds = self.spark.range(1).select(F.lit(self.window[0].date()).alias("low"),
                                             F.lit(self.window[1].date()).alias("high"))
@@ -267,8 +420,8 @@ class DailyRun:
                                              spec.policy == dims.SCD2)
         return out
 
-    def keyed(self, fact: DataFrame, date: str, *names: str) -> DataFrame:
-        links = {k: v for k, v in self.links(*[n for n in names if self.table(n).exists()]).items()}
+    def keyed(self, name: str, fact: DataFrame, date: str) -> DataFrame:
+        links = self.links(*[n for n in FACT_DIMENSIONS[name] if self.table(n).exists()])
         return facts.with_surrogates(fact, date, links, self.window[0].date(), self.as_of)
 
     def member(self, df: DataFrame, column: str, dimension: str, name: str) -> DataFrame:
@@ -297,41 +450,49 @@ class DailyRun:
         if sinks.observed(seen, "lost", 0):
             self.record(name, checks.error_records(df, name, rules, keys, self.batch, "store", self.at))
 
-    def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str],
-                  write: Callable = sinks.write_months) -> None:
-        """Write the months (or days) of the window; the date filter reaches the scans."""
-        low, high = (F.lit(d.date()) for d in self.window)
-        in_window = fact.filter(F.col(date).between(low, F.greatest(high, F.lit(self.as_of))))
+    def load_fact(self, name: str, fact: DataFrame, date: str, keys: list[str], write: Callable = sinks.write_months,
+                  months: list[str] | None = None) -> None:
+        """Write the window's months (or days), or those given; the date filter reaches the scans.
+
+        Months that are rebuilt and have no rows any more lose their old ones.
+        """
+        low, high = self.window[0].date(), max(self.window[1].date(), self.as_of)
+        in_window = fact.filter(F.col(date).between(F.lit(low), F.lit(high)))
+        if write is sinks.write_months:
+            inside = lambda m: f"{low:%Y-%m}" <= m <= f"{high:%Y-%m}"
+            held = sinks.stored_months(self.spark, self.path(name)) if months is None else months
+            write = partial(write, replaced=[m for m in held if inside(m)])
         self.store(name, in_window, date, keys, write)
 
     def load_facts(self, tables: Mapping[str, DataFrame]) -> None:
-        t = tables if isinstance(tables, CleanTables) else CleanTables(tables, {}, frozenset())
+        whole = tables if isinstance(tables, CleanTables) else CleanTables(tables, {}, frozenset())
         low, high = self.window[0].date(), self.as_of
+        t, months = whole, None  # of the fact being loaded
 
         def sales():
             lines = facts.sales_lines_from_source(t)
-            fact = self.keyed(facts.fact_sales(lines), "SalesDateKey", "DimCustomer", "DimProduct", "DimStore", "DimEmployee")
-            self.load_fact("FactSales", fact, "SalesDateKey", ["SalesDateKey", "CustomerKey", "ProductKey"])
+            fact = self.keyed("FactSales", facts.fact_sales(lines), "SalesDateKey")
+            self.load_fact("FactSales", fact, "SalesDateKey", ["SalesDateKey", "CustomerKey", "ProductKey"],
+                           months=months)
 
         def purchases():
-            fact = self.keyed(facts.fact_purchases(facts.purchase_lines_from_source(t)), "PurchaseDateKey",
-                              "DimProduct", "DimVendor")
-            self.load_fact("FactPurchases", fact, "PurchaseDateKey", ["PurchaseDateKey", "ProductKey"])
+            fact = self.keyed("FactPurchases", facts.fact_purchases(facts.purchase_lines_from_source(t)), "PurchaseDateKey")
+            self.load_fact("FactPurchases", fact, "PurchaseDateKey", ["PurchaseDateKey", "ProductKey"], months=months)
 
         def inventory():
             fact = facts.fact_inventory(facts.stock_from_source(t), self.as_of)
-            fact = self.keyed(fact, "InventoryDateKey", "DimProduct", "DimWarehouse")
+            fact = self.keyed("FactInventory", fact, "InventoryDateKey")
             self.load_fact("FactInventory", fact, "InventoryDateKey", ["ProductKey", "WarehouseKey"], sinks.write_days)
 
         def production():
-            fact = self.keyed(facts.fact_production(*facts.runs_from_source(t)), "ProductionDateKey", "DimProduct")
-            self.load_fact("FactProduction", fact, "ProductionDateKey", ["ProductionDateKey", "ProductKey"])
+            fact = self.keyed("FactProduction", facts.fact_production(*facts.runs_from_source(t)), "ProductionDateKey")
+            self.load_fact("FactProduction", fact, "ProductionDateKey", ["ProductionDateKey", "ProductKey"], months=months)
 
         def employee_sales():
             fact = facts.fact_employee_sales(facts.sales_lines_from_source(t), facts.quotas_from_source(t),
                                              facts.sellers_from_source(t), low, high)
-            fact = self.keyed(fact, "SalesDateKey", "DimEmployee")
-            self.load_fact("FactEmployeeSales", fact, "SalesDateKey", ["SalesDateKey", "EmployeeKey"])
+            fact = self.keyed("FactEmployeeSales", fact, "SalesDateKey")
+            self.load_fact("FactEmployeeSales", fact, "SalesDateKey", ["SalesDateKey", "EmployeeKey"], months=months)
 
         def feedback():
             fact = facts.fact_customer_feedback(facts.feedback_from_source(t))
@@ -340,27 +501,40 @@ class DailyRun:
 
         def promotions():
             fact = facts.fact_promotion_response(facts.sales_lines_from_source(t))
-            fact = self.keyed(fact, "PromotionDateKey", "DimProduct", "DimStore")
-            self.load_fact("FactPromotionResponse", fact, "PromotionDateKey", ["PromotionDateKey", "ProductKey"])
+            fact = self.keyed("FactPromotionResponse", fact, "PromotionDateKey")
+            self.load_fact("FactPromotionResponse", fact, "PromotionDateKey", ["PromotionDateKey", "ProductKey"], months=months)
 
         def finance():
-            fact = self.keyed(facts.fact_finance(facts.invoices_from_source(t)), "InvoiceDateKey",
-                              "DimCustomer", "DimStore")
+            fact = self.keyed("FactFinance", facts.fact_finance(facts.invoices_from_source(t)), "InvoiceDateKey")
             fact = self.member(fact, "FinanceCategoryKey", "DimFinanceCategory", "CategoryName")
-            self.load_fact("FactFinance", fact, "InvoiceDateKey", ["InvoiceID"])
+            self.load_fact("FactFinance", fact, "InvoiceDateKey", ["InvoiceID"], months=months)
 
         def returned():
+            if self.returns is None and sinks.folder_exists(self.spark, self.path("FactReturns")):
+                return  # nothing was handed over; what is there stays
             if self.returns is None:
                 self.returns = self.spark.createDataFrame([], RETURNED)
-            fact = self.keyed(facts.fact_returns(self.returns), "ReturnDateKey", "DimProduct", "DimCustomer", "DimStore")
+            fact = self.keyed("FactReturns", facts.fact_returns(self.returns), "ReturnDateKey")
             fact = self.member(fact, "ReturnReasonKey", "DimReturnReason", "ReturnReasonName")
-            self.load_fact("FactReturns", fact, "ReturnDateKey", ["ReturnID"])
+            # a frame of returns replaces the months it has rows of
+            self.load_fact("FactReturns", fact, "ReturnDateKey", ["ReturnID"], months=[])
 
         for name, work in {"FactSales": sales, "FactPurchases": purchases, "FactInventory": inventory,
                            "FactProduction": production, "FactEmployeeSales": employee_sales,
                            "FactCustomerFeedback": feedback, "FactPromotionResponse": promotions,
                            "FactFinance": finance, "FactReturns": returned}.items():
-            self.step(name, work)
+            sources = FACT_SOURCES.get(name, ())
+            months = self.stale(name, sources) if sources else None
+            t = whole if months is None else whole.limited(
+                {n: self.landed.read(n, months) for n in sources if n in self.landed.plans})
+
+            def load():
+                if months != []:
+                    work()
+                self.advance(name, (*sources, REACHES_ON[name]) if name in REACHES_ON else sources)
+
+            self.step(name, load)
+        self.save_progress()
 
     def load_marts(self, t: Mapping[str, DataFrame], names: list[str]) -> None:
         def stored(name: str, months: list[str] | None = None) -> DataFrame:
@@ -394,12 +568,12 @@ class DailyRun:
             day = stored("FactInventory").filter(F.col("InventoryDateKey") == F.lit(self.as_of))
             return marts.daily_inventory(day, products(), self.table("DimAgingTier").read())
 
-        def regional(read: list[str] | None) -> DataFrame:
-            sales = stored("FactSales", self.months)
-            if self.months is None or "agg_regional_sales" not in mart_folders:
+        def regional(months: list[str] | None) -> DataFrame:
+            sales = stored("FactSales", months)
+            if months is None or "agg_regional_sales" not in mart_folders:
                 return marts.regional_sales(stored("FactSales"), places())
             mart = sinks.read_months(self.spark, self.path("agg_regional_sales"))
-            fresh = marts.regional_refresh(mart, sales, places(), self.months)
+            fresh = marts.regional_refresh(mart, sales, places(), months)
             # the mart is read and replaced, so the new rows are written elsewhere first
             folder = run_folder(self.spark, "agg_regional_sales")
             fresh.write.parquet(folder)
@@ -407,34 +581,45 @@ class DailyRun:
 
         mart_folders = [n for n in names if sinks.folder_exists(self.spark, self.path(n))]
         # plan over the months it has to read, date column, and the (months before, months
-        # after) that a touched month reaches; None where the plan sees to it itself
+        # after) that a touched month reaches
         plans = {
             "agg_daily_sales": (lambda ms: marts.daily_sales(stored("FactSales", ms), categories()), "SalesDateKey", (0, 0)),
             "agg_weekly_sales": (lambda ms: marts.weekly_sales(stored("FactSales", ms), places(), categories()),
                                  "WeekStartDateKey", (1, 0)),
             "agg_monthly_sales": (lambda ms: marts.monthly_sales(stored("FactSales", ms), places()),
                                   "MonthStartDateKey", (0, 0)),
-            "agg_daily_inventory": (inventory, "InventoryDateKey", None),
+            "agg_daily_inventory": (inventory, "InventoryDateKey", (0, 0)),
             "agg_monthly_product_performance": (lambda ms: marts.monthly_product_performance(
                 stored("FactSales", ms), stored("FactReturns", ms), ratings()), "MonthStartDateKey", (0, 0)),
-            "agg_regional_sales": (regional, "MonthStartDateKey", None),
+            "agg_regional_sales": (regional, "MonthStartDateKey", (0, 1)),
         }
         for name in names:
             plan, date, reach = plans[name]
+            sources, others = MART_SOURCES.get(name, ((), ()))
+            months = self.months if self.months is not None else self.stale(name, sources, others) if sources else None
+            if name == "agg_monthly_product_performance" and self.returns is not None and self.months is None:
+                months = None  # returns may have come to any month
 
             def refresh():
-                if self.months is None or reach is None:
-                    write = sinks.write_days if name == "agg_daily_inventory" else sinks.write_months
-                    self.store(name, plan(None), date, [date], write)
-                    return
-                written = sorted({shift_month(m, n) for m in self.months for n in range(-reach[0], reach[1] + 1)})
-                read = sorted({shift_month(m, n) for m in written for n in (-1, 0, 1)})
-                fresh = plan(read).filter(F.date_format(date, "yyyy-MM").isin(*written))
-                self.store(name, fresh, date, [date], partial(sinks.write_months, replaced=written))
+                if name == "agg_daily_inventory":
+                    self.store(name, plan(None), date, [date], sinks.write_days)
+                elif months is None:
+                    held = sinks.stored_months(self.spark, self.path(name))
+                    self.store(name, plan(None), date, [date], partial(sinks.write_months, replaced=held))
+                elif months:
+                    written = sorted({shift_month(m, n) for m in months for n in range(-reach[0], reach[1] + 1)})
+                    # the growth mart finds the months before among its own rows
+                    read = months if name in OWN_PAST else sorted({shift_month(m, n) for m in written for n in (-1, 0, 1)})
+                    fresh = plan(read).filter(F.date_format(date, "yyyy-MM").isin(*written))
+                    self.store(name, fresh, date, [date], partial(sinks.write_months, replaced=written))
+                self.advance(name, (*sources, *others))
 
             self.step(name, refresh)
+        self.save_progress()
 
     def run(self, mart_names: list[str] | None = None) -> DayReport:
+        if self.land:
+            self.bring_in()
         frames = self.extract()
         self.report.not_extracted = sorted(set(self.specs) - set(frames))
         rules = table_rules(self.specs, frames, self.as_of, self.report.unchecked)
@@ -445,9 +630,9 @@ class DailyRun:
             self.report.skipped[name] = "duplicate primary keys"
         # the extract's window is for checking; loads read whole tables, since a windowed
         # product or offer table would lose rows that facts point at
-        # (of a windowed table only part was checked, so all its rules apply to the whole)
-        partly = {n for n in frames if classify(self.specs[n].name, self.specs[n].column_names) == "fact"}
-        full = CleanTables({n: self.read(n) for n in frames},
+        # (of a windowed table, and of increments, only part was checked, so all rules apply to the whole)
+        partly = {n for n in frames if self.landed or classify(self.specs[n].name, self.specs[n].column_names) == "fact"}
+        full = CleanTables({n: self.source(n) for n in frames},
                            {n: rules[n] if n in partly else broken.get(n) for n in frames}, blocked)
         self.step("StagingCustomer", lambda: self.stage_customers(full))
         for name in dims.DIMENSIONS:
@@ -456,4 +641,3 @@ class DailyRun:
         self.load_facts(full)
         self.load_marts(full, due_marts(self.as_of) if mart_names is None else mart_names)
         return self.report
-

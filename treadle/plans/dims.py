@@ -377,11 +377,10 @@ STAGES = {
 WITH_LOAD_TIME = ("DimCustomer", "DimProduct")
 
 
-def product_history(t: Tables) -> DataFrame:
-    """List price and cost of each product over time, one row per product and start day.
+def price_states(t: Tables) -> DataFrame:
+    """Price and cost of each product from each day on which either starts; NULL where a history has none.
 
-    Both histories are cut at every start date of either; the windows hold one row per
-    price or cost change of a product.
+    Both timelines are laid over each other; the windows hold one row per price or cost change of a product.
     """
     price = t["production.productlistpricehistory"].select(
         F.col("productid").alias("ProductID"), F.col("startdate").cast("date").alias("day"),
@@ -392,9 +391,28 @@ def product_history(t: Tables) -> DataFrame:
     both = price.unionByName(cost).groupBy("ProductID", "day").agg(
         F.max("ListPrice").alias("ListPrice"), F.max("Cost").alias("Cost"))
     so_far = Window.partitionBy("ProductID").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    filled = both.select("ProductID", "day", F.last("ListPrice", True).over(so_far).alias("ListPrice"),
-                         F.last("Cost", True).over(so_far).alias("Cost"))
-    return history.versions(filled, ["ProductID"], "day", ["ListPrice", "Cost"])
+    return both.select("ProductID", "day", F.last("ListPrice", True).over(so_far).alias("ListPrice"),
+                       F.last("Cost", True).over(so_far).alias("Cost"))
+
+
+def product_history(t: Tables) -> DataFrame:
+    """List price and cost of each product over time, as versions."""
+    return history.versions(price_states(t), ["ProductID"], "day", ["ListPrice", "Cost"])
+
+
+def priced(staged: DataFrame, states: DataFrame, day: dt.date, until: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Products with price and cost of a day, and the states of all days until another.
+
+    What a history does not say is as the product has it.
+    """
+    known = states.filter(F.col("day") <= F.lit(until))
+    own = staged.select(F.col("ProductID").alias("_id"), F.col("ListPrice").alias("_price"), F.col("Cost").alias("_cost"))
+    full = known.join(own, F.col("ProductID") == F.col("_id")).select(
+        "ProductID", "day", F.coalesce(F.col("ListPrice").cast("decimal(18,2)"), "_price").alias("ListPrice"),
+        F.coalesce(F.col("Cost").cast("decimal(18,2)"), "_cost").alias("Cost"))
+    last = full.filter(F.col("day") <= F.lit(day)).groupBy("ProductID").agg(F.max_by(F.struct("ListPrice", "Cost"), "day").alias("_last"))
+    return staged.join(last, "ProductID", "left").select(*[
+        F.coalesce(F.col(f"_last.{c}"), F.col(c)).alias(c) if c in ("ListPrice", "Cost") else F.col(c) for c in staged.columns]), full
 
 
 def conform(staging: DataFrame, spec: DimensionSpec) -> DataFrame:
@@ -403,7 +421,7 @@ def conform(staging: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 
 def load_dimension(spec: DimensionSpec, current: DataFrame | None, staging: DataFrame, as_of: dt.date,
-                   opening: dt.date | None = None) -> DataFrame:
+                   opening: dt.date | None = None, key_of: history.KeyOf = history.surrogate_key) -> DataFrame:
     """The dimension after a run, by its policy.
 
     ``current`` is None on the first run, whose versions are valid from ``opening``.
@@ -412,8 +430,8 @@ def load_dimension(spec: DimensionSpec, current: DataFrame | None, staging: Data
     key = [spec.natural]
     if spec.policy == SCD2:
         if current is None:
-            return history.first_load(staged, key, spec.surrogate, as_of, opening, spec.name in WITH_LOAD_TIME)
-        return history.scd2(current, staged, key, spec.tracked, spec.surrogate, as_of)
+            return history.first_load(staged, key, spec.surrogate, as_of, opening, spec.name in WITH_LOAD_TIME, key_of)
+        return history.scd2(current, staged, key, spec.tracked, spec.surrogate, as_of, key_of=key_of)
     keyed = staged.withColumn(spec.surrogate, F.col(spec.natural).cast("bigint")).select(
         spec.surrogate, *[c for c, _ in spec.columns])
     return keyed if current is None else history.scd1(current, keyed, key)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -306,19 +307,56 @@ class Link:
     versioned: bool = True
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _dimension_keys(links: Mapping[str, Link], kind: str) -> DataFrame:
+    """The versions of all linked dimensions in one frame; a dimension without versions is in force always."""
+    parts = []
+    for at, link in enumerate(links.values()):
+        valid = (F.col("ValidFromDate"), F.col("ValidToDate")) if link.versioned else (F.lit(None), F.lit(None))
+        parts.append(link.dimension.select(
+            F.lit(at).alias("_at"), F.col(link.natural).cast(kind).alias("_nk"), F.col(link.surrogate).alias("_sk"),
+            F.coalesce(valid[0].cast("date"), F.lit("0001-01-01").cast("date")).alias("ValidFromDate"), valid[1].cast("date").alias("ValidToDate")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since: dt.date,
                     until: dt.date) -> DataFrame:
-    """Replace natural keys by surrogate keys; no match gives the unknown member."""
-    out = fact
-    for column, link in links.items():
-        if link.versioned:
-            out = asof_lookup(out, link.dimension, {column: link.natural}, date, {"_sk": link.surrogate},
-                              since=since, until=until)
-        else:
-            keys = link.dimension.select(F.col(link.natural).alias("_nk"), F.col(link.surrogate).alias("_sk"))
-            out = out.join(keys, F.col(column) == F.col("_nk"), "left").drop("_nk")
-        out = out.withColumn(column, or_unknown(F.col("_sk"))).drop("_sk")
-    return out.select(*fact.columns)
+    """Replace natural keys by surrogate keys; no match gives the unknown member.
+
+    All keys of a fact are looked up at once: a row becomes one small row per key, of which the first
+    carries the other columns, these meet the versions of all dimensions in one point-in-time join, and
+    are folded back to one row.  So a fact is shuffled twice, whatever the number of its keys.  Rows are
+    told apart by two hashes of all their columns, which a repeated task gives again; equal rows fold
+    into one with a count and come out as often as they went in.
+    """
+    if not links:
+        return fact
+    columns = fact.columns
+    types = dict(fact.dtypes)
+    naturals = [types[c] for c in links] + [dict(v.dimension.dtypes)[v.natural] for v in links.values()]
+    kind = "bigint" if all(t in _WHOLE for t in naturals) else "string"
+    marked = fact.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)],
+                         F.col(date).cast("date").alias("_day"),
+                         *[F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(seed)).alias(f"_id{seed}") for seed in (1, 2)])
+    place = {c: f"_c{i}" for i, c in enumerate(columns)}
+    entries = F.array(*[F.struct(F.lit(at).alias("_at"), F.col(place[c]).cast(kind).alias("_k"))
+                        for at, c in enumerate(links)])
+    # a key that is NULL has no version; the first entry stays, as it carries the row
+    entries = F.filter(entries, lambda e: e["_k"].isNotNull() | (e["_at"] == 0))
+    first = F.col("_at") == 0
+    each = marked.select("*", F.inline(entries)).select(
+        "_id1", "_id2", "_day", "_at", "_k", *[F.when(first, F.col(p)).alias(p) for p in place.values()])
+    found = asof_lookup(each, _dimension_keys(links, kind), {"_at": "_at", "_k": "_nk"}, "_day", {"_sk": "_sk"},
+                        since=since, until=until)
+    folded = found.groupBy("_id1", "_id2").agg(
+        F.count_if(first).alias("_n"), *[F.first(p, ignorenulls=True).alias(p) for p in place.values()],
+        *[F.max(F.when(F.col("_at") == at, F.col("_sk"))).alias(f"_s{at}") for at in range(len(links))])
+    again = F.when(F.col("_n") > 1, F.sequence(F.lit(1).cast("long"), F.col("_n"))).otherwise(F.array(F.lit(1).cast("long")))
+    at = {c: f"_s{i}" for i, c in enumerate(links)}
+    return folded.select("*", F.explode(again).alias("_copy")).select(*[
+        (or_unknown(F.col(at[c])) if c in at else F.col(place[c])).alias(c) for c in columns])
 
 
 #: Stored types of ratio and count columns: wider than the source's, so that sums of any size fit.

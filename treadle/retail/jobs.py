@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from treadle.functions import hierarchy, scalars
 from treadle.operators import checks, history, keep, lookup, measures, sinks
 from treadle.plans import dims, facts, marts, shorthand, staging, views, xml_views
-from treadle.retail import tables as r
+from treadle.retail import runs, tables as r
 from treadle.retail.source import SourceTables
 from treadle.retail.tables import AS_OF, SINCE, STOCK_DAY, UNTIL, load
 from treadle.session import run_folder
@@ -740,4 +740,5 @@ QUERIES: dict[str, Job] = {
     "v_hierarchy": v_hierarchy,
     "v_shorthand": v_shorthand,
     "v_materialized_refresh": v_materialized_refresh,
+    **runs.QUERIES,
 }

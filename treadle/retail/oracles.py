@@ -850,3 +850,24 @@ ORACLES["v_shorthand"] = " union all ".join(
                  "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
                  "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
                  "labels": "doc_id", "conversations": "conv_id"}.items())
+
+# --- daily runs ----------------------------------------------------------------------------
+
+_MOVED = """moved as (
+  select o_orderkey, strftime(o_orderdate, '%Y-%m') = '1997-06' as late,
+         case when strftime(o_orderdate, '%Y-%m') = '1997-06' then date '1997-07-15' else cast(o_orderdate as date) end as d
+  from orders),
+sold as (
+  select d, strftime(d, '%Y-%m') as month, p_size % 5 as category,
+         cast(cast(l_extendedprice as decimal(19,4)) * cast(cast(l_quantity as int) as decimal(9,0)) as decimal(18,2)) as revenue
+  from lineitem join moved on l_orderkey = o_orderkey left join part on l_partkey = p_partkey)"""
+
+ORACLES["g_incremental_day"] = f"""
+with {_MOVED},
+fact as (select month, count(*) as n, sum(revenue) as revenue from sold group by 1),
+mart as (select month, count(*) as n, sum(revenue) as revenue
+         from (select month, d, category, sum(revenue) as revenue from sold group by all) group by 1),
+both_ as (select 'FactSales' as name, * from fact union all select 'agg_daily_sales', * from mart)
+select name, month, n as n_rows, cast(revenue as decimal(18,2)) as revenue, month = '1997-07' as rebuilt,
+       (select count(*) from moved where late) as landed
+from both_"""
