@@ -11,7 +11,7 @@ facts and marts replace the months they touch, error records replace their batch
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -193,7 +193,7 @@ class DailyRun:
         self.allow_failed, self.returns, self.months = allow_failed, returns, months
         self.at = dt.datetime.combine(as_of, dt.time())
         self.report = DayReport()
-        self.land, self.landed = land, None
+        self.land, self.landed, self.targets = land, None, None
         self.progress: dict[str, dict[str, int]] = {}
 
     def table(self, name: str) -> sinks.VersionedTable:
@@ -306,6 +306,8 @@ class DailyRun:
 
     def step(self, name: str, work: Callable[[], None]) -> None:
         """Run a step; one whose tables are missing or blocked is reported, not fatal."""
+        if self.targets is not None and name not in self.targets and name not in CADENCE:
+            return
         try:
             work()
         except (MissingTable, staging.MissingTables) as missing:
@@ -368,7 +370,9 @@ class DailyRun:
         versions = merged if closed is None else merged.unionByName(closed)
         low, high = self.window[0].date(), max(self.window[1].date(), self.as_of)
         folder = run_folder(self.spark, "late")
-        history.unlike(versions, late, key, spec.tracked, day, low, high).withColumn("_bucket", table.bucket()).write.parquet(folder)
+        unlike = history.unlike(versions, late, key, spec.tracked, day, low, high).select(*key).distinct()
+        # all states of such keys: one that is as the history has it may be so no more beside the others
+        late.join(unlike, key, "left_semi").withColumn("_bucket", table.bucket()).write.parquet(folder)
         new = self.spark.read.parquet(folder)
         buckets = {r[0] for r in new.select("_bucket").distinct().collect()}  # at most the table's number of them
         if not buckets:
@@ -617,7 +621,9 @@ class DailyRun:
             self.step(name, refresh)
         self.save_progress()
 
-    def run(self, mart_names: list[str] | None = None) -> DayReport:
+    def run(self, mart_names: list[str] | None = None, targets: Collection[str] | None = None) -> DayReport:
+        """A day's run; ``targets`` names the dimensions and facts to load where not all are wanted."""
+        self.targets = targets
         if self.land:
             self.bring_in()
         frames = self.extract()

@@ -486,20 +486,33 @@ def k1_fact_sales(spark, folder):
 
 
 def k1_fact_sales_keyed(spark, folder):
-    """Sales with the surrogate key of the customer version of their day, by that version.
+    """Sales with the keys of customer, product, store and employee, all looked up at once, by version found.
 
-    The key is checked by its way back: it has to lead to one version, of the sale's own customer.
+    Customers have versions by priority, products by price and cost, employees by quota, stores none.
+    A key is checked by its way back: it has to lead to one version, of the sale's own member.
     """
-    versions = _priority_versions(spark, folder)
-    versions = versions.withColumn("CustomerSK", history.surrogate_key([F.col("o_custkey")], F.col("ValidFromDate")))
-    sales = k1_fact_sales(spark, folder).withColumn("customer", F.col("CustomerKey"))
-    links = {"CustomerKey": facts.Link(versions, "o_custkey", "CustomerSK")}
+    def versions(df, natural):
+        return df.withColumn("sk", history.surrogate_key([F.col(natural)], F.col("ValidFromDate")))
+
+    store = load(spark, folder, "supplier").select("s_suppkey", F.xxhash64("s_suppkey").alias("sk"))
+    links = {
+        "CustomerKey": facts.Link(versions(_priority_versions(spark, folder), "o_custkey"), "o_custkey", "sk"),
+        "ProductKey": facts.Link(versions(d_product_history(spark, folder), "ProductID"), "ProductID", "sk"),
+        "StoreKey": facts.Link(store, "s_suppkey", "sk", versioned=False),
+        "EmployeeKey": facts.Link(versions(r.quotas(spark, folder), "employee_id"), "employee_id", "sk"),
+    }
+    own = {c: f"own_{c}" for c in links}
+    sales = k1_fact_sales(spark, folder).select("*", *[F.col(c).cast("long").alias(n) for c, n in own.items()])
     keyed = facts.with_surrogates(sales, "SalesDateKey", links, SINCE, UNTIL)
-    sums = keyed.groupBy("CustomerKey", "customer").agg(F.count("*").alias("sales"), F.sum("SalesRevenue").cast(
-        "decimal(18,2)").alias("revenue"))
-    back = versions.select(F.col("CustomerSK").alias("CustomerKey"), "o_custkey", F.col("ValidFromDate").alias("valid_from"))
-    return sums.join(back, "CustomerKey", "left").select(
-        "customer", F.col("o_custkey").alias("found"), "valid_from", "sales", "revenue")
+    each = keyed.select("SalesRevenue", F.inline(F.array(*[F.struct(
+        F.lit(c).alias("dimension"), F.col(c).alias("sk"), F.col(n).alias("member")) for c, n in own.items()])))
+    sums = each.groupBy("dimension", "sk", "member").agg(
+        F.count("*").alias("sales"), F.sum("SalesRevenue").cast("decimal(18,2)").alias("revenue"))
+    back = _union(k.dimension.select(
+        F.lit(c).alias("dimension"), "sk", F.col(k.natural).cast("long").alias("found"),
+        (F.col("ValidFromDate") if k.versioned else F.lit(None).cast("date")).alias("valid_from")) for c, k in links.items())
+    return sums.join(back, ["dimension", "sk"], "left").select(
+        "dimension", "member", "found", "valid_from", "sales", "revenue")
 
 
 def k2_fact_purchases(spark, folder):

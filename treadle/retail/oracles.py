@@ -175,12 +175,36 @@ with r as (select bool_or(l_returnflag = 'R') over (partition by l_orderkey, l_l
 select passed as "IsResolved", 1 as "RetryCount", case when passed then 'passed on retry' end as "ResolutionComment",
   count(*) as records from r group by 1, 3"""
 
+_PRICED = """priced as (
+  with o as (
+    select l_partkey as p, cast(l_shipdate as date) as d,
+           max(cast(l_discount as decimal(3,2))) filter (where l_linestatus = 'O') as a,
+           max(cast(l_tax as decimal(3,2))) filter (where l_linestatus = 'F') as b
+    from lineitem group by 1, 2),
+  f as (
+    select p, d, last_value(a ignore nulls) over w as a, last_value(b ignore nulls) over w as b from o
+    window w as (partition by p order by d rows unbounded preceding)),
+  m as (select *, row_number() over w as rn, lag(a) over w as a0, lag(b) over w as b0 from f window w as (partition by p order by d)),
+  s as (select * from m where rn = 1 or a is distinct from a0 or b is distinct from b0)
+  select p, d as vf, lead(d) over (partition by p order by d) as vt, a, b from s)"""
+
 ORACLES["k1_fact_sales_keyed"] = f"""
-with {_STATES}, {_LINES}
-select customer_id as customer, o_custkey as found, vf as valid_from, count(*) as sales,
-  cast(sum(revenue) as decimal(18,2)) as revenue
-from lines left join versions on o_custkey = customer_id and order_date >= vf and (vt is null or order_date < vt)
-group by 1, 2, 3"""
+with {_STATES}, {_LINES}, {_PRICED},
+quota as (select l_suppkey, year(l_shipdate) + 1 as y from lineitem group by 1, 2),
+found as (
+  select 'CustomerKey' as dimension, customer_id as member, o_custkey as found, vf as valid_from, revenue
+  from lines left join versions on o_custkey = customer_id and order_date >= vf and (vt is null or order_date < vt)
+  union all
+  select 'ProductKey', product_id, p, vf, revenue
+  from lines left join priced on p = product_id and order_date >= vf and (vt is null or order_date < vt)
+  union all
+  select 'StoreKey', store_id, s_suppkey, null, revenue from lines left join supplier on s_suppkey = store_id
+  union all
+  select 'EmployeeKey', store_id, l_suppkey, make_date(y, 1, 1), revenue
+  from lines left join quota on l_suppkey = store_id and y = year(order_date))
+select dimension, member, found, cast(valid_from as date) as valid_from, count(*) as sales,
+       cast(sum(revenue) as decimal(18,2)) as revenue
+from found group by 1, 2, 3, 4"""
 
 ORACLES["w_growth"] = _growth("""
 select cast(date_trunc('month', o_orderdate) as date) as "MonthStartDateKey", n_regionkey as "RegionKey",
@@ -871,3 +895,50 @@ both_ as (select 'FactSales' as name, * from fact union all select 'agg_daily_sa
 select name, month, n as n_rows, cast(revenue as decimal(18,2)) as revenue, month = '1997-07' as rebuilt,
        (select count(*) from moved where late) as landed
 from both_"""
+
+ORACLES["d_late_versions"] = """
+with part3 as (select p_partkey, p_partkey % 3 as m, p_partkey % 5 = 0 as late, cast(p_retailprice as decimal(19,4)) as price from part),
+v as (
+  select p_partkey, price + m as price, date '1995-01-01' as vf,
+         case when late then date '1997-07-01' when m > 0 then date '1998-01-01' end as vt from part3
+  union all
+  select p_partkey, price + 7, date '1997-07-01', case when m > 0 then date '1998-01-01' end from part3 where late
+  union all
+  select p_partkey, price + 2 * m, date '1998-01-01', date '1999-01-01' from part3 where m > 0
+  union all
+  select p_partkey, price + 3 * m, date '1999-01-01', null from part3 where m > 0)
+select p_partkey as "ProductID", cast(price as decimal(18,2)) as "ListPrice", vf as "ValidFromDate", vt as "ValidToDate",
+       vt is null as "IsCurrent"
+from v"""
+
+ORACLES["d_dense_keys"] = """
+with n as (select count(*) as parts, count(*) filter (where p_partkey % 3 > 0) as moved from part),
+c as (select 1 as run, parts as k from n union all select 2, parts + moved from n union all select 3, parts + moved from n)
+select cast(run as int) as run, k as versions, k as keys, cast(1 as bigint) as least, k as largest, k as starts from c"""
+
+ORACLES["k1_sales_by_price"] = """
+with o as (
+  select l_partkey as p, cast(l_shipdate as date) as d,
+         max(cast(l_discount as decimal(3,2)) + 1) filter (where l_linestatus = 'O') as a,
+         max(cast(l_tax as decimal(3,2)) + 1) filter (where l_linestatus = 'F') as b
+  from lineitem group by 1, 2),
+f as (
+  select p, d, last_value(a ignore nulls) over w as a, last_value(b ignore nulls) over w as b from o
+  window w as (partition by p order by d rows unbounded preceding)),
+own as (select p_partkey, cast(cast(p_retailprice as decimal(19,4)) as decimal(18,2)) as price, cast(p_size as decimal(18,2)) as cost from part),
+e as (
+  select p, d, coalesce(cast(a as decimal(18,2)), price) as a, coalesce(cast(b as decimal(18,2)), cost) as b
+  from f join own on p_partkey = p
+  union all
+  select p_partkey, date '1995-01-01', price, cost from own),
+m as (select *, row_number() over w as rn, lag(a) over w as a0, lag(b) over w as b0 from e window w as (partition by p order by d)),
+s as (select * from m where rn = 1 or a <> a0 or b <> b0),
+v as (select p, a, b, d as vf, lead(d) over (partition by p order by d) as vt from s),
+sold as (
+  select l_partkey, cast(o_orderdate as date) as d,
+         cast(cast(l_extendedprice as decimal(19,4)) * cast(cast(l_quantity as int) as decimal(9,0)) as decimal(18,2)) as revenue
+  from lineitem join orders on l_orderkey = o_orderkey)
+select p as "ProductID", a as "ListPrice", b as "Cost", vf as "ValidFromDate", count(*) as sales,
+       cast(sum(revenue) as decimal(18,2)) as revenue
+from sold left join v on p = l_partkey and d >= vf and (vt is null or d < vt)
+group by 1, 2, 3, 4"""
