@@ -129,3 +129,33 @@ def test_every_check_rule_parses(spark):
     for rules in constraints.check_rules(DAY).values():
         for r in rules:
             spark._jsparkSession.sessionState().sqlParser().parseExpression(r.broken)
+
+
+def test_attempts_add_up_to_the_latest_state(frame, rows):
+    rule, fk = checks.required_rule("v"), checks.ForeignKey(("p",), "parent", ("id",))
+    rules = checks.TableRules((rule,), ("id",), (fk,))
+    df = frame([(1, None, 1), (2, None, 9), (3, "x", 8), (4, "a", 1), (4, "b", 1), (5, None, 1)], "id int, v string, p int")
+    parent = frame([(1,)], "id int")
+    run = ("b1", "validate", dt.datetime(2020, 1, 1))
+    records = checks.union_all([checks.error_records(df, "t", [rule], ["id"], *run), checks.key_error_records(df, "t", ["id"], *run),
+                                checks.orphan_error_records(df, "t", fk, parent, ["id"], *run)])
+    assert records.count() == 7
+    names = {r[0] for r in records.select(checks.rule_name()).distinct().collect()}
+    assert names == set(checks.rule_names(rules))
+    # row 1 is filled, row 3's parent comes, one of the two rows 4 and row 5 go
+    now = frame([(1, "v", 1), (2, None, 9), (3, "x", 8), (4, "a", 1), (7, None, 1)], "id int, v string, p int")
+    log = None
+    for n in (2, 3):
+        state = records if log is None else checks.latest(records, log)
+        open_ = state.filter("not IsResolved")
+        broken, there = checks.recheck(now, rules, names, ["id"], open_, {"parent": frame([(1,), (8,)], "id int")})
+        assert rows(broken, "_natural") == [("2",), ("2",)]
+        more = checks.attempt(open_, broken, there, dt.datetime(2020, 1, n))
+        log = more if log is None else log.unionByName(more)
+    got = checks.latest(records, log)
+    assert rows(got, "RecordNaturalKey", "ErrorType", "RetryCount", "IsResolved", "ResolutionComment") == [
+        ("1", "required", 1, True, "passed on retry"), ("2", "foreign_key", 2, False, None), ("2", "required", 2, False, None),
+        ("3", "foreign_key", 1, True, "passed on retry"), ("4", "primary_key", 1, True, "passed on retry"),
+        ("4", "primary_key", 1, True, "passed on retry"), ("5", "required", 1, True, "the row is gone")]
+    assert {r.LastAttemptDate.day for r in got.filter("RetryCount = 2").collect()} == {3}
+    assert rows(checks.latest(records, log.limit(0))) == rows(records)

@@ -272,6 +272,73 @@ def orphan_error_records(df: DataFrame, table: str, fk: ForeignKey, parent: Data
     return _records(bad.withColumn("_hit", hit), df.columns, table, natural_key, batch, task, at)
 
 
+# --- retries -------------------------------------------------------------------------------
+
+#: One row per attempt at an open error record; the log is only ever added to.
+ATTEMPT = "ErrorID bigint, AttemptDate timestamp, Passed boolean, Comment string"
+
+
+def rule_name() -> Column:
+    """What tells the rules of a table apart in its error records."""
+    details = F.when(F.col("ErrorType") == "foreign_key", F.col("ErrorDetails"))
+    return F.concat_ws("|", "ErrorType", "ErrorMessage", details)
+
+
+def rule_names(rules: TableRules) -> dict[str, Rule | ForeignKey | None]:
+    """The same names from a table's rules; None stands for its primary key."""
+    found: dict[str, Rule | ForeignKey | None] = {f"{r.kind}|{r.message}": r for r in rules.rules}
+    found |= {f"foreign_key|No row in {k.parent}|{', '.join(k.columns)}": k for k in rules.foreign_keys}
+    return found | ({"primary_key|Duplicate primary keys": None} if rules.key else {})
+
+
+def latest(records: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Error records with their state after all attempts: aggregates of the log, joined by error."""
+    passed = F.min(F.when(F.col("Passed"), F.struct("AttemptDate", "Comment")))
+    tries = attempts.groupBy("ErrorID").agg(F.count("*").alias("_tries"), F.max("AttemptDate").alias("_last"), passed.alias("_passed"))
+    return records.join(tries, "ErrorID", "left").select(*[{
+        "RetryCount": F.col("RetryCount") + F.coalesce("_tries", F.lit(0)),
+        "LastAttemptDate": F.coalesce("_last", "LastAttemptDate"),
+        "IsResolved": F.col("IsResolved") | F.col("_passed").isNotNull(),
+        "ResolutionComment": F.coalesce("_passed.Comment", "ResolutionComment"),
+    }.get(n, F.col(n)).cast(t).alias(n) for n, t in ERROR_RECORD])
+
+
+def recheck(df: DataFrame, rules: TableRules, names: Iterable[str], key: Sequence[str], wanted: DataFrame,
+            parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(key and rule of rows that still break one of the named rules, keys that are there).
+
+    Only rows with a ``wanted`` key are looked at, and only for those rules.
+    """
+    natural = F.concat_ws("|", *[F.col(_quoted(k)).cast("string") for k in key])
+    rows = df.withColumn("_natural", natural).join(
+        wanted.select(F.col("RecordNaturalKey").alias("_natural")).distinct(), "_natural", "left_semi")
+    known, parts = rule_names(rules), []
+    hits = [F.when(F.expr(known[n].broken), F.lit(n)) for n in names if isinstance(known.get(n), Rule)]
+    if hits:
+        parts.append(rows.select("_natural", F.explode(F.array_compact(F.array(*hits))).alias("_rule")))
+    for n in names:
+        if n not in known or isinstance(known[n], Rule):
+            continue
+        if known[n] is None:
+            parts.append(rows.groupBy("_natural").agg(F.count("*").alias("n")).filter("n > 1").select("_natural", F.lit(n).alias("_rule")))
+        elif known[n].parent in parents:
+            bad = orphans(rows, known[n].columns, parents[known[n].parent], known[n].parent_columns)
+            parts.append(bad.select("_natural", F.lit(n).alias("_rule")))
+    there = rows.select("_natural").distinct()
+    broken = union_all(parts).distinct() if parts else there.select("_natural", F.lit("").alias("_rule")).limit(0)
+    return broken, there
+
+
+def attempt(open_: DataFrame, broken: DataFrame, there: DataFrame, at: dt.datetime) -> DataFrame:
+    """One attempt at each open record of a table, as rows of the log."""
+    named = open_.select("ErrorID", F.col("RecordNaturalKey").alias("_natural"), rule_name().alias("_rule"))
+    tested = named.join(broken.withColumn("_broken", F.lit(True)), ["_natural", "_rule"], "left").join(
+        there.withColumn("_there", F.lit(True)), "_natural", "left")
+    passed = F.col("_broken").isNull()
+    comment = F.when(passed, F.when(F.col("_there"), "passed on retry").otherwise("the row is gone"))
+    return tested.select("ErrorID", F.lit(at).cast("timestamp").alias("AttemptDate"), passed.alias("Passed"), comment.alias("Comment"))
+
+
 def record_retry(records: DataFrame, solved: DataFrame, at: dt.datetime, comment: str) -> DataFrame:
     """Bookkeeping after a retry of the open records.
 

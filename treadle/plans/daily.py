@@ -301,6 +301,33 @@ class DailyRun:
             if parts:
                 self.record(name, checks.union_all(parts))
 
+    def error_state(self) -> DataFrame:
+        """All error records in their newest state."""
+        records = self.spark.read.parquet(self.path("error_records"))
+        return checks.latest(records, sinks.BatchTable(self.spark, self.path("error_attempts")).read(checks.ATTEMPT))
+
+    def retry(self, rules: Mapping[str, checks.TableRules]) -> None:
+        """Try the open records of earlier batches again: their rules only, on their rows only."""
+        log = sinks.BatchTable(self.spark, self.path("error_attempts"))
+        if not sinks.folder_exists(self.spark, self.path("error_records")) or self.batch in log.batches():
+            return
+        folder = run_folder(self.spark, "open-errors")
+        self.error_state().filter((~F.col("IsResolved")) & (F.col("ProcessingBatchID") != self.batch)).select(
+            "ErrorID", "SourceTable", "RecordNaturalKey", "ErrorType", "ErrorMessage", "ErrorDetails").write.parquet(folder)
+        open_ = self.spark.read.parquet(folder)
+        names: dict[str, list[str]] = {}  # a row per table and rule
+        for r in open_.select("SourceTable", checks.rule_name().alias("rule")).distinct().collect():
+            names.setdefault(r.SourceTable, []).append(r.rule)
+        parts = []
+        for name, wanted in names.items():
+            if name in rules and name in self.specs:
+                own, df = open_.filter(F.col("SourceTable") == name), self.source(name)
+                broken, there = checks.recheck(df, rules[name], wanted, list(rules[name].key) or df.columns[:1], own,
+                                               Whole(self.specs, self.source))
+                parts.append(checks.attempt(own, broken, there, self.at))
+        if parts:
+            log.append(checks.union_all(parts), self.batch)
+
     def record(self, source: str, records: DataFrame) -> None:
         sinks.replace_records(records, self.path("error_records"), self.batch, source)
 
@@ -631,6 +658,7 @@ class DailyRun:
         rules = table_rules(self.specs, frames, self.as_of, self.report.unchecked)
         broken = self.validate(frames, rules)
         self.quarantine(frames, rules, broken)
+        self.retry(rules)
         blocked = frozenset() if self.allow_failed else frozenset(n for n, r in broken.items() if r.key)
         for name in sorted(blocked):
             self.report.skipped[name] = "duplicate primary keys"

@@ -942,3 +942,12 @@ select p as "ProductID", a as "ListPrice", b as "Cost", vf as "ValidFromDate", c
        cast(sum(revenue) as decimal(18,2)) as revenue
 from sold left join v on p = l_partkey and d >= vf and (vt is null or d < vt)
 group by 1, 2, 3, 4"""
+
+ORACLES["q_retry_run"] = """
+with bad as (select p_partkey % 2 = 0 as mended from part where p_partkey % 7 = 0 and p_retailprice > 0),
+kinds as (select 'negative' as k, 'Negative values in listprice' as m union all select 'check', 'Check failed: CK_Product_ListPrice')
+select 'production.product' as "SourceTable", k as "ErrorType", m as "ErrorMessage", mended as "IsResolved",
+       cast(case when mended then 1 else 2 end as int) as "RetryCount",
+       case when mended then 'passed on retry' end as "ResolutionComment", count(*) as records,
+       case when mended then date '2002-01-02' else date '2002-01-03' end as last_attempt
+from bad cross join kinds group by all"""

@@ -165,4 +165,19 @@ def k1_sales_by_price(spark: SparkSession, folder: str) -> DataFrame:
     return sums.join(version, "ProductKey", "left").drop("ProductKey")
 
 
-QUERIES = {f.__name__: f for f in (g_incremental_day, d_late_versions, d_dense_keys, k1_sales_by_price)}
+def q_retry_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Error records after three daily runs: products without a fair price, of which some are mended."""
+    root, part, price = run_folder(spark, "retry"), F.col("productid"), F.col("listprice")
+    bad = F.when(part % 7 == 0, -price).otherwise(price)
+    mended = F.when((part % 7 == 0) & (part % 2 == 1), -price).otherwise(price)
+    for n, listed in enumerate((bad, mended, mended), 1):
+        tables = _products(spark, folder, listed, "2002-01-01")
+        if n > 1:  # mended rows have changed since, the others have not
+            late = F.when((part % 14 == 0), F.lit("2002-01-02").cast("timestamp_ntz")).otherwise(F.col("modifieddate"))
+            tables["production.product"] = tables["production.product"].withColumn("modifieddate", late)
+        run = day(spark, tables, root, dt.date(2002, 1, n), [], ())
+    return run.error_state().groupBy("SourceTable", "ErrorType", "ErrorMessage", "IsResolved", "RetryCount", "ResolutionComment").agg(
+        F.count("*").alias("records"), F.max("LastAttemptDate").cast("date").alias("last_attempt"))
+
+
+QUERIES = {f.__name__: f for f in (g_incremental_day, d_late_versions, d_dense_keys, k1_sales_by_price, q_retry_run)}
