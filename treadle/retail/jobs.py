@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadle.functions import hierarchy, scalars
-from treadle.operators import checks, history, keep, lookup, measures, sinks
+from treadle.operators import bands, checks, history, keep, lookup, measures, sinks
 from treadle.plans import dims, facts, marts, shorthand, staging, views, xml_views
 from treadle.retail import runs, tables as r
 from treadle.retail.source import SourceTables
@@ -210,6 +210,16 @@ def j_band_fraction(spark, folder):
     return found.groupBy("band").agg(F.count("*").alias("parts"), F.sum("price").cast("decimal(18,2)").alias("worth"))
 
 
+def j_band_index(spark, folder):
+    """Lines by the bands of 20.00 that start at the orders' totals: as many bands as totals, some of them overlapping."""
+    def cents(c):
+        return (F.col(c).cast("decimal(14,2)") * 100).cast("long")
+    given = load(spark, folder, "orders").select(cents("o_totalprice").alias("low")).distinct().withColumn("high", F.col("low") + 1999)
+    line = load(spark, folder, "lineitem").select(cents("l_extendedprice").alias("price"), cents("l_quantity").alias("quantity"))
+    found = bands.BandIndex(spark, given, "low", "high").lookup(line, "price", {"band": "low"})
+    return found.groupBy("band").agg(F.count("*").alias("n_lines"), F.sum("quantity").alias("quantity"))
+
+
 def j_self_manager(spark, folder):
     """Sellers and their managers: the first seller of a nation leads it."""
     staff = load(spark, folder, "supplier").select(
@@ -679,6 +689,7 @@ QUERIES: dict[str, Job] = {
     "j_price_in_force": j_price_in_force,
     "j_band_tier": j_band_tier,
     "j_band_fraction": j_band_fraction,
+    "j_band_index": j_band_index,
     "j_self_manager": j_self_manager,
     "a_pivot_fiscal": a_pivot_fiscal,
     "a_ratio_metrics": a_ratio_metrics,

@@ -951,3 +951,10 @@ select 'production.product' as "SourceTable", k as "ErrorType", m as "ErrorMessa
        case when mended then 'passed on retry' end as "ResolutionComment", count(*) as records,
        case when mended then date '2002-01-02' else date '2002-01-03' end as last_attempt
 from bad cross join kinds group by all"""
+
+ORACLES["j_band_index"] = """
+with b as (select distinct cast(cast(o_totalprice as decimal(14,2)) * 100 as bigint) as low from orders),
+l as (select cast(cast(l_extendedprice as decimal(14,2)) * 100 as bigint) as price,
+             cast(cast(l_quantity as decimal(14,2)) * 100 as bigint) as quantity from lineitem)
+select low as band, count(*) as n_lines, cast(sum(quantity) as bigint) as quantity
+from l left join b on price between low and low + 1999 group by 1"""
