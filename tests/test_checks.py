@@ -159,3 +159,22 @@ def test_attempts_add_up_to_the_latest_state(frame, rows):
         ("4", "primary_key", 1, True, "passed on retry"), ("5", "required", 1, True, "the row is gone")]
     assert {r.LastAttemptDate.day for r in got.filter("RetryCount = 2").collect()} == {3}
     assert rows(checks.latest(records, log.limit(0))) == rows(records)
+
+
+def test_findings_scan_each_table_once(spark):
+    from treadle.retail import jobs
+
+    plan = jobs.q_summary(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 5
+
+
+def test_more_rules_than_bits(frame, monkeypatch):
+    monkeypatch.setattr(checks, "_BITS", 3)
+    df = frame([(k, None if k % 2 else k) for k in range(20)], "id int, v int")
+    rules = [checks.check_rule(f"r{n}", f"v IS NOT NULL AND id <> {n}") for n in range(8)]
+    own = frame([(1,), (2,)], "id bigint")
+    found = checks.findings({"t": df, "p": own}, {"t": checks.TableRules(tuple(rules), ("id",), (checks.ForeignKey(("v",), "p", ("id",)),)),
+                                                  "p": checks.TableRules((), ("id",))}).collect()
+    got = {(r.table_name, r.rule): r.violations for r in found}
+    assert all(got["t", f"r{n}"] == 10 + (n % 2 == 0) for n in range(8))
+    assert got["t", "primary_key"] == got["p", "primary_key"] == 0 and got["t", "fk_v"] == 9 and len(got) == 11

@@ -116,5 +116,23 @@ def test_first_text(frame):
     assert {r.x: r.t for r in df.select("x", xml.first_text(F.col("x")).alias("t")).collect()} == cases
 
 
+def test_fields_are_first_text_nodes(frame):
+    cases = {
+        "p &lt;c&gt;x&lt;/c&gt; d": "p <c>x</c> d", "<![CDATA[a <b>&amp; ]]>c<b>x</b>d": "a <b>&amp; c", "one<!-- two --> three": "one",
+        "<b>x</b><!-- y -->z": "z", "&#8211;&#x41;&quot;&apos;&amp;lt;": "\u2013A\"'&lt;", "": None, "<b/>": None, "a &#233;": "a \xe9",
+        "x<![CDATA[]]>y": "xy", "<![CDATA[<!-- no comment -->]]>": "<!-- no comment -->",
+    }
+    for around in ("<r>%s</r>", "<?xml version='1.0'?><!-- start --><r><!-- c -->%s</r><!-- end -->"):
+        df = frame([(k, around % f"<a>{k}</a><l><i>{k}</i><i>2</i></l>") for k in cases], "k string, x string")
+        got = df.select("k", xml.shred(F.col("x"), "a string, l struct<i:array<string>>, gone string").alias("r")).collect()
+        assert {g.k: g.r.a for g in got} == cases
+        assert {g.k: g.r.l.i[0] for g in got} == cases and all(g.r.l.i[1] == "2" and g.r.gone is None for g in got)
+
+
+def test_first_text_is_linear_in_its_children(frame):
+    inner = "<i>x</i>" * 20_000 + "end" + "<i>y</i>"
+    assert one(frame([(inner,)], "x string").select(xml.first_text(F.col("x")))) == ("end",)
+
+
 def test_xml_date_with_zone(frame):
     assert one(frame([("2000-06-01Z",)], "x string").select(xml.day(F.col("x")))) == (dt.date(2000, 6, 1),)

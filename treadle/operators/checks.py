@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from treadle.operators.lookup import orphan_counts, orphans
+from treadle.operators.lookup import orphans
 
 ERROR, WARNING = "ERROR", "WARNING"
 
@@ -135,18 +135,6 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-def count_duplicates(table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return duplicate_keys(df, key).agg(F.count("*").alias("n")).select(F.inline(F.array(
-        _finding(table, "primary_key", "primary_key", ERROR, "Duplicate primary keys", F.col("n")))))
-
-
-def count_orphans(table: str, df: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    bad = orphan_counts(df, fk.columns, parent, fk.parent_columns)
-    return bad.agg(F.sum("rows").alias("n")).select(F.inline(F.array(
-        _finding(table, fk.rule, "foreign_key", ERROR, f"No row in {fk.parent} for {', '.join(fk.columns)}",
-                 F.col("n")))))
-
-
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     """Union of many frames, paired up level by level so that the plan stays flat."""
     level = list(parts)
@@ -155,28 +143,124 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return level[0]
 
 
+def _common(types: Iterable[T.DataType]) -> str | None:
+    """The type keys are compared in: long for whole numbers, their own if all are alike, else text."""
+    kinds = list(types)
+    if all(isinstance(t, T.IntegralType) for t in kinds):
+        return "bigint"
+    return None if all(t == kinds[0] for t in kinds) else "string"
+
+
+def _key_hashes(columns: Sequence[str], kinds: Sequence[str | None]) -> list[Column]:
+    """Two hashes of a key; which of its columns are NULL is part of them."""
+    values = [F.col(_quoted(c)) if k is None else F.col(_quoted(c)).cast(k) for c, k in zip(columns, kinds)]
+    nulls = [v.isNull() for v in values]
+    return [F.xxhash64(*values, *nulls, F.lit(seed)) for seed in (1, 2)]
+
+
+#: Rules whose outcomes share a number.
+_BITS = 60
+
+
+@dataclass
+class _KeySpace:
+    """Keys that are counted together: those of one table, and of the foreign keys that point at them."""
+
+    number: int
+    columns: tuple[str, ...]
+    own: tuple[str, str]  # the frame that holds the keys
+    primary: str | None = None
+    links: list[tuple[str, ForeignKey]] = field(default_factory=list)
+
+
 def findings(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules],
              parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per table and rule with its violation count (zero included).
 
     ``parents`` are the whole tables that foreign keys point at, where ``tables`` are windows of them.
+
+    Every table is scanned once.  A row gives an entry per rule it breaks, one for its own key and one per
+    foreign key, as two hashes (128 bits) in the key space of the parent; entries are counted by key before
+    and after one shuffle of all tables, and a second, small count sums up doubled and orphaned keys.
     """
-    parts, parents = [], tables if parents is None else parents
-    for name, df in tables.items():
-        wanted = rules.get(name)
-        if wanted is None:
-            continue
-        if wanted.rules:
-            parts.append(count_violations(name, df, wanted.rules))
+    spark = SparkSession.active()
+    frames: dict[tuple[str, str], DataFrame] = {("own", n): tables[n] for n in tables if n in rules}
+    spaces: dict[tuple, _KeySpace] = {}
+    listed: list[tuple] = []  # (space, measure, table, rule, kind, severity, message)
+
+    def space(frame: tuple[str, str], columns: Sequence[str]) -> _KeySpace:
+        return spaces.setdefault((frame, tuple(columns)), _KeySpace(len(spaces), tuple(columns), frame))
+
+    for name in [n for n in tables if n in rules]:
+        wanted = rules[name]
         if wanted.key:
-            parts.append(count_duplicates(name, df, wanted.key))
+            found = space(("own", name), wanted.key)
+            found.primary = name
+            listed.append((found.number, "doubled", name, "primary_key", "primary_key", ERROR, "Duplicate primary keys"))
         for fk in wanted.foreign_keys:
-            if fk.parent in parents:
-                parts.append(count_orphans(name, df, fk, parents[fk.parent]))
-    if not parts:
-        spark = SparkSession.active()
+            if parents is None and fk.parent in tables:
+                at = ("own", fk.parent)
+                frames.setdefault(at, tables[fk.parent])
+            elif parents is not None and fk.parent in parents:
+                at = ("whole", fk.parent)
+                if at not in frames:
+                    frames[at] = parents[fk.parent]
+            else:
+                continue
+            found = space(at, fk.parent_columns)
+            listed.append((found.number, f"orphans{len(found.links)}", name, fk.rule, "foreign_key", ERROR,
+                           f"No row in {fk.parent} for {', '.join(fk.columns)}"))
+            found.links.append((name, fk))
+    width = max((len(s.links) for s in spaces.values()), default=0)
+    entries: dict[tuple[str, str], list[Column]] = {at: [] for at in frames}
+
+    def entry(number: int, side: int, hashes: Sequence[Column]) -> Column:
+        return F.struct(F.lit(number).alias("space"), F.lit(side).alias("side"), hashes[0].alias("h1"), hashes[1].alias("h2"))
+
+    def type_of(df: DataFrame, column: str) -> T.DataType:
+        return df.select(F.col(_quoted(column))).schema[0].dataType
+
+    for s in spaces.values():
+        sides = [(frames[s.own], s.columns), *[(frames["own", n], fk.columns) for n, fk in s.links]]
+        kinds = [_common(type_of(df, cs[i]) for df, cs in sides) for i in range(len(s.columns))]
+        entries[s.own].append(entry(s.number, -1, _key_hashes(s.columns, kinds)))
+        for side, (name, fk) in enumerate(s.links):
+            known = F.lit(True)
+            for c in fk.columns:
+                known = known & F.col(_quoted(c)).isNotNull()
+            entries["own", name].append(F.when(known, entry(s.number, side, _key_hashes(fk.columns, kinds))))
+    # the rules a row breaks are bits of one number, so a row gives one entry for all of them
+    number = len(spaces)
+    for name in [n for n in tables if n in rules]:
+        own = rules[name].rules
+        for at in range(0, len(own), _BITS):
+            broken = F.lit(0).cast("long")
+            for k, r in enumerate(own[at:at + _BITS]):
+                broken = broken + F.when(F.expr(r.broken), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
+                listed.append((number, f"rule{k}", name, r.name, r.kind, r.severity, r.message))
+            entries["own", name].append(F.struct(F.lit(number).alias("space"), F.lit(-1).alias("side"), broken.alias("h1"),
+                                                 F.lit(0).cast("long").alias("h2")))
+            number += 1
+    keyed = len(spaces)
+    parts = [df.select(F.inline(F.array(*entries[at]))).filter(
+        F.col("space").isNotNull() & ((F.col("space") < keyed) | (F.col("h1") != 0))) for at, df in frames.items() if entries[at]]
+    if not listed:
         return spark.createDataFrame([], FINDING)
-    return union_all(parts)
+    sums = union_all(parts).groupBy("space", "h1", "h2").agg(
+        F.count_if(F.col("side") == -1).alias("own"), *[F.count_if(F.col("side") == k).alias(f"c{k}") for k in range(width)])
+    most = min(_BITS, max((len(rules[n].rules) for n in tables if n in rules), default=0))
+    by_space = sums.groupBy("space").agg(
+        F.count_if(F.col("own") > 1).alias("doubled"),
+        *[F.sum(F.when(F.col("own") == 0, F.col(f"c{k}")).otherwise(0)).alias(f"orphans{k}") for k in range(width)],
+        *[F.sum(F.when((F.col("space") >= keyed) & (F.col("h1").bitwiseAND(F.lit(1 << k)) != 0), F.col("own")).otherwise(0)).alias(f"rule{k}")
+          for k in range(most)])
+    measures = ["doubled", *[f"orphans{k}" for k in range(width)], *[f"rule{k}" for k in range(most)]]
+    counted = by_space.unpivot(["space"], measures, "measure", "violations")
+    listing = spark.createDataFrame(listed, "space int, measure string, table_name string, rule string, kind string, "
+                                            "severity string, message string")
+    # a row per rule on either side
+    return listing.join(counted, ["space", "measure"], "left").select(
+        "table_name", "rule", "kind", "severity", "message", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
 def summarize(found: DataFrame) -> DataFrame:

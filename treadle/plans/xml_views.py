@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from treadle.functions.scalars import money
-from treadle.functions.xml import day, first_text, limited, shred, truth, whole
+from treadle.functions.xml import day, limited, shred, truth, whole
 
 Tables = Mapping[str, DataFrame]
 
@@ -35,13 +35,13 @@ def v_additional_contact_info(t: Tables) -> DataFrame:
     return flat.select(
         "businessentityid", "firstname", "middlename", "lastname",
         F.col("tel.number").alias("telephonenumber"),
-        F.trim(first_text(F.col("tel.SpecialInstructions"))).alias("telephonespecialinstructions"),
+        F.trim(F.col("tel.SpecialInstructions")).alias("telephonespecialinstructions"),
         F.col("home.Street").alias("street"), F.col("home.City").alias("city"),
         F.col("home.StateProvince").alias("stateprovince"), F.col("home.PostalCode").alias("postalcode"),
         F.col("home.CountryRegion").alias("countryregion"),
-        first_text(F.col("home.SpecialInstructions")).alias("homeaddressspecialinstructions"),
+        F.col("home.SpecialInstructions").alias("homeaddressspecialinstructions"),
         F.col("mail.eMailAddress").alias("emailaddress"),
-        F.trim(first_text(F.col("mail.SpecialInstructions"))).alias("emailspecialinstructions"),
+        F.trim(F.col("mail.SpecialInstructions")).alias("emailspecialinstructions"),
         F.col("mtel.number").alias("emailtelephonenumber"),
         "rowguid", "modifieddate")
 
@@ -109,7 +109,7 @@ def v_job_candidate(t: Tables) -> DataFrame:
     return r.select(
         "jobcandidateid", "businessentityid",
         name("Prefix"), name("First"), name("Middle"), name("Last"), name("Suffix"),
-        first_text(F.col("r.Skills")).alias("Skills"),
+        F.col("r.Skills").alias("Skills"),
         limited(F.col("a.`Addr.Type`"), 30).alias("Addr.Type"),
         place("CountryRegion"), place("State"), place("City"),
         limited(F.col("a.`Addr.PostalCode`"), 20).alias("Addr.PostalCode"),
@@ -174,24 +174,21 @@ def v_product_model_catalog_description(t: Tables) -> DataFrame:
     def plain(path, name, width=256):
         return limited(F.col(f"d.{path}"), width).alias(name)
 
-    def mixed(path, name):
-        return limited(first_text(F.col(f"d.{path}")), 256).alias(name)
-
     def picture(part, name):
         found = F.filter(F.transform("d.Picture", lambda p: p[part]), lambda v: v.isNotNull())
         return limited(F.get(found, F.lit(0)), 256).alias(name)
 
     return m.select(
         "productmodelid", "name",
-        first_text(F.get("d.Summary.p", F.lit(0))).alias("summary"),
+        F.get("d.Summary.p", F.lit(0)).alias("summary"),
         F.col("d.Manufacturer.Name").alias("manufacturer"),
         plain("Manufacturer.Copyright", "copyright", 30), plain("Manufacturer.ProductURL", "producturl"),
         plain("Features.Warranty.WarrantyPeriod", "warrantyperiod"),
         plain("Features.Warranty.Description", "warrantydescription"),
         plain("Features.Maintenance.NoOfYears", "noofyears"),
         plain("Features.Maintenance.Description", "maintenancedescription"),
-        mixed("Features.wheel", "wheel"), mixed("Features.saddle", "saddle"), mixed("Features.pedal", "pedal"),
-        first_text(F.col("d.Features.BikeFrame")).alias("bikeframe"), mixed("Features.crankset", "crankset"),
+        plain("Features.wheel", "wheel"), plain("Features.saddle", "saddle"), plain("Features.pedal", "pedal"),
+        F.col("d.Features.BikeFrame").alias("bikeframe"), plain("Features.crankset", "crankset"),
         picture("Angle", "pictureangle"), picture("Size", "picturesize"),
         picture("ProductPhotoID", "productphotoid"),
         plain("Specifications.Material", "material"), plain("Specifications.Color", "color"),
@@ -225,7 +222,7 @@ def v_product_model_instructions(t: Tables) -> DataFrame:
         "productmodelid", "name", "instructions",
         whole(F.col("l._LocationID")).alias("locationid"), hours("SetupHours"), hours("MachineHours"),
         hours("LaborHours"), whole(F.col("l._LotSize")).alias("lotsize"),
-        limited(first_text(F.col("s")), 1024).alias("step"), "rowguid", "modifieddate")
+        limited(F.col("s"), 1024).alias("step"), "rowguid", "modifieddate")
 
 
 STORE = ("AnnualSales string, AnnualRevenue string, BankName string, BusinessType string, YearOpened string, "

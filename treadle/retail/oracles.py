@@ -383,7 +383,7 @@ select {BASE} + s_suppkey as "StoreID", s_name as "StoreName", {BASE} + s_suppke
        case when s_acctbal >= 0 then n_name end as "Territory", 'Retail' as "StoreType", 'Open' as "StoreStatus",
        substr(s_name, 1, 8) || ' ' || substr(s_name, 10, 9) as "ManagerName",
        case when s_acctbal >= 0 then make_date(1970 + s_nationkey, 1, 1) end as "OpeningDate",
-       cast(null as int) as "SquareFootage", cast(null as date) as "SourceUpdateDate", {_FIRST}
+       cast(case when s_acctbal >= 0 then 1000 + s_nationkey end as int) as "SquareFootage", cast(null as date) as "SourceUpdateDate", {_FIRST}
 from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey"""
 
 ORACLES["d_dim_employee"] = f"""
@@ -767,8 +767,9 @@ select c_custkey as businessentityid, substr(c_name, 1, 8) as firstname,
        substr(c_name, 10, 9) as lastname, case when has then '555-' || c_custkey end as telephonenumber,
        case when has then 'call ' || lower(c_mktsegment) end as telephonespecialinstructions,
        case when has then 'Street ' || c_nationkey end as street, case when has then 'City ' || c_nationkey end as city,
-       cast(null as varchar) as stateprovince, cast(null as varchar) as postalcode,
-       cast(null as varchar) as countryregion, cast(null as varchar) as homeaddressspecialinstructions,
+       case when has then 'S' || c_nationkey end as stateprovince, case when has then cast(c_custkey as varchar) end as postalcode,
+       case when has then 'C' || c_nationkey % 5 end as countryregion,
+       case when has then 'ring <b>twice</b>' end as homeaddressspecialinstructions,
        case when mail then 'm' || c_custkey || '@example.org' end as emailaddress,
        case when mail then 'urgent only' end as emailspecialinstructions,
        case when mail then '999-' || c_custkey end as emailtelephonenumber,
@@ -781,23 +782,23 @@ from supplier"""
 
 ORACLES["v_person_demographics"] = """
 select c_custkey as businessentityid, cast(cast(c_acctbal as decimal(12,2)) as decimal(19,4)) as totalpurchaseytd,
-       make_date(1998, 1 + c_nationkey % 9, 15) as datefirstpurchase, cast(null as date) as birthdate,
-       'M' as maritalstatus, c_mktsegment as yearlyincome, cast(null as varchar) as gender,
-       c_nationkey % 5 as totalchildren, cast(null as int) as numberchildrenathome,
-       cast(null as varchar) as education, cast(null as varchar) as occupation, c_acctbal > 0 as homeownerflag,
+       make_date(1998, 1 + c_nationkey % 9, 15) as datefirstpurchase, make_date(1950 + c_nationkey, 3, 2) as birthdate,
+       'M' as maritalstatus, c_mktsegment as yearlyincome, case when c_nationkey % 2 = 0 then 'F' else 'M' end as gender,
+       c_nationkey % 5 as totalchildren, c_nationkey % 3 as numberchildrenathome,
+       'Bachelors <' || c_nationkey || '>' as education, 'R&D <' || lower(c_mktsegment) || '>' as occupation, c_acctbal > 0 as homeownerflag,
        case when c_mktsegment <> 'MACHINERY' then c_nationkey % 4 end as numbercarsowned
 from customer where c_mktsegment <> 'FURNITURE'"""
 
 ORACLES["v_job_candidate"] = """
 with c as (select *, c_mktsegment <> 'BUILDING' as has from customer)
 select c_custkey as jobcandidateid, case when c_acctbal >= 0 then c_custkey end as businessentityid,
-       cast(null as varchar) as name_prefix, case when has then substr(c_name, 1, 8) end as name_first,
-       cast(null as varchar) as name_middle, case when has then substr(c_name, 10, 9) end as name_last,
-       cast(null as varchar) as name_suffix, case when has then lower(c_mktsegment) || ' & sales' end as skills,
-       case when has then 'Home' end as addr_type, cast(null as varchar) as addr_loc_countryregion,
-       cast(null as varchar) as addr_loc_state, case when has then 'City ' || c_nationkey end as addr_loc_city,
-       cast(null as varchar) as addr_postalcode, case when has then 'c' || c_custkey || '@example.com' end as email,
-       cast(null as varchar) as website, date '2001-01-01' as modifieddate
+       case when has then 'Mx.' end as name_prefix, case when has then substr(c_name, 1, 8) end as name_first,
+       case when has then substr(c_mktsegment, 1, 1) end as name_middle, case when has then substr(c_name, 10, 9) end as name_last,
+       case when has then 'Jr. – ' || c_nationkey end as name_suffix, case when has then lower(c_mktsegment) || ' & sales' end as skills,
+       case when has then 'Home' end as addr_type, case when has then 'C' || c_nationkey % 5 end as addr_loc_countryregion,
+       case when has then 'S' || c_nationkey end as addr_loc_state, case when has then 'City ' || c_nationkey end as addr_loc_city,
+       case when has then 'P' || c_custkey end as addr_postalcode, case when has then 'c' || c_custkey || '@example.com' end as email,
+       case when has then 'https://example.com/?a=1&c=' || c_custkey end as website, date '2001-01-01' as modifieddate
 from c"""
 
 ORACLES["v_job_candidate_employment"] = """
@@ -805,49 +806,55 @@ with j as (
   select *, date '1991-06-01' as d, date '1992-07-31' as e from customer where c_acctbal > 0
   union all select *, date '1993-06-01', null from customer where c_acctbal > 5000)
 select c_custkey as jobcandidateid, d as emp_startdate, e as emp_enddate, c_name as emp_orgname,
-       c_mktsegment as emp_jobtitle, cast(null as varchar) as emp_responsibility,
-       cast(null as varchar) as emp_functioncategory, cast(null as varchar) as emp_industrycategory,
-       'C' || c_nationkey as emp_loc_countryregion, cast(null as varchar) as emp_loc_state,
-       cast(null as varchar) as emp_loc_city
+       c_mktsegment as emp_jobtitle, 'kept <ledgers> of ' || c_name as emp_responsibility,
+       'F' || c_nationkey % 4 as emp_functioncategory, 'I&T' as emp_industrycategory,
+       'C' || c_nationkey as emp_loc_countryregion, 'S' || c_nationkey as emp_loc_state,
+       'City ' || c_nationkey as emp_loc_city
 from j where c_mktsegment <> 'BUILDING'"""
 
 ORACLES["v_job_candidate_education"] = """
-select c_custkey as jobcandidateid, 'Bachelor' as edu_level, cast(null as date) as edu_startdate,
-       cast(null as date) as edu_enddate, c_mktsegment as edu_degree, cast(null as varchar) as edu_major,
+select c_custkey as jobcandidateid, 'Bachelor' as edu_level, date '1986-09-15' as edu_startdate,
+       make_date(1990, 5, 20 + c_nationkey % 10) as edu_enddate, c_mktsegment as edu_degree, 'Trade & ' || lower(c_mktsegment) as edu_major,
        case when c_acctbal > 2500 then 'M' || c_nationkey end as edu_minor, '3.5' as edu_gpa,
-       cast(null as varchar) as edu_gpascale, cast(null as varchar) as edu_school,
-       cast(null as varchar) as edu_loc_countryregion, cast(null as varchar) as edu_loc_state,
-       cast(null as varchar) as edu_loc_city
+       '4' as edu_gpascale, 'School ' || c_nationkey as edu_school,
+       'C' || c_nationkey % 5 as edu_loc_countryregion, 'S' || c_nationkey as edu_loc_state,
+       'Town ' || c_nationkey as edu_loc_city
 from customer where c_mktsegment <> 'BUILDING'"""
 
 ORACLES["v_product_model_catalog"] = "select p_partkey as productmodelid, 'Model ' || p_brand as name, " + ", ".join(
     f"{value} as {name}" for name, value in {
-        "summary": "p_name || ' of '", "manufacturer": "p_brand", "copyright": None, "producturl": None,
-        "warrantyperiod": "p_size || ' months'", "warrantydescription": None, "noofyears": None,
-        "maintenancedescription": None, "wheel": "'Strong '", "saddle": None, "pedal": None, "bikeframe": None,
-        "crankset": None, "pictureangle": "'front'", "picturesize": None,
+        "summary": "p_name || ' of '", "manufacturer": "p_brand", "copyright": "'© ' || p_brand",
+        "producturl": "'https://example.com/?p=' || p_partkey || '&l=en'",
+        "warrantyperiod": "p_size || ' months'", "warrantydescription": "'parts <and> labour'",
+        "noofyears": "p_size % 10 || ' years'", "maintenancedescription": "'by '", "wheel": "'Strong '",
+        "saddle": "' seat of ' || p_type", "pedal": "'<Top> grip ' || p_brand", "bikeframe": "'frame'",
+        "crankset": "p_brand || ' \"crank\"'", "pictureangle": "'front'",
+        "picturesize": "case when p_size > 20 then 'large' else 'small' end",
         "productphotoid": "cast(p_partkey as varchar)", "material": "case when p_size > 25 then 'steel' end",
-        "color": None, "productline": "p_type", "style": None, "riderexperience": None,
-    }.items()).replace("None as", "cast(null as varchar) as") + (
+        "color": "substr(p_name, 1, 3)", "productline": "p_type", "style": "'S' || p_size % 4",
+        "riderexperience": "'novice to ' || p_brand",
+    }.items()) + (
     ", 'm' || p_partkey as rowguid, date '2001-01-01' as modifieddate from part where p_type <> 'ECONOMY'")
 
 ORACLES["v_product_model_instructions"] = """
 with s as (
-  select *, 10 as l, cast(null as decimal(9,4)) as setup, cast(2.5 as decimal(9,4)) as labor, p_size as lot, 'Take ' as t from part
-  union all select *, 10, null, 2.5, p_size, p_name from part
-  union all select *, 20, 0.25, null, null, 'Pack ' || p_type from part)
+  select *, 10 as l, cast(null as decimal(9,4)) as setup, cast(2.5 as decimal(9,4)) as labor,
+         cast(1.75 as decimal(9,4)) as machine, p_size as lot, 'Take ' as t from part
+  union all select *, 10, null, 2.5, 1.75, p_size, p_name from part
+  union all select *, 20, 0.25, null, null, null, 'Pack ' || p_type from part)
 select p_partkey as productmodelid, 'Model ' || p_brand as name, 'Manual ' || p_partkey as instructions,
-       l as locationid, setup as setuphours, cast(null as decimal(9,4)) as machinehours, labor as laborhours,
+       l as locationid, setup as setuphours, machine as machinehours, labor as laborhours,
        lot as lotsize, t as step, 'm' || p_partkey as rowguid, date '2001-01-01' as modifieddate
 from s where p_type <> 'SMALL'"""
 
 ORACLES["v_store_with_demographics"] = f"""
 select {BASE} + s_suppkey as businessentityid, s_name as name,
        cast(cast(s_acctbal as decimal(12,2)) as decimal(19,4)) as annualsales,
-       cast(null as decimal(19,4)) as annualrevenue, 'Bank ' || s_nationkey as bankname, 'BM' as businesstype,
-       cast(1970 + s_nationkey as int) as yearopened, cast(null as varchar) as specialty, cast(null as int) as squarefeet,
-       case when s_nationkey > 12 then '4+' else 'One' end as brands, cast(null as varchar) as internet,
-       cast(null as int) as numberemployees
+       cast(cast(s_acctbal as decimal(12,2)) as decimal(19,4)) as annualrevenue, 'Bank ' || s_nationkey as bankname, 'BM' as businesstype,
+       cast(1970 + s_nationkey as int) as yearopened, '<Road> ' || s_nationkey % 3 as specialty,
+       cast(1000 + s_nationkey as int) as squarefeet,
+       case when s_nationkey > 12 then '4+' else 'One' end as brands, 'T' || s_nationkey % 4 as internet,
+       cast(s_nationkey + 2 as int) as numberemployees
 from supplier where s_acctbal >= 0"""
 
 ORACLES["v_hierarchy"] = """

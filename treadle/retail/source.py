@@ -20,7 +20,11 @@ NS = "urn:retail"
 _CUSTOMER_SURVEY = (
     f"'<IndividualSurvey xmlns=\"{NS}:survey\"><TotalPurchaseYTD>' || cast(cast(c_acctbal as decimal(12,2)) as string)"
     " || '</TotalPurchaseYTD><DateFirstPurchase>1998-0' || cast(1 + c_nationkey % 9 as string) ||"
-    " '-15Z</DateFirstPurchase><MaritalStatus>M</MaritalStatus><YearlyIncome>' || c_mktsegment ||"
+    " '-15Z</DateFirstPurchase><BirthDate>19' || cast(50 + c_nationkey as string) || '-03-02Z</BirthDate>"
+    "<MaritalStatus>M</MaritalStatus><Gender>' || case when c_nationkey % 2 = 0 then 'F' else 'M' end ||"
+    " '</Gender><Education>Bachelors &lt;' || cast(c_nationkey as string) || '&gt;</Education><Occupation>' ||"
+    " '<![CDATA[R&D <' || lower(c_mktsegment) || '>]]></Occupation><NumberChildrenAtHome>' ||"
+    " cast(c_nationkey % 3 as string) || '</NumberChildrenAtHome><YearlyIncome>' || c_mktsegment ||"
     " '</YearlyIncome><TotalChildren>' || cast(c_nationkey % 5 as string) ||"
     " '</TotalChildren><HomeOwnerFlag>' || case when c_acctbal > 0 then '1' else '0' end ||"
     " '</HomeOwnerFlag>' || case when c_mktsegment = 'MACHINERY' then '' else '<NumberCarsOwned>' ||"
@@ -32,7 +36,10 @@ _CONTACT = (
     "Notes <act:telephoneNumber><act:number>555-' || cast(c_custkey as string) || '</act:number>"
     "<act:SpecialInstructions> call ' || lower(c_mktsegment) || ' </act:SpecialInstructions></act:telephoneNumber>"
     "<act:homePostalAddress><act:Street>Street ' || cast(c_nationkey as string) || '</act:Street>"
-    "<act:City>City ' || cast(c_nationkey as string) || '</act:City></act:homePostalAddress>' ||"
+    "<act:City>City ' || cast(c_nationkey as string) || '</act:City><act:StateProvince>S' || cast(c_nationkey as string) ||"
+    " '</act:StateProvince><act:PostalCode>' || cast(c_custkey as string) || '</act:PostalCode><act:CountryRegion>C' ||"
+    " cast(c_nationkey % 5 as string) || '</act:CountryRegion><act:SpecialInstructions>ring &lt;b&gt;twice&lt;/b&gt;<!-- not' ||"
+    " ' thrice --> at ' || lower(c_mktsegment) || '</act:SpecialInstructions></act:homePostalAddress>' ||"
     " case when c_acctbal > 5000 then '<act:eMail><act:eMailAddress>m' || cast(c_custkey as string) ||"
     " '@example.org</act:eMailAddress><act:SpecialInstructions> urgent only <act:telephoneNumber><act:number>999-' ||"
     " cast(c_custkey as string) || '</act:number></act:telephoneNumber></act:SpecialInstructions></act:eMail>'"
@@ -42,46 +49,72 @@ _CONTACT = (
 _JOB = (
     "'<ns:Employment><ns:Emp.StartDate>199' || cast({n} as string) || '-06-01Z</ns:Emp.StartDate>' || {end} ||"
     " '<ns:Emp.OrgName>' || c_name || '</ns:Emp.OrgName><ns:Emp.JobTitle>' || c_mktsegment ||"
-    " '</ns:Emp.JobTitle><ns:Emp.Location><ns:Location><ns:Loc.CountryRegion>C' || cast(c_nationkey as string) ||"
-    " '</ns:Loc.CountryRegion></ns:Location></ns:Emp.Location></ns:Employment>'"
+    " '</ns:Emp.JobTitle><ns:Emp.Responsibility>kept &lt;ledgers&gt; of ' || c_name ||"
+    " '<ns:note>and more</ns:note> later</ns:Emp.Responsibility><ns:Emp.FunctionCategory>F' || cast(c_nationkey % 4 as string) ||"
+    " '</ns:Emp.FunctionCategory><ns:Emp.IndustryCategory><![CDATA[I&T]]></ns:Emp.IndustryCategory>' ||"
+    " '<ns:Emp.Location><ns:Location><ns:Loc.CountryRegion>C' || cast(c_nationkey as string) ||"
+    " '</ns:Loc.CountryRegion><ns:Loc.State>S' || cast(c_nationkey as string) || '</ns:Loc.State><ns:Loc.City>City ' ||"
+    " cast(c_nationkey as string) || '</ns:Loc.City></ns:Location></ns:Emp.Location></ns:Employment>'"
 )
 _RESUME = (
-    f"'<ns:Resume xmlns:ns=\"{NS}:resume\"><ns:Name><ns:Name.First>' || substr(c_name, 1, 8) ||"
-    " '</ns:Name.First><ns:Name.Last>' || substr(c_name, 10, 9) || '</ns:Name.Last></ns:Name><ns:Skills>' ||"
+    f"'<ns:Resume xmlns:ns=\"{NS}:resume\"><ns:Name><ns:Name.Prefix>Mx.</ns:Name.Prefix><ns:Name.First>' || substr(c_name, 1, 8) ||"
+    " '</ns:Name.First><ns:Name.Middle>' || substr(c_mktsegment, 1, 1) || '</ns:Name.Middle><ns:Name.Last>' ||"
+    " substr(c_name, 10, 9) || '</ns:Name.Last><ns:Name.Suffix>Jr. &#8211; ' || cast(c_nationkey as string) ||"
+    " '</ns:Name.Suffix></ns:Name><ns:Skills>' ||"
     " lower(c_mktsegment) || ' &amp; sales</ns:Skills>' ||"
     f" case when c_acctbal > 0 then {_JOB.format(n=1, end="'<ns:Emp.EndDate>1992-07-31Z</ns:Emp.EndDate>'")} else '' end ||"
     f" case when c_acctbal > 5000 then {_JOB.format(n=3, end="''")} else '' end ||"
-    " '<ns:Education><ns:Edu.Level>Bachelor</ns:Edu.Level><ns:Edu.Degree>' || c_mktsegment ||"
-    " '</ns:Edu.Degree>' || case when c_acctbal > 2500 then '<ns:Edu.Minor>M' || cast(c_nationkey as string) ||"
-    " '</ns:Edu.Minor>' else '' end || '<ns:Edu.GPA>3.5</ns:Edu.GPA></ns:Education><ns:Address><ns:Addr.Type>Home</ns:Addr.Type>"
-    "<ns:Addr.Location><ns:Location><ns:Loc.City>City ' || cast(c_nationkey as string) ||"
-    " '</ns:Loc.City></ns:Location></ns:Addr.Location></ns:Address><ns:EMail>c' || cast(c_custkey as string) ||"
-    " '@example.com</ns:EMail></ns:Resume>'"
+    " '<ns:Education><ns:Edu.Level>Bachelor</ns:Edu.Level><ns:Edu.StartDate>1986-09-15Z</ns:Edu.StartDate>"
+    "<ns:Edu.EndDate>1990-05-2' || cast(c_nationkey % 10 as string) || 'Z</ns:Edu.EndDate><ns:Edu.Degree>' || c_mktsegment ||"
+    " '</ns:Edu.Degree><ns:Edu.Major>Trade &amp; ' || lower(c_mktsegment) || '</ns:Edu.Major>' || case when c_acctbal > 2500 then '<ns:Edu.Minor>M' || cast(c_nationkey as string) ||"
+    " '</ns:Edu.Minor>' else '' end || '<ns:Edu.GPA>3.5</ns:Edu.GPA><ns:Edu.GPAScale>4</ns:Edu.GPAScale>"
+    "<ns:Edu.School>School ' || cast(c_nationkey as string) || '</ns:Edu.School><ns:Edu.Location><ns:Location>"
+    "<ns:Loc.CountryRegion>C' || cast(c_nationkey % 5 as string) || '</ns:Loc.CountryRegion><ns:Loc.State>S' ||"
+    " cast(c_nationkey as string) || '</ns:Loc.State><ns:Loc.City>Town ' || cast(c_nationkey as string) ||"
+    " '</ns:Loc.City></ns:Location></ns:Edu.Location></ns:Education><ns:Address><ns:Addr.Type>Home</ns:Addr.Type>"
+    "<ns:Addr.Location><ns:Location><ns:Loc.CountryRegion>C' || cast(c_nationkey % 5 as string) ||"
+    " '</ns:Loc.CountryRegion><ns:Loc.State>S' || cast(c_nationkey as string) || '</ns:Loc.State>"
+    "<ns:Loc.City>City ' || cast(c_nationkey as string) ||"
+    " '</ns:Loc.City></ns:Location></ns:Addr.Location><ns:Addr.PostalCode>P' || cast(c_custkey as string) ||"
+    " '</ns:Addr.PostalCode></ns:Address><ns:EMail>c' || cast(c_custkey as string) ||"
+    " '@example.com</ns:EMail><ns:WebSite>https://example.com/?a=1&amp;c=' || cast(c_custkey as string) ||"
+    " '</ns:WebSite></ns:Resume>'"
 )
 
 _STORE = (
     f"'<StoreSurvey xmlns=\"{NS}:store\"><AnnualSales>' || cast(cast(s_acctbal as decimal(12,2)) as string) ||"
-    " '</AnnualSales><BankName>Bank ' || cast(s_nationkey as string) || '</BankName><BusinessType>BM</BusinessType>"
-    "<YearOpened>' || cast(1970 + s_nationkey as string) || '</YearOpened><Brands>' ||"
-    " case when s_nationkey > 12 then '4+' else 'One' end || '</Brands></StoreSurvey>'"
+    " '</AnnualSales><AnnualRevenue>' || cast(cast(s_acctbal as decimal(12,2)) as string) ||"
+    " '</AnnualRevenue><BankName>Bank ' || cast(s_nationkey as string) || '</BankName><BusinessType>BM</BusinessType>"
+    "<YearOpened>' || cast(1970 + s_nationkey as string) || '</YearOpened><Specialty>&lt;Road&gt; ' ||"
+    " cast(s_nationkey % 3 as string) || '</Specialty><SquareFeet>' || cast(1000 + s_nationkey as string) || '</SquareFeet><Brands>' ||"
+    " case when s_nationkey > 12 then '4+' else 'One' end || '</Brands><Internet>T' || cast(s_nationkey % 4 as string) ||"
+    " '</Internet><NumberEmployees>' || cast(s_nationkey + 2 as string) || '</NumberEmployees></StoreSurvey>'"
 )
 
 _CATALOG = (
     f"'<p1:ProductDescription xmlns:p1=\"{NS}:model\" xmlns:wm=\"{NS}:warranty\" xmlns:wf=\"{NS}:features\""
     f" xmlns:html=\"{NS}:html\"><p1:Summary><html:p>' || p_name || ' of <html:b>note</html:b> quality</html:p></p1:Summary>"
-    "<p1:Manufacturer><p1:Name>' || p_brand || '</p1:Name></p1:Manufacturer><p1:Features>Made of"
-    " <wm:Warranty><wm:WarrantyPeriod>' || cast(p_size as string) || ' months</wm:WarrantyPeriod></wm:Warranty>"
-    "<wf:wheel>Strong <html:i>' || p_type || '</html:i></wf:wheel></p1:Features>"
-    "<p1:Picture><p1:Angle>front</p1:Angle><p1:ProductPhotoID>' || cast(p_partkey as string) ||"
+    "<p1:Manufacturer><p1:Name>' || p_brand || '</p1:Name><p1:Copyright>&#169; ' || p_brand || '</p1:Copyright>"
+    "<p1:ProductURL>https://example.com/?p=' || cast(p_partkey as string) || '&amp;l=en</p1:ProductURL></p1:Manufacturer>"
+    "<p1:Features>Made of <wm:Warranty><wm:WarrantyPeriod>' || cast(p_size as string) || ' months</wm:WarrantyPeriod>"
+    "<wm:Description>parts &lt;and&gt; labour</wm:Description></wm:Warranty><wm:Maintenance><wm:NoOfYears>' ||"
+    " cast(p_size % 10 as string) || ' years</wm:NoOfYears><wm:Description>by <html:b>any</html:b> dealer</wm:Description>"
+    "</wm:Maintenance><wf:wheel>Strong <html:i>' || p_type || '</html:i></wf:wheel><wf:saddle><html:i>Soft</html:i> seat of ' ||"
+    " p_type || '</wf:saddle><wf:pedal><![CDATA[<Top> ]]>grip ' || p_brand || '</wf:pedal><wf:BikeFrame>frame<!-- welded' ||"
+    " ' --> of steel</wf:BikeFrame><wf:crankset>' || p_brand || ' &quot;crank&quot;</wf:crankset></p1:Features>"
+    "<p1:Picture><p1:Angle>front</p1:Angle><p1:Size>' || case when p_size > 20 then 'large' else 'small' end ||"
+    " '</p1:Size><p1:ProductPhotoID>' || cast(p_partkey as string) ||"
     " '</p1:ProductPhotoID></p1:Picture><p1:Picture><p1:Angle>side</p1:Angle></p1:Picture>"
     "<p1:Specifications>' || case when p_size > 25 then '<Material>steel</Material>' else '' end ||"
-    " '<ProductLine>' || p_type || '</ProductLine></p1:Specifications></p1:ProductDescription>'"
+    " '<Color>' || substr(p_name, 1, 3) || '</Color><ProductLine>' || p_type || '</ProductLine><Style>S' ||"
+    " cast(p_size % 4 as string) || '</Style><RiderExperience>novice to ' || p_brand || '</RiderExperience>"
+    "</p1:Specifications></p1:ProductDescription>'"
 )
 
 _MANUAL = (
     f"'<root xmlns=\"{NS}:manual\">Manual ' || cast(p_partkey as string) ||"
     " '<Location LaborHours=\"2.5\" LotSize=\"' || cast(p_size as string) ||"
-    " '\" LocationID=\"10\"><step>Take <tool>' || p_brand || '</tool> first</step><step>' || p_name ||"
+    " '\" MachineHours=\"1.75\" LocationID=\"10\"><step>Take <tool>' || p_brand || '</tool> first</step><step>' || p_name ||"
     " '</step></Location><Location SetupHours=\"0.25\" LocationID=\"20\"><step>Pack ' || p_type ||"
     " '</step></Location></root>'"
 )
