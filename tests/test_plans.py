@@ -408,6 +408,45 @@ def test_daily_run_is_repeatable(spark, source, rows, tmp_path):
         assert rows(spark.read.parquet(str(tmp_path / name))) == first[name], name
 
 
+def test_a_day_lands_changes_and_rebuilds_what_they_touch(spark, source, rows, tmp_path):
+    tables = {n: source[n] for n in ("production.product", "production.productmodel", "production.productsubcategory", "production.productcategory",
+                                     *daily.PRICES, "sales.salesorderheader", "sales.salesorderdetail", "sales.customer", "sales.specialoffer")}
+    keys = {"sales.customer": ("customerid",), "sales.salesorderheader": ("salesorderid",), "production.product": ("productid",)}
+    reads = []
+
+    def run(batch):
+        reads.clear()
+        out = daily.DailyRun(spark, describe(tables, keys), lambda n: reads.append(n) or tables[n], str(tmp_path), AS_OF, batch=batch)
+        out.run(["agg_daily_sales"], targets=("DimProduct", "DimProductCategory", "FactSales"))
+        return out
+
+    def files():
+        return {str(p.relative_to(tmp_path / "FactSales")) for p in (tmp_path / "FactSales").rglob("*.parquet")}
+
+    def priced(r):
+        sales, versions = spark.read.parquet(str(tmp_path / "FactSales")), r.table("DimProduct").read()
+        return rows(sales.join(versions, "ProductKey", "left").select("SalesDateKey", "ProductID", "ListPrice", "Cost"))
+
+    first = run("b1")
+    assert sorted(reads) == sorted(tables)
+    want = [(D(2012, 6, 30), 500, m("20.00"), m("10.00")), (D(2012, 6, 30), 501, m("100.00"), m("60.00")), (D(2012, 7, 1), 500, m("25.00"), m("10.00")),
+            (D(2013, 8, 1), 501, m("100.00"), m("60.00")), (D(2014, 1, 1), 500, m("25.00"), m("11.00"))]
+    assert priced(first) == want
+    before = files()
+    run("b1")
+    assert reads == [] and files() == before  # the batch is done
+
+    # a price that began in the past: the version of that day is cut, sales since then are keyed anew
+    old = tables[daily.PRICES[0]]
+    tables[daily.PRICES[0]] = old.unionByName(spark.createDataFrame([(500, dt.datetime(2013, 12, 1), None, m(30), STAMP)], old.schema))
+    third = run("b2")
+    assert priced(third) == [*want[:-1], (D(2014, 1, 1), 500, m("30.00"), m("11.00"))]
+    assert {f for f in before - files()} == {f for f in before if "2014-01" in f or "2013-12" in f}
+    versions = third.table("DimProduct").read().filter("ProductID = 500")
+    assert rows(versions, "ValidFromDate", "ListPrice")[-2:] == [(D(2012, 9, 1), m("25.00")), (D(2013, 12, 1), m("30.00"))]
+    assert versions.select("ProductKey").distinct().count() == versions.count()
+
+
 def test_duplicate_keys_block_what_depends_on_them(spark, source, tmp_path):
     wanted = ("person.person", "sales.salesorderheader", "sales.salesorderdetail", "production.product", "production.productmodel",
               "production.productsubcategory", "production.productcategory")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from treadle.operators.lookup import orphans
+from treadle.operators.lookup import orphan_counts, orphans
 
 ERROR, WARNING = "ERROR", "WARNING"
 
@@ -356,6 +356,39 @@ def orphan_error_records(df: DataFrame, table: str, fk: ForeignKey, parent: Data
     return _records(bad.withColumn("_hit", hit), df.columns, table, natural_key, batch, task, at)
 
 
+def table_error_records(df: DataFrame, table: str, rules: TableRules, natural_key: Sequence[str], batch: str, task: str,
+                        at: dt.datetime, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Error records of a table for rules of every kind, from one reading of its rows.
+
+    Doubled and orphaned keys are found from the key columns alone; the few bad ones are joined to the rows
+    as flags, and all rules a row breaks, of whatever kind, become records together.
+    """
+    hits = [F.when(F.expr(r.broken), F.struct(
+        F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
+        F.lit(r.message).alias("message"), F.lit(r.broken).alias("details"))) for r in rules.rules]
+    rows, columns = df, df.columns
+    bad: list[tuple[Sequence[str], DataFrame, str, str, str]] = []
+    if rules.key:
+        bad.append((rules.key, duplicate_keys(df, rules.key).drop("rows"), "primary_key", "primary_key", "Duplicate primary keys"))
+    for fk in rules.foreign_keys:
+        if fk.parent in parents:
+            keys = orphan_counts(df, fk.columns, parents[fk.parent], fk.parent_columns).drop("rows")
+            bad.append((fk.columns, keys, fk.rule, "foreign_key", f"No row in {fk.parent}"))
+    for n, (key, keys, rule, kind, message) in enumerate(bad):
+        named = keys.select(*[F.col(_quoted(c)).alias(f"_b{n}_{k}") for k, c in enumerate(key)], F.lit(True).alias(f"_bad{n}"))
+        match = F.lit(True)
+        for k, c in enumerate(key):
+            match = match & (F.col(_quoted(c)) == F.col(f"_b{n}_{k}"))
+        rows = rows.join(named, match, "left")
+        hits.append(F.when(F.col(f"_bad{n}"), F.struct(
+            F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), F.lit(ERROR).alias("severity"),
+            F.lit(message).alias("message"), F.lit(", ".join(key)).alias("details"))))
+    found = rows.select(*[F.col(_quoted(c)) for c in columns], F.explode(F.array_compact(F.array(*hits))).alias("_hit"))
+    # evenly sized before the payloads are built, which are larger than the rows and costly to make
+    even = found.hint("rebalance", *[F.col(_quoted(k)) for k in natural_key])
+    return _records(even, columns, table, natural_key, batch, task, at)
+
+
 # --- retries -------------------------------------------------------------------------------
 
 #: One row per attempt at an open error record; the log is only ever added to.

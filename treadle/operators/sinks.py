@@ -95,11 +95,15 @@ def write_days(df: DataFrame, path: str, day: str, keys: Sequence[str] = (), mon
      .partitionBy(month, "day").parquet(path))
 
 
-def replace_records(records: DataFrame, path: str, batch: str, source: str | None = None, day: str = "ErrorDate") -> None:
-    """Write a batch's error records of one table, or of the tables they name, in place of those it wrote before."""
+def replace_records(records: DataFrame, path: str, batch: str, source: str | None = None, day: str = "ErrorDate",
+                    even: bool = False) -> None:
+    """Write a batch's error records of one table, or of the tables they name, in place of those it wrote before.
+
+    They are dealt out for few files, unless their partitions are ``even`` already.
+    """
     named = F.col("SourceTable") if source is None else F.lit(source)
     filed = with_month(records, day).withColumn("batch", F.lit(batch)).withColumn("source", named)
-    (_sized(filed, ["month", "batch", "source"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_sized(filed, [] if even else ["month", "batch", "source"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch", "source").parquet(path))
 
 

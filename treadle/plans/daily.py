@@ -287,19 +287,14 @@ class DailyRun:
     def quarantine(self, frames: Mapping[str, DataFrame], rules: Mapping[str, checks.TableRules],
                    broken: Mapping[str, checks.TableRules]) -> None:
         """Error records of every broken rule, replacing those of this batch and table."""
+        parents = Whole(self.specs, self.source)
+        parts = []
         for name, r in broken.items():
-            parts, df = [], frames[name]
-            key = list(rules[name].key) or df.columns[:1]
-            if r.rules:
-                parts.append(checks.error_records(df, name, r.rules, key, self.batch, "validate", self.at))
-            if r.key:
-                parts.append(checks.key_error_records(df, name, key, self.batch, "validate", self.at))
-            for fk in r.foreign_keys:
-                if fk.parent in self.specs:
-                    parts.append(checks.orphan_error_records(
-                        df, name, fk, self.source(fk.parent), key, self.batch, "validate", self.at))
-            if parts:
-                self.record(name, checks.union_all(parts))
+            key = list(rules[name].key) or frames[name].columns[:1]
+            if r.rules or r.key or r.foreign_keys:
+                parts.append(checks.table_error_records(frames[name], name, r, key, self.batch, "validate", self.at, parents))
+        if parts:
+            sinks.replace_records(checks.union_all(parts), self.path("error_records"), self.batch, even=True)
 
     def error_state(self) -> DataFrame:
         """All error records in their newest state."""
@@ -362,20 +357,21 @@ class DailyRun:
         key = [spec.natural]
         staged = dims.conform(staged, spec) if spec.name != "DimEmployee" else staged
         current = table.read_open() if table.exists() else None
-        late = []
+        states, ahead, whole = None, None, set()
         if spec.name == "DimProduct" and all(n in full for n in PRICES):
             # a first load opens with the prices of its opening day; those since then are cut in
             staged, states = dims.priced(staged, dims.price_states(full), opening if current is None else self.as_of, self.as_of)
-            late.append((states, "day"))
         if current is not None:  # keys whose open version starts after this day: the day lies in their past
-            ahead = current.filter(F.col("ValidFromDate") > F.lit(self.as_of)).select(*key)
-            if not ahead.isEmpty():
-                rows = dims.conform(staged, spec).join(ahead, key, "left_semi").withColumn("_day", F.lit(self.as_of))
-                late.append((rows, "_day"))
+            keys = current.filter(F.col("ValidFromDate") > F.lit(self.as_of)).select(*key)
+            if not keys.isEmpty():
+                ahead = dims.conform(staged, spec).join(keys, key, "left_semi").withColumn("_day", F.lit(self.as_of))
+            if states is not None:
+                current, whole = self.cut_in(spec, table, current, states, "day", whole)
         merged = dims.load_dimension(spec, current, staged, self.as_of, opening, history.key_later)
-        whole: set[int] = set()
-        for rows, day in late:
-            merged, whole = self.cut_in(spec, table, merged, rows, day, whole)
+        if current is None and states is not None:
+            merged, whole = self.cut_in(spec, table, merged, states, "day", whole)
+        if ahead is not None:
+            merged, whole = self.cut_in(spec, table, merged, ahead, "_day", whole)
         # keys are handed out once for the stored rows
         folder = run_folder(self.spark, spec.name)
         merged.write.parquet(folder)
@@ -397,21 +393,23 @@ class DailyRun:
         versions = merged if closed is None else merged.unionByName(closed)
         low, high = self.window[0].date(), max(self.window[1].date(), self.as_of)
         folder = run_folder(self.spark, "late")
-        unlike = history.unlike(versions, late, key, spec.tracked, day, low, high).select(*key).distinct()
-        # all states of such keys: one that is as the history has it may be so no more beside the others
-        late.join(unlike, key, "left_semi").withColumn("_bucket", table.bucket()).write.parquet(folder)
-        new = self.spark.read.parquet(folder)
-        buckets = {r[0] for r in new.select("_bucket").distinct().collect()}  # at most the table's number of them
+        history.unlike(versions, late, key, spec.tracked, day, low, high).select(
+            *key, F.col(day).cast("date").alias("_day"), table.bucket().alias("_bucket")).write.parquet(folder)
+        unlike = self.spark.read.parquet(folder)
+        buckets = {r[0] for r in unlike.select("_bucket").distinct().collect()}  # at most the table's number of them
         if not buckets:
             return merged, whole
+        # all states of such keys: one that is as the history has it may be so no more beside the others
+        new = late.join(unlike.select(*key).distinct(), key, "left_semi")
         closed = table.read_closed(sorted(buckets - whole)) if table.exists() else None
         rows = merged if closed is None else merged.unionByName(closed)
         keys = new.select(*key).distinct()
-        spliced = history.splice(rows.join(keys, key, "left_semi"), new.drop("_bucket"), key, spec.tracked, spec.surrogate,
+        spliced = history.splice(rows.join(keys, key, "left_semi"), new, key, spec.tracked, spec.surrogate,
                                  day, self.as_of, history.key_later)
-        reach = new.join(versions.select(*key, "ValidFromDate"), key).filter(F.col("ValidFromDate") > F.col(day)).agg(
-            F.max("ValidFromDate")).first()[0]
-        self.reopen(spec.name, new.agg(F.min(day)).first()[0], reach or high)
+        # from the first such day to the end of the last version that is cut
+        ends = unlike.join(versions.select(*key, "ValidFromDate", F.coalesce("ValidToDate", F.lit(high)).alias("_end")), key).filter(
+            "ValidFromDate <= _day and _day < _end").agg(F.max("_end")).first()[0]
+        self.reopen(spec.name, unlike.agg(F.min("_day")).first()[0], ends or high)
         return rows.join(keys, key, "left_anti").unionByName(spliced), whole | buckets
 
     def reopen(self, dimension: str, low: dt.date, high: dt.date) -> None:

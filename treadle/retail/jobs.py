@@ -369,12 +369,9 @@ def q_error_records(spark, folder):
     run = ("batch-1", "validate", dt.datetime(2001, 12, 31, 6, 0))
     keys = {n: list(rules[n].key) for n in frames}
     path = run_folder(spark, "error_records")
-    for n in [*keys, "orders"]:
-        parts = [checks.error_records(frames[n], n, rules[n].rules, keys[n], *run),
-                 checks.key_error_records(frames[n], n, keys[n], *run)]
-        parts += [checks.orphan_error_records(frames[n], n, fk, frames[fk.parent], keys[n], *run)
-                  for fk in rules[n].foreign_keys]
-        sinks.replace_records(checks.union_all(parts), path, run[0], n)
+    records = {n: checks.table_error_records(frames[n], n, rules[n], keys[n], *run, frames) for n in keys}
+    sinks.replace_records(checks.union_all(list(records.values())), path, run[0], even=True)
+    sinks.replace_records(records["orders"], path, run[0], even=True)
     counted = (
         sinks.read_months(spark, path).groupBy("SourceTable", "ErrorType", "ErrorSeverity", "ErrorMessage")
         .agg(F.count("*").alias("records"), F.count("FailedData").alias("payloads"))
