@@ -142,6 +142,35 @@ def p_order_totals(spark, folder):
         (F.col("total_due").cast("decimal(18,2)") == F.coalesce("sub_total", zero)).alias("reconciled"))
 
 
+def p_computed(spark, folder):
+    """The load's computed columns: totals, stocked quantities, numbers of orders and accounts, and NaN as NULL."""
+    money = "decimal(19,4)"
+    line = load(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("salesorderid"), F.col("l_extendedprice").cast(money).alias("subtotal"),
+        F.when(F.col("l_linestatus") == "O", F.col("l_tax").cast(money)).alias("taxamt"), F.col("l_discount").cast(money).alias("freight"),
+        F.col("l_quantity").cast("decimal(8,2)").alias("received"),
+        F.when(F.col("l_returnflag") != "N", F.lit(1).cast("decimal(8,2)")).alias("rejected"), F.col("l_suppkey").alias("customerid"),
+        F.when(F.col("l_returnflag") == "R", float("nan")).otherwise(F.col("l_tax")).alias("share"))
+    done = line.select(
+        scalars.order_number(F.col("salesorderid")).alias("salesordernumber"), scalars.account_number(F.col("customerid")).alias("accountnumber"),
+        scalars.total_due(F.col("subtotal"), F.col("taxamt"), F.col("freight")).alias("totaldue"),
+        scalars.stocked(F.col("received"), F.col("rejected")).alias("stockedqty"), scalars.no_nan(F.col("share")).alias("share"))
+    return done.groupBy("salesordernumber", "accountnumber").agg(
+        F.count("*").alias("n_lines"), F.sum("totaldue").cast(money).alias("totaldue"), F.sum("stockedqty").cast("decimal(18,2)").alias("stockedqty"),
+        F.count("share").alias("shares"))
+
+
+def q_numeric_type(spark, folder):
+    """Text columns of orders that are declared as numbers, checked value by value."""
+    orders = load(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_orderpriority").substr(1, 1).alias("o_rank"),
+        F.when(F.col("o_custkey") % 10 != 0, F.col("o_totalprice").cast("string")).otherwise("n/a").alias("o_amount"),
+        F.col("o_orderstatus").alias("o_code"))
+    declared = {"o_orderkey": "bigint", "o_rank": "smallint", "o_amount": "decimal(19,4)", "o_code": "int"}
+    rules = checks.column_rules(orders.schema, QUALITY_DAY, declared=declared)
+    return checks.findings({"orders": orders}, {"orders": checks.TableRules(tuple(rules))}).select("table_name", "rule", "message", "violations")
+
+
 def j_orphans_anti(spark, folder):
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return lookup.childless(orders, ["o_orderkey"], load(spark, folder, "lineitem"), ["l_orderkey"])
@@ -680,6 +709,7 @@ QUERIES: dict[str, Job] = {
     "s_load_rejects": s_load_rejects,
     "s_record_load": s_record_load,
     "p_order_totals": p_order_totals,
+    "p_computed": p_computed,
     "j_orphans_anti": j_orphans_anti,
     "j_children_semi": j_children_semi,
     "j_asof_lookup": j_asof_lookup,
@@ -694,6 +724,7 @@ QUERIES: dict[str, Job] = {
     "w_keep_last": w_keep_last,
     "q_column_rules": q_column_rules,
     "q_check_rules": q_check_rules,
+    "q_numeric_type": q_numeric_type,
     "q_pk_duplicates": q_pk_duplicates,
     "q_fk_orphans": q_fk_orphans,
     "q_fk_window": q_fk_window,

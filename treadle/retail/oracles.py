@@ -965,3 +965,23 @@ l as (select cast(cast(l_extendedprice as decimal(14,2)) * 100 as bigint) as pri
              cast(cast(l_quantity as decimal(14,2)) * 100 as bigint) as quantity from lineitem)
 select low as band, count(*) as n_lines, cast(sum(quantity) as bigint) as quantity
 from l left join b on price between low and low + 1999 group by 1"""
+
+ORACLES["p_computed"] = """
+with l as (
+  select 'SO' || l_orderkey as salesordernumber,
+         'AW' || case when length(cast(l_suppkey as varchar)) >= 8 then cast(l_suppkey as varchar) else lpad(cast(l_suppkey as varchar), 8, '0') end as accountnumber,
+         coalesce(cast(l_extendedprice as decimal(19,4)) + case when l_linestatus = 'O' then cast(l_tax as decimal(19,4)) end
+                  + cast(l_discount as decimal(19,4)), 0) as due,
+         coalesce(cast(l_quantity as decimal(8,2)) - case when l_returnflag <> 'N' then cast(1 as decimal(8,2)) end, 0) as stocked,
+         case when l_returnflag <> 'R' then l_tax end as share
+  from lineitem)
+select salesordernumber, accountnumber, count(*) as n_lines, cast(sum(due) as decimal(19,4)) as totaldue,
+       cast(sum(stocked) as decimal(18,2)) as stockedqty, count(share) as shares
+from l group by 1, 2"""
+
+ORACLES["q_numeric_type"] = """
+select 'orders' as table_name, 'numeric_' || c as rule, 'Bad numeric type: ' || c as message, n as violations
+from (select 'o_orderkey' as c, cast(0 as bigint) as n
+      union all select 'o_rank', count(*) from orders where try_cast(substr(o_orderpriority, 1, 1) as smallint) is null and o_orderpriority is not null
+      union all select 'o_amount', count(*) from orders where o_custkey % 10 = 0
+      union all select 'o_code', count(*) from orders where o_orderstatus is not null and try_cast(o_orderstatus as int) is null)"""
