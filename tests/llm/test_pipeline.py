@@ -27,7 +27,7 @@ def test_query(spark, con, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_stages(spark, tmp_path):
