@@ -3,6 +3,7 @@ import time
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from treadle.operators import bands
 
@@ -43,3 +44,34 @@ def test_a_hundred_thousand_bands_of_one_magnitude(spark):
     got = bands.BandIndex(spark, given, "lo", "hi").lookup(numbers, "v", {"band": "k"})
     wrong = got.filter(f"not (band <=> case when v >= {low} and pmod(v - {low}, 8) <= 6 and (v - {low}) div 8 < {n} then (v - {low}) div 8 end)")
     assert wrong.count() == 0 and time.time() - start < 60
+
+
+@pytest.mark.parametrize("top, node", [(512, 4096), (4, 4), (1, 2)])
+def test_totals_are_those_of_the_pairs(spark, monkeypatch, top, node):
+    monkeypatch.setattr(bands, "TOP", top)
+    monkeypatch.setattr(bands, "NODE", node)
+    own = random.Random(top)
+    given = [(k % 20 or None, lo, None if own.random() < 0.1 else lo + own.randint(-1, 12)) for k, lo in enumerate(own.choices(range(60), k=25))] + [(99, None, 5)]
+    numbers = [(n, own.choice([None, 1, -7, 1 << 40]), Decimal(own.randint(0, 99)) / 4) for n in [None, -5, 30, 1000, *own.choices(range(-3, 80), k=60)]]
+    df = spark.createDataFrame(numbers, "n int, q long, d decimal(9,2)")
+    index = bands.BandIndex(spark, spark.createDataFrame(given, "k int, lo int, hi int"), "lo", "hi")
+    for rows in (df, df.filter("n = 30"), df.filter("n < -3"), df.limit(0)):
+        want = index.lookup(rows, "n", {"band": "k"}).groupBy("band").agg(
+            F.count("*").alias("many"), F.sum("q").alias("q"), F.sum("d").alias("d"))
+        got = index.totals(rows, "n", {"band": "k"}, "many", {"q": "q", "d": "d"})
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    none = bands.BandIndex(spark, spark.createDataFrame([], "k int, lo int, hi int"), "lo", "hi").totals(df, "n", {"k": "k"}, "many", {})
+    assert [tuple(r) for r in none.collect()] == [(None, len(numbers))]
+    with pytest.raises(TypeError):
+        index.totals(df.selectExpr("n", "cast(q as double) q"), "n", {"band": "k"}, "many", {"q": "q"})
+
+
+def test_totals_of_bands_that_all_overlap(spark):
+    n = 20_000
+    index = bands.BandIndex(spark, spark.range(n).selectExpr("id lo", f"id + {n} hi"), "lo", "hi")
+    start = time.time()
+    got = index.totals(spark.range(2 * n).selectExpr("id v", "1L q"), "v", {"band": "lo"}, "many", {"q": "q"})
+    # the pairs are 400 million
+    assert [tuple(r) for r in got.groupBy("many", "q").count().collect()] == [(n + 1, n + 1, n)]
+    assert time.time() - start < 60

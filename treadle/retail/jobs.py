@@ -245,8 +245,7 @@ def j_band_index(spark, folder):
         return (F.col(c).cast("decimal(14,2)") * 100).cast("long")
     given = load(spark, folder, "orders").select(cents("o_totalprice").alias("low")).distinct().withColumn("high", F.col("low") + 1999)
     line = load(spark, folder, "lineitem").select(cents("l_extendedprice").alias("price"), cents("l_quantity").alias("quantity"))
-    found = bands.BandIndex(spark, given, "low", "high").lookup(line, "price", {"band": "low"})
-    return found.groupBy("band").agg(F.count("*").alias("n_lines"), F.sum("quantity").alias("quantity"))
+    return bands.BandIndex(spark, given, "low", "high").totals(line, "price", {"band": "low"}, "n_lines", {"quantity": "quantity"})
 
 
 def j_self_manager(spark, folder):
