@@ -23,7 +23,7 @@ RUNTIME_CONF = {
 }
 
 #: In local mode only.  There, tables are small files of one row group, so a scan is one task, and a
-#: join broadcast into it would keep the whole stage on one core.  A cluster keeps Spark's own limit:
+#: join broadcast into it would keep the whole stage on one core.  A cluster has a higher limit (see ``tune``):
 #: there a broadcast spares the large side its shuffle.
 LOCAL_CONF = {"spark.sql.autoBroadcastJoinThreshold": "256k"}
 
@@ -62,14 +62,51 @@ def _with_code(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Apply the runtime settings to a session somebody else built; ``folder`` has the tables that jobs will read."""
     for key, value in _runtime_conf(spark).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    _limit(spark, BROADCAST, BROADCAST_BYTES)
+    _spread(spark, folder)
     return _with_code(spark)
 
 
+BROADCAST, BROADCAST_BYTES = "spark.sql.autoBroadcastJoinThreshold", 2 << 20
+#: Stored input per shuffle partition, and the most a task reads of a shuffle.
+SPREAD_BYTES, ADVISORY_BYTES = 4 << 20, 8 << 20
+INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_BEFORE = "treadle.advisory.before"
+
+
+def _limit(spark: SparkSession, key: str, most: int) -> str:
+    """Lower a size to ``most`` bytes; one that is off or lower stays.  Sizes are of compressed columns and
+    shuffles, which take a multiple in memory: a broadcast on the driver, a shuffle's part in its task."""
+    own = spark.conf.get(key)
+    if not own.startswith("-") and spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) > most:
+        spark.conf.set(key, str(most))
+    return own
+
+
+def _spread(spark: SparkSession, folder: str | None) -> None:
+    """Shuffles start with partitions by the size of the tables, so a task's share stays as it is while they grow.
+
+    With a fixed number of partitions a task's hash table or sort would grow with the input.  AQE merges
+    partitions that come out small.
+    """
+    if spark.conf.get(_BEFORE, None):  # of an earlier job on other tables
+        spark.conf.unset(INITIAL)
+        spark.conf.set(ADVISORY, spark.conf.get(_BEFORE))
+        spark.conf.unset(_BEFORE)
+    if folder is None:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    if size // SPREAD_BYTES > int(spark.conf.get("spark.sql.shuffle.partitions")) and spark.conf.get(INITIAL, None) is None:
+        spark.conf.set(INITIAL, str(size // SPREAD_BYTES))
+        spark.conf.set(_BEFORE, _limit(spark, ADVISORY, ADVISORY_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
