@@ -456,3 +456,11 @@ def test_duplicate_keys_block_what_depends_on_them(spark, source, tmp_path):
     report = daily.DailyRun(spark, specs, broken.__getitem__, str(tmp_path), AS_OF, batch="b").run([])
     assert "duplicate" in report.skipped["sales.customer"]
     assert "FactSales" in report.skipped and "DimProduct" in report.done
+
+
+def test_documents_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    from treadle.retail.source import SourceTables
+    spark.range(200).selectExpr("id p_partkey", "concat('part ', id) p_name", "'B' p_brand", "'T' p_type", "cast(id % 50 as int) p_size",
+                                "1.0D p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = xml_views.v_product_model_catalog_description(SourceTables(spark, str(tmp_path)))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1 and got.count() == 200

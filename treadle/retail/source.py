@@ -289,6 +289,11 @@ def portable(name: str) -> str:
     return DERIVED[name].format(**{b: b for b in base_tables(name)})
 
 
+#: Tables whose documents cost far more to build and parse than their rows to read: a file of one row
+#: group would have all of them in one task.
+DEALT = ("production.productmodel",)
+
+
 class SourceTables(dict):
     """Derived tables by ``schema.table``, built when first asked for."""
 
@@ -299,6 +304,9 @@ class SourceTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         text = DERIVED[name].replace('"group"', "`group`")
         used = {b: load(self.spark, self.folder, b) for b in base_tables(name)}
+        if name in DEALT:  # before the documents are built, while the rows are small
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            used = {b: df.repartition(tasks, *df.columns[:2]) for b, df in used.items()}
         self[name] = self.spark.sql(text, **used)
         return self[name]
 
