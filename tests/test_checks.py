@@ -178,3 +178,14 @@ def test_more_rules_than_bits(frame, monkeypatch):
     got = {(r.table_name, r.rule): r.violations for r in found}
     assert all(got["t", f"r{n}"] == 10 + (n % 2 == 0) for n in range(8))
     assert got["t", "primary_key"] == got["p", "primary_key"] == 0 and got["t", "fk_v"] == 9 and len(got) == 11
+
+
+def test_a_row_that_breaks_many_rules_is_dealt_out_once(spark):
+    df = spark.createDataFrame([(1, -1), (1, None), (2, 5)], "k int, v int")
+    named = [checks.Rule(f"r{i}", "check", "v < 0", f"below {i}", checks.ERROR) for i in range(9)]
+    rules = checks.TableRules((*named, checks.Rule("gone", "required", "v is null", "no v", checks.ERROR)), ("k",), ())
+    got = checks.table_error_records(df, "t", rules, ["k"], "b", "v", dt.datetime(2001, 1, 1), {})
+    kinds = {(r.ErrorType, r.ErrorMessage): r["count"] for r in got.groupBy("ErrorType", "ErrorMessage").count().collect()}
+    assert kinds == {**{("check", f"below {i}"): 1 for i in range(9)}, ("required", "no v"): 1, ("primary_key", "Duplicate primary keys"): 2}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RebalancePartitions")  # the rows are laid out by rule behind the exchange

@@ -363,9 +363,11 @@ def table_error_records(df: DataFrame, table: str, rules: TableRules, natural_ke
     Doubled and orphaned keys are found from the key columns alone; the few bad ones are joined to the rows
     as flags, and all rules a row breaks, of whatever kind, become records together.
     """
-    hits = [F.when(F.expr(r.broken), F.struct(
-        F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
-        F.lit(r.message).alias("message"), F.lit(r.broken).alias("details"))) for r in rules.rules]
+    def tell(*texts: str) -> Column:
+        return F.struct(*[F.lit(v).alias(n) for n, v in zip(("rule", "kind", "severity", "message", "details"), texts)])
+
+    hits = [F.expr(r.broken) for r in rules.rules]
+    told = [tell(r.name, r.kind, r.severity, r.message, r.broken) for r in rules.rules]
     rows, columns = df, df.columns
     bad: list[tuple[Sequence[str], DataFrame, str, str, str]] = []
     if rules.key:
@@ -380,13 +382,15 @@ def table_error_records(df: DataFrame, table: str, rules: TableRules, natural_ke
         for k, c in enumerate(key):
             match = match & (F.col(_quoted(c)) == F.col(f"_b{n}_{k}"))
         rows = rows.join(named, match, "left")
-        hits.append(F.when(F.col(f"_bad{n}"), F.struct(
-            F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), F.lit(ERROR).alias("severity"),
-            F.lit(message).alias("message"), F.lit(", ".join(key)).alias("details"))))
-    found = rows.select(*[F.col(_quoted(c)) for c in columns], F.explode(F.array_compact(F.array(*hits))).alias("_hit"))
+        hits.append(F.col(f"_bad{n}"))
+        told.append(tell(rule, kind, ERROR, message, ", ".join(key)))
+    # a row goes once, with the numbers of the rules it breaks, however many those are
+    broken = F.array_compact(F.array(*[F.when(h, F.lit(i)) for i, h in enumerate(hits)]))
+    found = rows.select(*[F.col(_quoted(c)) for c in columns], broken.alias("_broken")).filter(F.size("_broken") > 0)
     # evenly sized before the payloads are built, which are larger than the rows and costly to make
-    even = found.hint("rebalance", *[F.col(_quoted(k)) for k in natural_key])
-    return _records(even, columns, table, natural_key, batch, task, at)
+    even = found.hint("rebalance", *[F.col(_quoted(k)) for k in natural_key]).withColumn("_at", F.explode("_broken"))
+    known = F.array(*told)
+    return _records(even.withColumn("_hit", F.get(known, F.col("_at"))), columns, table, natural_key, batch, task, at)
 
 
 # --- retries -------------------------------------------------------------------------------
