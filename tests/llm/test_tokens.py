@@ -74,6 +74,19 @@ def test_words_are_encoded_as_whole_texts():
     assert [len(x) for x in own.encode_texts(pa.array([None, "", "a"], pa.string()))] == [0, 0, 1]
 
 
+def test_frequent_words_are_encoded_once(monkeypatch):
+    """A word that comes in every batch outlives the words that come once."""
+    own, whole, learned = packing.WordEncoder(WORDS), Tokenizer.from_file(WORDS), []
+    learn = own._learn
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 20)
+    monkeypatch.setattr(own, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for k in range(12):
+        text = "Frequent, " + " ".join(f"{c}{chr(97 + k)}x" for c in "bcdfghjk")
+        assert next(own.encode_texts(pa.array([text]))).tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(own.known) + len(own.older) < 2 * (20 + 20)
+    assert learned.count("Frequent,") == 1
+
+
 def test_slices_are_bounded_by_bytes():
     given = [None, "", "a" * 10, "b" * 5, "c" * 100, "é" * 4, None, "d"]
     batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(given, pa.string())], names=["id", "text"])

@@ -14,6 +14,7 @@ rows are packed as often as they occur; an empty table gives no pieces; null ids
 from __future__ import annotations
 
 import json
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -32,7 +33,7 @@ from tokenizers import Tokenizer
 from treadle.llm.batches import id_and_text
 from treadle.session import run_folder
 
-#: Words a worker remembers before it starts anew; with the slices, what bounds its memory.
+#: Words after which a worker starts a new generation; it remembers two, which with the slices bounds its memory.
 CACHE_ENTRIES = 150_000
 #: Forms encoded in one call; bytes of texts whose words are numbered together.
 CALL, SLICE_BYTES = 1000, 1 << 21
@@ -66,7 +67,8 @@ def listed(strings: pa.Array) -> list[str]:
 class WordEncoder:
     """Ids of whole texts from a tokenizer that never looks across blanks or line feeds.
 
-    Words are encoded once and remembered.  A word of letters is one unit of the tokenizer whatever
+    Words are encoded once and remembered: those that occur go over into a new generation, so frequent
+    words stay however many others come by.  A word of letters is one unit of the tokenizer whatever
     marks follow it, so many such words go through its merges in one call, without its normaliser.
     Texts that hold a special token's string are encoded whole.
     """
@@ -83,12 +85,13 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {"": b""}
+        self.forget()
 
     def _encode_forms(self, forms: list[str]) -> None:
         """Lower-case words of letters: joined by blanks, and the ids cut behind each word's end."""
         calls = [forms[k:k + CALL] for k in range(0, len(forms), CALL)]
-        joined = [" ".join(c).encode().decode("latin-1").translate(self.letters) for c in calls]
+        joined = [" ".join(c) for c in calls]
+        joined = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in joined]  # ASCII stands for itself
         for words, got in zip(calls, self.merges.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(got.ids, dtype="<u4")
             raw, at = ids.tobytes(), 0
@@ -99,6 +102,12 @@ class WordEncoder:
                 self.known[word] = raw[at:stop]
                 at = stop
 
+    def _recalled(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that neither generation has; those the older one has go over."""
+        held = words & self.older.keys()
+        self.known.update(zip(held, map(self.older.__getitem__, held)))
+        return words - held
+
     def _learn(self, words: list[str]) -> None:
         """Encode words not known yet; a word's marks are encoded apart, as the tokenizer does."""
         known = self.known
@@ -106,13 +115,13 @@ class WordEncoder:
         plain = pc.match_substring_regex(array, LETTERS_AND_MARKS)
         lettered = array.filter(plain)
         given, forms = listed(lettered), listed(pc.utf8_lower(pc.ascii_rtrim(lettered, MARKS)))
-        self._encode_forms(list(set(forms).difference(known)))
+        self._encode_forms(list(self._recalled(set(forms).difference(known))))
         differ = [(c, f) for c, f in zip(given, forms) if c != f]
         whole = {c[len(f):] for c, f in differ}.difference(known)
         whole.update(listed(array.filter(pc.invert(plain))))
         rest = list(whole)
         for c, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[c] = np.array(got.ids, dtype="<u4").tobytes()
+            known[c] = struct.pack(f"<{len(got)}I", *got.ids)
         for c, f in differ:
             known[c] = known[f] + known[c[len(f):]]
 
@@ -122,15 +131,15 @@ class WordEncoder:
         Arrow splits the texts and numbers the distinct words; only those are looked up one by one.
         """
         if len(self.known) > CACHE_ENTRIES:
-            self.known = {"": b""}
+            self.known, self.older = {"": b""}, self.known
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
         names = listed(words.dictionary)
         found = list(map(self.known.get, names))
-        new = [w for w, ids in zip(names, found) if ids is None]
+        new = self._recalled({w for w, ids in zip(names, found) if ids is None})
         if new:
-            self._learn(new)
-            found = list(map(self.known.__getitem__, names))
+            self._learn(list(new))
+        found = [self.known[w] if ids is None else ids for w, ids in zip(names, found)]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         stock, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         order = words.indices.to_numpy()
@@ -142,7 +151,8 @@ class WordEncoder:
 
     def forget(self) -> None:
         """Give memory back: the worker may go on with other work."""
-        self.known = {"": b""}
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         pa.default_memory_pool().release_unused()
 
     def encode_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
