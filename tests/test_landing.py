@@ -83,6 +83,25 @@ def test_increments_touch_their_months_only(spark, source, rows, tmp_path):
     assert all(again.last(n).months == [] for n in PLANS) and again.touched("head", 2) == []
 
 
+def test_a_first_batch_is_staged_without_a_copy(spark, source, rows, tmp_path, monkeypatch):
+    """Its rows are looked at once, so they are filed as they are read; a later batch looks at them again."""
+    landing, given = Landing(spark, str(tmp_path), PLANS), {}
+    staged = landing._stage
+
+    def stage(name, *rest):
+        entry = staged(name, *rest)
+        given[name, entry.seq] = (tmp_path / "_staged" / name / f"{entry.seq:08d}" / "read").exists()
+        return entry
+
+    monkeypatch.setattr(landing, "_stage", stage)
+    landing.land(source, "b1")
+    matches(landing, source, rows)
+    assert given == {("head", 1): False, ("line", 1): False, ("plain", 1): False} and sorted(source.reads) == ["head", "line", "plain"]
+    landing.land(source, "b2")
+    matches(landing, source, rows)
+    assert given["head", 2] and given["line", 2]
+
+
 def test_tables_without_a_key_are_compared_by_month(spark, source, rows, tmp_path):
     landing = Landing(spark, str(tmp_path), PLANS)
     landing.land(source, "b1")

@@ -293,6 +293,25 @@ def test_surrogates_and_unknown_member(frame, rows):
     assert rows(got, "CustomerKey") == [(-1,), (-1,), (-1,), (77,)]
 
 
+def test_a_single_key_is_looked_up_in_one_shuffle(frame, rows):
+    day, later = D(2012, 1, 1), D(2012, 6, 1)
+    fact = frame([(day, 1, "a"), (day, 1, "a"), (later, 1, "b"), (day, None, "c"), (None, 1, "d"), (D(1990, 1, 1), 1, "e"), (day, 9, "f")],
+                 "day date, ProductKey int, v string")
+    dim = frame([(77, 1, D(2011, 1, 1), D(2012, 3, 1)), (78, 1, D(2012, 3, 1), None)], "sk bigint, ProductID int, ValidFromDate date, ValidToDate date")
+    got = facts.with_surrogates(fact, "day", {"ProductKey": facts.Link(dim, "ProductID", "sk")}, D(2010, 1, 1), D(2013, 1, 1))
+    assert got.columns == fact.columns and sorted((r.v, r.ProductKey) for r in got.collect()) == [
+        ("a", 77), ("a", 77), ("b", 78), ("c", -1), ("d", -1), ("e", -1), ("f", -1)]
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stores_are_put_on_orders_before_their_lines(source):
+    """Customers meet the orders; the lines, which are many more, are not dealt out for them."""
+    plan = facts.sales_lines_from_source(source)._jdf.queryExecution().analyzed().toString()
+    joins = [line.strip(" :+-") for line in plan.splitlines() if "Join" in line]
+    assert [j.split(",")[0] for j in joins] == ["Join Inner", "Join LeftOuter", "Join LeftOuter"], joins
+    assert "order_id" in joins[0]
+
+
 def test_marts_keep_the_fact_totals(source):
     fact = facts.fact_sales(facts.sales_lines_from_source(source))
     total = fact.agg(F.sum("SalesRevenue")).collect()[0][0]

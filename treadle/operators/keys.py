@@ -20,6 +20,15 @@ from treadle.session import run_folder
 COMPACT_AFTER = 60
 
 
+#: Where a stored row was written: its partition, and its place in that.
+PART, PLACE = "_part", "_at"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with their places, to be written at once: a place counts only as it was stored."""
+    return df.withColumn(PART, F.spark_partition_id()).withColumn(PLACE, F.monotonically_increasing_id())
+
+
 class KeyMap:
     """The keys of one dimension; one writer at a time."""
 
@@ -34,7 +43,7 @@ class KeyMap:
         by = list(by)
         wanted = versions.select(*by).distinct()
         folder = run_folder(self.spark, "versions")
-        wanted.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+        numbered(wanted).write.parquet(folder)
         wanted = self.spark.read.parquet(folder)
         if not self.table.exists():
             return self._hand_out(wanted, by, key)
@@ -44,24 +53,61 @@ class KeyMap:
 
     def _hand_out(self, new: DataFrame, by: list[str], key: str) -> DataFrame:
         folder = run_folder(self.spark, "new-versions")
-        new.select(*by).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
-        stored, last, starts = self.spark.read.parquet(folder), self._last(), []
-        # one row per partition of the write
-        for r in stored.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first")).orderBy("_part").collect():
-            starts.append((r["_part"], last + 1 - r["first"]))
-            last += r.n
-        if not starts:
+        numbered(new.select(*by)).write.parquet(folder)
+        stored = self.spark.read.parquet(folder)
+        starts, last = self._starts(_counted(stored))
+        if starts is None:
             return stored.select(*by, F.lit(0).cast("bigint").alias(key))
-        starts = F.broadcast(self.spark.createDataFrame(starts, "_part int, _start long"))
-        keyed = stored.join(starts, "_part").select(*by, (F.col("_at") + F.col("_start")).alias(key))
+        keyed = stored.join(starts, PART).select(*by, (F.col(PLACE) + F.col("_start")).alias(key))
+        self._add(keyed, by, last)
+        return keyed
+
+    def first_keys(self, stored: DataFrame, by: Sequence[str], key: str) -> DataFrame | None:
+        """Stored :func:`numbered` versions with the first keys of an empty map, by their places alone.
+
+        None if that can't be: there are keys already, or rows that share a version, or lack part of it.
+        """
+        if self.table.exists() or not stored.filter(F.col(key).isNotNull()).isEmpty():
+            return None
+        odd = F.col("_n") > 1
+        for c in by:
+            odd = odd | F.col(c).isNull()
+        if not stored.groupBy(*by).agg(F.count("*").alias("_n")).filter(odd).isEmpty():
+            return None
+        starts, last = self._starts(_counted(stored))
+        if starts is None:
+            return None
+        keyed = stored.join(starts, PART).select(*[
+            (F.col(PLACE) + F.col("_start")).alias(c) if c == key else F.col(c) for c in stored.columns if c not in (PART, PLACE)])
+        self._add(keyed.select(*by, key), list(by), last)
+        return keyed
+
+    def _starts(self, counted: list) -> tuple[DataFrame | None, int]:
+        """What is added to the places of each partition, and the last key handed out."""
+        last, starts = self._last(), []
+        for r in counted:
+            starts.append((r[PART], last + 1 - r["first"]))
+            last += r.n
+        return (F.broadcast(self.spark.createDataFrame(starts, f"{PART} int, _start long")) if starts else None), last
+
+    def _add(self, keyed: DataFrame, by: list[str], last: int) -> None:
         self.table.append(keyed, uuid.uuid4().hex, last=last)
         if len(self.table.notes()) > COMPACT_AFTER:
             self.table.compact(by)
-        return keyed
+
+
+def _counted(stored: DataFrame) -> list:
+    """One row per partition of the write: its rows and the place of the first."""
+    return stored.groupBy(PART).agg(F.count("*").alias("n"), F.min(PLACE).alias("first")).orderBy(PART).collect()
 
 
 def with_keys(spark: SparkSession, root: str, versions: DataFrame, by: Sequence[str], key: str) -> DataFrame:
-    """Stored ``versions`` with the keys that are NULL filled in."""
+    """Stored ``versions`` with the keys that are NULL filled in; those stored as :func:`numbered` lose their places."""
+    if PART in versions.columns:
+        keyed = KeyMap(spark, root).first_keys(versions, by, key)
+        if keyed is not None:
+            return keyed
+        versions = versions.drop(PART, PLACE)
     open_ = versions.filter(F.col(key).isNull())
     if open_.isEmpty():
         return versions

@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from treadle.operators import checks, history, sinks
-from treadle.operators.keys import with_keys
+from treadle.operators.keys import numbered, with_keys
 from treadle.operators.lookup import or_unknown
 from treadle.plans import dims, facts, marts, staging
 from treadle.plans.constraints import declared_rules
@@ -351,6 +351,12 @@ class DailyRun:
             table.write(dims.load_dimension(spec, current, staged, self.as_of, opening))
             table.prune()
 
+    def kept(self, df: DataFrame, label: str) -> DataFrame:
+        """Rows that several jobs read, written once."""
+        folder = run_folder(self.spark, label)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def load_versions(self, spec: dims.DimensionSpec, table: sinks.HistoryTable, staged: DataFrame,
                       full: Mapping[str, DataFrame], opening: dt.date) -> None:
         """A versioned dimension after the day: open rows merged, states of the past cut into its history."""
@@ -360,11 +366,12 @@ class DailyRun:
         states, ahead, whole = None, None, set()
         if spec.name == "DimProduct" and all(n in full for n in PRICES):
             # a first load opens with the prices of its opening day; those since then are cut in
-            staged, states = dims.priced(staged, dims.price_states(full), opening if current is None else self.as_of, self.as_of)
+            staged, states = dims.priced(staged, dims.price_states(full), opening if current is None else self.as_of, self.as_of,
+                                         lambda df: self.kept(df, "prices"))
         if current is not None:  # keys whose open version starts after this day: the day lies in their past
             keys = current.filter(F.col("ValidFromDate") > F.lit(self.as_of)).select(*key)
             if not keys.isEmpty():
-                ahead = dims.conform(staged, spec).join(keys, key, "left_semi").withColumn("_day", F.lit(self.as_of))
+                ahead = self.kept(dims.conform(staged, spec).join(keys, key, "left_semi").withColumn("_day", F.lit(self.as_of)), "ahead")
             if states is not None:
                 current, whole = self.cut_in(spec, table, current, states, "day", whole)
         merged = dims.load_dimension(spec, current, staged, self.as_of, opening, history.key_later)
@@ -373,9 +380,7 @@ class DailyRun:
         if ahead is not None:
             merged, whole = self.cut_in(spec, table, merged, ahead, "_day", whole)
         # keys are handed out once for the stored rows
-        folder = run_folder(self.spark, spec.name)
-        merged.write.parquet(folder)
-        stored = self.spark.read.parquet(folder)
+        stored = self.kept(numbered(merged), spec.name)
         keyed = with_keys(self.spark, self.path(f"_keys/{spec.name}"), stored, [*key, "ValidFromDate"], spec.surrogate)
         if spec.name == "DimEmployee":
             keyed = dims.with_manager_keys(keyed, staged.select("EmployeeID", "ManagerID"))
@@ -387,7 +392,7 @@ class DailyRun:
     def cut_in(self, spec: dims.DimensionSpec, table: sinks.HistoryTable, merged: DataFrame, late: DataFrame, day: str,
                whole: set[int]) -> tuple[DataFrame, set[int]]:
         """``merged`` with observations of the past, and the buckets of closed rows it now holds whole."""
-        key = [spec.natural]
+        key, merged = [spec.natural], self.kept(merged, "merged")
         others = [b for b in range(table.buckets) if b not in whole]
         closed = table.read_closed(others) if table.exists() else None
         versions = merged if closed is None else merged.unionByName(closed)

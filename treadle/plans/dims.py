@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -400,16 +400,18 @@ def product_history(t: Tables) -> DataFrame:
     return history.versions(price_states(t), ["ProductID"], "day", ["ListPrice", "Cost"])
 
 
-def priced(staged: DataFrame, states: DataFrame, day: dt.date, until: dt.date) -> tuple[DataFrame, DataFrame]:
+def priced(staged: DataFrame, states: DataFrame, day: dt.date, until: dt.date,
+           keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Products with price and cost of a day, and the states of all days until another.
 
-    What a history does not say is as the product has it.
+    What a history does not say is as the product has it.  ``keep`` stores the states, which are read several times.
     """
     known = states.filter(F.col("day") <= F.lit(until))
     own = staged.select(F.col("ProductID").alias("_id"), F.col("ListPrice").alias("_price"), F.col("Cost").alias("_cost"))
     full = known.join(own, F.col("ProductID") == F.col("_id")).select(
         "ProductID", "day", F.coalesce(F.col("ListPrice").cast("decimal(18,2)"), "_price").alias("ListPrice"),
         F.coalesce(F.col("Cost").cast("decimal(18,2)"), "_cost").alias("Cost"))
+    full = keep(full)
     last = full.filter(F.col("day") <= F.lit(day)).groupBy("ProductID").agg(F.max_by(F.struct("ListPrice", "Cost"), "day").alias("_last"))
     return staged.join(last, "ProductID", "left").select(*[
         F.coalesce(F.col(f"_last.{c}"), F.col(c)).alias(c) if c in ("ListPrice", "Cost") else F.col(c) for c in staged.columns]), full

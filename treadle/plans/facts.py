@@ -52,7 +52,8 @@ def sales_lines_from_source(t: Tables) -> DataFrame:
         F.col("salespersonid").alias("employee_id"), F.col("territoryid").alias("territory_id"))
     stores = t["sales.customer"].select(F.col("customerid").alias("customer_id"),
                                         F.col("storeid").alias("store_id"))
-    return detail.join(header, "order_id").join(stores, "customer_id", "left")
+    # the store is put on the orders, which are fewer than the lines
+    return detail.join(header.join(stores, "customer_id", "left"), "order_id")
 
 
 def purchase_lines_from_source(t: Tables) -> DataFrame:
@@ -329,7 +330,8 @@ def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since
     carries the other columns, these meet the versions of all dimensions in one point-in-time join, and
     are folded back to one row.  So a fact is shuffled twice, whatever the number of its keys.  Rows are
     told apart by two hashes of all their columns, which a repeated task gives again; equal rows fold
-    into one with a count and come out as often as they went in.
+    into one with a count and come out as often as they went in.  A single key is looked up by the rows
+    themselves, in one shuffle.
     """
     if not links:
         return fact
@@ -337,6 +339,12 @@ def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since
     types = dict(fact.dtypes)
     naturals = [types[c] for c in links] + [dict(v.dimension.dtypes)[v.natural] for v in links.values()]
     kind = "bigint" if all(t in _WHOLE for t in naturals) else "string"
+    if len(links) == 1:
+        [column] = links
+        rows = fact.select(*[F.col(f"`{c}`").cast(kind).alias("_k") if c == column else F.col(f"`{c}`") for c in columns])
+        found = asof_lookup(rows, _dimension_keys(links, kind), {"_k": "_nk"}, date, {"_sk": "_sk"},
+                            since=since, until=until)
+        return found.select(*[or_unknown(F.col("_sk")).alias(c) if c == column else F.col(f"`{c}`") for c in columns])
     marked = fact.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)],
                          F.col(date).cast("date").alias("_day"),
                          *[F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(seed)).alias(f"_id{seed}") for seed in (1, 2)])

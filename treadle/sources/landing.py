@@ -190,8 +190,9 @@ class Landing:
         if grown and last.mark is not None:
             rows = rows.filter((F.col(plan.mark) >= F.lit(last.mark).cast(rows.schema[plan.mark].dataType)) | F.col(plan.mark).isNull())
         sinks.drop_folder(self.spark, folder)  # of a run that stopped before its commit
-        rows.write.parquet(f"{folder}/read")
-        rows = self.spark.read.schema(T.StructType.fromDDL(columns)).parquet(f"{folder}/read")
+        if last is not None and (grown or plan.parent):  # rows that are looked at more than once
+            rows.write.parquet(f"{folder}/read")
+            rows = self.spark.read.schema(T.StructType.fromDDL(columns)).parquet(f"{folder}/read")
         if grown:  # rows at the mark come again; those that have not changed touch nothing
             rows = _meets(rows, self.filed(name), own, "left_anti", equal=True)
         rows = rows.withColumn(FRESH, F.lit(True))
@@ -210,11 +211,11 @@ class Landing:
         plan = self.plans[name]
         if plan.parent:
             table, key = plan.parent
-            # only the parents of these rows are looked at, each once
             parents = self._rows_after(table, staged).select(F.col(key).alias("_key"), F.col(MONTH).alias("_month"))
-            wanted = rows.select(F.col(key).alias("_wanted")).distinct()
-            parents = parents.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi").groupBy("_key").agg(
-                F.max("_month").alias("_month"))
+            if self.last(name) is not None:  # only the parents of these rows are looked at; a first batch has all
+                wanted = rows.select(F.col(key).alias("_wanted")).distinct()
+                parents = parents.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi")
+            parents = parents.groupBy("_key").agg(F.max("_month").alias("_month"))  # each once
             return rows.join(parents, F.col(key) == F.col("_key"), "left").withColumn(
                 MONTH, F.coalesce("_month", F.lit(UNDATED))).drop("_key", "_month")
         if plan.date:
