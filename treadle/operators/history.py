@@ -211,8 +211,9 @@ def splice(rows: DataFrame, late: DataFrame, key: Sequence[str], tracked: Sequen
     tests = [(F.col(f"_seen.{c}"), F.lag(f"_seen.{c}").over(before)) if c in seen else
              (F.col(f"_rest.{c}"), F.lag(f"_rest.{c}").over(before)) for c in tracked if c in attributes]
     told = told.withColumn("_first", F.row_number().over(before) == 1).withColumn("_changed", differs(tests))
-    # where the version in force had ended before the day, an observation starts a new one
-    told = told.withColumn("_gap", F.last(F.when(F.col("_held"), F.col("_to")), True).over(past) <= F.col("_day"))
+    # where the version in force had ended before the day, the first observation since starts a new one
+    ended = F.last(F.when(F.col("_held"), F.col("_to")), True).over(past)
+    told = told.withColumn("_gap", (ended <= F.col("_day")) & (F.lag("_day").over(before) < ended))
     cut = told.filter(F.coalesce("_held", F.lit(False)) | F.col("_first") | F.col("_changed") | F.coalesce("_gap", F.lit(False)))
     limit = F.last(F.when(F.col("_held"), F.col("_to")), True).over(past)
     limit = F.when(limit > F.col("_day"), limit).otherwise(end)
