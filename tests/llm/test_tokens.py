@@ -1,6 +1,7 @@
 """Operators 4, 9 and 10 against the tokenizers' own libraries."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -87,6 +88,43 @@ def test_frequent_words_are_encoded_once(monkeypatch):
     assert learned.count("Frequent,") == 1
 
 
+def test_words_are_no_python_objects():
+    """What a word costs beyond its merges: words are remembered and looked up in Arrow arrays."""
+    own, whole = packing.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    words = ["".join(chr(97 + k // 26 ** p % 26) for p in range(4)) for k in range(20_000)]
+    text = " ".join(words)
+    next(own.encode_texts(pa.array(["first"])))
+    before = sys.getallocatedblocks()
+    ids = next(own.encode_texts(pa.array([text])))
+    assert sys.getallocatedblocks() - before < 1000
+    assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(own.known) >= 20_000
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    """Besides the words at hand at most CACHE_ENTRIES, the latest of them."""
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 20)
+    own, whole = packing.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    for k in range(40):
+        text = " ".join(f"{c}{chr(97 + k % 13)}x{'.' * (k % 3)}" for c in "bcdfghjk")
+        assert next(own.encode_texts(pa.array([text]))).tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(own.known) <= 8 + 9 + 1 and len(own.older) <= 20
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_whose_lower_case_has_other_bytes(kind):
+    """Lower case may take more or fewer bytes or leave the range; marks may stand alone or in front."""
+    own, whole = packing.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    given = ["Ⱥ, Ⱥ Ⱥb. ⱥ, ⱦ Ⱦ! K, İ. İa ı, ẞ ß. Ǆ, ǅ ǆ.", "É, é É. É é! ... , . a.b a. .a A.", "", "  ", "\n", "ſ, ſt ŉ, ŉ", "1, a1. a1",
+             "日本 日本, a日, Ωa Ω, ω", "e\u0301, E\u0301. \u0301"]
+    for _ in range(2):
+        for t, ids in zip(given, own.encode_texts(pa.array(given, kind))):
+            assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+        for t in given:
+            assert next(own.encode_texts(pa.array([t], kind))).tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+    assert list(own.encode_texts(pa.array([], kind))) == []
+
+
 def test_slices_are_bounded_by_bytes():
     given = [None, "", "a" * 10, "b" * 5, "c" * 100, "é" * 4, None, "d"]
     batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(given, pa.string())], names=["id", "text"])

@@ -14,7 +14,6 @@ rows are packed as often as they occur; an empty table gives no pieces; null ids
 from __future__ import annotations
 
 import json
-import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -33,12 +32,14 @@ from tokenizers import Tokenizer
 from treadle.llm.batches import id_and_text
 from treadle.session import run_folder
 
-#: Words after which a worker starts a new generation; it remembers two, which with the slices bounds its memory.
+#: Words a worker remembers besides those of the slice at hand, which with the slices bounds its memory.
 CACHE_ENTRIES = 150_000
 #: Forms encoded in one call; bytes of texts whose words are numbered together.
-CALL, SLICE_BYTES = 1000, 1 << 21
+CALL, SLICE_BYTES = 1000, 1 << 22
 #: Latin letters whose lower case is one letter, and the marks that may follow a word.
-LETTERS_AND_MARKS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[!-/:-@\[-`{-~]*$"
+LATIN = [("A", "Z"), ("a", "z"), ("À", "Ö"), ("Ø", "ö"), ("ø", "į"), ("ı", "ɏ")]
+LETTERS = "".join(chr(c) for first, last in LATIN for c in range(ord(first), ord(last) + 1))
+ONLY_LETTERS = f"^[{''.join(f'{first}-{last}' for first, last in LATIN)}]+$"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
@@ -64,12 +65,51 @@ def listed(strings: pa.Array) -> list[str]:
     return strings.to_numpy(zero_copy_only=False).tolist()
 
 
+def of_letters(words: pa.Array) -> pa.Array:
+    """Which words are Latin letters alone."""
+    other = pc.invert(pc.string_is_ascii(words))
+    return pc.replace_with_mask(pc.ascii_is_alpha(words), other, pc.match_substring_regex(words.filter(other), ONLY_LETTERS))
+
+
+def places(mask: pa.Array) -> np.ndarray:
+    return np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+
+
+class Words:
+    """Words and the ids of each, little-endian 32-bit."""
+
+    def __init__(self, words: pa.Array | None = None, ids: pa.Array | None = None):
+        self.words = pa.array([], pa.large_string()) if words is None else words
+        self.ids = pa.array([], pa.large_binary()) if ids is None else ids
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __add__(self, more: Words) -> Words:
+        return Words(pa.concat_arrays([self.words, more.words]), pa.concat_arrays([self.ids, more.ids]))
+
+
+def values(ends: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Binary values of the ids up to each end."""
+    offsets = np.append(0, ends).astype(np.int64) * 4
+    data = pa.py_buffer(ids.astype("<u4", copy=False))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), data])
+
+
+def opened(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the ids of each of these values begin and the last one's end, and all ids; not for a slice."""
+    data = array.buffers()[2]
+    ends = np.append(0, np.cumsum(pc.binary_length(array).to_numpy().astype(np.int64) // 4))
+    return ends, np.frombuffer(data, "<u4", ends[-1]) if ends[-1] else np.zeros(0, "<u4")
+
+
 class WordEncoder:
     """Ids of whole texts from a tokenizer that never looks across blanks or line feeds.
 
-    Words are encoded once and remembered: those that occur go over into a new generation, so frequent
-    words stay however many others come by.  A word of letters is one unit of the tokenizer whatever
-    marks follow it, so many such words go through its merges in one call, without its normaliser.
+    Words are encoded once and remembered, in Arrow arrays that are looked up and put together as a
+    whole: those that occur go over into the new generation, so frequent words stay however many others
+    come by.  A word of letters is one unit of the tokenizer whatever marks follow it, so many such
+    words go through its merges in one call, without its normaliser.
     Texts that hold a special token's string are encoded whole.
     """
 
@@ -87,72 +127,88 @@ class WordEncoder:
         self.letters = byte_letters()
         self.forget()
 
-    def _encode_forms(self, forms: list[str]) -> None:
+    def _encode_forms(self, forms: pa.Array, ascii_only: bool) -> pa.Array:
         """Lower-case words of letters: joined by blanks, and the ids cut behind each word's end."""
-        calls = [forms[k:k + CALL] for k in range(0, len(forms), CALL)]
-        joined = [" ".join(c) for c in calls]
-        joined = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in joined]  # ASCII stands for itself
-        for words, got in zip(calls, self.merges.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(got.ids, dtype="<u4")
-            raw, at = ids.tobytes(), 0
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(stops) != len(words):
-                raise ValueError("the tokenizer does not end each word once")
-            for word, stop in zip(words, stops):
-                self.known[word] = raw[at:stop]
-                at = stop
-
-    def _recalled(self, words: set[str]) -> set[str]:
-        """Those of ``words`` that neither generation has; those the older one has go over."""
-        held = words & self.older.keys()
-        self.known.update(zip(held, map(self.older.__getitem__, held)))
-        return words - held
+        joined = [" ".join(listed(forms[k:k + CALL])) for k in range(0, len(forms), CALL)]
+        if not ascii_only:  # ASCII stands for itself
+            joined = [t.encode().decode("latin-1").translate(self.letters) for t in joined]
+        got = self.merges.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, "<u4"), *(np.array(g.ids, "<u4") for g in got)])
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(forms):
+            raise ValueError("the tokenizer does not end each word once")
+        return values(stops, ids)
+
+    def _encode_words(self, words: pa.Array) -> pa.Array:
+        """Ids of lower-case words of letters, and of any others that the tokenizer has to split."""
+        plain, ascii_only = of_letters(words), pc.string_is_ascii(words)
+        masks = [pc.and_(plain, ascii_only), pc.and_not(plain, ascii_only), pc.invert(plain)]
+        rest = [g.ids for g in self.tokenizer.encode_batch_fast(listed(words.filter(masks[2])), add_special_tokens=False)]
+        parts = [self._encode_forms(words.filter(masks[0]), True), self._encode_forms(words.filter(masks[1]), False),
+                 values(np.cumsum([len(ids) for ids in rest]), np.array([i for ids in rest for i in ids], "<u4"))]
+        order = np.concatenate([places(m) for m in masks])
+        return pa.concat_arrays(parts).take(pa.array(np.argsort(order)))
+
+    def _recalled(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Which of ``words`` either generation has, and the ids of these; they are the new generation."""
+        held = self.known + self.older
+        at = pc.index_in(words, value_set=held.words)
+        found, place = at.is_valid(), at.drop_null()
+        left = np.ones(len(held), bool)
+        left[place.to_numpy()] = False
+        left = pa.array(np.flatnonzero(left)[:CACHE_ENTRIES])
+        self.known = Words(words.filter(found), held.ids.take(place))
+        self.older = Words(held.words.take(left), held.ids.take(left))
+        return found, self.known.ids
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words not known yet; a word's marks are encoded apart, as the tokenizer does."""
-        known = self.known
-        array = pa.array(words, pa.string())
-        plain = pc.match_substring_regex(array, LETTERS_AND_MARKS)
-        lettered = array.filter(plain)
-        given, forms = listed(lettered), listed(pc.utf8_lower(pc.ascii_rtrim(lettered, MARKS)))
-        self._encode_forms(list(self._recalled(set(forms).difference(known))))
-        differ = [(c, f) for c, f in zip(given, forms) if c != f]
-        whole = {c[len(f):] for c, f in differ}.difference(known)
-        whole.update(listed(array.filter(pc.invert(plain))))
-        rest = list(whole)
-        for c, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[c] = struct.pack(f"<{len(got)}I", *got.ids)
-        for c, f in differ:
-            known[c] = known[f] + known[c[len(f):]]
+        """Put words not known yet first in the new generation; a word's marks are encoded apart, as the tokenizer does."""
+        array, n = pa.array(words, pa.large_string()), len(words)
+        bare = pc.ascii_rtrim(array, MARKS)
+        plain = of_letters(bare)
+        marked = pc.and_(plain, pc.not_equal(pc.binary_length(bare), pc.binary_length(array)))
+        heads = pc.if_else(plain, pc.utf8_lower(bare), array)
+        tails = pc.utf8_ltrim(array.filter(marked), LETTERS)
+        # the words themselves come first, then the heads and tails that are none of them
+        keys = pa.concat_arrays([array, heads, tails, pa.array([""], pa.large_string())]).dictionary_encode()
+        codes, parts = keys.indices.to_numpy(), keys.dictionary[n:]
+        found, ids = self._recalled(parts)
+        whole, missing = pc.equal(heads, array), pc.invert(found)
+        new = self._encode_words(pa.concat_arrays([array.filter(whole), parts.filter(missing)]))
+        stock, own = pa.concat_arrays([new, ids]), places(whole)
+        place = np.zeros(len(keys.dictionary), np.int64)
+        place[np.concatenate([own, n + places(missing), n + places(found)])] = np.arange(len(stock))
+        pairs = np.full((n, 2), codes[-1])
+        pairs[:, 0] = codes[n:2 * n]
+        pairs[places(marked), 1] = codes[2 * n:-1]
+        ends, both = opened(stock.take(pa.array(place[pairs.ravel()])))
+        learned = Words(array, values(ends[2::2], both))
+        self.known = learned + Words(parts.filter(missing), new[len(own):]) + self.known
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and where each text's begin and the last one's end.
 
-        Arrow splits the texts and numbers the distinct words; only those are looked up one by one.
+        Arrow splits the texts and numbers the distinct words; only those are looked up.
         """
-        if len(self.known) > CACHE_ENTRIES:
-            self.known, self.older = {"": b""}, self.known
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        names = listed(words.dictionary)
-        found = list(map(self.known.get, names))
-        new = self._recalled({w for w, ids in zip(names, found) if ids is None})
-        if new:
-            self._learn(list(new))
-        found = [self.known[w] if ids is None else ids for w, ids in zip(names, found)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        stock, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
-        order = words.indices.to_numpy()
-        size = sizes[order]
+        names = words.dictionary.cast(pa.large_string())
+        found, ids = self._recalled(names)
+        new = names.filter(pc.invert(found))
+        if len(new):
+            self._learn(listed(new))
+            ids = pa.concat_arrays([ids, self.known.ids[:len(new)]])
+        place = np.argsort(np.concatenate([places(found), places(pc.invert(found))]))
+        (ends, stock), order = opened(ids), place[words.indices.to_numpy()]
+        size = np.diff(ends)[order]
         place = np.append(0, np.cumsum(size))
-        ids = stock[np.repeat(begin[order] - place[:-1], size) + np.arange(place[-1])]
+        ids = stock[np.repeat(ends[:-1][order] - place[:-1], size) + np.arange(place[-1])]
         offsets = lists.offsets.to_numpy()
         return ids, place[offsets - offsets[0]]
 
     def forget(self) -> None:
         """Give memory back: the worker may go on with other work."""
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.known, self.older = Words(), Words()
         pa.default_memory_pool().release_unused()
 
     def encode_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
