@@ -33,9 +33,9 @@ from treadle.llm.batches import id_and_text
 from treadle.session import run_folder
 
 #: Words a worker remembers besides those of the slice at hand, which with the slices bounds its memory.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 #: Forms encoded in one call; bytes of texts whose words are numbered together.
-CALL, SLICE_BYTES = 1000, 1 << 22
+CALL, SLICE_BYTES = 1000, 1 << 21
 #: Latin letters whose lower case is one letter, and the marks that may follow a word.
 LATIN = [("A", "Z"), ("a", "z"), ("À", "Ö"), ("Ø", "ö"), ("ø", "į"), ("ı", "ɏ")]
 LETTERS = "".join(chr(c) for first, last in LATIN for c in range(ord(first), ord(last) + 1))
