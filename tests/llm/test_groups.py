@@ -6,7 +6,9 @@ import hashlib
 import io
 import json
 import math
+import os
 import random
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -264,3 +266,33 @@ def test_rows_without_shingles_stay_beside_repeated_rows(spark, documents, rows)
     assert jaccard.one_of_each(spark, documents(texts, ids)).count() == 7
     got = jaccard.one_of_each(spark, documents(texts + ["x y", "x y"], ids + [1, 1]))
     assert rows(got, "doc_id") == [(1,), (4,), (4,), (5,), (None,), (None,), (None,), (None,)]
+
+
+def test_the_index_of_a_large_table_follows_its_measured_chance(spark, documents, monkeypatch):
+    """It went by the number of documents alone: four times the entries per text from some 1.5 million on."""
+    own = random.Random(21)
+    texts = [" ".join(str(own.randrange(10 ** 6)) for _ in range(60)) for _ in range(300)]
+    docs = documents(texts + [t + " end" for t in texts[:40]] + [None, ""])
+    size = lambda alike: sum(len(jaccard.entries(s, jaccard.windows_of(len(s), 80, 100, alike))[0])
+                             for s in (jaccard.shingles(t, 5) for t in texts))
+    assert size(10 ** 7) > 3 * size(10 ** 5)
+    monkeypatch.setattr(jaccard, "SAMPLE", 50)
+    chance = jaccard.measured_chance(docs, 342, 5, 80, 100, "doc_id", "text")
+    assert size(max(1, round(10 ** 7 * chance / jaccard.CHANCE))) == size(10 ** 5)
+    monkeypatch.setattr(jaccard, "SAMPLE", 10 ** 6)  # all of them; the likes are no chance
+    assert jaccard.measured_chance(docs, 342, 5, 80, 100, "doc_id", "text") < jaccard.CHANCE / 100
+    common = documents([f"{w} {' '.join(texts[k].split()[:4])}" for k, w in enumerate("abcdefghij" * 10)])
+    assert jaccard.measured_chance(common, 100, 1, 80, 100, "doc_id", "text") == jaccard.CHANCE  # words of all texts
+    assert jaccard.measured_chance(documents([]), 1, 5, 80, 100, "doc_id", "text") == jaccard.CHANCE
+    monkeypatch.setattr(jaccard, "SAMPLE", 50)
+    got = {r.id: r.component_id for r in jaccard.similar_documents(spark, docs).collect()}
+    ids = [r.doc_id for r in docs.collect()]
+    assert [got[i] for i in ids[300:340]] == ids[:40] and len(set(got.values())) == 302
+
+
+def test_the_index_is_gone_when_its_entries_are_compared(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(jaccard, "run_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    texts = [f"{k % 7} b c d e f {k % 3} g h" for k in range(40)]
+    assert jaccard.similar_documents(spark, documents(texts), part=50).count() == 40
+    left = [n for n in os.listdir(tmp_path) if not n.startswith((".", "_"))]
+    assert not [n for n in left if n.startswith(("index-entries", "entries"))], left

@@ -1,3 +1,5 @@
+import time
+
 from treadle import session
 
 SHUFFLES = "spark.sql.shuffle.partitions"
@@ -32,3 +34,20 @@ def test_broadcasts_are_bounded(spark):
             assert spark.conf.get(session.BROADCAST) == bound
     finally:
         spark.conf.set(session.BROADCAST, before)
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    """They stayed until the driver happened to collect its garbage, so a run of many jobs kept them all."""
+    assert session.tune(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {b for b in (str(x) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(tracker.getAllBlocks()))
+                    if b.startswith("shuffle_")}
+    before = held()
+    df = spark.range(1000).selectExpr("id % 10 k").groupBy("k").count()
+    df.write.parquet(f"{tmp_path}/t")
+    for _ in range(100):  # the files go a moment after the job
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before
+    assert df.collect() == df.collect() and df.count() == 10  # a frame can be run again

@@ -11,13 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from treadle.operators.sinks import drop_folder
 from treadle.session import run_folder
 
 
-def _stored(spark: SparkSession, links: DataFrame) -> DataFrame:
+def _stored(spark: SparkSession, links: DataFrame, before: str | None = None) -> tuple[DataFrame, str]:
+    """Stored links and their folder; that of the round before goes."""
     folder = run_folder(spark, "links")
     links.write.parquet(folder)
-    return spark.read.parquet(folder)
+    if before:
+        drop_folder(spark, before)
+    return spark.read.parquet(folder), folder
 
 
 def _sum(links: DataFrame) -> tuple:
@@ -42,9 +46,9 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the least node reachable) of every node but the roots; links: a, b long."""
-    now = _stored(spark, links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    now, folder = _stored(spark, links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     before, seen = None, _sum(now)
     while seen != before:
-        now = _stored(spark, _star(_star(now, both=True), both=False))
+        now, folder = _stored(spark, _star(_star(now, both=True), both=False), folder)
         before, seen = seen, _sum(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -6,7 +6,9 @@ shingles tell them apart.  The universe of hashes is cut into segments, each wit
 (the subsets have to be equal) or 2 (they may differ by one shingle, found by the subset itself and
 its one-deletion neighbours).  Allowances add up to ``H + 1 + slack``, so similar sets agree on
 segments worth at least ``slack + 1``.  A cost model picks the allowances per window: an allowance of 2
-gives wider segments, with fewer chance agreements and more index entries.
+gives wider segments, with fewer chance agreements and four times the index entries.  How often sets agree
+by chance is measured on a sample of a large table; it decides on volume alone, as any allowances are exact.
+The index is shuffled a slice of its keys at a time and goes when its contested entries are stored.
 
 Agreements on empty segments say nothing and are not indexed; a set with fewer non-empty segments
 than its window counts on is indexed under the window's common entry.  An entry that one set alone
@@ -38,14 +40,19 @@ from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
 from treadle.llm.components import components
+from treadle.operators.sinks import drop_folder
 from treadle.session import run_folder
 
 #: Documents in a chunk of a family; growth of the windows.
 CHUNK, GROWTH = 256, 1.25
 #: Rows of a few numbers that may be broadcast (some 20 MB).
 BROADCAST_ROWS = 200_000
-#: Chance that two shingles that stand alone in a segment are equal, for the cost model.
+#: Chance that two shingles that stand alone in a segment are equal, for the cost model: the most it takes it to be.
 CHANCE = 1e-4
+#: Texts (expected) that it is measured on, in tables of four times as many.
+SAMPLE = 20_000
+#: Parts of the index that are shuffled one after the other.
+SLICES = 4
 #: Sets a task remembers to index equal ones once.
 REMEMBERED = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -182,24 +189,24 @@ def node_of(found: np.ndarray) -> int:
 
 
 def indexed(docs: DataFrame, size: int, part: int, whole: int, documents: int, id_column: str, text_column: str) -> DataFrame:
-    """One row per document: id, its text's hash, node, n, content (hash of the set), keys and tags."""
+    """One row per document: id, its text's hash, node, n, content (hash of the set), keys and tags by slice of the keys."""
     rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_key"), F.col(text_column).alias("text"))
-    out = StructType.fromDDL(f"id {rows.schema['id'].dataType.simpleString()}, text_key long, node long, n long, "
-                             "content binary, keys array<long>, tags array<int>")
+    out = StructType.fromDDL(f"id {rows.schema['id'].dataType.simpleString()}, text_key long, node long, n long, content binary, "
+                             + ", ".join(f"keys{s} array<long>, tags{s} array<int>" for s in range(SLICES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, seen = to_arrow_schema(out), set()
         for big in batches:
             for at in range(0, big.num_rows, 2000):
                 batch = big.slice(at, 2000)
-                nodes, sizes, contents, keys, tags, ends = [], [], [], [], [], [0]
+                nodes, sizes, contents, keys, tags, counts = [], [], [], [], [], []
                 for text in batch.column("text").to_pylist():
                     found = shingles(text, size)
                     node = node_of(found) if len(found) else None
                     nodes.append(node)
                     sizes.append(len(found))
                     contents.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
-                    ends.append(ends[-1])
+                    counts.append(0)
                     if node is not None and node not in seen:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
@@ -207,13 +214,16 @@ def indexed(docs: DataFrame, size: int, part: int, whole: int, documents: int, i
                         k, t = entries(found, windows_of(len(found), part, whole, documents))
                         keys.append(k)
                         tags.append(t)
-                        ends[-1] += len(k)
-                ends = pa.array(ends, pa.int32())
-                join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+                        counts[-1] = len(k)
+                key, tag = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int32), *tags])
+                row, lists = np.repeat(np.arange(len(counts)), counts), []
+                for s in range(SLICES):
+                    own = key % SLICES == s
+                    ends = pa.array(np.append(0, np.cumsum(np.bincount(row[own], minlength=len(counts)))), pa.int32())
+                    lists += [pa.ListArray.from_arrays(ends, pa.array(a[own])) for a in (key, tag)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array(contents, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(join(keys, np.int64))),
-                     pa.ListArray.from_arrays(ends, pa.array(join(tags, np.int32)))], names=schema.names)
+                     pa.array(contents, pa.binary()), *lists], names=schema.names)
     return rows.mapInArrow(run, out)
 
 
@@ -260,18 +270,48 @@ def contested(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, node long, tag int, seam boolean")
 
 
+def entries_of(index: DataFrame, part: int) -> DataFrame:
+    """One row (key, node, tag) per entry of a slice."""
+    return index.where(f"size(keys{part}) > 0").select("node", F.explode(F.arrays_zip(f"keys{part}", f"tags{part}")).alias("e")).select(
+        F.col(f"e.keys{part}").alias("key"), "node", F.col(f"e.tags{part}").alias("tag"))
+
+
+def measured_chance(docs: DataFrame, documents: int, size: int, part: int, whole: int, id_column: str, text_column: str) -> float:
+    """The chance that two shingles that stand alone in a segment are equal, from the texts of a sample.
+
+    Sets that agree on a quarter of their segments are left out, as they do so for a likeness.
+    """
+    some = docs.where(F.pmod(F.xxhash64(F.col(text_column), F.lit(7)), F.lit(max(1, documents // SAMPLE))) == 0)
+    index = indexed(some, size, part, whole, 1, id_column, text_column)
+    rows = index.select("node", "n", F.explode(F.concat(*[F.col(f"keys{s}") for s in range(SLICES)])).alias("key")).where(
+        F.col("key").bitwiseAND(F.lit((1 << 56) - 1)) != 0).distinct()  # without the common entries
+    alike = rows.groupBy("key").agg(F.count("*").alias("sets"))
+    sets = rows.join(alike, "key").groupBy("node", "n").agg(F.count("*").alias("own"), F.count_if(F.col("sets") > 1).alias("met"))
+    by_size = sets.groupBy("n").agg(  # at most a row per text of the sample
+        F.count("*").alias("sets"), F.sum(F.when(F.col("met") * 4 < F.col("own"), F.col("met"))).alias("met"),
+        F.sum(F.when(F.col("met") * 4 < F.col("own"), F.col("own"))).alias("own")).collect()
+    texts, met, expected = sum(r.sets for r in by_size), 0, 0.0
+    for r in by_size:
+        alone = [(w.least / w.allowances.sum(), len(w.allowances)) for w in windows_of(r.n, part, whole, 1)]
+        segments = sum(k for _, k in alone)
+        met += r.met or 0
+        expected += texts * (r.own or 0) * sum(k * (w * math.exp(-w)) ** 2 for w, k in alone) / max(1, segments)
+    return min(CHANCE, met / expected) if expected else CHANCE
+
+
 def candidates(spark: SparkSession, index: DataFrame) -> DataFrame:
     """Links a, b between sets that may be similar: each to the least node of an entry they share."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = index.where("size(keys) > 0").select("node", F.explode(F.arrays_zip("keys", "tags")).alias("e")).select(
-        F.col("e.keys").alias("key"), "node", F.col("e.tags").alias("tag"))
-    folder = run_folder(spark, "entries")
-    contested(rows.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")).write.parquet(folder)
-    marked = spark.read.parquet(folder)
+    folders = [run_folder(spark, "entries") for _ in range(SLICES)]
+    for s, folder in enumerate(folders):  # one after the other: the shuffle of each goes with its job
+        rows = entries_of(index, s).repartitionByRange(parts, "key", "node")
+        contested(rows.sortWithinPartitions("key", "node")).write.parquet(folder)
+    marked = spark.read.parquet(*folders)
     # a few rows per part: the seams whose key has two nodes after all
     seams = marked.where("seam").groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     found = marked.where("not seam").drop("seam").unionByName(
         marked.where("seam").join(seams.select("key"), "key").drop("seam")).distinct()
+    found, folders = _stored(spark, found, folders)
     window = F.shiftrightunsigned("key", 56)
     for _ in range(2):  # sets that drop out may leave others alone
         # a segment counts once: one of allowance 2 by its number, the others by their only entry
@@ -279,12 +319,21 @@ def candidates(spark: SparkSession, index: DataFrame) -> DataFrame:
         worth = found.select("node", window.alias("window"), "tag", F.when(allowance == 1, F.col("key")).alias("own")).distinct().groupBy(
             "node", "window", F.shiftright("tag", 21).alias("counts_on")).agg(F.sum(allowance).alias("worth"))
         kept = worth.where("worth >= counts_on").select("node", F.col("window").alias("w"))
-        found = found.withColumn("w", window).join(kept, ["node", "w"], "left_semi").drop("w")
+        found, folders = _stored(spark, found.withColumn("w", window).join(kept, ["node", "w"], "left_semi").drop("w"), folders)
         several = found.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-        found = found.join(several.select("key", "low"), "key")
+        found, folders = _stored(spark, found.join(several.select("key", "low"), "key"), folders)
         links = found.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
         found = found.drop("low")
-    return links
+    return _stored(spark, links, folders)[0]
+
+
+def _stored(spark: SparkSession, rows: DataFrame, used: list[str]) -> tuple[DataFrame, list[str]]:
+    """Stored rows and their folder; the folders they were made from go."""
+    folder = run_folder(spark, "found")
+    rows.write.parquet(folder)
+    for old in used:
+        drop_folder(spark, old)
+    return spark.read.schema(rows.schema).parquet(folder), [folder]
 
 
 def linked_sets(table: pa.Table, size: int, part: int, whole: int) -> pa.Table:
@@ -372,13 +421,21 @@ def verified(docs: DataFrame, index: DataFrame, families: DataFrame, size: int,
 def grouped(spark: SparkSession, docs: DataFrame, size: int, part: int, whole: int, chunk: int = CHUNK,
             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: ``id``, ``text_key``, ``n`` and ``group`` (a set of its component; null without shingles)."""
-    folder = run_folder(spark, "index")
-    indexed(docs, size, part, whole, max(1, docs.count()), id_column, text_column).write.parquet(folder)
+    documents = max(1, docs.count())
+    if documents > 4 * SAMPLE:  # as many as agree as often at the chance the cost model takes
+        chance = measured_chance(docs, documents, size, part, whole, id_column, text_column)
+        documents = max(1, round(documents * chance / CHANCE))
+    entries, folder = run_folder(spark, "index-entries"), run_folder(spark, "index")
+    indexed(docs, size, part, whole, documents, id_column, text_column).write.parquet(entries)
+    whole_index = spark.read.parquet(entries)
+    whole_index.select("id", "text_key", "node", "n", "content").write.parquet(folder)
     index = spark.read.parquet(folder)
     clash = index.where("node is not null").groupBy("node").agg(F.min("content").alias("x"), F.max("content").alias("y"))
     if not clash.where("x <> y").isEmpty():
         raise ValueError("two sets have one 64-bit name")
-    links = components(spark, candidates(spark, index))
+    found = candidates(spark, whole_index)
+    drop_folder(spark, entries)
+    links = components(spark, found)
     families = links.unionByName(links.select(F.col("root").alias("node"), "root").distinct())
     found = components(spark, verified(docs, index, families, size, part, whole, chunk, id_column, text_column))
     return index.select("id", "text_key", "n", "node").join(found, "node", "left").select(

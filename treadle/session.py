@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # rows go to Python in batches bounded by bytes, as ten thousand long texts fill a worker
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    # shuffle files go when their job ends, not when the driver next collects its garbage; a frame that is run
+    # again computes them again
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 #: In local mode only.  There, tables are small files of one row group, so a scan is one task, and a
