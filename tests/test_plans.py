@@ -1,10 +1,13 @@
 import datetime as dt
+import os
+import uuid
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from treadle.plans import daily, dims, facts, marts, shorthand, staging, views, xml_views
+from treadle.retail import jobs
 from treadle.sources.catalog import describe
 
 D = dt.date
@@ -304,6 +307,40 @@ def test_a_single_key_is_looked_up_in_one_shuffle(frame, rows):
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_keys_are_looked_up_by_slices(spark, frame, rows):
+    """All slices were shuffled at once, four rows for each sale."""
+    day, later = D(2012, 1, 1), D(2012, 6, 1)
+    sold = [(day, k % 5, k % 3, f"v{k % 20}") for k in range(60)] + [(None, None, None, None)] * 2 + [(later, 1, None, "a")] * 3
+    fact = frame(sold, "day date, ProductKey int, StoreKey int, v string")
+    product = frame([(70 + k, k, D(2011, 1, 1), D(2012, 3, 1)) for k in range(4)] + [(81, 1, D(2012, 3, 1), None)],
+                    "sk bigint, ProductID int, ValidFromDate date, ValidToDate date")
+    store = frame([(5, 1), (6, 2)], "sk bigint, id int")
+    links = {"ProductKey": facts.Link(product, "ProductID", "sk"), "StoreKey": facts.Link(store, "id", "sk", versioned=False)}
+    whole, kept = facts.with_surrogates(fact, "day", links, D(2010, 1, 1), D(2013, 1, 1)), []
+
+    def keep(df):
+        kept.append(df.localCheckpoint())
+        return kept[-1]
+
+    for slices in (1, 3):
+        kept.clear()
+        got = facts.with_surrogates_by_slices(fact, "day", links, D(2010, 1, 1), D(2013, 1, 1), slices, keep)
+        assert got.columns == fact.columns and rows(got) == rows(whole) and len(kept) == slices
+    assert all(k.count() < len(sold) / 2 + 10 for k in kept) and sum(k.count() for k in kept) == len(sold)
+
+
+def test_a_query_of_many_keys_keeps_one_slice_of_shuffles(spark, tmp_path, monkeypatch, rows):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    want = rows(jobs.k1_fact_sales_keyed(spark, folder))
+    monkeypatch.setattr(jobs, "_SLICE_BYTES", 1 << 10)
+    monkeypatch.setattr(jobs, "run_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    assert rows(jobs.k1_fact_sales_keyed(spark, folder)) == want
+    # four slices and three histories are left, the sales are not
+    assert len([n for n in os.listdir(tmp_path) if n.startswith("keyed-")]) == 7
+
+
 def test_stores_are_put_on_orders_before_their_lines(source):
     """Customers meet the orders; the lines, which are many more, are not dealt out for them."""
     plan = facts.sales_lines_from_source(source)._jdf.queryExecution().analyzed().toString()

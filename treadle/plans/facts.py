@@ -8,7 +8,7 @@ Keys in the result are natural keys until :func:`with_surrogates` replaces them.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -367,6 +367,18 @@ def with_surrogates(fact: DataFrame, date: str, links: Mapping[str, Link], since
         (or_unknown(F.col(at[c])) if c in at else F.col(place[c])).alias(c) for c in columns])
 
 
+def with_surrogates_by_slices(fact: DataFrame, date: str, links: Mapping[str, Link], since: dt.date, until: dt.date,
+                              slices: int, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """:func:`with_surrogates` for a slice of the rows at a time, so disk holds the shuffles of one slice only.
+
+    ``keep`` stores a slice's result; ``fact`` and the dimensions are read by each and should be stored.
+    Equal rows are of one slice.
+    """
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns], F.lit(3)), F.lit(slices))
+    return reduce(DataFrame.unionByName, [
+        keep(with_surrogates(fact.filter(own == n) if slices > 1 else fact, date, links, since, until)) for n in range(slices)])
+
+
 #: Stored types of ratio and count columns: wider than the source's, so that sums of any size fit.
 RATE = "decimal(38,6)"
 STORED_TYPES = {

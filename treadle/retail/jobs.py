@@ -14,7 +14,7 @@ from treadle.plans import dims, facts, marts, shorthand, staging, views, xml_vie
 from treadle.retail import runs, tables as r
 from treadle.retail.source import SourceTables
 from treadle.retail.tables import AS_OF, SINCE, STOCK_DAY, UNTIL, load
-from treadle.session import run_folder
+from treadle.session import run_folder, stored_bytes
 from treadle.sources import catalog, delimited, extract
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -520,14 +520,26 @@ def k1_fact_sales(spark, folder):
     return facts.fact_sales(r.lines(spark, folder))
 
 
+#: Stored tables per slice of the sales whose keys are looked up at a time, and the most slices.
+_SLICE_BYTES, _MOST_SLICES = 16 << 20, 4
+
+
 def k1_fact_sales_keyed(spark, folder):
     """Sales with the keys of customer, product, store and employee, all looked up at once, by version found.
 
     Customers have versions by priority, products by price and cost, employees by quota, stores none.
     A key is checked by its way back: it has to lead to one version, of the sale's own member.
     """
+    folders = []
+
+    def keep(df):
+        folders.append(run_folder(spark, "keyed"))
+        df.write.parquet(folders[-1])
+        return spark.read.schema(df.schema).parquet(folders[-1])
+
     def versions(df, natural):
-        return df.withColumn("sk", history.surrogate_key([F.col(natural)], F.col("ValidFromDate")))
+        return keep(df.select(natural, "ValidFromDate", "ValidToDate", history.surrogate_key(
+            [F.col(natural)], F.col("ValidFromDate")).alias("sk")))
 
     store = load(spark, folder, "supplier").select("s_suppkey", F.xxhash64("s_suppkey").alias("sk"))
     links = {
@@ -538,7 +550,10 @@ def k1_fact_sales_keyed(spark, folder):
     }
     own = {c: f"own_{c}" for c in links}
     sales = k1_fact_sales(spark, folder).select("*", *[F.col(c).cast("long").alias(n) for c, n in own.items()])
-    keyed = facts.with_surrogates(sales, "SalesDateKey", links, SINCE, UNTIL)
+    slices = max(1, min(_MOST_SLICES, stored_bytes(spark, folder) // _SLICE_BYTES))
+    sales, given = keep(sales), folders[-1]
+    keyed = facts.with_surrogates_by_slices(sales, "SalesDateKey", links, SINCE, UNTIL, slices, keep)
+    sinks.drop_folder(spark, given)
     each = keyed.select("SalesRevenue", F.inline(F.array(*[F.struct(
         F.lit(c).alias("dimension"), F.col(c).alias("sk"), F.col(n).alias("member")) for c, n in own.items()])))
     sums = each.groupBy("dimension", "sk", "member").agg(

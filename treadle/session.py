@@ -103,13 +103,17 @@ def _spread(spark: SparkSession, folder: str | None) -> None:
         spark.conf.unset(_BEFORE)
     if folder is None:
         return
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    size = stored_bytes(spark, folder)
     if size // SPREAD_BYTES > int(spark.conf.get("spark.sql.shuffle.partitions")) and spark.conf.get(INITIAL, None) is None:
         spark.conf.set(INITIAL, str(size // SPREAD_BYTES))
         spark.conf.set(_BEFORE, _limit(spark, ADVISORY, ADVISORY_BYTES))
 
 
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
