@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from treadle.plans import daily, dims, facts, marts, shorthand, staging, views, xml_views
-from treadle.retail import jobs
+from treadle.retail import jobs, runs
 from treadle.sources.catalog import describe
 
 D = dt.date
@@ -307,6 +307,20 @@ def test_a_single_key_is_looked_up_in_one_shuffle(frame, rows):
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_step_of_a_daily_run_leaves_no_scratch(spark, tmp_path, monkeypatch):
+    """Rows that were stored for the jobs of a step stayed for ever."""
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    monkeypatch.setattr(daily, "run_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    price, versions = F.col("listprice"), []
+    for n, as_of in enumerate((D(1998, 1, 1), D(1997, 1, 1))):  # the second day lies in the past
+        tables = runs._products(spark, folder, price + n, f"2002-01-0{n + 1}")
+        run = runs.day(spark, tables, f"{tmp_path}/root", as_of, [], ("DimProduct",))
+        versions.append(run.table("DimProduct").read().count())
+    assert versions[1] == 2 * versions[0] and os.listdir(tmp_path) == ["root"]
+
+
 def test_keys_are_looked_up_by_slices(spark, frame, rows):
     """All slices were shuffled at once, four rows for each sale."""
     day, later = D(2012, 1, 1), D(2012, 6, 1)

@@ -195,6 +195,7 @@ class DailyRun:
         self.report = DayReport()
         self.land, self.landed, self.targets = land, None, None
         self.progress: dict[str, dict[str, int]] = {}
+        self.scratch: list[str] = []  # folders of the step at hand
 
     def table(self, name: str) -> sinks.VersionedTable:
         versioned = name in dims.DIMENSIONS and dims.DIMENSIONS[name].policy == dims.SCD2
@@ -306,7 +307,7 @@ class DailyRun:
         log = sinks.BatchTable(self.spark, self.path("error_attempts"))
         if not sinks.folder_exists(self.spark, self.path("error_records")) or self.batch in log.batches():
             return
-        folder = run_folder(self.spark, "open-errors")
+        folder = self.passing("open-errors")
         self.error_state().filter((~F.col("IsResolved")) & (F.col("ProcessingBatchID") != self.batch)).select(
             "ErrorID", "SourceTable", "RecordNaturalKey", "ErrorType", "ErrorMessage", "ErrorDetails").write.parquet(folder)
         open_ = self.spark.read.parquet(folder)
@@ -322,6 +323,7 @@ class DailyRun:
                 parts.append(checks.attempt(own, broken, there, self.at))
         if parts:
             log.append(checks.union_all(parts), self.batch)
+        self.tidy()
 
     def record(self, source: str, records: DataFrame) -> None:
         sinks.replace_records(records, self.path("error_records"), self.batch, source)
@@ -351,9 +353,18 @@ class DailyRun:
             table.write(dims.load_dimension(spec, current, staged, self.as_of, opening))
             table.prune()
 
+    def passing(self, label: str) -> str:
+        """A new folder that goes when the step has written its table."""
+        self.scratch.append(run_folder(self.spark, label))
+        return self.scratch[-1]
+
+    def tidy(self) -> None:
+        while self.scratch:
+            sinks.drop_folder(self.spark, self.scratch.pop())
+
     def kept(self, df: DataFrame, label: str) -> DataFrame:
-        """Rows that several jobs read, written once."""
-        folder = run_folder(self.spark, label)
+        """Rows that several jobs of a step read, written once."""
+        folder = self.passing(label)
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
@@ -385,6 +396,7 @@ class DailyRun:
         if spec.name == "DimEmployee":
             keyed = dims.with_manager_keys(keyed, staged.select("EmployeeID", "ManagerID"))
         table.write_step(keyed, whole=sorted(whole) if table.exists() else ())
+        self.tidy()
         if table.since_full() > COMPACT_AFTER:
             table.write_full(table.read())
             table.prune()
@@ -397,7 +409,7 @@ class DailyRun:
         closed = table.read_closed(others) if table.exists() else None
         versions = merged if closed is None else merged.unionByName(closed)
         low, high = self.window[0].date(), max(self.window[1].date(), self.as_of)
-        folder = run_folder(self.spark, "late")
+        folder = self.passing("late")
         history.unlike(versions, late, key, spec.tracked, day, low, high).select(
             *key, F.col(day).cast("date").alias("_day"), table.bucket().alias("_bucket")).write.parquet(folder)
         unlike = self.spark.read.parquet(folder)
