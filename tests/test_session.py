@@ -1,6 +1,8 @@
+import datetime as dt
 import time
 
 from treadle import session
+from treadle.operators import lookup
 
 SHUFFLES = "spark.sql.shuffle.partitions"
 
@@ -51,3 +53,24 @@ def test_shuffle_files_go_with_their_job(spark, tmp_path):
         time.sleep(0.1)
     assert not held() - before
     assert df.collect() == df.collect() and df.count() == 10  # a frame can be run again
+
+
+def test_versions_laid_out_over_the_years_are_not_broadcast_by_their_files(spark, tmp_path):
+    """A few hundred kilobytes of versions became a broadcast of hundreds of megabytes, built by the driver."""
+    D, before = dt.date, spark.conf.get(session.BROADCAST)
+    spark.range(400_000).selectExpr("id k", "cast(1 as decimal(18,2)) price", "date'1995-01-01' ValidFromDate", "cast(null as date) ValidToDate").coalesce(
+        1).write.parquet(f"{tmp_path}/versions")
+    assert (256 << 10) < sum(f.stat().st_size for f in tmp_path.glob("versions/*.parquet")) < 2 << 20
+    spark.range(1_000_000).selectExpr("id % 1000 k", "date'1999-05-05' day").write.parquet(f"{tmp_path}/facts")
+    try:
+        spark.conf.set(session.BROADCAST, "10485760b")
+        session._bound_broadcasts(spark)
+        assert (spark.conf.get(session.BROADCAST), spark.conf.get(session.MEASURED)) == (str(256 << 10), str(2 << 20))
+        session._bound_broadcasts(spark)  # again: the same
+        assert (spark.conf.get(session.BROADCAST), spark.conf.get(session.MEASURED)) == (str(256 << 10), str(2 << 20))
+        found = lookup.asof_lookup(spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/versions"), {"k": "k"}, "day",
+                                   {"price": "price"}, since=D(1995, 1, 1), until=D(2001, 12, 31))
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(session.BROADCAST, before)
+        spark.conf.unset(session.MEASURED)

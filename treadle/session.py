@@ -70,12 +70,15 @@ def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
     for key, value in _runtime_conf(spark).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    _limit(spark, BROADCAST, BROADCAST_BYTES)
+    _bound_broadcasts(spark)
     _spread(spark, folder)
     return _with_code(spark)
 
 
 BROADCAST, BROADCAST_BYTES = "spark.sql.autoBroadcastJoinThreshold", 2 << 20
+#: The same for sizes that were measured in a shuffle, and the limit of sizes that are guessed from files: a file of a
+#: few values is a hundred times its size in memory, and more once versions are laid out over the years.
+MEASURED, GUESSED_BYTES = "spark.sql.adaptive.autoBroadcastJoinThreshold", 256 << 10
 #: Stored input per shuffle partition, and the most a task reads of a shuffle.
 SPREAD_BYTES, ADVISORY_BYTES = 4 << 20, 8 << 20
 INITIAL, ADVISORY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -91,6 +94,17 @@ def _limit(spark: SparkSession, key: str, most: int) -> str:
     return own
 
 
+def _bound_broadcasts(spark: SparkSession) -> None:
+    """What the driver builds for a join stays small, whatever the files of a table look like."""
+    _limit(spark, BROADCAST, BROADCAST_BYTES)
+    guessed = spark.conf.get(BROADCAST)
+    _limit(spark, BROADCAST, GUESSED_BYTES)
+    if spark.conf.get(MEASURED, None) is not None:
+        _limit(spark, MEASURED, BROADCAST_BYTES)
+    elif spark.conf.get(BROADCAST) != guessed:
+        spark.conf.set(MEASURED, guessed)
+
+
 def _spread(spark: SparkSession, folder: str | None) -> None:
     """Shuffles start with partitions by the size of the tables, so a task's share stays as it is while they grow.
 
