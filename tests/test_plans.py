@@ -307,15 +307,35 @@ def test_a_single_key_is_looked_up_in_one_shuffle(frame, rows):
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_a_step_of_a_daily_run_leaves_no_scratch(spark, tmp_path, monkeypatch):
+@pytest.fixture
+def little(spark, tmp_path_factory):
+    """A folder of small benchmark tables."""
+    folder = str(tmp_path_factory.mktemp("little"))
+    day = lambda k: dt.datetime(1996 + k % 4, 1 + k % 12, 1 + k % 27)
+    tables = {
+        "customer": ([(k, f"c{k}", k % 3, 1.0 * k, "BUILDING") for k in range(6)],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "supplier": ([(k, f"s{k}", k % 3, 1.0) for k in range(4)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "part": ([(k, f"p{k}", f"b{k % 2}", f"t{k % 3}", k % 7, 10.5 + k) for k in range(12)],
+                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": ([(k, k % 7 if k % 9 else None, "O", 5.0 * k, day(k), f"{k % 3}-X") for k in range(40)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(k % 40, k % 13, k % 5 if k % 11 else None, k % 4, 1.0 + k % 5, 2.5 * k, k % 4 / 100, k % 3 / 100, "NR"[k % 2], "OF"[k % 2], day(k + 5))
+                      for k in range(150)] * 2,
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                     "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_a_step_of_a_daily_run_leaves_no_scratch(spark, little, tmp_path, monkeypatch):
     """Rows that were stored for the jobs of a step stayed for ever."""
-    folder = "/root/testdata/sf0.001"
-    if not os.path.isdir(folder):
-        pytest.skip("no test tables")
     monkeypatch.setattr(daily, "run_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
     price, versions = F.col("listprice"), []
     for n, as_of in enumerate((D(1998, 1, 1), D(1997, 1, 1))):  # the second day lies in the past
-        tables = runs._products(spark, folder, price + n, f"2002-01-0{n + 1}")
+        tables = runs._products(spark, little, price + n, f"2002-01-0{n + 1}")
         run = runs.day(spark, tables, f"{tmp_path}/root", as_of, [], ("DimProduct",))
         versions.append(run.table("DimProduct").read().count())
     assert versions[1] == 2 * versions[0] and os.listdir(tmp_path) == ["root"]
@@ -343,14 +363,12 @@ def test_keys_are_looked_up_by_slices(spark, frame, rows):
     assert all(k.count() < len(sold) / 2 + 10 for k in kept) and sum(k.count() for k in kept) == len(sold)
 
 
-def test_a_query_of_many_keys_keeps_one_slice_of_shuffles(spark, tmp_path, monkeypatch, rows):
-    folder = "/root/testdata/sf0.001"
-    if not os.path.isdir(folder):
-        pytest.skip("no test tables")
-    want = rows(jobs.k1_fact_sales_keyed(spark, folder))
+def test_a_query_of_many_keys_keeps_one_slice_of_shuffles(spark, little, tmp_path, monkeypatch, rows):
+    want = rows(jobs.k1_fact_sales_keyed(spark, little))
+    assert len(want) > 100
     monkeypatch.setattr(jobs, "_SLICE_BYTES", 1 << 10)
     monkeypatch.setattr(jobs, "run_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
-    assert rows(jobs.k1_fact_sales_keyed(spark, folder)) == want
+    assert rows(jobs.k1_fact_sales_keyed(spark, little)) == want
     # four slices and three histories are left, the sales are not
     assert len([n for n in os.listdir(tmp_path) if n.startswith("keyed-")]) == 7
 
